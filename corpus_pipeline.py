@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import langid, packing, quality
+from skyledger.llm import langid, neardup, packing, quality
 from skyledger.llm.common import stored, table
 
 #: Cosine with the best prototype below which a text counts as no language that the corpus teaches.
@@ -24,15 +24,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.predict(docs, "text", model, "_lang_pred", "_score").where((F.col("_lang_pred") != langid.UND) & (F.col("_score") >= MIN_COSINE)).select(docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near-duplicates; rows that repeat its id are that document."""
+    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id"))
+    return docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi").select(docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 2048 tokens."""
     packed = packing.pack(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), pattern=public_tokenizers.PATTERN)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "class_k")
 
 
-STAGES = [("quality rules", quality_rules), ("language ID", language_id), ("packing", pack)]
+STAGES = [("quality rules", quality_rules), ("language ID", language_id), ("near-duplicates", near_duplicates), ("packing", pack)]
 
-#: SQL can't express the tokenisers that the stages use.
+#: SQL can't express the tokenisers and profiles that the stages use.
 ORACLE_SQL = None
 
 

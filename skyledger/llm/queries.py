@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, langid, packing, quality
+from skyledger.llm import bpe, langid, neardup, packing, quality
 from skyledger.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", langid.held_out("doc_id").alias("held_out"), "text"), "text", model).drop("text")
 
 
+def op5_hyperminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.rules(docs, "text", "lang", public_tokenizers.path("piece_bpe_32k.model")).drop("text", "lang")
@@ -38,8 +42,35 @@ def op9_merge_replay_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_hyperdimensional_langid": op2_hyperdimensional_langid,
+    "op5_hyperminhash_neardup": op5_hyperminhash_neardup,
     "op8_tokeniser_fertility": op8_tokeniser_fertility,
     "op9_merge_replay_bpe": op9_merge_replay_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_hyperminhash_neardup": r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN array_to_string(words, ' ') ELSE array_to_string(words[i : i + 4], ' ') END AS shingle
+    FROM w, unnest(range(1, greatest(2, len(words) - 3))) AS r(i) WHERE len(words) > 0
+), n AS (
+    SELECT d.doc_id, count(s.shingle) AS n_shingles FROM documents d LEFT JOIN s USING (doc_id) GROUP BY ALL
+), sets AS (
+    SELECT doc_id, md5(string_agg(shingle, chr(1) ORDER BY shingle)) AS digest FROM s GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n_shingles, y.n_shingles
+    HAVING 100 * count(*) >= 75 * (x.n_shingles + y.n_shingles - count(*))
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), classes AS (
+    SELECT doc_id, coalesce(min(doc_id) OVER (PARTITION BY digest), doc_id) AS set_id FROM sets
+)
+SELECT n.doc_id, n.n_shingles, coalesce(c.set_id, n.doc_id) AS set_id, min(r.b) AS component_id, n.doc_id = min(r.b) AS kept
+FROM n JOIN reach r ON r.a = n.doc_id LEFT JOIN classes c ON c.doc_id = n.doc_id GROUP BY n.doc_id, n.n_shingles, c.set_id
+""",
+}
