@@ -1,9 +1,10 @@
 """License scans with Spark expressions only.
 
 A text's units (its lines, its paragraphs, and the whole of it) are normalised to lower-case words of letters and digits.
-A unit is compared with the templates of licences by the Dice coefficient over sets of word bigrams. Two sets of sizes a
-and b have a coefficient of at most ``2 min(a, b) / (a + b)``, so a unit of n words only meets the templates whose sizes
-allow ``threshold``; most units meet none, and their bigrams are never formed.
+A unit of n words has n - 1 bigrams. It is compared with the templates of licences by the Dice coefficient, twice the
+distinct bigrams that both have over the bigrams of both; a template's count once. Sizes a and b allow a coefficient of at
+most ``2 min(a, b) / (a + b)``, so a unit only meets the templates whose sizes allow ``threshold``; most units meet none,
+and their bigrams are never formed.
 
 Null and empty texts have no unit. Repeated rows are scanned each. No shuffle.
 """
@@ -34,13 +35,9 @@ TEMPLATES: list[tuple[str, str]] = [
 THRESHOLD = 0.8
 
 
-def words_of(text: str) -> list[str]:
-    return re.findall("[a-z0-9]+", text.lower())
-
-
 def bigrams_of(text: str) -> list[str]:
-    words = words_of(text)
-    return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
+    words = re.findall("[a-z0-9]+", text.lower())
+    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
 def bounds(size: int, threshold: float) -> tuple[int, int]:
@@ -49,9 +46,9 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
 
 
 def _words(unit: Column) -> Column:
-    """Lower-case ASCII words of a unit; no empty ones."""
-    cleaned = F.trim(F.regexp_replace(F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " "))
-    return F.split(F.when(cleaned != "", cleaned), " ")
+    """Lower-case ASCII words of a unit; one empty word if it has none."""
+    lower = F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.split(F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " ")), " ")
 
 
 def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -64,24 +61,22 @@ def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] =
     body = F.col("text")
     lines, blocks = F.split(body, "\n"), F.split(body, "\n[ \\t\\r]*\n")
     blocks = F.when(F.size(blocks) > 1, blocks).otherwise(F.array().cast("array<string>"))
-    # A set of bigrams is smaller than the number of words; repeated words may make it much smaller, so only the lower bound
-    # holds for words, and the upper one for bigrams. Long units are cut off by their length: a word has a letter and a gap.
     units = F.array_distinct(F.concat(lines, blocks, F.when(F.size(lines) > 1, F.array(body)).otherwise(F.array().cast("array<string>"))))
 
-    def bigrams(unit: Column) -> Column:
-        words = _words(unit)
-        pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-        return F.when(F.size(words) > least, F.array_distinct(pairs))
+    def bigrams(words: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
 
     def matches(grams: Column) -> Column:
         allowed = F.filter(table, lambda t: F.size(grams).between(t.low, t.high))
         scored = F.transform(allowed, lambda t: F.struct((F.lit(2.0) * F.size(F.array_intersect(grams, t.grams)) / (F.size(grams) + F.size(t.grams))).alias("dice"), t["name"].alias("name")))
         return F.filter(scored, lambda s: s.dice >= threshold)
 
+    # Each step is a column of its own, so that it is evaluated once and not again for every element of the next.
     rows = df.select(F.col(doc).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    sized = F.filter(F.transform(F.filter(units, lambda u: F.size(_words(u)) > least), bigrams), lambda g: F.size(g).between(least, most))
-    found = F.filter(F.transform(sized, matches), lambda m: F.size(m) > 0)
-    rows = rows.select("doc_id", found.alias("found"))
-    best = F.array_max(F.transform(F.flatten("found"), lambda s: s.dice))
-    name = F.array_min(F.transform(F.filter(F.flatten("found"), lambda s: s.dice == best), lambda s: s["name"]))
-    return rows.select("doc_id", F.size("found").cast("long").alias("n_matches"), name.alias("license"), best.alias("dice"))
+    rows = rows.select("doc_id", F.transform(units, _words).alias("words"))
+    rows = rows.select("doc_id", F.transform(F.filter("words", lambda w: F.size(w).between(least + 1, most + 1)), bigrams).alias("grams"))
+    rows = rows.select("doc_id", F.filter(F.transform("grams", matches), lambda m: F.size(m) > 0).alias("found"))
+    rows = rows.select("doc_id", F.size("found").cast("long").alias("n_matches"), F.flatten("found").alias("found"))
+    rows = rows.select("doc_id", "n_matches", "found", F.array_max(F.transform("found", lambda s: s.dice)).alias("dice"))
+    name = F.array_min(F.transform(F.filter("found", lambda s: s.dice == F.col("dice")), lambda s: s["name"]))
+    return rows.select("doc_id", "n_matches", name.alias("license"), "dice")

@@ -125,14 +125,16 @@ units AS (
     SELECT DISTINCT doc_id, r, u FROM (
         SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents
     ), unnest(string_split(text, chr(10)) || (CASE WHEN regexp_matches(text, '
-[ 	]*
+[ 	
+]*
 ') THEN string_split_regex(text, '
-[ 	]*
+[ 	
+]*
 ') ELSE [] END) || [text]) AS x(u)
 ), words AS (
     SELECT doc_id, r, u, regexp_extract_all(translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS w FROM units
 ), grams AS (
-    SELECT doc_id, r, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM words WHERE len(w) BETWEEN 2 AND 400
+    SELECT doc_id, r, u, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM words WHERE len(w) BETWEEN 2 AND 60
 ), scored AS (
     SELECT doc_id, r, u, name, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice FROM grams, templates
 ), hits AS (
