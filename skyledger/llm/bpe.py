@@ -3,7 +3,7 @@
 The words of a block of documents form a small corpus of distinct words. An inverted index leads from each mergeable
 token pair to the places where it stands; merges are replayed in rank order over all words at once, and each merge
 touches only its two neighbours. Blocks are independent, so the stage needs no shuffle and no state but a bounded cache
-of words.
+of words (``words``).
 
 Null text counts as empty; an empty text has no ids. Repeated rows and extra columns pass through unchanged.
 """
@@ -11,7 +11,6 @@ Null text counts as empty; an empty text has no ids. Repeated rows and extra col
 from __future__ import annotations
 
 import base64
-import itertools
 import re
 import sys
 import unicodedata
@@ -25,6 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from skyledger.llm.common import slices
+from skyledger.llm.words import WordMemory, as_bytes
 
 #: Letters and digits that Unicode 16 added to Unicode 15.1, as first and last code points.
 UNICODE_16 = [
@@ -37,10 +37,8 @@ UNICODE_16 = [
 #: The classes of the pattern within the first 256 code points, for which the quicker ``re`` does.
 NEAR = {r"\p{L}": r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"\p{N}": r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\s": r"\t\n\x0b\x0c\r \x85\xa0"}
 FAR = re.compile("[^\x00-\xff]")
-#: Words kept with their ids in each Python worker; beyond this the cache starts anew.
-CACHE_WORDS = 500_000
-#: Documents whose new words are replayed together.
-BLOCK_ROWS = 10_000
+#: Documents coded at a time.
+BLOCK_ROWS = 2048
 
 
 class Splitter:
@@ -209,35 +207,15 @@ def load(path: str) -> MergeReplay:
         return MergeReplay({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
 
 
-def as_bytes(ids: list[list[int]]) -> list[bytes]:
-    """Each list as little-endian unsigned 32-bit integers."""
-    flat = np.fromiter(itertools.chain.from_iterable(ids), "<u4").tobytes()
-    ends = [0, *itertools.accumulate(map(len, ids))]
-    return [flat[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
-
-
-def unseen(words: list[list[str]], cache: dict[str, bytes]) -> list[str]:
-    """The distinct words that the cache lacks."""
-    found: set[str] = set()
-    for each in words:
-        found.update(each)
-    return [w for w in found if w not in cache]
-
-
-_cache: dict[tuple[str, str], dict[str, bytes]] = {}
+@lru_cache(maxsize=2)
+def _memory(path: str, pattern: str) -> WordMemory:
+    coder = load(path)
+    return WordMemory(lambda words: as_bytes(coder.corpus([w.encode("utf-8", "surrogatepass") for w in words])))
 
 
 def encode_texts(texts: list[str], path: str, pattern: str) -> list[bytes]:
     """Ids of every text as little-endian unsigned 32-bit integers."""
-    coder, cut = load(path), splitter(pattern)
-    cache = _cache.setdefault((path, pattern), {})
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    words = [cut(t) for t in texts]
-    new = unseen(words, cache)
-    cache.update(zip(new, as_bytes(coder.corpus([w.encode() for w in new]))))
-    get = cache.__getitem__
-    return [b"".join(map(get, each)) for each in words]
+    return _memory(path, pattern)(map(splitter(pattern), texts))
 
 
 def encode(df: DataFrame, text: str, path: str, pattern: str, ids: str = "ids", decoded: str | None = None) -> DataFrame:
