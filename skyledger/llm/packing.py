@@ -21,12 +21,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from skyledger.llm.bpe import as_bytes, splitter, unseen
+from skyledger.llm.bpe import splitter
 from skyledger.llm.common import slices
+from skyledger.llm.words import WordMemory, as_bytes
 
-#: Words kept with their ids in each Python worker; beyond this the cache starts anew.
-CACHE_WORDS = 500_000
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 1024
 
 
 @lru_cache(maxsize=4)
@@ -94,9 +93,6 @@ class Bins:
         return rows
 
 
-_cache: dict[str, dict[str, bytes]] = {}
-
-
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
@@ -106,21 +102,50 @@ def _tokenizer(path: str):
     return made
 
 
+@lru_cache(maxsize=2)
+def _token_bytes(path: str) -> np.ndarray:
+    """How many bytes of text each id of a byte-level vocabulary stands for."""
+    names = _tokenizer(path).get_vocab(with_added_tokens=False)
+    table = np.zeros(max(names.values(), default=-1) + 1, np.int64)
+    for name, number in names.items():
+        table[number] = len(name)  # such a vocabulary writes every byte as one letter
+    return table
+
+
+def encode_words(words: list[str], path: str, together: int = 64) -> list[bytes]:
+    """Ids of each word. Words of a space and letters stay apart when joined, so many of them share one call; the bytes
+    that tokens stand for tell where each word ends. The others are encoded one by one."""
+    model, found = _tokenizer(path), dict[str, bytes]()
+    plain = [w for w in words if w[0] == " " and w[1:].isalpha()]
+    groups = [plain[at : at + together] for at in range(0, len(plain), together)]
+    for group, coded in zip(groups, model.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+        ids = np.array(coded.ids, "<u4")
+        ends = np.cumsum([len(w.encode()) for w in group])
+        upto = np.cumsum(_token_bytes(path)[ids])
+        cut = np.searchsorted(upto, ends)
+        if cut[-1] == len(ids) - 1 and (upto[cut] == ends).all():
+            data, low = ids.tobytes(), 0
+            for word, high in zip(group, (4 * (cut + 1)).tolist()):
+                found[word] = data[low:high]
+                low = high
+    rest = [w for w in words if w not in found]
+    for at in range(0, len(rest), 10_000):
+        part = rest[at : at + 10_000]
+        found.update(zip(part, as_bytes([x.ids for x in model.encode_batch_fast(part, add_special_tokens=False)])))
+    return [found[w] for w in words]
+
+
+@lru_cache(maxsize=2)
+def _memory(path: str) -> WordMemory:
+    return WordMemory(lambda words: encode_words(words, path))
+
+
 def tokenise(texts: list[str], path: str, pattern: str | None) -> list[np.ndarray]:
     """Ids of every text by ``tokenizers``. ``pattern``: how the vocabulary splits words; each word is encoded once."""
     model = _tokenizer(path)
     if pattern is None:
         return [np.array(x.ids, "<u4") for x in model.encode_batch_fast(texts, add_special_tokens=False)]
-    cut, cache = splitter(pattern), _cache.setdefault(path, {})
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    words = [cut(t) for t in texts]
-    new = unseen(words, cache)
-    for at in range(0, len(new), 20_000):
-        part = new[at : at + 20_000]
-        cache.update(zip(part, as_bytes([x.ids for x in model.encode_batch_fast(part, add_special_tokens=False)])))
-    get = cache.__getitem__
-    return [np.frombuffer(b"".join(map(get, each)), "<u4") for each in words]
+    return [np.frombuffer(x, "<u4") for x in _memory(path)(map(splitter(pattern), texts))]
 
 
 def pack(df: DataFrame, doc: str, text: str, tokenizer: str, *, capacity: int = 2048, eos_id: int = 1, pattern: str | None = None) -> DataFrame:
