@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from skyledger.llm.common import slices
+from skyledger.llm.words import WordMemory, as_bytes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -27,8 +28,7 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 MIN_TOKENS = 40
-BLOCK_ROWS = 1024
-CACHE_WORDS = 300_000
+BLOCK_ROWS = 512
 
 #: For each language or script: least and most characters a token, largest share of byte tokens, least bits of entropy.
 BANDS: dict[str, tuple[float, float, float, float]] = {
@@ -53,22 +53,18 @@ def _pieces(path: str):
     return model, np.array([model.is_byte(i) for i in range(model.get_piece_size())])
 
 
-_cache: dict[str, dict[str, bytes]] = {}
+@lru_cache(maxsize=2)
+def _memory(path: str) -> WordMemory:
+    def encode(words: list[str]) -> list[bytes]:
+        parts = (words[at : at + 10_000] for at in range(0, len(words), 10_000))
+        return [x for part in parts for x in as_bytes(_pieces(path)[0].encode(part, num_threads=1))]
+
+    return WordMemory(encode)
 
 
-def token_ids(blocks: list[list[str]], path: str) -> list[np.ndarray]:
-    """Ids of each list of words, a word at a time; a worker remembers words up to a bound."""
-    model, _ = _pieces(path)
-    cache = _cache.setdefault(path, {})
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    new = list({w for words in blocks for w in words if w not in cache})
-    for at in range(0, len(new), 50_000):
-        for word, ids in zip(new[at : at + 50_000], model.encode(new[at : at + 50_000], num_threads=1)):
-            cache[word] = np.array(ids, "<u2" if model.get_piece_size() <= 1 << 16 else "<u4").tobytes()
-    kind = "<u2" if model.get_piece_size() <= 1 << 16 else "<u4"
-    get = cache.__getitem__
-    return [np.frombuffer(b"".join(map(get, words)), kind) for words in blocks]
+def token_ids(texts: Iterable[list[str]], path: str) -> list[np.ndarray]:
+    """Ids of each list of words, a word at a time."""
+    return [np.frombuffer(x, "<u4") for x in _memory(path)(texts)]
 
 
 def script(text: str) -> str:
