@@ -9,7 +9,7 @@
 3. Screen: pairs whose Jaccard index, estimated from equal registers and corrected for chance collisions, is below
    ``SCREEN`` fall out. The rest is verified on the full sets.
 4. Components of verified links; then, in each key that still holds several components, all pairs across components are
-   screened in blocks of bounded size and verified, so that no link depends on which document a run began with.
+   screened and verified in blocks of bounded size, so that no link depends on which document a run began with.
 
 Every step is a join, an aggregate or a sorted scan over tables in the shared folder; nothing of all documents goes to the
 driver. A pair of Jaccard 0.75 shares no band with a probability of 3e-7, and less above that.
@@ -247,48 +247,65 @@ def components(edges: DataFrame) -> DataFrame:
     return labels if labels is not None else edges.toDF("id", "label")
 
 
+def _common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many members a sorted set shares with each of the others."""
+    values = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, values), len(one) - 1)
+    ends = np.cumsum([len(x) for x in others])
+    return np.diff(np.concatenate([[0], np.cumsum(one[at] == values)[ends - 1]]))
+
+
 def across(open_rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different labels within a key whose estimate reaches SCREEN, of rows (key, members, id, label, n,
-    registers). A key's members are dealt to blocks, and each pair of blocks is a group of bounded size of its own."""
-    blocks = open_rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK_MEMBERS)).withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
+    """Links (a, b) of different labels within a key, of rows (key, size, id, label, registers, members).
+
+    A key's rows are dealt to blocks, and each pair of blocks is a group of bounded size of its own. Of the keys that a pair
+    shares, the one of the lowest band screens it and, if it passes, verifies it on the full sets, so only links come out.
+    """
+    blocks = open_rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK_MEMBERS)).withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
     dealt = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "n", "registers"
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "registers", "members"
     )
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own")
 
-    def group(rows: list[tuple]) -> list[tuple]:
-        own, number, label, n, held = zip(*rows)
-        own, number, label, n = map(np.array, (own, number, label, n))
+    def group(band: int, rows: list[tuple]) -> list[tuple]:
+        own, number, label, held, members = zip(*rows)
+        own, number, label = map(np.array, (own, number, label))
+        n = np.array([len(m) for m in members])
         table = np.frombuffer(b"".join(held), "<u2").reshape(-1, REGISTERS)
-        apart = own.min() != own.max()
+        several = own[0] != own[-1]  # pairs within one block belong to that block's own group
         found = []
         for x in range(len(rows)):
-            y = np.flatnonzero((label != label[x]) & (number > number[x] if not apart else own != own[x]))
-            y = y if not apart or own[x] == own.min() else y[:0]
+            y = np.flatnonzero((label != label[x]) & ((own > own[x]) if several else (np.arange(len(rows)) > x)))
+            if not len(y):
+                continue
+            y = y[estimate(table[y], table[x], n[y], n[x]) >= SCREEN]
+            if len(y):
+                equal = (table[y] == table[x]).reshape(len(y), BANDS, ROWS).all(axis=2)
+                y = y[equal.argmax(axis=1) == band]
             if len(y):
-                y = y[estimate(table[y], table[x], n[y], n[x]) >= SCREEN]
-                found += [(int(min(number[x], v)), int(max(number[x], v))) for v in number[y]]
+                shared = _common(members[x], [members[k] for k in y])
+                found += [(int(min(number[x], v)), int(max(number[x], v))) for v in number[y[100 * shared >= PERCENT * (n[x] + n[y] - shared)]]]
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         last = None
-        found: list[tuple] = []
         for batch in batches:
-            for key, i, j, *row in zip(*(batch.column(c).to_pylist() for c in range(8))):
+            found: list[tuple] = []
+            lists = batch.column(7)
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+            for k, (key, i, j, *row) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(7)))):
                 if (key, i, j) != last:
-                    if len(held) > 1 and (i != j or True):
-                        found += group(held)
+                    if len(held) > 1:
+                        found += group(last[0] & 63, held)
                     held, last = [], (key, i, j)
-                held.append(tuple(row))
-            found = list(dict.fromkeys(found))
+                held.append((*row, values[offsets[k] : offsets[k + 1]].copy()))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
-                found = []
-        if len(held) > 1 and (found := list(dict.fromkeys(group(held)))):
+        if len(held) > 1 and (found := group(last[0] & 63, held)):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -301,7 +318,12 @@ def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> D
     classed = stored(classed.select("id", "n", "rep", F.when(F.expr("n > 0 AND id = rep"), F.col("registers")).alias("registers")), "classes")
     reps = classed.where("registers IS NOT NULL").select("id", "n", "registers")
 
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("registers", b * (2 * ROWS) + 1, F.lit(2 * ROWS))))
+    def key(band):
+        """A hash of the band's registers whose low six bits are the band."""
+        hashed = F.xxhash64(band, F.substring("registers", band * (2 * ROWS) + 1, F.lit(2 * ROWS)))
+        return F.shiftleft(F.shiftright(hashed, 6), 6).bitwiseOR(band.cast("long"))
+
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), key)
     keyed = reps.select("id", F.explode(keys).alias("key")).select("key", "id")
     runs = stored(run_heads(keyed.repartitionByRange("key", "id").sortWithinPartitions("key", "id")), "runs")
     heads = runs.where("head").select("key", "id")
@@ -327,12 +349,11 @@ def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> D
 
     members = labelled(stars.select("key", "id").union(stars.select("key", F.col("first").alias("id"))).distinct(), "id", "label")
     members = stored(members.select("key", "id", "label"), "members")
-    mixed = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members")).where("low <> high AND members > 2")
-    mixed = stored(mixed.select("key", "members"), "mixed")
+    mixed = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high AND size > 2")
+    mixed = stored(mixed.select("key", "size"), "mixed")
     if not mixed.isEmpty():
-        found = across(members.join(mixed, "key").join(reps, "id").select("key", "members", "id", "label", "n", "registers"))
-        tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = stored(verified(found.join(tested, ["a", "b"], "left_anti"), sets), "links")
+        rows = members.join(mixed, "key").join(reps.select("id", "registers"), "id").join(sets, "id")
+        more = stored(across(rows.select("key", "size", "id", "label", "registers", "members")), "links")
         if not more.isEmpty():
             links = links.union(more)
             labels = components(links)
