@@ -44,7 +44,9 @@ _EMPTY = np.uint64(1 << 63)
 def _random() -> dict[str, np.ndarray]:
     draw = np.random.default_rng(7_340_033)
     odd = lambda n: draw.integers(0, 1 << 64, n, np.uint64) | np.uint64(1)
-    return {"byte": odd(256), "place": odd(4096), "far": odd(1 << 12), "word": odd(64), "probe": draw.integers(0, REGISTERS, (96, REGISTERS))}
+    far = odd(1 << 12)
+    far[0] = 1  # words of up to 4096 bytes hash alike, whatever long words lie beside them
+    return {"byte": odd(256), "place": odd(4096), "far": far, "word": odd(64), "probe": draw.integers(0, REGISTERS, (96, REGISTERS))}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -359,5 +361,5 @@ def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> D
             labels = components(links)
 
     out = classed.select("id", "n", "rep").join(stored(labels, "labels").toDF("rep", "label"), "rep", "left")
-    component = F.when(F.col("n") > 0, F.coalesce("label", "rep")).otherwise(F.col("id"))
+    component = F.when(F.col("id").isNull(), None).when(F.col("n") > 0, F.coalesce("label", "rep")).otherwise(F.col("id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("rep").alias("set_id"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
