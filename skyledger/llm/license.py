@@ -11,7 +11,9 @@ Null and empty texts have no unit. Repeated rows are scanned each. No shuffle.
 
 from __future__ import annotations
 
+import math
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +44,8 @@ def bigrams_of(text: str) -> list[str]:
 
 def bounds(size: int, threshold: float) -> tuple[int, int]:
     """Sizes of sets that can reach the threshold with a set of ``size``."""
-    return -int(-size * threshold // (2 - threshold)), int(size * (2 - threshold) / threshold)
+    share = Fraction(str(threshold))
+    return math.ceil(size * share / (2 - share)), math.floor(size * (2 - share) / share)
 
 
 def _words(unit: Column) -> Column:
