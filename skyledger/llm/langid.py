@@ -143,7 +143,7 @@ def train(df: DataFrame, text: str, lang: str, dimensions: int = DIMENSIONS) ->
 def predict(df: DataFrame, text: str, model: dict[str, np.ndarray], lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """Adds the language and the cosine (0 where negative); columns of these names that ``df`` has are replaced."""
     names = sorted(model)
-    table = np.array([model[x] for x in names], np.float32).reshape(len(names), -1)
+    table = np.array([model[x] for x in names], np.float32) if names else np.zeros((0, DIMENSIONS), np.float32)
     out = df.drop(lang_pred, score)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema] + [f"`{lang_pred}` string", f"`{score}` double"])
 
