@@ -10,7 +10,7 @@ from skyledger.llm import langid, neardup, packing, quality
 from skyledger.llm.common import stored, table
 
 #: Cosine with the best prototype below which a text counts as no language that the corpus teaches.
-MIN_COSINE = 0.3
+MIN_COSINE = 0.2
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

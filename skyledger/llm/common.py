@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -28,9 +29,21 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_skyledger"
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path under the shared folder; what is there when the program ends is removed."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _made:
+        with contextlib.suppress(Exception):  # the session may be gone
+            remove(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -151,14 +151,14 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", doc: str
 
 
 def classify(docs: DataFrame, model: Model, doc: str = "doc_id") -> DataFrame:
-    """doc_id, by_content, by_metadata, score and is_good (score of at least one half) of every row."""
+    """doc_id, by_content, by_metadata, score and kept (score of at least one half) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, BLOCK_ROWS):
             number, text, source, lang, n = (c.to_pylist() for c in batch.columns)
             if number:
                 made = model.score(np.array([content_features(t) for t in text]), np.array([meta_features(*m) for m in zip(source, lang, n)]))
-                yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), *map(pa.array, made), pa.array(made[2] >= 0.5)], names=["doc_id", "by_content", "by_metadata", "score", "is_good"])
+                yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), *map(pa.array, made), pa.array(made[2] >= 0.5)], names=["doc_id", "by_content", "by_metadata", "score", "kept"])
 
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), "text", "source", "lang", F.col("n_chars").cast("long"))
-    return rows.mapInArrow(run, "doc_id long, by_content double, by_metadata double, score double, is_good boolean")
+    return rows.mapInArrow(run, "doc_id long, by_content double, by_metadata double, score double, kept boolean")

@@ -32,10 +32,10 @@ BLOCK_ROWS = 512
 
 #: For each language or script: least and most characters a token, largest share of byte tokens, least bits of entropy.
 BANDS: dict[str, tuple[float, float, float, float]] = {
-    "en": (1.7, 8.0, 0.05, 4.0),
-    "de": (1.7, 8.0, 0.05, 4.0),
-    "fr": (1.6, 8.0, 0.05, 4.0),
-    "es": (1.6, 8.0, 0.05, 4.0),
+    "en": (1.3, 8.0, 0.05, 4.0),
+    "de": (1.3, 8.0, 0.05, 4.0),
+    "fr": (1.25, 8.0, 0.05, 4.0),
+    "es": (1.25, 8.0, 0.05, 4.0),
     "Latin": (1.2, 8.0, 0.25, 3.0),
     "Cyrillic": (1.0, 7.0, 0.25, 3.0),
     "Greek": (0.6, 6.0, 0.6, 3.0),
