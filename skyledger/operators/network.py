@@ -187,7 +187,7 @@ class Predictor:
 
     def activate(self, rows: np.ndarray) -> np.ndarray:
         """Outputs of a matrix of rows, a row each."""
-        step = max(1, min(512, MATRIX_VALUES // self.nodes))
+        step = max(1, min(256, MATRIX_VALUES // self.nodes))
         out = np.empty((len(rows), self.output_count), np.float32)
         with np.errstate(all="ignore"):
             for at in range(0, len(rows), step):

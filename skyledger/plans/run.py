@@ -1,6 +1,6 @@
 """A run: resolve a snapshot, score every row in range, publish predictions with their provenance.
 
-The plan is scan, score, write: one task for each partition of the archive and no shuffle in between.
+The plan is scan, score, write, without a shuffle in between: each partition of the archive stays whole in its task.
 """
 
 from __future__ import annotations
@@ -69,9 +69,9 @@ def register(spark: SparkSession) -> None:
 
 
 def observations(spark: SparkSession, archive: Archive, faults_as_rows: bool = False) -> DataFrame:
-    """The rows of a resolved snapshot, a task for each of its partitions."""
+    """The rows of a resolved snapshot; each of its partitions lies whole in a task."""
     register(spark)
-    options = {"path": archive.fingerprint_root, "dataset": archive.dataset_id, "from": archive.first, "to": archive.last, "faults": "rows" if faults_as_rows else None}
+    options = {"path": archive.fingerprint_root, "dataset": archive.dataset_id, "from": archive.first, "to": archive.last, "tasks": 2 * spark.sparkContext.defaultParallelism, "faults": "rows" if faults_as_rows else None}
     return spark.read.format("observations").options(**{k: str(v) for k, v in options.items() if v is not None}).load()
 
 

@@ -43,8 +43,9 @@ INDEX = (
 )
 
 SCHEMA = "year int, month int, prefix string, row long, symbol string, date date, exchange string, alias string, x array<float>, fault string"
-#: Values in a batch that is read, so that wide rows make short batches.
-BATCH_VALUES = 4_000_000
+#: Values in a batch that is read, so that wide rows make short batches; payload that small partitions share a task for.
+BATCH_VALUES = 2_000_000
+TASK_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -324,10 +325,9 @@ def open_archive(spark: SparkSession, root: str, dataset: str | None = None, fir
 
 @dataclass
 class Work(InputPartition):
-    """One partition of the archive, and what is wanted of it."""
+    """Neighbouring partitions of the archive, as (key, shards), and what is wanted of them."""
 
-    key: tuple
-    shards: list
+    parts: list
     semantics: Semantics
     first: MarketDate | None
     last: MarketDate | None
@@ -340,6 +340,7 @@ class ObservationReader(DataSourceReader):
         self.first = MarketDate.parse(options["from"]) if options.get("from") else None
         self.last = MarketDate.parse(options["to"]) if options.get("to") else None
         self.faults_as_rows = options.get("faults") == "rows"
+        self.least_tasks = int(options.get("tasks", "1"))
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         """Bounds on the date narrow what is read; Spark applies all filters again."""
@@ -359,40 +360,64 @@ class ObservationReader(DataSourceReader):
             raise twice[1]
         within = lambda y, m: (self.first is None or (y, m) >= self.first[:2]) and (self.last is None or (y, m) <= self.last[:2])
         bounds = semantics, self.first, self.last
-        found = [Work(key, held, *bounds) for key, held in by_partition(shards) if within(*key[:2])]
-        return found or [Work((0, 0, ""), [], *bounds)]
+        keyed = [(key, held) for key, held in by_partition(shards) if within(*key[:2])]
+        size = lambda held: sum(s.bytes for s in held)
+        # Small partitions share a task, so far as that leaves enough tasks; a large one has its own.
+        target = min(TASK_BYTES, sum(size(held) for _, held in keyed) // max(1, self.least_tasks))
+        groups: list[list] = []
+        filled = 0
+        for key, held in keyed:
+            if not groups or filled + size(held) > target:
+                groups.append([])
+                filled = 0
+            groups[-1].append((key, held))
+            filled += size(held)
+        return [Work(g, *bounds) for g in groups] or [Work([], *bounds)]
 
     def read(self, partition: Work) -> Iterator[pa.RecordBatch]:
-        year, month, prefix = partition.key
-        names = [x.split()[0] for x in SCHEMA.split(", ")]
         width = partition.semantics.input_count
-        try:
-            listings = (row for s in partition.shards for row in read_index(self.root, s, partition.semantics))
-            rows, _ = resolve(listings, partition.first, partition.last)
-            values = gather(self.root, rows, width)
-        except ArchiveError as e:
-            if not self.faults_as_rows:
-                raise
-            fault = json.dumps([e.kind, e.path, e.detail])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([year], pa.int32()), pa.array([month], pa.int32()), pa.array([prefix]), pa.array([None], pa.int64()), *[pa.array([None], pa.string())], pa.array([None], pa.date32()), pa.array([None], pa.string()), pa.array([None], pa.string()), pa.array([None], pa.list_(pa.float32())), pa.array([fault])],
-                names=names,
-            )
-            return
         step = max(1, BATCH_VALUES // width)
-        for at in range(0, len(rows), step):
-            part = rows[at : at + step]
-            n = len(part)
-            x = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(values[at : at + n].reshape(-1)))
-            days = pa.array([r.date.epoch_days() for r in part], pa.int32()).cast(pa.date32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([year] * n, pa.int32()), pa.array([month] * n, pa.int32()), pa.array([prefix] * n), pa.array(range(at, at + n), pa.int64()), pa.array([r.symbol for r in part]), days, pa.array([r.exchange for r in part], pa.string()), pa.array([r.alias for r in part], pa.string()), x, pa.array([None] * n, pa.string())],
-                names=names,
+        held: list[tuple] = []
+        values: list[np.ndarray] = []
+
+        def made() -> pa.RecordBatch:
+            """A batch of what is held: (year, month, prefix, ordinal, row, fault), a row of observations for each without fault."""
+            year, month, prefix, ordinal, rows, faults = zip(*held)
+            there = np.array([f is None for f in faults])
+            offsets = np.concatenate([[0], np.cumsum(there)]).astype(np.int32) * width
+            flat = np.concatenate(values).reshape(-1) if values else np.zeros(0, np.float32)
+            x = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat), mask=pa.array(~there))
+            of = lambda f, kind: pa.array([None if r is None else f(r) for r in rows], kind)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(year, pa.int32()), pa.array(month, pa.int32()), pa.array(prefix, pa.string()), pa.array(ordinal, pa.int64()), of(lambda r: r.symbol, pa.string()), of(lambda r: r.date.epoch_days(), pa.int32()).cast(pa.date32()),
+                 of(lambda r: r.exchange, pa.string()), of(lambda r: r.alias, pa.string()), x, pa.array(faults, pa.string())],
+                names=[n.split()[0] for n in SCHEMA.split(", ")],
             )
 
+        for key, shards in partition.parts:
+            try:
+                listings = (row for s in shards for row in read_index(self.root, s, partition.semantics))
+                rows, _ = resolve(listings, partition.first, partition.last)
+                found = gather(self.root, rows, width)
+            except ArchiveError as e:
+                if not self.faults_as_rows:
+                    raise
+                held.append((*key, None, None, json.dumps([e.kind, e.path, e.detail])))
+                continue
+            for at in range(0, len(rows), step):
+                part = rows[at : at + step]
+                held += [(*key, at + i, r, None) for i, r in enumerate(part)]
+                values.append(found[at : at + step])
+                if len(held) >= step:
+                    yield made()
+                    held, values = [], []
+        if held:
+            yield made()
+
 
 class ObservationSource(DataSource):
-    """Format ``observations``; options: path, dataset, from, to, and faults=rows to get faults as rows."""
+    """Format ``observations``; options: path, dataset, from, to, tasks (how many to aim for at
+    least), and faults=rows to get faults as rows."""
 
     @classmethod
     def name(cls) -> str:
