@@ -11,15 +11,15 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 from skyledger.functions import columns as C
-from skyledger.functions.values import MarketDate, sha256_hex
+from skyledger.functions.values import MarketDate
 from skyledger.operators import compare, resolve
 from skyledger.operators.network import Creature, Predictor, activation_columns, score
+from skyledger.sources.publish import write_archive
 
 #: A model of 3 inputs, a hidden neuron and an output.
 MODEL = {
@@ -388,36 +388,6 @@ def _shared(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/archive-{uuid.uuid4().hex}"
 
 
-def write_archive(rows: DataFrame, root: str, dataset: str, previous: str | None, width: int, extension: int, fingerprint: str) -> None:
-    """Publishes rows (symbol, date, exchange, x) as a dataset: a shard for each partition, written by tasks, and then the
-    manifest and the pointer. The partitions' rows meet in one task each, as a shard is one file."""
-    from skyledger.sources.archive import BYTE_ORDER, DATASET_MANIFEST_SCHEMA, SHARD_INDEX_SCHEMA
-    from skyledger.sources.files import file_system, pretty, write_bytes
-
-    written = {"byteOrder": BYTE_ORDER, "observationExtension": extension, "inputCount": width, "featureFingerprint": fingerprint}
-
-    def shard(key, pdf):
-        year, month, prefix = (int(key[0]), int(key[1]), key[2])
-        pdf = pdf.sort_values(["symbol", "date"])
-        payload = np.array(pdf.x.tolist(), "<f4").tobytes()
-        folder = f"{year:04}/{month:02}/{prefix}"
-        fs, at = file_system(f"{root}/{folder}")
-        fs.create_dir(at, recursive=True)
-        place = {"prefix": prefix, "year": year, "month": month}
-        listed = [{"symbol": s, "date": t, **({"exchange": e} if e else {}), "row": i} for i, (s, t, e) in enumerate(zip(pdf.symbol, pdf.date, pdf.exchange))]
-        index = {"schema": SHARD_INDEX_SCHEMA, **written, **place, "shardFile": f"{dataset}.bin", "shardBytes": len(payload), "shardSha256": sha256_hex(payload), "rowCount": len(listed), "rows": listed}
-        write_bytes(f"{root}/{folder}/{dataset}.bin", payload)
-        write_bytes(f"{root}/{folder}/{dataset}.index.json", pretty(index))
-        return type(pdf)({"entry": [json.dumps({"path": f"{folder}/{dataset}.bin", "sha256": sha256_hex(payload), "bytes": len(payload), "rowCount": len(listed), **place})]})
-
-    keyed = resolve.partition_columns(rows).withColumn("date", C.format_date(F.col("date")))
-    entries = [json.loads(r.entry) for r in keyed.groupBy("year", "month", "prefix").applyInPandas(shard, "entry string").collect()]
-    fs, at = file_system(f"{root}/datasets")
-    fs.create_dir(at, recursive=True)
-    write_bytes(f"{root}/datasets/{dataset}.json", pretty({"schema": DATASET_MANIFEST_SCHEMA, "datasetId": dataset, **written, "shards": sorted(entries, key=lambda e: e["path"]), "previousDatasetId": previous}))
-    write_bytes(f"{root}/latest.json", pretty({"datasetId": dataset}))
-
-
 def _published(spark: SparkSession, d: str) -> str:
     """An archive of all embeddings in two publications; the second restates every fifth row with its values doubled."""
     root = f"{_shared(spark)}/116/f00d"

@@ -13,6 +13,7 @@ raises the fault that comes first in chain order.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 from skyledger.functions.values import DateError, MarketDate, is_canonical_symbol, is_safe_relative_path, is_valid_dataset_id, number_text, prefix_for_symbol, sha256_hex
-from skyledger.sources.files import ArchiveError, Field, read_bytes, read_json
+from skyledger.sources.files import ArchiveError, Field, file_system, read_bytes, read_json
 
 #: Fixed values of the archive format.
 SHARD_INDEX_SCHEMA = "grq.observations.shard/1"
@@ -46,6 +47,8 @@ SCHEMA = "year int, month int, prefix string, row long, symbol string, date date
 #: Values in a batch that is read, so that wide rows make short batches; payload that small partitions share a task for.
 BATCH_VALUES = 2_000_000
 TASK_BYTES = 64 << 20
+#: Payload of one partition that a task holds at a time; larger partitions are read by ranges.
+HELD_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -250,6 +253,14 @@ def read_payload(root: str, shard: Shard, width: int) -> np.ndarray:
     return np.frombuffer(data, "<f4").reshape(-1, width)
 
 
+def _refuse_non_finite(root: str, rows: list[Row], values: np.ndarray) -> None:
+    bad = ~np.isfinite(values)
+    if bad.any():
+        i, column = (int(x[0]) for x in np.nonzero(bad))
+        r = rows[i]
+        raise ArchiveError("corrupt", f"{root}/{r.shard.path}", f"{r.symbol}@{r.date} input[{column}] is {number_text(float(values[i, column]))}; observations are always finite")
+
+
 def gather(root: str, rows: list[Row], width: int) -> np.ndarray:
     """The observations of the rows, in order; each shard is read once."""
     out = np.empty((len(rows), width), np.float32)
@@ -259,14 +270,52 @@ def gather(root: str, rows: list[Row], width: int) -> np.ndarray:
     # All payloads are checked before any row is, in the order in which rows first need them.
     for at in places.values():
         out[at] = read_payload(root, rows[at[0]].shard, width)[[rows[i].row for i in at]]
-    bad = ~np.isfinite(out)
-    if bad.any():
-        i, column = (int(x[0]) for x in np.nonzero(bad))
-        r = rows[i]
-        raise ArchiveError("corrupt", f"{root}/{r.shard.path}", f"{r.symbol}@{r.date} input[{column}] is {number_text(float(out[i, column]))}; observations are always finite")
+    _refuse_non_finite(root, rows, out)
     return out
 
 
+def check_payload(root: str, shard: Shard) -> None:
+    """Size and hash of a shard, in bounded memory."""
+    path, found, size = f"{root}/{shard.path}", hashlib.sha256(), 0
+    try:
+        with file_system(path)[0].open_input_stream(file_system(path)[1], compression=None) as source:
+            while part := source.read(8 << 20):
+                found.update(part)
+                size += len(part)
+    except OSError as e:
+        raise ArchiveError("io", path, str(e)) from None
+    if size != shard.bytes:
+        raise ArchiveError("corrupt", path, f"is {size} bytes; its index declares {shard.bytes}")
+    if found.hexdigest() != shard.sha256:
+        raise ArchiveError("hash", path, f"hashes to {found.hexdigest()}; its index declares {shard.sha256}")
+
+
+def gather_parts(root: str, rows: list[Row], width: int, step: int) -> Iterator[np.ndarray]:
+    """The observations of the rows, ``step`` rows at a time. Partitions whose payload would not fit in memory are checked
+    first, shard by shard, and then read by ranges."""
+    needed = {r.shard.order: r.shard for r in rows}
+    if sum(s.bytes for s in needed.values()) <= HELD_BYTES:
+        values = gather(root, rows, width)
+        yield from (values[at : at + step] for at in range(0, len(rows), step))
+        return
+    for shard in needed.values():
+        check_payload(root, shard)
+    row_bytes = width * BYTES_PER_VALUE
+    for at in range(0, len(rows), step):
+        part = rows[at : at + step]
+        out = np.empty((len(part), width), np.float32)
+        places: dict[int, list[int]] = defaultdict(list)
+        for i, r in enumerate(part):
+            places[r.shard.order].append(i)
+        for order, held in places.items():
+            fs, path = file_system(f"{root}/{needed[order].path}")
+            with fs.open_input_file(path) as source:
+                for i in held:
+                    out[i] = np.frombuffer(source.read_at(row_bytes, part[i].row * row_bytes), "<f4")
+        _refuse_non_finite(root, part, out)
+        yield out
+
+
 def by_partition(shards: list[Shard]) -> list[tuple[tuple[int, int, str], list[Shard]]]:
     found: dict[tuple[int, int, str], list[Shard]] = defaultdict(list)
     for s in shards:
@@ -398,19 +447,18 @@ class ObservationReader(DataSourceReader):
             try:
                 listings = (row for s in shards for row in read_index(self.root, s, partition.semantics))
                 rows, _ = resolve(listings, partition.first, partition.last)
-                found = gather(self.root, rows, width)
+                at = 0
+                for found in gather_parts(self.root, rows, width, step):
+                    held += [(*key, at + i, rows[at + i], None) for i in range(len(found))]
+                    values.append(found)
+                    at += len(found)
+                    if len(held) >= step:
+                        yield made()
+                        held, values = [], []
             except ArchiveError as e:
                 if not self.faults_as_rows:
                     raise
                 held.append((*key, None, None, json.dumps([e.kind, e.path, e.detail])))
-                continue
-            for at in range(0, len(rows), step):
-                part = rows[at : at + step]
-                held += [(*key, at + i, r, None) for i, r in enumerate(part)]
-                values.append(found[at : at + step])
-                if len(held) >= step:
-                    yield made()
-                    held, values = [], []
         if held:
             yield made()
 

@@ -6,6 +6,7 @@ import pytest
 
 from skyledger.functions.values import MarketDate
 from skyledger.plans.run import observations
+from skyledger.sources import archive
 from skyledger.sources.archive import open_archive
 from skyledger.sources.files import ArchiveError
 from tests.archives import EXTENSION, FINGERPRINT, Builder
@@ -159,6 +160,22 @@ def test_the_root_must_name_the_semantics(spark, tmp_path):
     assert e.value.kind == "io"
 
 
+def test_large_partitions_are_read_by_ranges(spark, tmp_path, monkeypatch):
+    b = Builder(tmp_path, 3)
+    b.publish("ds1", [(f"A{i}", "2021-05-03", [i, 0, 1]) for i in range(40)])
+    b.publish("ds2", [(f"A{i}", "2021-05-03", [i, 5, 1]) for i in range(0, 40, 3)])
+    _, chain, semantics = archive.snapshot(str(b.root), None)
+    rows, _ = archive.resolve((r for s in archive.chain_shards(chain) for r in archive.read_index(str(b.root), s, semantics)), None, None)
+    whole = np.concatenate(list(archive.gather_parts(str(b.root), rows, 3, 7)))
+    monkeypatch.setattr(archive, "HELD_BYTES", 10)
+    assert np.array_equal(np.concatenate(list(archive.gather_parts(str(b.root), rows, 3, 7))), whole)
+    for kind, damage in (("hash", b"\0" * 480), ("corrupt", b"\0")):
+        b.files("000000.bin")[0].write_bytes(damage)
+        with pytest.raises(ArchiveError) as e:
+            list(archive.gather_parts(str(b.root), rows, 3, 7))
+        assert e.value.kind == kind
+
+
 def test_random_chains_match_a_plain_resolver(spark, tmp_path):
     draw = random.Random(5)
     b = Builder(tmp_path, 2)
