@@ -5,9 +5,10 @@ from __future__ import annotations
 import itertools
 from array import array
 from collections.abc import Callable, Iterable
+from typing import ClassVar
 
 #: Words remembered in each Python worker; beyond this the memory starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 #: New words encoded at a time.
 BLOCK_WORDS = 100_000
 
@@ -23,13 +24,20 @@ class _Numbers(dict):
 class WordMemory:
     """Encodes lists of words; each distinct word goes to ``encode`` once, as long as it is remembered.
 
-    A text is held as the numbers of its words, so that its many strings need not live together.
+    A text is held as the numbers of its words, so that its many strings need not live together. Only the memory that was
+    used last keeps its words: a worker that goes on to another tokeniser does not hold both.
     """
 
+    _last: ClassVar[WordMemory | None] = None
+
     def __init__(self, encode: Callable[[list[str]], list[bytes]]):
         self.encode, self.number, self.coded = encode, _Numbers(), []
 
     def __call__(self, texts: Iterable[list[str]]) -> list[bytes]:
+        if WordMemory._last is not self:
+            if WordMemory._last is not None:
+                WordMemory._last.number, WordMemory._last.coded = _Numbers(), []
+            WordMemory._last = self
         get, held = self.number.__getitem__, []
         for words in texts:
             held.append(array("I", map(get, words)))
