@@ -4,14 +4,23 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(maxsize=1)
+def _temporary() -> str:
+    made = tempfile.mkdtemp(prefix="skyledger-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    return f"file://{made}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which driver and executors share.
 
@@ -22,10 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     if found:
         return found.rstrip("/")
     if spark.sparkContext.master.split("[")[0] == "local":
-        made = "file://" + tempfile.mkdtemp(prefix="skyledger-")
-        spark.conf.set("spark.checkpoint.dir", made)
-        atexit.register(__import__("shutil").rmtree, made[7:], ignore_errors=True)
-        return made
+        return _temporary()
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_skyledger"
 
 
