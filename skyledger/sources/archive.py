@@ -358,7 +358,7 @@ def open_archive(spark: SparkSession, root: str, dataset: str | None = None, fir
     partitions, replaced = [], 0
     faults = [] if twice is None else [(twice[0], twice[1])]
     if groups:
-        work = spark.createDataFrame([(g,) for g in groups], "g string").repartition(min(len(groups), 4 * spark.sparkContext.defaultParallelism))
+        work = spark.createDataFrame([(g,) for g in groups], "g string")  # in as many tasks as there are cores
         for r in work.mapInArrow(check, "year int, month int, prefix string, n long, replaced long, fault string").collect():  # a row for each partition
             replaced += r.replaced
             if r.fault is not None:
