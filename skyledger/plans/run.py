@@ -1,6 +1,6 @@
 """A run: resolve a snapshot, score every row in range, publish predictions with their provenance.
 
-The plan is scan, score, write, without a shuffle in between: each partition of the archive stays whole in its task.
+The plan is a scan that scores, and a write, without a shuffle in between: each partition of the archive stays whole in its task.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.functions.values import MAX_DATASET_ID_BYTES, MarketDate, is_valid_dataset_id, utc_now
-from skyledger.operators.network import ENGINE, ENGINE_SOURCE, ENGINE_VERSION, EngineError, Predictor, load_creature, score
+from skyledger.operators.network import ENGINE, ENGINE_SOURCE, ENGINE_VERSION, Creature, EngineError, Predictor, load_creature
 from skyledger.sources.archive import Archive, ObservationSource, open_archive
 from skyledger.sources.files import ArchiveError, read_bytes
 from skyledger.sources.predictions import RESEARCH_MODE, RUN_MANIFEST_SCHEMA, OutputError, PredictionIdentity, PredictionSource, StagedRun, identity_options, inspect_output
@@ -68,15 +68,20 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def observations(spark: SparkSession, archive: Archive, faults_as_rows: bool = False) -> DataFrame:
-    """The rows of a resolved snapshot; each of its partitions lies whole in a task."""
+def observations(spark: SparkSession, archive: Archive, faults_as_rows: bool = False, creature: Creature | None = None) -> DataFrame:
+    """The rows of a resolved snapshot; each of its partitions lies whole in a task. With a model they come out scored."""
     register(spark)
-    options = {"path": archive.fingerprint_root, "dataset": archive.dataset_id, "from": archive.first, "to": archive.last, "tasks": 2 * spark.sparkContext.defaultParallelism, "faults": "rows" if faults_as_rows else None}
+    options = {
+        "path": archive.fingerprint_root, "dataset": archive.dataset_id, "from": archive.first, "to": archive.last, "tasks": 2 * spark.sparkContext.defaultParallelism,
+        "faults": "rows" if faults_as_rows else None, "model": creature and creature.path, "model_sha256": creature and creature.sha256,
+    }
     return spark.read.format("observations").options(**{k: str(v) for k, v in options.items() if v is not None}).load()
 
 
-def scored(spark: SparkSession, archive: Archive, predictor: Predictor) -> DataFrame:
-    return score(observations(spark, archive, faults_as_rows=True).select("year", "month", "prefix", "symbol", "date", "exchange", "x", "fault"), predictor)
+def scored(spark: SparkSession, archive: Archive, creature: Creature) -> DataFrame:
+    """Scan with the model pushed into it: wide rows are scored where they are decoded, and only outputs reach the JVM.
+    ``operators.network.score`` gives the same values for rows of any other source."""
+    return observations(spark, archive, True, creature).select("year", "month", "prefix", "symbol", "date", "exchange", "y", "fault")
 
 
 def run(spark: SparkSession, request: PredictRequest, progress: Callable[[str], None] = lambda line: None) -> RunSummary:
@@ -109,7 +114,7 @@ def run(spark: SparkSession, request: PredictRequest, progress: Callable[[str],
     }
     staged = StagedRun.begin(request.output, identity)
     try:
-        scored(spark, archive, predictor).write.format("predictions").mode("append").options(**identity_options(staged, manifest)).save()
+        scored(spark, archive, creature).write.format("predictions").mode("append").options(**identity_options(staged, manifest)).save()
     except Exception:
         try:
             found = json.loads(read_bytes(f"{staged.staging}/_faults.json"))["faults"]

@@ -18,6 +18,7 @@ import json
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 from skyledger.functions.values import DateError, MarketDate, is_canonical_symbol, is_safe_relative_path, is_valid_dataset_id, number_text, prefix_for_symbol, sha256_hex
+from skyledger.operators.network import EngineError, Predictor, load_creature
 from skyledger.sources.files import ArchiveError, Field, file_system, read_bytes, read_json
 
 #: Fixed values of the archive format.
@@ -43,6 +45,7 @@ INDEX = (
     Field("rows", list, of=(Field("symbol", str), Field("date", str), Field("exchange", str, optional=True), Field("alias", str, optional=True), Field("row", int))),
 )
 
+#: Without a model; with one, ``y`` takes the place of ``x``.
 SCHEMA = "year int, month int, prefix string, row long, symbol string, date date, exchange string, alias string, x array<float>, fault string"
 #: Values in a batch that is read, so that wide rows make short batches; payload that small partitions share a task for.
 BATCH_VALUES = 2_000_000
@@ -372,6 +375,18 @@ def open_archive(spark: SparkSession, root: str, dataset: str | None = None, fir
     return Archive(root, head, [m["datasetId"] for _, m in chain], semantics, shards, partitions, replaced, first, last)
 
 
+def _schema(model: str | None) -> str:
+    return SCHEMA.replace("x array", "y array") if model else SCHEMA
+
+
+@lru_cache(maxsize=1)
+def _predictor(path: str, sha256: str | None, width: int) -> Predictor:
+    creature = load_creature(path)
+    if sha256 is not None and creature.sha256 != sha256:
+        raise EngineError("creature", f"creature {path} refused: it changed during the run")
+    return Predictor(creature, width)
+
+
 @dataclass
 class Work(InputPartition):
     """Neighbouring partitions of the archive, as (key, shards), and what is wanted of them."""
@@ -390,6 +405,7 @@ class ObservationReader(DataSourceReader):
         self.last = MarketDate.parse(options["to"]) if options.get("to") else None
         self.faults_as_rows = options.get("faults") == "rows"
         self.least_tasks = int(options.get("tasks", "1"))
+        self.model, self.model_sha256 = options.get("model"), options.get("model_sha256")
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         """Bounds on the date narrow what is read; Spark applies all filters again."""
@@ -424,7 +440,11 @@ class ObservationReader(DataSourceReader):
         return [Work(g, *bounds) for g in groups] or [Work([], *bounds)]
 
     def read(self, partition: Work) -> Iterator[pa.RecordBatch]:
-        width = partition.semantics.input_count
+        width = out_width = partition.semantics.input_count
+        predictor = None
+        if self.model:
+            predictor = _predictor(self.model, self.model_sha256, width)
+            out_width = predictor.output_count
         step = max(1, BATCH_VALUES // width)
         held: list[tuple] = []
         values: list[np.ndarray] = []
@@ -433,14 +453,15 @@ class ObservationReader(DataSourceReader):
             """A batch of what is held: (year, month, prefix, ordinal, row, fault), a row of observations for each without fault."""
             year, month, prefix, ordinal, rows, faults = zip(*held)
             there = np.array([f is None for f in faults])
-            offsets = np.concatenate([[0], np.cumsum(there)]).astype(np.int32) * width
-            flat = np.concatenate(values).reshape(-1) if values else np.zeros(0, np.float32)
+            offsets = np.concatenate([[0], np.cumsum(there)]).astype(np.int32) * out_width
+            found = np.concatenate(values) if values else np.zeros((0, width), np.float32)
+            flat = (predictor.activate(found) if predictor else found).reshape(-1)
             x = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat), mask=pa.array(~there))
             of = lambda f, kind: pa.array([None if r is None else f(r) for r in rows], kind)
             return pa.RecordBatch.from_arrays(
                 [pa.array(year, pa.int32()), pa.array(month, pa.int32()), pa.array(prefix, pa.string()), pa.array(ordinal, pa.int64()), of(lambda r: r.symbol, pa.string()), of(lambda r: r.date.epoch_days(), pa.int32()).cast(pa.date32()),
                  of(lambda r: r.exchange, pa.string()), of(lambda r: r.alias, pa.string()), x, pa.array(faults, pa.string())],
-                names=[n.split()[0] for n in SCHEMA.split(", ")],
+                names=[n.split()[0] for n in _schema(self.model).split(", ")],
             )
 
         for key, shards in partition.parts:
@@ -464,7 +485,7 @@ class ObservationReader(DataSourceReader):
 
 
 class ObservationSource(DataSource):
-    """Format ``observations``; options: path, dataset, from, to, tasks (how many to aim for at
+    """Format ``observations``; options: model (rows come out scored, so their observations never leave the task), path, dataset, from, to, tasks (how many to aim for at
     least), and faults=rows to get faults as rows."""
 
     @classmethod
@@ -472,7 +493,7 @@ class ObservationSource(DataSource):
         return "observations"
 
     def schema(self) -> str:
-        return SCHEMA
+        return _schema(dict(self.options).get("model"))
 
     def reader(self, schema) -> ObservationReader:
         return ObservationReader(dict(self.options))

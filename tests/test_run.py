@@ -7,7 +7,7 @@ import pytest
 from skyledger.__main__ import main
 from skyledger.operators.compare import missing_rows, prediction_diff
 from skyledger.operators.network import EngineError
-from skyledger.plans.run import PredictRequest, register, run, scored
+from skyledger.plans.run import PredictRequest, observations, register, run, scored
 from skyledger.sources.files import ArchiveError
 from skyledger.sources.predictions import OutputError, PredictionIdentity, StagedRun, inspect_output
 from tests.archives import CREATURE, Builder, creature_file
@@ -132,11 +132,15 @@ def test_key_and_index_form(tmp_path):
 
 
 def test_the_plan_has_no_shuffle(spark, tmp_path):
-    from skyledger.operators.network import Predictor, load_creature
+    from skyledger.operators.network import Predictor, load_creature, score
     from skyledger.sources.archive import open_archive
 
     b, r = request(tmp_path)
-    plan = scored(spark, open_archive(spark, r.archive), Predictor(load_creature(r.creature), 3))
+    archive, creature = open_archive(spark, r.archive), load_creature(r.creature)
+    plan = scored(spark, archive, creature)
+    apart = score(observations(spark, archive), Predictor(creature, 3))
+    assert sorted((x.symbol, x.y) for x in plan.collect()) == sorted((x.symbol, x.y) for x in apart.collect())
+    assert "Exchange" not in apart._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString() and plan.rdd.getNumPartitions() == 2
 
 
