@@ -13,21 +13,31 @@ from skyledger.llm.common import stored, table
 MIN_COSINE = 0.2
 
 
+def _renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under column names that no operator adds, and those names by the old ones."""
+    names = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what passes the base rules and the band of its language."""
-    return quality.rules(docs, "text", "lang", public_tokenizers.path("piece_bpe_32k.model")).where("kept").select(docs.columns)
+    rows, names = _renamed(docs)
+    judged = quality.rules(rows, names["text"], names["lang"], public_tokenizers.path("piece_bpe_32k.model"))
+    return judged.where("kept").select(*names.values()).toDF(*names)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps texts in a language that the stage's own input teaches; texts without letters or like none of them go."""
+    rows, names = _renamed(docs)
     model = langid.train(docs.where(~langid.held_out("doc_id")), "text", "lang")
-    return langid.predict(docs, "text", model, "_lang_pred", "_score").where((F.col("_lang_pred") != langid.UND) & (F.col("_score") >= MIN_COSINE)).select(docs.columns)
+    judged = langid.predict(rows, names["text"], model)
+    return judged.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= MIN_COSINE)).select(*names.values()).toDF(*names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near-duplicates; rows that repeat its id are that document."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi").select(docs.columns)
+    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_doc_id"))
+    return docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("_kept_doc_id")), "left_semi").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,7 +132,8 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", doc: str
     pool = ids.orderBy(*order("id")).limit(MAX_POOL).select("id", F.lit(None).cast("double").alias("label"))
     # At most MAX_LABELLED + MAX_POOL rows of two numbers.
     chosen = known.unionByName(pool).groupBy("id").agg(F.max("label").alias("label"))
-    sample = docs.withColumn("id", F.col(doc).cast("long")).join(F.broadcast(chosen), "id")
+    rows = docs.select(F.col(doc).cast("long").alias("id"), "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))
+    sample = rows.join(F.broadcast(chosen), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, BLOCK_ROWS):

@@ -71,7 +71,7 @@ def test_views_teach_each_other():
 
 def test_classifier_odd_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string"
-    docs = spark.createDataFrame([(1, None, None, None, None, "x"), (2, "", "en", "s", 0, "x"), (2, "a", "en", "s", 1, "x"), (None, "b" * 100_000, "de", "s", -5, "x")], schema)
+    docs = spark.createDataFrame([(1, None, None, None, None, "x"), (2, "", "en", "s", 0, "x"), (2, "a", "en", "s", 1, "x"), (None, "b" * 100_000, "de", "s", -5, "x")], schema).withColumns({c: F.lit("x") for c in ("id", "label")})
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in cotrain.classify(docs, cotrain.train(docs, none)).collect()} == {0.5}
     one = spark.createDataFrame([(1, 1), (1, 1), (2, None), (None, 0)], "doc_id long, quality int")

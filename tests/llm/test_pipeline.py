@@ -37,10 +37,12 @@ def test_run_matches_plain_stages(spark):
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     extra = spark.createDataFrame([(10_000, None, None, None, None), (10_001, "", "en", "s", 0), (None, None, None, None, None)], docs.schema)
-    held = docs.limit(60).union(extra).union(docs.limit(3))
+    held = docs.limit(60).union(extra).union(docs.limit(3)).withColumns({c: F.lit(7) for c in ("kept", "score", "n_words", "lang_pred", "id", "label", "component_id")})
+    columns = held.columns
     for _, stage in corpus_pipeline.STAGES[:-1]:
         held = stage(spark, held, SF)
-        assert held.columns == docs.columns
+        assert held.columns == columns
+    assert held.where("kept = 7 AND score = 7 AND n_words = 7").count() == held.count()
     ids = [r.doc_id for r in held.select("doc_id").collect()]
     assert 10_000 not in ids and None not in ids and ids
     empty = docs.limit(0)
