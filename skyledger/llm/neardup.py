@@ -34,7 +34,7 @@ SHINGLE, PERCENT = 5, 75
 BANDS, ROWS, MANTISSA, VALUE_BITS = 40, 4, 10, 40
 REGISTERS = BANDS * ROWS
 SCREEN = 0.6
-BLOCK_BYTES = 3_000_000
+BLOCK_BYTES = 1_000_000
 #: Members of one key that are compared with each other at a time.
 BLOCK_MEMBERS = 1024
 _EMPTY = np.uint64(1 << 63)
