@@ -7,16 +7,17 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import asdict, dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.functions.values import MAX_DATASET_ID_BYTES, MarketDate, is_valid_dataset_id, utc_now
 from skyledger.operators.network import ENGINE, ENGINE_SOURCE, ENGINE_VERSION, Creature, EngineError, Predictor, load_creature
 from skyledger.sources.archive import Archive, ObservationSource, open_archive
-from skyledger.sources.files import ArchiveError, read_bytes
-from skyledger.sources.predictions import RESEARCH_MODE, RUN_MANIFEST_SCHEMA, OutputError, PredictionIdentity, PredictionSource, StagedRun, identity_options, inspect_output
+from skyledger.sources.files import ArchiveError
+from skyledger.sources.predictions import RESEARCH_MODE, RUN_MANIFEST_SCHEMA, OutputError, Part, PredictionIdentity, PredictionSource, PredictionWriter, StagedRun, identity_options, inspect_output
 
 TOOL, TOOL_VERSION = "skyledger", "0.1.0"
 #: Exit codes.
@@ -84,6 +85,19 @@ def scored(spark: SparkSession, archive: Archive, creature: Creature) -> DataFra
     return observations(spark, archive, True, creature).select("year", "month", "prefix", "symbol", "date", "exchange", "y", "fault")
 
 
+def publish(rows: DataFrame, staged: StagedRun, manifest: dict) -> None:
+    """Writes scored rows where they are and publishes them: tasks write their partitions and answer with a record of each,
+    the driver commits the answers. (``format("predictions")`` does the same through the data source API, at the price of a
+    few more Python processes on the driver.)"""
+    writer = PredictionWriter(identity_options(staged, manifest))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = writer.write(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([json.dumps(asdict(part))])], names=["part"])
+
+    writer.commit([Part(**json.loads(r.part)) for r in rows.mapInArrow(write, "part string").collect()])  # a row a task
+
+
 def run(spark: SparkSession, request: PredictRequest, progress: Callable[[str], None] = lambda line: None) -> RunSummary:
     """Runs the request. Errors come in this order: request, model file, archive, fit of both, output, partitions."""
     request.validate()
@@ -114,15 +128,11 @@ def run(spark: SparkSession, request: PredictRequest, progress: Callable[[str],
     }
     staged = StagedRun.begin(request.output, identity)
     try:
-        scored(spark, archive, creature).write.format("predictions").mode("append").options(**identity_options(staged, manifest)).save()
+        publish(scored(spark, archive, creature), staged, manifest)
+    except OutputError:
+        raise  # what a failed publication leaves is kept for inspection
     except Exception:
-        try:
-            found = json.loads(read_bytes(f"{staged.staging}/_faults.json"))["faults"]
-        except (OSError, ValueError):
-            found = None
         staged.abandon()
-        if found:
-            raise ArchiveError(*found[0][1]) from None
         raise
     manifest = inspect_output(request.output)
     for r in manifest["refused"]:

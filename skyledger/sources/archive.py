@@ -428,11 +428,11 @@ class ObservationReader(DataSourceReader):
         keyed = [(key, held) for key, held in by_partition(shards) if within(*key[:2])]
         size = lambda held: sum(s.bytes for s in held)
         # Small partitions share a task, so far as that leaves enough tasks; a large one has its own.
-        target = min(TASK_BYTES, sum(size(held) for _, held in keyed) // max(1, self.least_tasks))
+        target = min(TASK_BYTES, -(-sum(size(held) for _, held in keyed) // max(1, self.least_tasks)))
         groups: list[list] = []
-        filled = 0
+        filled = target
         for key, held in keyed:
-            if not groups or filled + size(held) > target:
+            if filled >= target:
                 groups.append([])
                 filled = 0
             groups[-1].append((key, held))
