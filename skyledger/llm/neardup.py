@@ -36,7 +36,7 @@ REGISTERS = BANDS * ROWS
 SCREEN = 0.6
 BLOCK_BYTES = 1_000_000
 #: Members of one key that are compared with each other at a time.
-BLOCK_MEMBERS = 1024
+BLOCK_MEMBERS = 512
 _EMPTY = np.uint64(1 << 63)
 
 
