@@ -6,8 +6,9 @@
 2. Bands: BANDS groups of ROWS registers are hashed to keys. The keys are sorted over all tasks by range, so a key that
    holds a large share of all rows spreads over as many tasks as it needs; in each run of a key every document is paired
    with the first one.
-3. Screen: pairs whose Jaccard index, estimated from equal registers and corrected for chance collisions, is below
-   ``SCREEN`` fall out. The rest is verified on the full sets.
+3. Screen: pairs whose sizes alone rule a link out fall out, and of pairs of sets with at least ``EXACT_BELOW`` shingles
+   those whose Jaccard index, estimated from equal registers and corrected for chance collisions, is below ``SCREEN``; the
+   estimate of smaller sets is too wide to screen by. The rest is verified on the full sets.
 4. Components of verified links; then, in each key that still holds several components, all pairs across components are
    screened and verified in blocks of bounded size, so that no link depends on which document a run began with.
 
@@ -33,7 +34,7 @@ from skyledger.llm.common import stored
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS, MANTISSA, VALUE_BITS = 40, 4, 10, 40
 REGISTERS = BANDS * ROWS
-SCREEN = 0.6
+SCREEN, EXACT_BELOW = 0.5, 512
 BLOCK_BYTES = 1_000_000
 #: Members of one key that are compared with each other at a time.
 BLOCK_MEMBERS = 512
@@ -133,6 +134,12 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return ((a == b).mean(axis=-1) - chance) / (1 - chance)
 
 
+def may_link(estimates: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether pairs go on to their full sets: their sizes allow a link, and the estimate does where it is narrow."""
+    least, most = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
+    return (100 * least >= PERCENT * most) & ((least < EXACT_BELOW) | (estimates >= SCREEN))
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
     """Ids and texts in blocks of bounded bytes."""
     ids: list = []
@@ -207,13 +214,14 @@ def run_heads(keyed: DataFrame) -> DataFrame:
 
 
 def screened(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose estimate reaches SCREEN, with it; sketch: id, n, registers."""
+    """The pairs (a, b) that may link, with the estimate; sketch: id, n, registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in (2, 3))
-            made = estimate(x, y, batch.column(4).to_numpy(), batch.column(5).to_numpy())
-            keep = np.flatnonzero(made >= SCREEN)
+            n_a, n_b = batch.column(4).to_numpy(), batch.column(5).to_numpy()
+            made = estimate(x, y, n_a, n_b)
+            keep = np.flatnonzero(may_link(made, n_a, n_b))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep)), pa.array(made[keep])], names=["a", "b", "estimate"])
 
     joined = pairs.join(sketch.toDF("a", "n_a", "r_a"), "a").join(sketch.toDF("b", "n_b", "r_b"), "b")
@@ -280,7 +288,7 @@ def across(open_rows: DataFrame) -> DataFrame:
             y = np.flatnonzero((label != label[x]) & ((own > own[x]) if several else (np.arange(len(rows)) > x)))
             if not len(y):
                 continue
-            y = y[estimate(table[y], table[x], n[y], n[x]) >= SCREEN]
+            y = y[may_link(estimate(table[y], table[x], n[y], n[x]), n[y], n[x])]
             if len(y):
                 equal = (table[y] == table[x]).reshape(len(y), BANDS, ROWS).all(axis=2)
                 y = y[equal.argmax(axis=1) == band]

@@ -102,6 +102,26 @@ def test_sketches_estimate_jaccard():
     assert abs(neardup.estimate(table[:200], table[200:], np.full(200, 500), np.full(200, 500)).mean()) < 0.003
 
 
+def test_links_of_small_sets_are_not_screened_out(spark):
+    draw = np.random.default_rng(5)
+    values = draw.integers(0, 1 << 64, (3000, 8), np.uint64)
+    low = 0
+    for a, b in ((4, 3), (8, 6)):
+        x, y = (neardup.registers([np.sort(v[:k]) for v in values]) for k in (a, b))
+        made = neardup.estimate(x, y, np.full(3000, a), np.full(3000, b))
+        low += int((made < 0.6).sum())
+        assert neardup.may_link(made, np.full(3000, a), np.full(3000, b)).all()
+    assert low  # such estimates occur
+    assert neardup.may_link(np.array([0.45, 0.9, 0.9]), np.array([600, 600, 3]), np.array([600, 600, 5])).tolist() == [False, True, False]
+    # Eight words and seven of them: 4 and 3 shingles, J = 0.75, in families of their own.
+    rows = []
+    for i in range(1500):
+        words = [f"{i}x{j}" for j in range(8)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:7]))]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in found)
+
+
 def test_word_hashes_tell_words_apart():
     long = ["a" * 5000 + "b" + "a" * 5000, "a" * 4096 + "b" + "a" * 5904, "a" * 10001]
     hashes, n = neardup.word_hashes([x.encode() for x in [*long, "ab ba", "b a", ""]])
