@@ -5,8 +5,9 @@ record's header first and skips the payload of records it does not want: gzip me
 ``sl`` extra field) are stepped over without decompressing the rest of them. Option ``payload=false`` skips all payloads;
 ``verify=true`` compares payloads with their digests.
 
-``df.write.format("warc")`` writes one gzip member a record. Each task attempt writes files under names of its own; the
-commit lists those that count in ``_files.json``, so files of lost or repeated attempts are never read.
+``df.write.format("warc")`` writes one gzip member a record. Each task attempt writes files under names of its own; each
+commit lists those that count in a ``_files-*.json`` of its own, so files of lost or repeated attempts are never read, and
+appends, also concurrent ones, add to what is there. Mode overwrite removes the lists of earlier commits, then their files.
 
 Null payloads and texts count as empty. Files are reached through pyarrow's file systems, so any store that these know
 will do.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -35,7 +37,8 @@ from skyledger.llm.common import stored
 SCHEMA = "record_id string, record_type string, target_uri string, date string, content_type string, payload_digest string, refers_to string, payload_bytes long, payload binary"
 #: The WARC header field of each column.
 FIELDS = {"record_id": "WARC-Record-ID", "record_type": "WARC-Type", "target_uri": "WARC-Target-URI", "date": "WARC-Date", "content_type": "Content-Type", "payload_digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To"}
-MANIFEST = "_files.json"
+#: The list of one commit's files; a commit may also be an earlier version's, which has no number.
+MANIFEST = re.compile(r"_files(-[0-9a-f]+)?\.json")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes after which a task starts another file, and bytes of payload in a batch that is read.
 FILE_BYTES, BATCH_BYTES = 128 << 20, 4 << 20
@@ -51,6 +54,17 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
+def manifests(fs: pafs.FileSystem, root: str) -> list[str]:
+    """The paths of the lists of all commits."""
+    found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+    return sorted(x.path for x in found if x.type == pafs.FileType.File and MANIFEST.fullmatch(x.base_name))
+
+
+def listed(fs: pafs.FileSystem, path: str) -> list[str]:
+    with fs.open_input_stream(path) as source:
+        return json.loads(source.read())["files"]
+
+
 def member(data: bytes) -> bytes:
     """``data`` as a gzip member whose extra field tells its compressed and its full length."""
     packer = zlib.compressobj(6, zlib.DEFLATED, -15)
@@ -75,14 +89,22 @@ def record(row: dict) -> bytes:
     return text.encode() + head + full + b"\r\n\r\n"
 
 
+#: Names that task attempts give to files.
+OWN = re.compile(r"part-\d{5,}-\d+-[0-9a-f]{8}-\d{4,}\.warc\.gz")
+
+
+def _archives(fs: pafs.FileSystem, root: str) -> list[str]:
+    return sorted(x.base_name for x in fs.get_file_info(pafs.FileSelector(root)) if x.base_name.endswith(".warc.gz"))
+
+
 @dataclass
 class Written(WriterCommitMessage):
     files: list
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool = False):
+        self.path, self.overwrite = path, overwrite
         self.attempt = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
@@ -110,8 +132,27 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         fs, root = file_system(self.path)
         fs.create_dir(root, recursive=True)
-        with fs.open_output_stream(f"{root}/{MANIFEST}") as out:
-            out.write(json.dumps({"files": sorted(x for m in messages if m for x in m.files)}).encode())
+        earlier = manifests(fs, root)
+        if not earlier and not self.overwrite:
+            # Archives that other tools have put here count as a commit of their own.
+            mine = {x for m in messages if m for x in m.files}
+            others = [x for x in _archives(fs, root) if x not in mine and not OWN.fullmatch(x)]
+            if others:
+                self._list(fs, root, uuid.uuid4().hex, others)
+        self._list(fs, root, self.attempt, [x for m in messages if m for x in m.files])
+        if self.overwrite:
+            old = [x for path in earlier for x in listed(fs, path)]
+            for path in earlier:
+                fs.delete_file(path)
+            for name in old:
+                if fs.get_file_info(f"{root}/{name}").type == pafs.FileType.File:
+                    fs.delete_file(f"{root}/{name}")
+
+    def _list(self, fs: pafs.FileSystem, root: str, number: str, files: list[str]) -> None:
+        """Writes a list under another name first, so that it is never read in part."""
+        with fs.open_output_stream(f"{root}/_staged-{number}") as out:
+            out.write(json.dumps({"files": sorted(files)}).encode())
+        fs.move(f"{root}/_staged-{number}", f"{root}/_files-{number}.json")
 
     def abort(self, messages: list) -> None:
         fs, root = file_system(self.path)
@@ -215,10 +256,8 @@ class WarcReader(DataSourceReader):
         fs, root = file_system(self.path)
         if fs.get_file_info(root).type == pafs.FileType.File:
             return [Files([root])]
-        if fs.get_file_info(f"{root}/{MANIFEST}").type == pafs.FileType.File:
-            names = json.loads(fs.open_input_stream(f"{root}/{MANIFEST}").read())["files"]
-        else:
-            names = sorted(x.base_name for x in fs.get_file_info(pafs.FileSelector(root)) if x.base_name.endswith(".warc.gz"))
+        commits = manifests(fs, root)
+        names = sorted({x for path in commits for x in listed(fs, path)}) if commits else _archives(fs, root)
         return [Files([f"{root}/{x}"]) for x in names] or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
@@ -263,7 +302,7 @@ class WarcDataSource(DataSource):
         return WarcReader(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 def register(spark: SparkSession) -> None:

@@ -90,6 +90,29 @@ def test_files_of_other_tools_and_lost_attempts(spark, tmp_path):
     assert os.path.exists(path.removeprefix("file://"))
 
 
+def test_appends_add_and_overwrite_replaces(spark, tmp_path):
+    warc.register(spark)
+    path = f"file://{tmp_path}/archive"
+
+    def write(first, mode):
+        pages = spark.createDataFrame([(first + i, "u", f"text {first + i}") for i in range(4)], "page_id long, url string, html string")
+        warc.deduplicated(pages.repartition(2), "page_id", "url", "html").write.format("warc").mode(mode).save(path)
+        return sorted(int(r.record_id[10:-1]) for r in spark.read.format("warc").option("verify", "true").load(path).collect())
+
+    assert write(0, "append") == [0, 1, 2, 3]
+    assert write(10, "append") == [0, 1, 2, 3, 10, 11, 12, 13]
+    assert write(20, "append") == [0, 1, 2, 3, 10, 11, 12, 13, 20, 21, 22, 23]
+    assert write(30, "overwrite") == [30, 31, 32, 33]
+    assert write(40, "append") == [30, 31, 32, 33, 40, 41, 42, 43]
+    (only,) = {p for p in (tmp_path / "archive").glob("_files-*.json") if b"part" in p.read_bytes()} - {max((tmp_path / "archive").glob("_files-*.json"), key=os.path.getmtime)}
+    only.rename(tmp_path / "archive" / "_files.json")  # as earlier versions named it
+    assert write(50, "append") == [30, 31, 32, 33, 40, 41, 42, 43, 50, 51, 52, 53]
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "a.warc.gz").write_bytes(warc.member(warc.record({"payload": b"x", "record_type": "response", "record_id": "<urn:page:7>"})))
+    path = f"file://{tmp_path}/other"
+    assert write(0, "append") == [0, 1, 2, 3, 7]
+
+
 TURNS = [
     (1, 0, "user", "hi"), (1, 1, "assistant", "a"), (1, 2, "assistant", "b <|im_sep|> \\ <\\| <"), (1, 3, "user", "<|im_end|>\n<|im_start|>assistant\nno"), (1, 4, "assistant", "|\\\\|end\\"),
     (2, 5, "assistant", ""), (2, 1, None, None), (2, 1, "we\\nird\nrole<|", "x\n"), (None, 0, "user", "no id"), (3, None, "assistant", "é\U0001f600" * 9000), (3, 0, "assistant", "t"), (3, 0, "assistant", "t"),
