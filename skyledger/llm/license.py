@@ -6,6 +6,11 @@ distinct bigrams that both have over the bigrams of both; a template's count onc
 most ``2 min(a, b) / (a + b)``, so a unit only meets the templates whose sizes allow ``threshold``; most units meet none,
 and their bigrams are never formed.
 
+Notices with other words beside them, over several lines or behind comment signs, are found in windows: runs of as many
+words as a template has, over the words of the whole text, at each word where a bigram of the template begins. Windows also
+meet the long paragraphs of licence texts. A template of which a window must share all but m bigrams to reach the threshold
+shares one of any m + 1 of them, so only texts that hold one of these are looked at.
+
 Null and empty texts have no unit. Repeated rows are scanned each. No shuffle.
 """
 
@@ -34,6 +39,13 @@ TEMPLATES: list[tuple[str, str]] = [
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+#: Paragraphs of full licence texts and file headers; only windows meet them.
+PARAGRAPHS: list[tuple[str, str]] = [
+    ("apache-2.0-header", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("bsd-text", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("gpl-text", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("mit-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+]
 THRESHOLD = 0.8
 
 
@@ -42,6 +54,11 @@ def bigrams_of(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
+def signs_of(grams: list[str], threshold: float) -> list[str]:
+    """Bigrams of which a set that reaches the threshold with ``grams`` has one: the longest, as they are rare."""
+    return sorted(grams, key=lambda g: (-len(g), g))[: len(grams) - bounds(len(grams), threshold)[0] + 1]
+
+
 def bounds(size: int, threshold: float) -> tuple[int, int]:
     """Sizes of sets that can reach the threshold with a set of ``size``."""
     share = Fraction(str(threshold))
@@ -54,13 +71,18 @@ def _words(unit: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " ")), " ")
 
 
-def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, n_matches (units that reach the threshold with some template), license and dice of the best match (ties:
-    the first licence by name), null where there is none; a row for each row."""
+def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, paragraphs: list[tuple[str, str]] = PARAGRAPHS) -> DataFrame:
+    """doc_id, n_matches (units that reach the threshold with some template, and licences that only windows reach it with),
+    license and dice of the best match (ties: the first licence by name), null where there is none; a row for each row."""
     known = [(name, grams, *bounds(len(grams), threshold)) for name, grams in ((n, bigrams_of(t)) for n, t in sorted(templates)) if grams]
     table = F.array(*[F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, g)).alias("grams"), F.lit(low).alias("low"), F.lit(high).alias("high")) for n, g, low, high in known])
     least, most = min((k[2] for k in known), default=1), max((k[3] for k in known), default=0)
 
+    sizes = {n: len(re.findall("[a-z0-9]+", t.lower())) for n, t in [*templates, *paragraphs]}
+    sought = [(n, g) for n, g in ((n, bigrams_of(t)) for n, t in sorted([*templates, *paragraphs])) if g]
+    windows = F.array(*[F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, g)).alias("grams"), F.lit(sizes[n] - 1).alias("long")) for n, g in sought])
+    signs = sorted({sign for _, g in sought for sign in signs_of(g, threshold)})
+
     body = F.col("text")
     lines, blocks = F.split(body, "\n"), F.split(body, "\n[ \\t\\r]*\n")
     blocks = F.when(F.size(blocks) > 1, blocks).otherwise(F.array().cast("array<string>"))
@@ -74,12 +96,30 @@ def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] =
         scored = F.transform(allowed, lambda t: F.struct((F.lit(2.0) * F.size(F.array_intersect(grams, t.grams)) / (F.size(grams) + F.size(t.grams))).alias("dice"), t["name"].alias("name")))
         return F.filter(scored, lambda s: s.dice >= threshold)
 
+    def window_matches(grams: Column) -> Column:
+        def of(t: Column) -> Column:
+            starts = F.filter(F.sequence(F.lit(1), F.size(grams)), lambda i: F.array_contains(t.grams, F.element_at(grams, i)))
+            held = F.transform(starts, lambda i: F.array_distinct(F.slice(grams, i, t.long)))
+            scored = F.transform(held, lambda w: F.lit(2.0) * F.size(F.array_intersect(w, t.grams)) / (F.size(w) + F.size(t.grams)))
+            return F.struct(F.array_max(scored).alias("dice"), t["name"].alias("name"))
+
+        return F.filter(F.transform(windows, of), lambda s: s.dice >= threshold)
+
+    no_words, no_match = F.array().cast("array<string>"), F.array().cast("array<struct<dice:double,name:string>>")
+    signed = F.lit(False)
+    for sign in signs:
+        signed = signed | F.contains("plain", F.lit(sign))
+
     # Each step is a column of its own, so that it is evaluated once and not again for every element of the next.
     rows = df.select(F.col(doc).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.transform(units, _words).alias("words"))
-    rows = rows.select("doc_id", F.transform(F.filter("words", lambda w: F.size(w).between(least + 1, most + 1)), bigrams).alias("grams"))
-    rows = rows.select("doc_id", F.filter(F.transform("grams", matches), lambda m: F.size(m) > 0).alias("found"))
-    rows = rows.select("doc_id", F.size("found").cast("long").alias("n_matches"), F.flatten("found").alias("found"))
+    rows = rows.select("doc_id", F.transform(units, _words).alias("words"), F.array_join(_words(body), " ").alias("plain"))
+    near = F.transform(F.filter("words", lambda w: F.size(w).between(least + 1, most + 1)), bigrams)
+    rows = rows.select("doc_id", near.alias("grams"), F.when(signed, F.split("plain", " ")).otherwise(no_words).alias("all"))
+    rows = rows.select("doc_id", F.filter(F.transform("grams", matches), lambda m: F.size(m) > 0).alias("found"), F.when(F.size("all") > 1, bigrams(F.col("all"))).otherwise(no_words).alias("all"))
+    rows = rows.select("doc_id", F.size("found").cast("long").alias("n_matches"), F.flatten("found").alias("found"), F.when(F.size("all") > 0, window_matches(F.col("all"))).otherwise(no_match).alias("more"))
+    known_names = F.transform("found", lambda s: s["name"])
+    rows = rows.select("doc_id", "n_matches", "found", F.filter("more", lambda s: ~F.array_contains(known_names, s["name"])).alias("more"))
+    rows = rows.select("doc_id", (F.col("n_matches") + F.size("more")).alias("n_matches"), F.concat("found", "more").alias("found"))
     rows = rows.select("doc_id", "n_matches", "found", F.array_max(F.transform("found", lambda s: s.dice)).alias("dice"))
     name = F.array_min(F.transform(F.filter("found", lambda s: s.dice == F.col("dice")), lambda s: s["name"]))
     return rows.select("doc_id", "n_matches", name.alias("license"), "dice")

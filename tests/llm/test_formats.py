@@ -154,6 +154,19 @@ def test_licences(spark):
     assert "Python" not in plan and "Exchange" not in license.scan(df, "doc_id", "text")._jdf.queryExecution().sparkPlan().toString()
 
 
+def test_licences_beside_other_words(spark):
+    long = dict(license.PARAGRAPHS)
+    texts = [
+        "Copyright (c) 2024 Example Corp. All rights reserved.", "Copyright 2024 Some Body. Licensed under the Apache License, Version 2.0.", "This tool is free. Released under the MIT License. Have fun with it, whoever you are.",
+        "MIT License\n\nCopyright (c) 2024 Some Body\n\n" + long["mit-text"] + "\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND.", "#!/bin/sh\n#\n# Copyright 2024\n#\n# " + long["apache-2.0-header"].replace("License", "\n# License") + "\n#\nset -e\n",
+        "/*\n * Copyright (c) 2024\n *\n * " + long["bsd-text"].replace(". ", ".\n * ") + "\n */\nint x;", "the rights of the reserved seats and an Apache helicopter license",
+    ]
+    found = {r.doc_id: r for r in license.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text").collect()}
+    assert [found[i].license for i in range(7)] == ["all-rights-reserved", "apache-2.0", "mit", "mit-text", "apache-2.0", "bsd-text", None]  # the first of equal ones
+    assert [found[i].n_matches for i in range(3, 6)] == [2, 3, 2]
+    assert all(found[i].n_matches > 0 and found[i].dice >= 0.95 for i in range(6)) and found[6].n_matches == 0
+
+
 def test_size_bounds_are_tight():
     for n in range(1, 40):
         low, high = license.bounds(n, 0.8)
