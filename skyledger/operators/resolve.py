@@ -54,11 +54,11 @@ def partition_summary(rows: DataFrame) -> DataFrame:
 
 
 def snapshot_chain(manifests: DataFrame, head: str, limit: int = 100) -> DataFrame:
-    """dataset_id and depth from the head back, of (dataset_id, previous_dataset_id); for analysis of chains up to
-    ``limit`` long. A loop ends where it comes back."""
+    """dataset_id and depth from the head back, of (dataset_id, previous_dataset_id); for analysis of chains of
+    up to ``limit`` steps; a longer one is an error. A loop ends where it comes back."""
     step = manifests.where(F.col("dataset_id") == head).select("dataset_id", "previous_dataset_id", F.lit(0).alias("depth"), F.array("dataset_id").alias("path"))
     found = step
-    for _ in range(limit):
+    for left in range(limit, -1, -1):
         step = (
             step.alias("s").join(manifests.alias("m"), F.col("s.previous_dataset_id") == F.col("m.dataset_id"))
             .where(~F.array_contains("s.path", F.col("m.dataset_id")))
@@ -66,6 +66,8 @@ def snapshot_chain(manifests: DataFrame, head: str, limit: int = 100) -> DataFra
         )
         if step.isEmpty():
             break
+        if not left:
+            raise ValueError(f"the chain from {head} has more than {limit} steps")
         found = found.unionByName(step)
     return found.select("dataset_id", "depth")
 

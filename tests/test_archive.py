@@ -189,3 +189,12 @@ def test_random_chains_match_a_plain_resolver(spark, tmp_path):
     assert {(r[1], r[2]): r[4] for r in rows_of(spark, a)} == {k: list(map(float, v)) for k, v in latest.items()}
     assert a.superseded_rows == listed - len(latest) and a.row_count == len(latest)
     assert np.isfinite([r[4] for r in rows_of(spark, a)]).all()
+
+
+def test_a_chain_beyond_the_limit_is_not_cut(spark):
+    from skyledger.operators.resolve import snapshot_chain
+
+    chain = spark.createDataFrame([("d", "c"), ("c", "b"), ("b", "a"), ("a", None)], "dataset_id string, previous_dataset_id string")
+    assert sorted((r.depth, r.dataset_id) for r in snapshot_chain(chain, "d", limit=3).collect()) == [(0, "d"), (1, "c"), (2, "b"), (3, "a")]
+    with pytest.raises(ValueError, match="more than 2 steps"):
+        snapshot_chain(chain, "d", limit=2)
