@@ -9,6 +9,9 @@ record's header first and skips the payload of records it does not want: gzip me
 commit lists those that count in a ``_files-*.json`` of its own, so files of lost or repeated attempts are never read, and
 appends, also concurrent ones, add to what is there. Mode overwrite removes the lists of earlier commits, then their files.
 
+Files of other tools are read whole as well: plain ``.warc`` and ``.warc.gz``, in any folder below the path, with one record,
+several, or part of one in a gzip member. What can't be read is an error, never left out.
+
 Null payloads and texts count as empty. Files are reached through pyarrow's file systems, so any store that these know
 will do.
 """
@@ -42,7 +45,10 @@ MANIFEST = re.compile(r"_files(-[0-9a-f]+)?\.json")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes after which a task starts another file, and bytes of payload in a batch that is read.
 FILE_BYTES, BATCH_BYTES = 128 << 20, 4 << 20
+#: Payloads that occur twice and may be broadcast (about 100 bytes each), and bits of the filter beyond that.
+FIRSTS, FILTER_BITS = 100_000, 1 << 25
 _HEADER_STEP = 2048
+_HEAD_END = re.compile(rb"\r?\n\r?\n")
 
 
 def digest(payload: bytes) -> str:
@@ -69,8 +75,11 @@ def member(data: bytes) -> bytes:
     """``data`` as a gzip member whose extra field tells its compressed and its full length."""
     packer = zlib.compressobj(6, zlib.DEFLATED, -15)
     body = packer.compress(data) + packer.flush()
-    extra = b"sl" + struct.pack("<HII", 8, (len(body) + 32) & 0xFFFFFFFF, len(data) & 0xFFFFFFFF)
-    return b"\x1f\x8b\x08\x04\x00\x00\x00\x00\x00\xff" + struct.pack("<H", len(extra)) + extra + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+    end = struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+    if max(len(body) + 32, len(data)) >> 32:  # the field only holds 32 bits
+        return b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff" + body + end
+    extra = b"sl" + struct.pack("<HII", 8, len(body) + 32, len(data))
+    return b"\x1f\x8b\x08\x04\x00\x00\x00\x00\x00\xff" + struct.pack("<H", len(extra)) + extra + body + end
 
 
 def record(row: dict) -> bytes:
@@ -94,7 +103,13 @@ OWN = re.compile(r"part-\d{5,}-\d+-[0-9a-f]{8}-\d{4,}\.warc\.gz")
 
 
 def _archives(fs: pafs.FileSystem, root: str) -> list[str]:
-    return sorted(x.base_name for x in fs.get_file_info(pafs.FileSelector(root)) if x.base_name.endswith(".warc.gz"))
+    """The archives below a folder, at any depth, but for names that begin with a dot or an underscore. Archives in a form
+    that can't be read are an error."""
+    found = [x.path[len(root.rstrip("/")) + 1 :] for x in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if x.type == pafs.FileType.File]
+    found = [x for x in found if ".warc" in x.rpartition("/")[2] and not any(p[:1] in "._" for p in x.split("/"))]
+    if other := [x for x in found if not x.endswith((".warc", ".warc.gz"))]:
+        raise ValueError(f"{root}/{min(other)}: neither .warc nor .warc.gz")
+    return sorted(found)
 
 
 @dataclass
@@ -166,66 +181,147 @@ class Files(InputPartition):
 
 
 def _header(text: bytes) -> dict[str, str]:
-    lines = text.decode("utf-8", "replace").split("\r\n")
-    if not lines[0].startswith("WARC/"):
-        raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
+    lines = re.sub(r"\r?\n[ \t]+", " ", text.decode("utf-8", "replace")).splitlines()
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:]) if k}
 
 
-def members(source, wants) -> Iterator[tuple[dict[str, str], bytes | None]]:
-    """Header and block of each record of an open file; the block is None, and not read, where ``wants(header)`` is false."""
-    held = b""
+class Unpacked:
+    """The bytes of an open file, plain or in gzip members, from ``held`` on; reads and skips forwards only."""
+
+    def __init__(self, source):
+        self.source, self.held, self.raw = source, b"", source.read(1 << 16)
+        self.plain = self.raw[:2] != b"\x1f\x8b"
+        self.unzip = None  # of the member that is being read
+        #: Of that member: where it begins in the file, its compressed and full length where it tells them, and how much of it has come out.
+        self.began, self.told, self.came = 0, None, 0
+
+    def _pull(self) -> bool:
+        """Reads on in the file."""
+        more = self.source.read(1 << 18)
+        self.raw += more
+        return bool(more)
+
+    def more(self, most: int = 1 << 20) -> bool:
+        """Adds what comes next to ``held``; false at the end of the file."""
+        if self.plain:
+            if not self.raw and not self._pull():
+                return False
+            self.held, self.raw = self.held + self.raw, b""
+            return True
+        while True:
+            if self.unzip is None:
+                while len(self.raw) < 22 and self._pull():
+                    pass
+                if not self.raw.strip(b"\0\r\n"):
+                    if self._pull():
+                        continue
+                    return False
+                if self.raw[:2] != b"\x1f\x8b":
+                    raise ValueError("not a gzip member")
+                self.began, self.came, self.unzip = self.source.tell() - len(self.raw), 0, zlib.decompressobj(31)
+                self.told = struct.unpack("<II", self.raw[16:24]) if self.raw[3:4] == b"\x04" and self.raw[12:16] == b"sl\x08\0" and len(self.raw) >= 24 else None
+            if not self.raw and not self._pull():
+                raise ValueError("a record ends early")
+            out = self.unzip.decompress(self.raw, most)
+            self.raw = self.unzip.unconsumed_tail
+            if self.unzip.eof:
+                self.raw, self.unzip = self.unzip.unused_data, None
+            self.came += len(out)
+            if out:
+                self.held += out
+                return True
+
+    def take(self, n: int) -> bytes:
+        parts, size = [], 0
+        while size < n:
+            if not self.held and not self.more():
+                raise ValueError("a record ends early")
+            parts.append(self.held[: n - size])
+            self.held = self.held[len(parts[-1]) :]
+            size += len(parts[-1])
+        return b"".join(parts)
+
+    def skip(self, n: int) -> None:
+        """Like ``take``, without keeping the bytes, and without reading them where the file or the member tells how long they are."""
+        part = min(n, len(self.held))
+        self.held, n = self.held[part:], n - part
+        if self.plain and n > len(self.raw):
+            to = self.source.tell() + n - len(self.raw)
+            if to > self.source.size():
+                raise ValueError("a record ends early")
+            self.source.seek(to)
+            self.raw, n = b"", 0
+        elif n and self.unzip is not None and self.told and self.told[1] in (self.came + n, self.came + n + 4):
+            # The rest of the member is this record, so the next one begins where the member ends.
+            to = self.began + self.told[0]
+            if to > self.source.size():
+                raise ValueError("a record ends early")
+            at = to - (self.source.tell() - len(self.raw))
+            if at <= len(self.raw):
+                self.raw = self.raw[at:]
+            else:
+                self.source.seek(to)
+                self.raw = b""
+            self.unzip, n = None, 0
+        while n:
+            if not self.held and not self.more():
+                raise ValueError("a record ends early")
+            part = min(n, len(self.held))
+            self.held, n = self.held[part:], n - part
+
+
+def records(source, wants, head_only: bool = False) -> Iterator[tuple[dict[str, str], bytes | None, int]]:
+    """Header, block and length of the block of every record of an open file; the block is None, and not decoded, where
+    ``wants(header)`` is false. ``head_only``: of the blocks only what stands before an empty line, or 64 KB, is read.
+
+    Records follow each other by their Content-Length, whether members hold one, several or parts of one, or the file is
+    plain. What is no record, or lacks its length or its end, is an error.
+    """
+    data = Unpacked(source)
     while True:
-        if len(held) < 22:
-            held += source.read(1 << 16)
-        if not held.strip(b"\0\r\n"):
-            return
-        if held[:2] != b"\x1f\x8b":
-            raise ValueError("not a gzip member")
-        length = struct.unpack("<I", held[16:20])[0] if held[3] == 4 and held[12:14] == b"sl" else 0
-        unzip = zlib.decompressobj(31)
-        text, fed = b"", held
-        while b"\r\n\r\n" not in text and not unzip.eof:
-            text += unzip.decompress(fed, _HEADER_STEP)
-            fed = unzip.unconsumed_tail
-            if not fed and not unzip.eof and b"\r\n\r\n" not in text:
-                fed = source.read(1 << 16)
-                held += fed if length else b""
-                if not fed:
-                    raise ValueError("a record ends early")
-        head, _, block = text.partition(b"\r\n\r\n")
-        header = _header(head)
-        wanted = wants(header)
-        if length and not wanted:
-            if len(held) >= length:
-                held = held[length:]
+        data.held = data.held.lstrip(b"\r\n")
+        while not data.held:
+            if not data.more(_HEADER_STEP):
+                return
+            data.held = data.held.lstrip(b"\r\n")
+        while not (found := _HEAD_END.search(data.held)):
+            if not b"WARC/".startswith(data.held[:5]) and data.held.strip(b"\0"):
+                raise ValueError(f"not a WARC record: {data.held[:40]!r}")
+            if not data.more(_HEADER_STEP):
+                if not data.held.strip(b"\0"):
+                    return
+                raise ValueError("a record ends early")
+        if not data.held.startswith(b"WARC/"):
+            raise ValueError(f"not a WARC record: {data.held[:40]!r}")
+        header = _header(data.held[: found.start()])
+        data.held = data.held[found.end() :]
+        length = header.get("content-length", "")
+        if not (length.isascii() and length.isdigit()):
+            raise ValueError(f"{header.get('warc-record-id')}: a record without a Content-Length")
+        n, block = int(length), None
+        if wants(header):
+            if head_only:
+                while not _HEAD_END.search(data.held) and len(data.held) < min(n, 1 << 16) and data.more(_HEADER_STEP):
+                    pass
+                block = data.take(min(n, len(data.held)))
+                data.skip(n - len(block))
             else:
-                source.seek(source.tell() + length - len(held))
-                held = b""
-            yield header, None
-            continue
-        parts = [block]
-        while not unzip.eof:
-            if not fed:
-                fed = source.read(1 << 18)
-                held += fed if length else b""
-                if not fed:
-                    raise ValueError("a record ends early")
-            more = unzip.decompress(fed, 1 << 20)
-            fed = unzip.unconsumed_tail
-            if wanted:
-                parts.append(more)
-        held = unzip.unused_data
-        yield header, b"".join(parts)[: int(header.get("content-length", 0))] if wanted else None
-
-
-def _payload(block: bytes, header: dict[str, str]) -> tuple[bytes, int]:
-    """The payload in a block, and the length of the full payload that its HTTP head tells."""
+                block = data.take(n)
+        else:
+            data.skip(n)
+        yield header, block, n
+
+
+def _payload(block: bytes, size: int, header: dict[str, str]) -> tuple[bytes, int]:
+    """The payload in a block of ``size`` bytes, of which ``block`` is what was read, and the length of the full payload: for
+    revisits what their HTTP head tells, else what the block holds."""
     if not header.get("content-type", "").startswith("application/http"):
-        return block, len(block)
-    head, _, body = block.partition(b"\r\n\r\n")
-    told = [x.partition(b":")[2] for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")]
-    return body, int(told[0]) if told else len(body)
+        return block, size
+    head, gap, body = block.partition(b"\r\n\r\n")
+    told = [x.partition(b":")[2].strip() for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")]
+    if told and told[0].isdigit() and header.get("warc-type") == "revisit":
+        return body, int(told[0])
+    return body, size - len(head) - len(gap)
 
 
 class WarcReader(DataSourceReader):
@@ -272,12 +368,12 @@ class WarcReader(DataSourceReader):
 
         for name in partition.names:
             with fs.open_input_file(name) as source:
-                for header, block in members(source, self.wants):
+                for header, block, length in records(source, self.wants, head_only=not self.payload and not self.verify):
                     if block is None:
                         continue
-                    payload, full = _payload(block, header)
-                    told = header.get("warc-payload-digest")
-                    if self.verify and header.get("warc-type") == "response" and told and told != "sha1:" + digest(payload):
+                    payload, full = _payload(block, length, header)
+                    told = header.get("warc-payload-digest", "")
+                    if self.verify and header.get("warc-type") == "response" and told.startswith("sha1:") and told != "sha1:" + digest(payload):
                         raise ValueError(f"{header.get('warc-record-id')}: the payload does not have its digest")
                     rows.append((*(header.get(FIELDS[c].lower()) for c in names[:7]), full, payload if self.payload else None))
                     size += len(payload)
@@ -315,12 +411,26 @@ def deduplicated(pages: DataFrame, page_id: str, url: str, html: str, least_byte
     """The records of an archive of the pages: of equal payloads of at least ``least_bytes`` bytes, the one with the smallest
     id is a response and the others are revisits of it. Rows without an id, and rows that repeat the smallest, are responses.
 
-    Payloads count as equal by SHA-1 and length. Only payloads that occur twice take part in the join.
+    Payloads count as equal by SHA-1 and length. Only payloads that occur twice take part in the join. Up to FIRSTS of them
+    are broadcast; of more, a table of FILTER_BITS bits, also of bounded size, tells which rows may be among them, and only
+    these rows are shuffled.
     """
     rows = pages.select(F.col(page_id).cast("long").alias("id"), F.col(url).cast("string").alias("target_uri"), F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.select("*", F.sha1("payload").alias("sha"), F.octet_length("payload").alias("size"))
     firsts = rows.where(F.col("size") >= least_bytes).groupBy("sha", "size").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL")
-    rows = rows.join(stored(firsts.select("sha", "size", "first"), "firsts"), ["sha", "size"], "left")
+    firsts = stored(firsts.select("sha", "size", "first"), "firsts")
+    if firsts.count() <= FIRSTS:
+        rows = rows.join(F.broadcast(firsts), ["sha", "size"], "left")
+    else:
+        bit = F.pmod(F.xxhash64("sha", "size"), F.lit(FILTER_BITS))
+        places = {"word": F.shiftright(bit, 6), "at": F.pmod(bit, F.lit(64)).cast("int")}
+        words = firsts.withColumns(places).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("bits"))
+        words = F.broadcast(stored(words, "filter"))  # FILTER_BITS / 64 rows at most
+        seen = rows.withColumns(places).join(words, "word", "left")
+        may = F.coalesce(F.getbit("bits", F.col("at")) == 1, F.lit(False))
+        columns = ["sha", "size", "id", "target_uri", "payload"]
+        alone = seen.where(~may).select(*columns, F.lit(None).cast("long").alias("first"))
+        rows = seen.where(may).select(*columns).join(firsts, ["sha", "size"], "left").select(*columns, "first").union(alone)
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     again = F.coalesce(F.col("id") > F.col("first"), F.lit(False))
     return rows.select(

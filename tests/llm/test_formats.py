@@ -66,7 +66,7 @@ def test_predicates_reach_the_headers(spark, monkeypatch):
     assert [type(f) for f in left] == [GreaterThan]
     read = {}
     true = warc._payload
-    monkeypatch.setattr(warc, "_payload", lambda block, header: read.setdefault(header["warc-record-id"], true(block, header)))
+    monkeypatch.setattr(warc, "_payload", lambda block, size, header: read.setdefault(header["warc-record-id"], true(block, size, header)))
     rows = sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
     assert rows == 2 and set(read) == {"<urn:page:3>", "<urn:page:5>"}  # other payloads are never looked at
 
@@ -90,6 +90,55 @@ def test_files_of_other_tools_and_lost_attempts(spark, tmp_path):
     assert os.path.exists(path.removeprefix("file://"))
 
 
+def plain_record(number, body):
+    return f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{number}>\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+
+def test_no_record_is_lost(spark, tmp_path):
+    """Several records in a member, records over several members, plain files, subfolders; read whole and with predicates."""
+    warc.register(spark)
+    bodies = {i: (b"x%d\r\n\r\nWARC/1.0\r\n" % i) * (1 + 9000 * (i % 4 == 1)) for i in range(24)}
+    made = [plain_record(i, bodies[i]) for i in range(24)]
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "three.warc.gz").write_bytes(gzip.compress(b"".join(made[0:3])) + warc.member(b"".join(made[3:6])) + b"".join(map(warc.member, made[6:9])) + b"\0" * 40)
+    (tmp_path / "a" / "b" / "plain.warc").write_bytes(b"".join(made[9:14]))
+    whole = b"".join(made[14:18])
+    (tmp_path / "cut.warc.gz").write_bytes(b"".join(gzip.compress(whole[at : at + 7777]) for at in range(0, len(whole), 7777)))
+    (tmp_path / "b.warc").write_bytes(b"\r\n".join(made[18:24]).replace(b"Content-Length", b"X-Long: one\r\n two\r\nContent-Length"))
+    (tmp_path / "_temporary").mkdir()
+    (tmp_path / "_temporary" / "c.warc").write_bytes(b"never read")
+    found = spark.read.format("warc").load(str(tmp_path))
+    assert {r.record_id: bytes(r.payload) for r in found.collect()} == {f"<urn:page:{i}>": b for i, b in bodies.items()} and found.count() == 24
+    for i in range(24):
+        assert [bytes(r.payload) for r in found.where(F.col("record_id") == f"<urn:page:{i}>").collect()] == [bodies[i]]
+    lengths = spark.read.format("warc").option("payload", "false").load(str(tmp_path)).collect()
+    assert {r.record_id: r.payload_bytes for r in lengths} == {f"<urn:page:{i}>": len(b) for i, b in bodies.items()}
+    assert spark.read.format("warc").load(str(tmp_path / "a" / "b" / "plain.warc")).count() == 5
+
+
+@pytest.mark.parametrize("name, data, told", [
+    ("a.warc", plain_record(1, b"x" * 90_000)[:-50_000], "ends early"), ("b.warc", plain_record(1, b"x") + b"none", "not a WARC"), ("c.warc.gz", gzip.compress(plain_record(1, b"x" * 90_000)[:-50_000]), "ends early"),
+    ("d.warc.gz", b"PK no archive at all", "not a WARC"), ("e.warc.zst", b"", "neither"), ("f.warc", b"WARC/1.0\r\nWARC-Type: x\r\n\r\n", "Content-Length"), ("g.warc.gz", warc.member(plain_record(1, b"x" * 90_000))[:-30], "ends early"),
+])
+def test_what_cannot_be_read_is_an_error(spark, tmp_path, name, data, told):
+    warc.register(spark)
+    (tmp_path / name).write_bytes(data)
+    for wanted in ("true", "record_type = 'none'"):
+        with pytest.raises(Exception, match=told):
+            spark.read.format("warc").load(str(tmp_path)).where(wanted).collect()
+
+
+def test_many_equal_payloads_take_the_filter(spark, monkeypatch):
+    rows = [(i, "u", f"text {i % 40 if i % 3 else i}") for i in range(300)] + [(None, "u", "text 1"), (1, "u", "text 1"), (5, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    key = lambda r: str(r)
+    broadcast = sorted(map(key, warc.deduplicated(pages, "page_id", "url", "html").collect()))
+    monkeypatch.setattr(warc, "FIRSTS", 2)
+    for bits in (64, 1 << 20):
+        monkeypatch.setattr(warc, "FILTER_BITS", bits)
+        assert sorted(map(key, warc.deduplicated(pages, "page_id", "url", "html").collect())) == broadcast
+
+
 def test_appends_add_and_overwrite_replaces(spark, tmp_path):
     warc.register(spark)
     path = f"file://{tmp_path}/archive"
