@@ -90,7 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_dice": op10_license_dice,
 }
 
-_templates = ", ".join(f"('{name}', [{', '.join(repr(g) for g in license.bigrams_of(text))}])" for name, text in sorted(license.TEMPLATES))
+_templates = ", ".join("({}, '{}', {})".format(repr(name), text.replace("'", "''"), short) for pairs, short in ((license.TEMPLATES, "true"), (license.TEXTS, "false")) for name, text in pairs)
 
 ORACLES: dict[str, str] = {
     "op4_norm_bucket_topk": """
@@ -119,31 +119,50 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
     (sum(body + CASE WHEN before = role THEN 10 WHEN before IS NULL THEN 13 + named ELSE 24 + named END) + 11)::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id
 """,
+    # A coefficient of at least 4/5 needs 2/3 to 3/2 times the bigrams of the other side.
     "op10_license_dice": r"""
-WITH templates(name, grams) AS (VALUES """ + _templates + r"""),
-units AS (
-    SELECT DISTINCT doc_id, r, u FROM (
-        SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents
-    ), unnest(string_split(text, chr(10)) || (CASE WHEN regexp_matches(text, '
+WITH templates(name, body, short) AS (VALUES """ + _templates + r"""),
+t AS (
+    SELECT name, short, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS every
+    FROM (SELECT *, regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS w FROM templates)
+), signs AS (
+    SELECT name, sign, list_position(every, sign) AS place, every FROM (
+        SELECT name, every, sign, row_number() OVER (PARTITION BY name ORDER BY length(sign) DESC, sign) AS nth, len(list_distinct(every)) AS n FROM t, unnest(list_distinct(every)) AS x(sign)
+    ) WHERE nth <= n - (2 * n + 2) // 3 + 1
+), documents_ AS (
+    SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents
+), units AS (
+    SELECT DISTINCT doc_id, r, u FROM documents_, unnest(string_split(text, chr(10)) || (CASE WHEN regexp_matches(text, '
 [ 	
 ]*
 ') THEN string_split_regex(text, '
 [ 	
 ]*
 ') ELSE [] END) || [text]) AS x(u)
-), words AS (
-    SELECT doc_id, r, u, regexp_extract_all(translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS w FROM units
 ), grams AS (
-    SELECT doc_id, r, u, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM words WHERE len(w) BETWEEN 2 AND 60
-), scored AS (
-    SELECT doc_id, r, u, name, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice FROM grams, templates
+    SELECT r, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
+    FROM (SELECT *, regexp_extract_all(translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS w FROM units)
+), unit_hits AS (
+    SELECT r, u, name, 2.0::DOUBLE * len(list_intersect(g, every)) / (len(g) + len(list_distinct(every))) AS dice
+    FROM grams JOIN t ON short AND 3 * len(g) >= 2 * len(list_distinct(every)) AND 2 * len(g) <= 3 * len(list_distinct(every))
+), whole AS (
+    SELECT r, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g
+    FROM (SELECT r, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS w FROM documents_)
+), places AS (
+    SELECT r, unnest(g) AS gram, generate_subscripts(g, 1) AS i FROM whole
+), starts AS (
+    SELECT DISTINCT p.r, s.name, s.every, greatest(1, p.i - s.place + 1) AS start FROM places p JOIN signs s ON s.sign = p.gram
+), window_hits AS (
+    SELECT r, name, max(2.0::DOUBLE * len(list_intersect(v, every)) / (len(v) + len(list_distinct(every)))) AS dice
+    FROM (SELECT s.r, s.name, s.every, list_distinct(w.g[s.start : s.start + len(s.every) - 1]) AS v FROM starts s JOIN whole w USING (r)) GROUP BY r, name
 ), hits AS (
-    SELECT * FROM scored WHERE dice >= 0.8
+    SELECT r, 'unit ' || u AS place, name, dice FROM unit_hits WHERE dice >= 0.8
+    UNION ALL
+    SELECT r, 'window ' || name, name, dice FROM window_hits w WHERE dice >= 0.8 AND NOT EXISTS (FROM unit_hits u WHERE u.r = w.r AND u.name = w.name AND u.dice >= 0.8)
 ), best AS (
-    SELECT doc_id, r, count(DISTINCT u) AS n_matches, arg_min(name, (-dice, name)) AS license, max(dice) AS dice FROM hits GROUP BY doc_id, r
+    SELECT r, count(DISTINCT place) AS n_matches, arg_min(name, (-dice, name)) AS license, max(dice) AS dice, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM hits GROUP BY r
 )
-SELECT d.doc_id, coalesce(b.n_matches, 0) AS n_matches, b.license, b.dice
-FROM (SELECT doc_id, row_number() OVER () AS r FROM documents) d LEFT JOIN best b ON b.r = d.r
+SELECT d.doc_id, coalesce(b.n_matches, 0) AS n_matches, b.license, b.dice, b.licenses FROM documents_ d LEFT JOIN best b USING (r)
 """,
     "op3_warc_source": r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p),
