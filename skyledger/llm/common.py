@@ -73,5 +73,13 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(at, rows)
 
 
+def field_at(df: DataFrame, name: str) -> int:
+    """The place of a column, by the session's rule for upper and lower case; for Arrow batches, which know columns by place.
+    A name that is none, or stands for several columns, is Spark's own error."""
+    df[name]  # noqa: B018
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    return next(i for i, c in enumerate(df.columns) if c == name or not exact and c.lower() == name.strip("`").lower())
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1,15 +1,22 @@
 """Quality rules by tokeniser fertility.
 
-Base counts of a text (words, symbols, repeated lines and windows) come with three measures under a public vocabulary that
-falls back to bytes: characters a token, the share of tokens that are bytes, and the entropy of the tokens. A band for each
-language (by the ``lang`` column, else by the script of most letters) says which values are plausible; a text outside its
-band is rejected. Texts of fewer tokens than ``MIN_TOKENS`` are too short to measure and only get the base rules.
+Base counts of a text (words, symbols, repeated lines and windows) come with measures under two public vocabularies, one that
+falls back to bytes and one made for many languages: characters a token under each, their ratio, the share of tokens that are
+bytes, and the entropy of the tokens as a share of the most that so many tokens can have.
 
-Null and empty texts have no words: they fail the base rules. Works row by row, without a shuffle, over whole texts.
+A text must lie within the outer bands of its script (``SCRIPTS``: what the vocabularies allow at all), and within bands that
+are fitted to all rows of the table, for its language and length: see ``bands``. Languages are those of the ``lang`` column
+that hold a thousandth of the rows; other rows go by the script of most of their letters. Lengths are powers of two of tokens,
+so short texts, whose measures vary more, have wider bands of their own. In a table too small to fit any band the outer ones
+decide alone.
+
+Null and empty texts have no words: they fail the base rules. Texts are measured whole, row by row; repeated rows count each.
 """
 
 from __future__ import annotations
 
+import base64
+import math
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -18,8 +25,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from skyledger.llm.common import slices
+from skyledger.llm.bands import with_bands
+from skyledger.llm.common import field_at, slices, stored
 from skyledger.llm.words import WordMemory, as_bytes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -27,21 +36,21 @@ SYMBOL = re.compile(r"[#*$%&|<>]")
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
-MIN_TOKENS = 40
 BLOCK_ROWS = 512
-
-#: For each language or script: least and most characters a token, largest share of byte tokens, least bits of entropy.
-BANDS: dict[str, tuple[float, float, float, float]] = {
-    "en": (1.3, 8.0, 0.05, 4.0),
-    "de": (1.3, 8.0, 0.05, 4.0),
-    "fr": (1.25, 8.0, 0.05, 4.0),
-    "es": (1.25, 8.0, 0.05, 4.0),
-    "Latin": (1.2, 8.0, 0.25, 3.0),
-    "Cyrillic": (1.0, 7.0, 0.25, 3.0),
-    "Greek": (0.6, 6.0, 0.6, 3.0),
-    "CJK": (0.3, 3.0, 0.9, 3.0),
-    "other": (0.2, 8.0, 1.0, 2.5),
+#: Outer bands of each script: least and most characters a token under either vocabulary, largest share of byte tokens. A letter
+#: beyond the vocabulary costs a token for each of its bytes in UTF-8, so even the rarest script has 1/4 of a character a token.
+SCRIPTS: dict[str, tuple[float, float, float]] = {
+    "Latin": (1.2, 8.0, 0.25),
+    "Cyrillic": (0.8, 8.0, 0.25),
+    "Greek": (0.4, 8.0, 0.6),
+    "CJK": (0.3, 3.0, 0.9),
+    "other": (0.25, 8.0, 0.9),  # scripts of which the vocabularies know next to no letter are out
+    "none": (0.5, 8.0, 0.25),
 }
+#: Measures with fitted bands.
+FITTED = ["chars_per_token", "chars_per_token_multi", "fertility_ratio", "relative_entropy"]
+#: Set on the value that follows a word's tokens: how many tokens the second vocabulary has for it.
+_MARK = 1 << 31
 
 
 @lru_cache(maxsize=2)
@@ -54,28 +63,46 @@ def _pieces(path: str):
 
 
 @lru_cache(maxsize=2)
-def _memory(path: str) -> WordMemory:
+def _multi(path: str):
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as found:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, found)}
+    return tiktoken.Encoding("multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@lru_cache(maxsize=2)
+def _memory(path: str, multi: str) -> WordMemory:
     def encode(words: list[str]) -> list[bytes]:
-        parts = (words[at : at + 10_000] for at in range(0, len(words), 10_000))
-        return [x for part in parts for x in as_bytes(_pieces(path)[0].encode(part, num_threads=1))]
+        out: list[bytes] = []
+        count = _multi(multi).encode_ordinary
+        for at in range(0, len(words), 10_000):
+            part = words[at : at + 10_000]
+            pieces = _pieces(path)[0].encode(part, num_threads=1)
+            for ids, word in zip(pieces, part):
+                ids.append(_MARK | len(count(" " + word)))
+            out += as_bytes(pieces)
+        return out
 
     return WordMemory(encode)
 
 
-def token_ids(texts: Iterable[list[str]], path: str) -> list[np.ndarray]:
-    """Ids of each list of words, a word at a time."""
-    return [np.frombuffer(x, "<u4") for x in _memory(path)(texts)]
+def token_ids(texts: Iterable[list[str]], path: str, multi: str) -> list[tuple[np.ndarray, int]]:
+    """Ids under the first vocabulary, and how many tokens the second has, of each list of words, a word at a time."""
+    held = [np.frombuffer(x, "<u4") for x in _memory(path, multi)(texts)]
+    return [(x[x < _MARK], int((x[x >= _MARK] - np.uint32(_MARK)).sum(dtype=np.int64))) for x in held]
 
 
 def script(text: str) -> str:
-    """The script of most letters of the text."""
+    """The script of most letters of the text, ``none`` without letters."""
     count: dict[str, int] = {}
     for letter, n in ((c, text.count(c)) for c in set(text)):
         if letter.isalpha():
             name = unicodedata.name(letter, "").split(" ")[0]
             kind = {"LATIN": "Latin", "CYRILLIC": "Cyrillic", "GREEK": "Greek", "CJK": "CJK", "HIRAGANA": "CJK", "KATAKANA": "CJK", "HANGUL": "CJK"}.get(name, "other")
             count[kind] = count.get(kind, 0) + n
-    return max(sorted(count), key=count.get, default="Latin")
+    return max(sorted(count), key=count.get, default="none")
 
 
 def repeated_words(words: list[str], window: int = WINDOW) -> int:
@@ -109,46 +136,63 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def measure(texts: list[str | None], langs: list[str | None], vocabulary: str) -> dict[str, list]:
-    """All measures and verdicts of the texts."""
+def measure(texts: list[str | None], vocabulary: str, multi: str) -> dict[str, list]:
+    """All measures of the texts."""
     blocks = [WORD.findall(t or "") for t in texts]
     _, is_byte = _pieces(vocabulary)
     out: dict[str, list] = {k: [] for k in COLUMNS}
-    for text, lang, words, ids in zip(texts, langs, blocks, token_ids(blocks, vocabulary)):
+    for text, words, (ids, n_multi) in zip(texts, blocks, token_ids(blocks, vocabulary, multi)):
         text = text or ""
         n, repeated, chars = len(words), repeated_words(words), sum(map(len, words))
         failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n
         _, each = np.unique(ids, return_counts=True)
         share = each / max(1, len(ids))
-        fertility, fallback, entropy = chars / max(1, len(ids)), float(is_byte[ids].mean()) if len(ids) else 0.0, float(-(share * np.log2(share)).sum()) if len(ids) else 0.0
-        name = lang if lang in BANDS else script(text)
-        low, high, most, bits = BANDS[name]
-        in_band = len(ids) < MIN_TOKENS or (low <= fertility <= high and fallback <= most and entropy >= bits)
-        row = (n, chars, len(SYMBOL.findall(text)), duplicate_lines(text), repeated, failed, not failed and in_band, len(ids), fertility, fallback, entropy, name)
+        fallback, entropy = float(is_byte[ids].mean()) if len(ids) else 0.0, float(-(share * np.log2(share)).sum()) if len(ids) else 0.0
+        most = math.log2(max(2, len(ids)))
+        row = (n, chars, len(SYMBOL.findall(text)), duplicate_lines(text), repeated, failed, len(ids), chars / max(1, len(ids)), chars / max(1, n_multi), n_multi / max(1, len(ids)), fallback, entropy / most, script(text), int(most))
         for k, v in zip(COLUMNS, row):
             out[k].append(v)
     return out
 
 
-#: Columns that ``rules`` adds.
+#: Columns that ``measured`` adds; ``rules`` adds ``kept`` and the edges of the bands as well.
 COLUMNS = {
-    "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long",
-    "base_failed": "boolean", "kept": "boolean", "n_tokens": "long", "chars_per_token": "double", "byte_share": "double",
-    "token_entropy": "double", "band": "string",
+    "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long", "base_failed": "boolean", "n_tokens": "long", "chars_per_token": "double",
+    "chars_per_token_multi": "double", "fertility_ratio": "double", "byte_share": "double", "relative_entropy": "double", "script": "string", "length_class": "int",
 }
-_ARROW = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "string": pa.string()}
+EDGES = [f"{m}_{side}" for m in FITTED for side in ("low", "high")]
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "double": pa.float64(), "string": pa.string()}
 
 
-def rules(df: DataFrame, text: str, lang: str | None, vocabulary: str) -> DataFrame:
-    """Adds COLUMNS to every row (columns of these names that ``df`` has are replaced); ``kept`` is the verdict."""
-    out = df.drop(*COLUMNS)
+def measured(df: DataFrame, text: str, vocabulary: str, multi: str) -> DataFrame:
+    """Adds COLUMNS to every row (columns of these names that ``df`` has are replaced). One Arrow stage."""
+    out = df.drop(*COLUMNS, "kept", *EDGES)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema] + [f"{k} {v}" for k, v in COLUMNS.items()])
+    at = field_at(out, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, BLOCK_ROWS):
-            at = batch.schema.get_field_index
-            langs = batch.column(at(lang)).to_pylist() if lang else [None] * batch.num_rows
-            made = measure(batch.column(at(text)).to_pylist(), langs, vocabulary)
+            made = measure(batch.column(at).to_pylist(), vocabulary, multi)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(made[k], _ARROW[v]) for k, v in COLUMNS.items())], names=[*batch.schema.names, *COLUMNS])
 
     return out.mapInArrow(run, schema)
+
+
+def judged(rows: DataFrame, lang: str | None) -> DataFrame:
+    """Adds ``kept`` and EDGES to measured rows, which should be stored: the bands are fitted to all that pass the base rules."""
+    fine = ~F.col("base_failed")
+    levels = [["script", "length_class"], ["script"]]
+    if lang is not None:
+        levels = [[lang, "script", "length_class"], [lang, "script"], *levels]
+    low, high, most = (F.create_map(*[F.lit(x) for name, v in SCRIPTS.items() for x in (name, v[k])])[F.col("script")] for k in range(3))
+    inside = fine & F.col("chars_per_token").between(low, high) & F.col("chars_per_token_multi").between(low, high) & (F.col("byte_share") <= most)
+    banded = with_bands(rows, levels, FITTED, fit_on=fine)
+    for m in FITTED:
+        inside = inside & F.coalesce(F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")), F.lit(True))
+    return banded.withColumn("kept", inside)
+
+
+def rules(df: DataFrame, text: str, lang: str | None, vocabulary: str, multi: str, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Every row with its measures, the edges of its bands, and ``kept``, the verdict; columns in ``drop`` (the text, where it is
+    not needed) go once the row is measured. The measured rows are stored: the bands depend on all of them."""
+    return judged(stored(measured(df, text, vocabulary, multi).drop(*drop), "measured"), lang)

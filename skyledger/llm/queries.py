@@ -64,7 +64,8 @@ def op7_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality.rules(docs, "text", "lang", public_tokenizers.path("piece_bpe_32k.model")).drop("text", "lang")
+    vocabularies = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return quality.rules(docs, "text", "lang", *vocabularies, drop=("text",)).drop("lang")
 
 
 def op10_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:

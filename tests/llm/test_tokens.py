@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 from skyledger.llm import bpe, packing, quality
 
 RANKS, JSON, PATTERN, PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model")
+MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 ODD = ["", None, "a" * 70_000, "The the  THE\n\n\t x", "naïve café ☕ 你好 мир \U0001f600", " 's't're  '", "<|endoftext|> x", "\x85 a\x1cᤐb\U0001910b's", "ab" * 300, "  lead and trail  ", "x\r\n\r\ny"]
 
 
@@ -131,29 +132,99 @@ def test_rules_match_a_plain_version(spark):
     texts = [*ODD, *noise(6, 50), "a b c d e f g h " * 9, "a b\na b\n\n a b\nc", " ".join(str(i % 11) for i in range(100)), " ".join(str(i % 211) for i in range(500)), " x y z"]
     texts += [" ".join(draw.choice("abcdefg") for _ in range(60)) for _ in range(60)] + [" ".join(str(draw.randrange(300)) for _ in range(400)) + " " + "u v w x y z 1 2 3 4 " * draw.randrange(4) for _ in range(20)]
     df = spark.createDataFrame([(i, t, None if i % 3 else "en", "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string, kept string")
-    found = quality.rules(df, "text", "lang", PIECES).orderBy("doc_id").collect()
+    found = quality.rules(df, "TEXT", "lang", PIECES, MULTI).orderBy("doc_id").collect()
     assert [(r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in found] == [plain_rules(t) for t in texts]
     assert all(not r.kept for r in found if r.base_failed)
-    assert quality.rules(df.limit(0), "text", None, PIECES).count() == 0
+    assert quality.rules(df.limit(0), "text", None, PIECES, MULTI).count() == 0
 
 
 def test_fertility_measures():
+    import base64
+
+    import tiktoken
+
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    with open(MULTI, "rb") as ranks:
+        multi = tiktoken.Encoding("m", pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks)}, special_tokens={})
     text = "Tokenisers split rare words into many pieces. ☃ \U000140ab \U000140ac"
-    ids = [i for w in text.split() for i in model.encode(w)]
-    made = quality.measure([text], ["en"], PIECES)
+    ids, chars = [i for w in text.split() for i in model.encode(w)], sum(map(len, text.split()))
+    second = sum(len(multi.encode_ordinary(" " + w)) for w in text.split())
+    made = quality.measure([text], PIECES, MULTI)
     share = np.array(list(Counter(ids).values())) / len(ids)
-    assert made["n_tokens"] == [len(ids)] and made["chars_per_token"] == [pytest.approx(sum(map(len, text.split())) / len(ids))]
+    assert made["n_tokens"] == [len(ids)] and made["chars_per_token"] == [pytest.approx(chars / len(ids))]
+    assert made["chars_per_token_multi"] == [pytest.approx(chars / second)] and made["fertility_ratio"] == [pytest.approx(second / len(ids))]
     assert made["byte_share"] == [pytest.approx(sum(model.is_byte(i) for i in ids) / len(ids))] and made["byte_share"][0] > 0
-    assert made["token_entropy"] == [pytest.approx(-(share * np.log2(share)).sum())]
-
-
-def test_bands_reject_bytes_and_monotony():
-    prose = "The committee met on Tuesday to consider whether the new library should open before the winter and who might pay for all of its books. " * 1
+    assert made["relative_entropy"] == [pytest.approx(-(share * np.log2(share)).sum() / np.log2(len(ids)))]
+
+
+def plain_verdicts(rows):
+    """Verdicts of measured rows, a group at a time: outer bands, then those of the finest group with enough rows."""
+    fine = [r for r in rows if not r.base_failed]
+    least = max(50, -(-len(fine) // 1000))
+    levels = [lambda r: (r.lang, r.script, r.length_class), lambda r: (r.lang, r.script), lambda r: (r.script, r.length_class), lambda r: r.script]
+    bands = []
+    for level in levels:
+        groups = {}
+        for r in fine:
+            groups.setdefault(level(r), []).append(r)
+        bands.append({})
+        for key, held in groups.items():
+            if len(held) >= least:
+                for m in quality.FITTED:
+                    values = sorted(r[m] for r in held)
+                    low, middle, high = (values[max(0, -int(-len(values) * p // 1) - 1)] for p in (0.25, 0.5, 0.75))
+                    spread = 4 * max(high - low, 0.02 * abs(middle))
+                    bands[-1][key, m] = middle - spread, middle + spread
+    out = []
+    for r in rows:
+        low, high, most = quality.SCRIPTS[r.script]
+        kept = not r.base_failed and low <= r.chars_per_token <= high and low <= r.chars_per_token_multi <= high and r.byte_share <= most
+        for m in quality.FITTED:
+            found = [b[level(r), m] for level, b in zip(levels, bands) if (level(r), m) in b]
+            kept = kept and (not found or found[0][0] <= r[m] <= found[0][1])
+        out.append(kept)
+    return out
+
+
+def junk_kinds(good, draw, many=20):
+    """Texts that pass the base rules but are no prose, a list for each kind, from documents (text, lang)."""
+    shuffled = [(" ".join("".join(draw.sample(w, len(w))) for w in t.split()), lang) for t, lang in good[:many]]
+    letters = [(" ".join("".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randrange(2, 10))) for _ in range(150)), draw.choice(["en", "de", "fr", "es", None])) for _ in range(many)]
+    noise = [(" ".join("".join(chr(draw.choice([0xA000, 0x1400, 0x14000]) + draw.randrange(400)) for _ in range(5)) for _ in range(80)), draw.choice(["en", None])) for _ in range(many)]
+    template = [("\n".join(f"Item {draw.randrange(10**6)} has price {draw.randrange(10**4)} and stock {draw.randrange(10**3)}" for _ in range(60)), draw.choice(["en", "de"])) for _ in range(many)]
+    wrong = [(t, {"en": "fr", "de": "es", "fr": "en", "es": "de"}[lang]) for t, lang in good if lang != "en"][:many]
+    return {"shuffled letters": shuffled, "random letters": letters, "byte noise": noise, "one template": template, "wrong language": wrong}
+
+
+def test_bands_catch_junk_and_keep_prose(spark):
+    """Verdicts equal a plain version's; junk that passes the base rules mostly goes, good documents stay."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").collect()}
+    rows = [tuple(r) for r in docs.collect()]
+    kinds = junk_kinds([(t, lang) for i, t, lang in rows if i in good and len(t.split()) >= 40], random.Random(5))
+    planted = [(-1000 * (k + 1) - j, t, lang) for k, held in enumerate(kinds.values()) for j, (t, lang) in enumerate(held)]
+    found = quality.rules(spark.createDataFrame(rows + planted, docs.schema).repartition(5), "text", "lang", PIECES, MULTI, drop=("text",)).collect()
+    assert [r.kept for r in found] == plain_verdicts(found)
+    by = {r.doc_id: r for r in found}
+    kept = [by[i].kept for i in good if not by[i].base_failed]
+    assert len(kept) > 300 and sum(kept) >= 0.98 * len(kept)
+    caught = {}
+    for k, (kind, held) in enumerate(kinds.items()):
+        passed = [by[-1000 * (k + 1) - j] for j in range(len(held)) if not by[-1000 * (k + 1) - j].base_failed]
+        assert len(passed) >= 0.8 * len(held), kind
+        caught[kind] = sum(not r.kept for r in passed) / len(passed)
+    print(caught, sum(kept) / len(kept))
+    assert min(caught[k] for k in caught if k != "wrong language") >= 0.9 and caught["wrong language"] >= 0.5, caught
+
+
+def test_small_tables_have_the_outer_bands(spark):
+    prose = "The committee met on Tuesday to consider whether the new library should open before the winter and who might pay for all of its books. "
     secret = " ".join("".join(chr(0x14000 + (i * 7 + j) % 500) for j in range(4)) for i in range(40))
-    made = quality.measure([prose, secret], ["en", "en"], PIECES)
-    assert made["kept"] == [True, False] and not made["base_failed"][1]
-    assert quality.script("мир и труд") == "Cyrillic" and quality.script("") == "Latin" and quality.script("你好") == "CJK"
+    df = spark.createDataFrame([(1, prose, "en"), (2, secret, "en"), (3, secret, None), (4, None, None)], "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in quality.rules(df, "text", "lang", PIECES, MULTI).collect()}
+    assert [found[i].kept for i in (1, 2, 3, 4)] == [True, False, False, False] and not found[2].base_failed and found[1].chars_per_token_low is None
+    assert quality.script("мир и труд") == "Cyrillic" and quality.script("") == "none" and quality.script("你好") == "CJK"
 
 
 def test_crc_of_the_ids(spark):
