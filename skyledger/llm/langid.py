@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import slices
+from skyledger.llm.bands import with_bands
+from skyledger.llm.common import field_at, slices, stored
 
 #: Letter classes: 0 is what stands between words, 1 to 26 are a to z, the others share the rest by code point.
 CLASSES = 96
@@ -30,8 +31,12 @@ DIMENSIONS = 1024
 SEED = 20_24
 BLOCK_ROWS = 256
 #: Letters counted at a time; longer texts are cut with an overlap of one n-gram, so that memory stays bounded.
-BLOCK_LETTERS = 4_000_000
+BLOCK_LETTERS = 1_000_000
+#: Cells of a table of texts by trigrams, trigrams whose vectors are formed at a time, and languages that a task counts at a time.
+CELLS, BLOCK_GRAMS, HELD_LANGUAGES = 4_000_000, 4096, 16
 UND = "und"
+#: Random letters have a cosine of at most 0.15 with any language, texts of 100 characters and more one of at least 0.3 with theirs.
+OUTER_COSINE = 0.25
 
 
 @lru_cache(maxsize=1)
@@ -59,23 +64,27 @@ def vectors(grams: np.ndarray, dimensions: int) -> np.ndarray:
     return (a[grams // CLASSES**2] * b[grams // CLASSES % CLASSES] * c[grams % CLASSES]).astype(np.float32)
 
 
-def counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct trigrams of the texts, and how often each text has each (a row a text)."""
+def counts(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of some texts in a row: the place of the first, their distinct trigrams, and how often each text has each (a row a text)."""
     codes = _class_of()[np.frombuffer("\x00".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")]
-    owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
-    owner = np.concatenate([owner, [len(texts) - 1]]) if len(texts) else owner
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) + 1 for t in texts])
+    owner = np.concatenate([owner, owner[-1:]])
     keep = np.ones(len(codes), bool)
     keep[1:] = (codes[1:] > 0) | (codes[:-1] > 0)  # one gap between words
-    codes, owner = codes[keep].astype(np.int64), owner[keep]
-    if len(codes) < 3:
-        return np.zeros(0, np.int64), np.zeros((len(texts), 0), np.float32)
+    codes, owner = codes[keep].astype(np.int32), owner[keep]
     grams, owner = codes[:-2] * CLASSES**2 + codes[1:-1] * CLASSES + codes[2:], owner[1:-1]
     middle = codes[1:-1] > 0
     grams, owner = grams[middle], owner[middle]
-    seen = np.flatnonzero(np.bincount(grams, minlength=CLASSES**3))
-    place = np.zeros(CLASSES**3, np.int32)
-    place[seen] = np.arange(len(seen))
-    return seen, np.bincount(owner * len(seen) + place[grams], minlength=len(texts) * len(seen)).reshape(len(texts), len(seen)).astype(np.float32)
+    distinct = np.count_nonzero(np.bincount(grams, minlength=CLASSES**3)) if len(grams) else 0
+    step = max(1, CELLS // max(1, distinct))
+    for first in range(0, len(texts), step):
+        rows = min(step, len(texts) - first)
+        low, high = np.searchsorted(owner, [first, first + rows])
+        part = grams[low:high]
+        seen = np.flatnonzero(np.bincount(part, minlength=CLASSES**3)) if len(part) else np.zeros(0, np.int64)
+        place = np.zeros(CLASSES**3, np.int32)
+        place[seen] = np.arange(len(seen))
+        yield first, seen, np.bincount((owner[low:high] - first).astype(np.int64) * len(seen) + place[part], minlength=rows * len(seen)).reshape(rows, len(seen)).astype(np.float32)
 
 
 def parts(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
@@ -96,18 +105,21 @@ def parts(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         yield places, group
 
 
-def counted(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for _, group in parts(texts):
-        yield counts(group)
+def bundle(weights: np.ndarray, grams: np.ndarray, dimensions: int) -> np.ndarray:
+    """The sum of the trigrams' vectors by their weights, for each row of weights."""
+    out = np.zeros((len(weights), dimensions), weights.dtype)
+    for at in range(0, len(grams), BLOCK_GRAMS):
+        out += weights[:, at : at + BLOCK_GRAMS] @ vectors(grams[at : at + BLOCK_GRAMS], dimensions).astype(weights.dtype, copy=False)
+    return out
 
 
 def profiles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     """The bundled vectors of the texts, a row each, over their whole lengths."""
     out = np.zeros((len(texts), dimensions), np.float32)
     for places, group in parts(texts):
-        seen, table = counts(group)
-        if len(seen):
-            np.add.at(out, places, table @ vectors(seen, dimensions))
+        for first, seen, table in counts(group):
+            if len(seen):
+                np.add.at(out, places[first : first + len(table)], bundle(table, seen, dimensions))
     return out
 
 
@@ -116,21 +128,24 @@ def train(df: DataFrame, text: str, lang: str, dimensions: int = DIMENSIONS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+
+        def made() -> Iterator[pa.RecordBatch]:
+            for name, total in sums.items():
+                seen = np.flatnonzero(total)
+                vector = bundle(total[None, seen].astype(np.float64), seen, dimensions)[0]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * dimensions), pa.array(np.arange(dimensions, dtype=np.int32)), pa.array(vector)], names=["lang", "d", "v"])
+            sums.clear()
+
         for batch in slices(batches, BLOCK_ROWS):
             texts, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for name in set(names):
+            for name in dict.fromkeys(names):
+                if name not in sums and len(sums) >= HELD_LANGUAGES:
+                    yield from made()
                 total = sums.setdefault(name, np.zeros(CLASSES**3, np.int64))
-                for seen, table in counted([t for t, x in zip(texts, names) if x == name]):
-                    total[seen] += table.sum(axis=0, dtype=np.float64).astype(np.int64)
-        for name, total in sums.items():
-            seen = np.flatnonzero(total)
-            bundle = np.zeros(dimensions)
-            for at in range(0, len(seen), 8192):
-                part = seen[at : at + 8192]
-                bundle += total[part] @ vectors(part, dimensions).astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * dimensions), pa.array(np.arange(dimensions, dtype=np.int32)), pa.array(bundle)], names=["lang", "d", "v"]
-            )
+                for _, group in parts([t for t, x in zip(texts, names) if x == name]):
+                    for _, seen, table in counts(group):
+                        total[seen] += table.sum(axis=0, dtype=np.float64).astype(np.int64)
+        yield from made()
 
     source = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).cast("string"), F.col(lang).cast("string"))
     summed = source.mapInArrow(run, "lang string, d int, v double").groupBy("lang", "d").agg(F.sum("v").alias("v"))
@@ -145,11 +160,12 @@ def predict(df: DataFrame, text: str, model: dict[str, np.ndarray], lang_pred: s
     names = sorted(model)
     table = np.array([model[x] for x in names], np.float32) if names else np.zeros((0, DIMENSIONS), np.float32)
     out = df.drop(lang_pred, score)
+    at = field_at(out, text)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema] + [f"`{lang_pred}` string", f"`{score}` double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, BLOCK_ROWS):
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            texts = [t or "" for t in batch.column(at).to_pylist()]
             best, top = [UND] * len(texts), np.zeros(len(texts))
             if names and texts:
                 made = profiles(texts, table.shape[1])
@@ -163,6 +179,20 @@ def predict(df: DataFrame, text: str, model: dict[str, np.ndarray], lang_pred: s
     return out.mapInArrow(run, schema)
 
 
+def plausible(df: DataFrame, text: str, model: dict[str, np.ndarray]) -> DataFrame:
+    """The rows of ``df`` whose text is like the language that it is predicted to be in: texts without letters go, those with a
+    cosine below OUTER_COSINE, and those below the band of the rows of that language and length (see ``bands``; a length class
+    is a power of two of characters). The predicted rows are stored, as the bands depend on all of them."""
+    names = {c: f"_in_{i}" for i, c in enumerate(df.columns)}
+    rows = predict(df.toDF(*names.values()), f"_in_{field_at(df, text)}", model, "_lang", "_score")
+    size = F.floor(F.log2(F.greatest(F.length(f"_in_{field_at(df, text)}"), F.lit(1)))).cast("int")
+    rows = stored(rows.withColumn("_length", F.coalesce(size, F.lit(0))), "predicted")
+    found = F.col("_lang") != UND
+    banded = with_bands(rows, [["_lang", "_length"], ["_lang"]], ["_score"], fit_on=found)
+    fine = found & (F.col("_score") >= OUTER_COSINE) & (F.col("_score") >= F.coalesce("_score_low", F.lit(0.0)))
+    return banded.where(fine).select(*names.values()).toDF(*names)
+
+
 def held_out(doc: str) -> Column:
     """Whether crc32(id as text) mod 3 is 1: such rows are never learned from."""
     return F.coalesce(F.crc32(F.col(doc).cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -32,6 +32,89 @@ def test_long_texts_are_counted_in_parts(monkeypatch):
     assert np.abs(parts - whole).max() <= 2 * (len(text) // (27 * 37) + 1) and np.array_equal(parts[1], whole[1])
 
 
+def plain_profile(text):
+    """A profile letter by letter: the sum over all trigrams around a letter of the products of three rotated vectors."""
+    a, b, c = langid._letters(langid.DIMENSIONS)
+    classes, out = [0], np.zeros(langid.DIMENSIONS)
+    for letter in text:
+        low = ord(letter.lower()[0]) if letter.isalpha() else -1
+        now = 0 if low < 0 else low - 96 if 97 <= low <= 122 else 27 + low % (langid.CLASSES - 27)
+        if now or classes[-1]:
+            classes.append(now)
+    if classes[-1]:
+        classes.append(0)
+    for x, y, z in zip(classes, classes[1:], classes[2:]):
+        if y:
+            out += a[x].astype(int) * b[y] * c[z]
+    return out
+
+
+def test_predictions_match_a_plain_version(spark):
+    """The whole query, recomputed letter by letter: prototypes of the rows that are not held out, then cosines of all rows."""
+    import zlib
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    made = {r.doc_id: plain_profile(r.text or "") for r in docs}
+    model = {}
+    for r in docs:
+        if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            model[r.lang] = model.get(r.lang, 0) + made[r.doc_id]
+    found = {r.doc_id: r for r in op2_hyperdimensional_langid(spark, sf).collect()}
+    assert set(found) == set(made)
+    for i, v in made.items():
+        if not v.any():
+            assert found[i].lang_pred == "und" and found[i].score == 0
+            continue
+        cosines = {k: v @ m / np.linalg.norm(v) / np.linalg.norm(m) for k, m in model.items()}
+        best = max(cosines.values())
+        assert abs(found[i].score - max(0, best)) < 1e-5 and cosines[found[i].lang_pred] > best - 1e-5
+        assert found[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
+
+
+def test_memory_is_bounded_on_many_scripts(monkeypatch):
+    import tracemalloc
+
+    draw = np.random.default_rng(3)
+    texts = ["".join(map(chr, row)) for row in draw.integers(0x4E00, 0x9FFF, (256, 2000))]
+    langid.profiles(["warm up"])
+    tracemalloc.start()
+    whole = langid.profiles(texts)
+    langid.profiles(["".join(texts) * 40])  # 20 million letters in one text
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20, peak
+    monkeypatch.setattr(langid, "CELLS", 50_000)
+    assert np.abs(langid.profiles(texts[:20]) - whole[:20]).max() < 1e-3
+
+
+def test_many_languages_are_counted_in_turns(spark, monkeypatch):
+    rows = [(f"{a}{b}x {b}{a}y {a}{a}", f"{a}{b}") for a in "abcdef" for b in "uvwxyz"] * 3
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(2)
+    model = langid.train(df, "text", "lang")
+    for name in ("au", "fz"):
+        want = plain_profile(f"{name}x {name[::-1]}y {name[0] * 2}")
+        assert np.allclose(model[name], want / np.linalg.norm(want), atol=1e-6)
+    assert len(model) == 36 > langid.HELD_LANGUAGES
+
+
+def test_plausible_texts_stay(spark):
+    import random
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").where("length(text) >= 200")
+    draw = random.Random(4)
+    odd = [(-i - 1, " ".join("".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(80)), "en") for i in range(20)]
+    odd += [(-100 - i, " ".join("".join(draw.sample(w, len(w))) for w in r.text.split()), r.lang) for i, r in enumerate(docs.limit(20).collect())]
+    odd += [(-200, None, "en"), (-201, "12 34", "en")]
+    both = docs.union(spark.createDataFrame(odd, docs.schema)).withColumn("_lang", F.lit("own"))
+    kept = langid.plausible(both, "TEXT", langid.train(docs.where(~langid.held_out("doc_id")), "text", "lang"))
+    assert kept.columns == both.columns and kept.where("_lang = 'own'").count() == kept.count()
+    ids = {r.doc_id for r in kept.collect()}
+    good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()} & {r.doc_id for r in docs.collect()}
+    assert len(good & ids) >= 0.98 * len(good) and not {i for i in ids if i < 0}
+    assert langid.plausible(both.limit(0), "text", {}).count() == 0
+
+
 def test_odd_rows(spark):
     rows = [(1, "the cat and the hat", "en"), (2, None, "en"), (3, "", "en"), (4, "12 $$ 34", "de"), (5, "der hund und die katze", "de"), (5, "der hund und die katze", "de"), (None, "the dog", None), (7, "你好" * 30_000, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("old"))

@@ -2,28 +2,39 @@
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skyledger.llm import langid, quality
 from skyledger.llm.queries import ORACLES, QUERIES
 from tests.llm.test_search import plain_components
-from tests.llm.test_tokens import PIECES, check_packing, plain_rules
+from tests.llm.test_tokens import MULTI, PIECES, check_packing, plain_rules, plain_verdicts
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_run_matches_plain_stages(spark):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    made = quality.measure([r.text for r in docs.values()], [r.lang for r in docs.values()], PIECES)
-    kept = {i: r for (i, r), fine in zip(docs.items(), made["kept"]) if fine}
+    made = quality.measure([r.text for r in docs.values()], PIECES, MULTI)
+    rows = [Row(lang=r.lang, **{k: v[i] for k, v in made.items()}) for i, r in enumerate(docs.values())]
+    kept = {i: r for (i, r), fine in zip(docs.items(), plain_verdicts(rows)) if fine}
     assert not any(plain_rules(r.text)[-1] for r in kept.values()) and len(kept) < len(docs)
     frame = spark.createDataFrame([r for r in kept.values()], spark.read.parquet(f"{SF}/documents.parquet").schema)
     model = langid.train(frame.where(~langid.held_out("doc_id")), "text", "lang")
-    for i in list(kept):
-        profile = langid.profiles([kept[i].text])[0]
-        best = max(float(profile @ v) / max(1e-9, np.linalg.norm(profile)) for v in model.values())
-        if best < corpus_pipeline.MIN_COSINE:
+    cosines = {}
+    for i, r in kept.items():
+        profile = langid.profiles([r.text])[0]
+        cosines[i] = max((float(profile @ v) / max(1e-9, np.linalg.norm(profile)), k, int(np.log2(len(r.text)))) for k, v in model.items())
+    for i, found in cosines.items():
+        for group in (lambda c: c[1:], lambda c: c[1]):
+            held = sorted(c[0] for c in cosines.values() if group(c) == group(found))
+            if len(held) >= 50:
+                low, middle, high = (held[-int(-len(held) * p // 1) - 1] for p in (0.25, 0.5, 0.75))
+                if found[0] < middle - 4 * max(high - low, 0.02 * middle):
+                    del kept[i]
+                break
+        if i in kept and found[0] < langid.OUTER_COSINE:
             del kept[i]
     components = plain_components([(i, r.text) for i, r in kept.items()])
     kept = {i: r for i, r in kept.items() if components[i][1] == i}
