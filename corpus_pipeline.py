@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 from skyledger.llm import langid, neardup, packing, quality
 from skyledger.llm.common import stored, table
 
-#: Cosine with the best prototype below which a text counts as no language that the corpus teaches.
-MIN_COSINE = 0.2
-
-
 def _renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` under column names that no operator adds, and those names by the old ones."""
     names = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}
@@ -20,28 +16,29 @@ def _renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps what passes the base rules and the band of its language."""
+    """Keeps what passes the base rules and lies within the bands of its language, script and length, which are fitted to all of
+    the stage's input. Null, empty and short texts go; repeated rows are judged alike."""
     rows, names = _renamed(docs)
-    judged = quality.rules(rows, names["text"], names["lang"], public_tokenizers.path("piece_bpe_32k.model"))
+    vocabularies = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    judged = quality.rules(rows, names["text"], names["lang"], *vocabularies)
     return judged.where("kept").select(*names.values()).toDF(*names)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps texts in a language that the stage's own input teaches; texts without letters or like none of them go."""
-    rows, names = _renamed(docs)
-    model = langid.train(docs.where(~langid.held_out("doc_id")), "text", "lang")
-    judged = langid.predict(rows, names["text"], model)
-    return judged.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= MIN_COSINE)).select(*names.values()).toDF(*names)
+    """Keeps texts that are like the other texts of a language that the stage's own input teaches. Texts without letters, or
+    unlike any of these languages, go; so do all texts where no row has a language to learn from."""
+    return langid.plausible(docs, "text", langid.train(docs.where(~langid.held_out("doc_id")), "text", "lang"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates; rows that repeat its id are that document."""
+    """Keeps the document with the smallest id of each group of near-duplicates; rows that repeat its id are that document, and
+    rows without an id are in no group. Texts without words are like nothing else and stay."""
     kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_doc_id"))
     return docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("_kept_doc_id")), "left_semi").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 2048 tokens."""
+    """Packs what is left into sequences of 2048 tokens; null texts count as empty, repeated rows are packed each."""
     packed = packing.pack(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), pattern=public_tokenizers.PATTERN)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "class_k")
 
