@@ -58,8 +58,7 @@ def op6_relational_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return cotrain.classify(docs, cotrain.train(docs, table(spark, sf_dir, "labels")))
+    return cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from skyledger.llm import cotrain, langid
+from skyledger.llm.common import stored
 from skyledger.llm.queries import op2_hyperdimensional_langid, op7_cotraining_quality
 
 SF = "/root/testdata/sf0.01"
@@ -134,31 +135,114 @@ def test_odd_rows(spark):
 
 def test_classifier_on_labels_it_never_saw(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
-    model = cotrain.train(docs, labels.where("doc_id % 3 <> 0"))
-    rows = cotrain.classify(docs, model).join(labels, "doc_id").where("doc_id % 3 = 0").collect()
+    rows = cotrain.classify(docs, labels.where("doc_id % 3 <> 0")).join(labels, "doc_id").where("doc_id % 3 = 0").collect()
     assert len(rows) > 100 and sum(r.kept == (r.quality == 1) for r in rows) >= 0.95 * len(rows)
     assert op7_cotraining_quality(spark, SF).count() == docs.count()
 
 
-def test_views_teach_each_other():
-    draw = np.random.default_rng(0)
-    truth = draw.integers(0, 2, 1200)
-    content = np.column_stack([np.ones(1200), truth * 2 - 1 + draw.normal(size=1200) * 0.7, draw.normal(size=(1200, 3))]).astype(np.float32)
-    meta = np.column_stack([np.ones(1200), truth * 2 - 1 + draw.normal(size=1200) * 0.9, draw.normal(size=(1200, 3))]).astype(np.float32)
-    label = np.where(np.arange(1200) < 40, truth, np.nan).astype(float)
-    model = cotrain.co_train(content, meta, label)
-    a, b, both = model.score(content, meta)
-    right = lambda p: ((p >= 0.5) == truth)[40:].mean()
-    assert right(both) >= max(right(a), right(b)) - 0.01 and right(both) > 0.9
+def two_views(n, seed):
+    """Documents whose quality shows, with noise, in their words and in their source; each alone is often wrong."""
+    import random
+
+    draw = random.Random(seed)
+    rows, truth = [], {}
+    for i in range(n):
+        truth[i] = draw.random() < 0.5
+        words = [draw.choice(["bad!", "shout", "WIN"] if (draw.random() < 0.72) != truth[i] else ["calm", "prose", "lines"]) if draw.random() < 0.1 else draw.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(60)]
+        source = draw.choice([f"good{k}" for k in range(12)] if (draw.random() < 0.85) == truth[i] else [f"poor{k}" for k in range(12)])
+        rows.append((i, " ".join(words), "en", source, 300))
+    return rows, truth
+
+
+def plain_training(rows, label):
+    """The same rounds over plain arrays; rows: features by id, label: of some ids."""
+    import zlib
+
+    ids = sorted(label, key=lambda i: (zlib.crc32(str(i).encode()), i))
+    views = [np.array([rows[i][k] for i in ids], np.float64) for k in (0, 1)]
+    rest = [np.array([rows[i][k] for i in rows if i not in label], np.float64) for k in (0, 1)]
+    y, held = np.array([label[i] for i in ids], float), np.arange(len(ids)) % 4 == 3
+    prior, own = float(y.mean()), ~held
+    weights = [cotrain.fit(x[own], y[own]) for x in views]
+    width = 2 * cotrain.SPAN / cotrain.BINS
+    for k in range(1, cotrain.ROUNDS + 1):
+        picked = []
+        for known, x, w in zip(views, rest, weights):
+            scale, offset = cotrain.calibration(known[held] @ w, y[held])
+            z = scale * (x @ w) + offset
+            cells = np.clip(np.floor((z + cotrain.SPAN) / width), 0, cotrain.BINS - 1).astype(int)
+            most, side = cotrain.SHARE * k * len(z), {}
+            for cls, share in ((1, prior), (0, 1 - prior)):
+                order = sorted(set(cells.tolist()), reverse=bool(cls))
+                cell, n = order[0], (cells == order[0]).sum()
+                for new in order[1:]:
+                    if (n := n + (cells == new).sum()) > most * share:
+                        break
+                    cell = new
+                # The edge may lie anywhere up to the first cell that is not taken.
+                if cls and (left := [c for c in order if c < cell]) and (cells >= cell).sum() <= most * share:
+                    cell = left[0] + 1
+                if not cls and (left := [c for c in order if c > cell]) and (cells <= cell).sum() <= most * share:
+                    cell = left[0] - 1
+                side[cls] = max(np.log(cotrain.SURE / (1 - cotrain.SURE)) + max(0, np.log(prior / (1 - prior))), cell * width - cotrain.SPAN) if cls else min(-np.log(cotrain.SURE / (1 - cotrain.SURE)) + min(0, np.log(prior / (1 - prior))), (cell + 1) * width - cotrain.SPAN)
+            picked.append((np.flatnonzero((z >= side[1]) | (z <= side[0])), z))
+        for _ in range(cotrain.STEPS):
+            new = []
+            for taker in (0, 1):
+                at, z = picked[1 - taker]
+                x, t = np.concatenate([views[taker][own], rest[taker][at]]), np.concatenate([y[own], (z[at] > 0).astype(float)])
+                p = 1 / (1 + np.exp(-x @ weights[taker]))
+                scale = np.concatenate([np.ones(own.sum()), np.full(len(at), own.sum() / max(1, len(at)))])
+                move = np.linalg.solve((x * (scale * (p * (1 - p) + 1e-9))[:, None]).T @ x + np.eye(x.shape[1]), x.T @ (scale * (t - p)) - weights[taker])
+                new.append(weights[taker] + move * min(1, 4 / np.linalg.norm(move)))
+            weights = new
+    return weights, [len(a) for a, _ in picked]
+
+
+def test_training_matches_a_plain_version(spark):
+    rows, truth = two_views(1500, 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    labels = spark.createDataFrame([(i, int(truth[i])) for i in range(0, 1500, 10)], "doc_id long, quality int")
+    features = stored(cotrain.featured(docs), "features")
+    model = cotrain.train(features, labels)
+    plain = {r.id: (np.frombuffer(r.content, np.float32), np.frombuffer(r.meta, np.float32)) for r in features.collect()}
+    want, given = plain_training(plain, {i: int(truth[i]) for i in range(0, 1500, 10)})
+    assert min(given) > 20
+    for a, b in zip(model.weights, want):
+        assert np.abs(a - b).max() < 1e-3 * max(1, np.abs(b).max())
+    found = {r.doc_id: r for r in cotrain.scored(features, model).collect()}
+    for i in range(1, 1500, 97):
+        a, b = (s * float(plain[i][k] @ w.astype(float)) + o for k, (w, (s, o)) in enumerate(zip(model.weights, model.scales)))
+        prior = sum(truth[j] for j in range(0, 1500, 10)) / 150
+        assert abs(found[i].score - 1 / (1 + np.exp(-(a + b - np.log(prior / (1 - prior)))))) < 1e-6
+
+
+def test_views_teach_each_other(spark):
+    """Where few documents are labelled and neither view suffices, the rounds add to what the labels alone give."""
+    gains = []
+    for seed in (3, 4, 5):
+        rows, truth = two_views(4000, seed)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+        labels = spark.createDataFrame([(i, int(truth[i])) for i in range(0, 4000, 100)], "doc_id long, quality int")
+        features = stored(cotrain.featured(docs), "features")
+        right = []
+        for rounds in (0, cotrain.ROUNDS):
+            found = cotrain.scored(features, cotrain.train(features, labels, rounds=rounds)).collect()
+            right.append(sum(r.kept == truth[r.doc_id] for r in found if r.doc_id % 100) / 3960)
+        gains.append(right)
+    print(gains)
+    assert all(b > a for a, b in gains) and sum(b - a for a, b in gains) > 0.03, gains
 
 
 def test_classifier_odd_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string"
-    docs = spark.createDataFrame([(1, None, None, None, None, "x"), (2, "", "en", "s", 0, "x"), (2, "a", "en", "s", 1, "x"), (None, "b" * 100_000, "de", "s", -5, "x")], schema).withColumns({c: F.lit("x") for c in ("id", "label")})
+    docs = spark.createDataFrame([(1, None, None, None, None, "x"), (2, "", "en", "s", 0, "x"), (2, "a", "en", "s", 1, "x"), (None, "b" * 100_000, "de", "s", -5, "x")], schema).withColumns({c: F.lit("x") for c in ("id", "label", "at", "v")})
     none = spark.createDataFrame([], "doc_id long, quality int")
-    assert {r.score for r in cotrain.classify(docs, cotrain.train(docs, none)).collect()} == {0.5}
+    assert {r.score for r in cotrain.classify(docs, none).collect()} == {0.5}
     one = spark.createDataFrame([(1, 1), (1, 1), (2, None), (None, 0)], "doc_id long, quality int")
-    assert {r.score for r in cotrain.classify(docs, cotrain.train(docs, one)).collect()} == {1.0}
-    assert cotrain.classify(docs.limit(0), cotrain.train(docs.limit(0), none)).count() == 0
+    assert {r.score for r in cotrain.classify(docs, one).collect()} == {1.0}
+    assert cotrain.classify(docs.limit(0), none).count() == 0
     two = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
-    assert cotrain.classify(docs, cotrain.train(docs, two)).count() == 4
+    assert cotrain.classify(docs, two).count() == 4
+    many = spark.range(3000).selectExpr("7L AS doc_id", "'same words' AS text", "'en' AS lang", "'s' AS source", "10L AS n_chars").unionByName(docs.select("doc_id", "text", "lang", "source", "n_chars"))
+    assert cotrain.classify(many, spark.createDataFrame([(7, 1), (1, 0), (2, 0)], "doc_id long, quality int"), max_labelled=2).count() == 3004
