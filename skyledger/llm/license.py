@@ -127,7 +127,8 @@ def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] =
 
     no_words, no_match = F.array().cast("array<string>"), F.array().cast("array<struct<dice:double,name:string>>")
 
-    # Each step is a column of its own, so that it is evaluated once and not again for every element of the next.
+    # Each step is a column of its own, so that it is evaluated once and not again for every element of the next; one that only a
+    # lambda of the next step read would still be.
     rows = df.select(F.col(doc).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.transform(units, _words).alias("words"), _words(body).alias("all"))
     fits = F.filter("words", lambda w: (F.size(w) > least) & (F.size(F.array_distinct(w)) <= most + 1))
@@ -140,7 +141,7 @@ def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] =
         F.when(signed, F.filter(F.sequence(F.lit(1), F.size("grams")), lambda i: F.array_contains("held", F.element_at("grams", i)))).otherwise(F.array().cast("array<int>")).alias("places"),
     )
     more = F.filter(F.transform(F.filter(windows, lambda t: F.arrays_overlap(t.signs, F.col("held"))), best_window), lambda s: s.dice >= threshold)
-    rows = rows.select("doc_id", F.size("found").cast("long").alias("n_matches"), F.flatten("found").alias("found"), F.when(signed, more).otherwise(no_match).alias("more"))
+    rows = rows.select("doc_id", F.size("found").cast("long").alias("n_matches"), F.flatten("found").alias("found"), F.when(signed & (F.size("places") > 0), more).otherwise(no_match).alias("more"))
     known_names = F.transform("found", lambda s: s["name"])
     rows = rows.select("doc_id", "n_matches", "found", F.filter("more", lambda s: ~F.array_contains(known_names, s["name"])).alias("more"))
     rows = rows.select("doc_id", (F.col("n_matches") + F.size("more")).alias("n_matches"), F.concat("found", "more").alias("found"))

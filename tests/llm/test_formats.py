@@ -184,7 +184,16 @@ def test_chat_is_reversible(spark):
         assert all(0 <= s.start and s.start + s.length <= len(got.formatted) for s in got.loss_spans)
     assert chat.format_conversations(df.limit(0)).count() == 0
     plan = back._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    assert "Python" not in plan and "Arrow" not in plan and "Window" not in plan
+
+
+def test_long_conversations(spark):
+    """Many turns, with runs of one role; spans point at each assistant text."""
+    turns = [(7, i, "assistant" if i * i % 7 < 3 else "user", f"t{i} <| \\" * (i % 3)) for i in range(5000)]
+    made = chat.format_conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(4))
+    (row,) = made.select("formatted", chat.turns_of(F.col("formatted")).alias("turns"), chat.loss_texts(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
+    assert [(t.role, t.text) for t in row.turns] == [t[2:] for t in turns] and list(row.loss) == [t[3] for t in turns if t[2] == "assistant"]
+    assert row.formatted.count("<|im_start|>") == 1 + sum(a[2] != b[2] for a, b in zip(turns, turns[1:]))
 
 
 def test_licences(spark):
