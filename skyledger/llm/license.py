@@ -1,9 +1,9 @@
 """License scans with Spark expressions only.
 
-A text's units (its lines, its paragraphs, and the whole of it) are normalised to lower-case words of letters and digits.
-Units meet the templates of short notices by the Dice coefficient over distinct word bigrams, twice those that both have over
+A text's units (its lines, its paragraphs, and the whole of it) are normalised to lower-case words of ASCII letters and digits;
+units of equal words count once. Units of few enough words meet the templates of short notices by the Dice coefficient over distinct word bigrams, twice those that both have over
 those of either. Sizes a and b allow a coefficient of at most ``2 min(a, b) / (a + b)``, so a unit only meets the templates
-whose sizes allow ``threshold``; most units meet none, and their bigrams are never formed.
+whose sizes allow ``threshold``.
 
 Notices with other words beside them, over several lines or behind comment signs, and whole licence texts are found in windows
 over the words of the whole text, as long as the template. A window of which the coefficient reaches the threshold shares all
@@ -77,10 +77,14 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(size * share / (2 - share)), math.floor(size * (2 - share) / share)
 
 
-def _words(unit: Column) -> Column:
-    """Lower-case ASCII words of a unit; one empty word if it has none."""
-    lower = F.translate(unit, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.split(F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " ")), " ")
+def _words(text: Column) -> Column:
+    """The lower-case ASCII words of a text."""
+    return F.regexp_extract_all(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit("([a-z0-9]+)"))
+
+
+def _bigrams(words: Column) -> Column:
+    n = F.size(words) - 1
+    return F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
 def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, texts: list[tuple[str, str]] = TEXTS) -> DataFrame:
@@ -89,7 +93,6 @@ def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] =
     is none; a row for each row."""
     known = [(name, grams, *bounds(len(grams), threshold)) for name, grams in ((n, bigrams_of(t)) for n, t in sorted(templates)) if grams]
     table = F.array(*[F.struct(F.lit(n).alias("name"), F.array(*map(F.lit, g)).alias("grams"), F.lit(low).alias("low"), F.lit(high).alias("high")) for n, g, low, high in known])
-    # A unit of distinct words in a row has a bigram fewer than words; one that repeats itself may have many words and few bigrams.
     least = min((k[2] for k in known), default=1)
     most = max((k[3] for k in known), default=0)
 
@@ -104,13 +107,8 @@ def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] =
     windows = F.array(*[F.struct(F.lit(n).alias("name"), of_all(g).alias("grams"), F.lit(size).alias("long"), of_all(chosen).alias("signs"), of_all(at).alias("at")) for n, g, size, chosen, at in sought])
     signs = of_all(sorted({sign for *_, chosen, _ in sought for sign in chosen}))
 
-    body = F.col("text")
-    lines, blocks = F.split(body, "\n"), F.split(body, "\n[ \\t\\r]*\n")
-    blocks = F.when(F.size(blocks) > 1, blocks).otherwise(F.array().cast("array<string>"))
-    units = F.array_distinct(F.concat(lines, blocks, F.when(F.size(lines) > 1, F.array(body)).otherwise(F.array().cast("array<string>"))))
-
-    def bigrams(words: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
+    lines, blocks = F.split("text", "\n"), F.split("text", "\n[ \\t\\r]*\n")
+    units = F.array_distinct(F.transform(F.concat(lines, blocks, F.array("text")), lambda u: F.array_join(_words(u), " ")))
 
     def matches(grams: Column) -> Column:
         allowed = F.filter(table, lambda t: F.size(grams).between(t.low, t.high))
@@ -125,23 +123,24 @@ def scan(df: DataFrame, doc: str, text: str, templates: list[tuple[str, str]] =
         scored = F.transform(held, lambda w: F.lit(2.0) * F.size(F.array_intersect(w, t.grams)) / (F.size(w) + F.size(t.grams)))
         return F.struct(F.array_max(scored).alias("dice"), t["name"].alias("name"))
 
-    no_words, no_match = F.array().cast("array<string>"), F.array().cast("array<struct<dice:double,name:string>>")
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    no_match = none("struct<dice:double,name:string>")
 
     # Each step is a column of its own, so that it is evaluated once and not again for every element of the next; one that only a
     # lambda of the next step read would still be.
     rows = df.select(F.col(doc).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.transform(units, _words).alias("words"), _words(body).alias("all"))
-    fits = F.filter("words", lambda w: (F.size(w) > least) & (F.size(F.array_distinct(w)) <= most + 1))
-    near = F.filter(F.transform(fits, lambda w: F.array_distinct(bigrams(w))), lambda g: F.size(g) <= most)
-    rows = rows.select("doc_id", near.alias("units"), F.when(F.size("all") > 1, bigrams(F.col("all"))).otherwise(no_words).alias("grams"))
-    rows = rows.select("doc_id", F.filter(F.transform("units", matches), lambda m: F.size(m) > 0).alias("found"), "grams", F.array_intersect("grams", signs).alias("held"))
+    rows = rows.select("doc_id", "text", _words(F.col("text")).alias("words"))
+    rows = rows.select("doc_id", "text", F.when(F.size("words") > 1, _bigrams(F.col("words"))).otherwise(none("string")).alias("grams"))
+    rows = rows.select("doc_id", "text", "grams", F.array_intersect("grams", signs).alias("held"))
+    # The bigrams of a unit are bigrams of the text, so a text without signs has no match in units either.
     signed = F.size("held") > 0
-    rows = rows.select(
-        "doc_id", "found", "held", F.when(signed, F.col("grams")).otherwise(no_words).alias("grams"),
-        F.when(signed, F.filter(F.sequence(F.lit(1), F.size("grams")), lambda i: F.array_contains("held", F.element_at("grams", i)))).otherwise(F.array().cast("array<int>")).alias("places"),
-    )
+    places = F.filter(F.sequence(F.lit(1), F.size("grams")), lambda i: F.array_contains("held", F.element_at("grams", i)))
+    rows = rows.select("doc_id", "held", F.when(signed, units).otherwise(none("string")).alias("units"), F.when(signed, F.col("grams")).otherwise(none("string")).alias("grams"), F.when(signed, places).otherwise(none("int")).alias("places"))
+    split = F.filter(F.transform("units", lambda u: F.split(u, " ")), lambda w: F.size(w).between(least + 1, most + 1))
+    rows = rows.select("doc_id", "held", "grams", "places", F.transform(split, lambda w: F.array_distinct(_bigrams(w))).alias("units"))
     more = F.filter(F.transform(F.filter(windows, lambda t: F.arrays_overlap(t.signs, F.col("held"))), best_window), lambda s: s.dice >= threshold)
-    rows = rows.select("doc_id", F.size("found").cast("long").alias("n_matches"), F.flatten("found").alias("found"), F.when(signed & (F.size("places") > 0), more).otherwise(no_match).alias("more"))
+    rows = rows.select("doc_id", F.filter(F.transform("units", matches), lambda m: F.size(m) > 0).alias("found"), F.when(signed & (F.size("places") > 0), more).otherwise(no_match).alias("more"))
+    rows = rows.select("doc_id", F.size("found").cast("long").alias("n_matches"), F.flatten("found").alias("found"), "more")
     known_names = F.transform("found", lambda s: s["name"])
     rows = rows.select("doc_id", "n_matches", "found", F.filter("more", lambda s: ~F.array_contains(known_names, s["name"])).alias("more"))
     rows = rows.select("doc_id", (F.col("n_matches") + F.size("more")).alias("n_matches"), F.concat("found", "more").alias("found"))

@@ -132,16 +132,14 @@ t AS (
 ), documents_ AS (
     SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents
 ), units AS (
-    SELECT DISTINCT doc_id, r, u FROM documents_, unnest(string_split(text, chr(10)) || (CASE WHEN regexp_matches(text, '
+    SELECT DISTINCT r, regexp_extract_all(translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS u
+    FROM documents_, unnest(string_split(text, chr(10)) || string_split_regex(text, '
 [ 	
 ]*
-') THEN string_split_regex(text, '
-[ 	
-]*
-') ELSE [] END) || [text]) AS x(u)
+') || [text]) AS x(u)
 ), grams AS (
-    SELECT r, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
-    FROM (SELECT *, regexp_extract_all(translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS w FROM units)
+    SELECT r, u, list_distinct(list_transform(range(1, len(u)), lambda i: u[i] || ' ' || u[i + 1])) AS g
+    FROM units WHERE len(u) - 1 <= (SELECT max(3 * len(list_distinct(every)) // 2) FROM t WHERE short)
 ), unit_hits AS (
     SELECT r, u, name, 2.0::DOUBLE * len(list_intersect(g, every)) / (len(g) + len(list_distinct(every))) AS dice
     FROM grams JOIN t ON short AND 3 * len(g) >= 2 * len(list_distinct(every)) AND 2 * len(g) <= 3 * len(list_distinct(every))
@@ -156,7 +154,7 @@ t AS (
     SELECT r, name, max(2.0::DOUBLE * len(list_intersect(v, every)) / (len(v) + len(list_distinct(every)))) AS dice
     FROM (SELECT s.r, s.name, s.every, list_distinct(w.g[s.start : s.start + len(s.every) - 1]) AS v FROM starts s JOIN whole w USING (r)) GROUP BY r, name
 ), hits AS (
-    SELECT r, 'unit ' || u AS place, name, dice FROM unit_hits WHERE dice >= 0.8
+    SELECT r, 'unit ' || array_to_string(u, ' ') AS place, name, dice FROM unit_hits WHERE dice >= 0.8
     UNION ALL
     SELECT r, 'window ' || name, name, dice FROM window_hits w WHERE dice >= 0.8 AND NOT EXISTS (FROM unit_hits u WHERE u.r = w.r AND u.name = w.name AND u.dice >= 0.8)
 ), best AS (
