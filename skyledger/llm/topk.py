@@ -5,7 +5,8 @@ vectors with a cosine of at least ``s / (|q| L)``. By this local threshold each
 none of it is wanted (threshold over 1), all of its vectors long enough (a low threshold), or those whose coordinates lie
 in the feasible ranges of the query's largest coordinates (a high one). What is left is verified by products.
 
-A bucket is dealt to blocks of bounded size, as are the queries; each pair of blocks is a task's unit of work, so a length
+The floor also prunes before anything is shuffled: no query goes to a bucket whose longest vector is too short for it, and no
+vector to a block of queries for which it is too short. A bucket is dealt to blocks of bounded size, as are the queries; each pair of blocks is a task's unit of work, so a length
 that all vectors share is no hot spot. First every query meets one block of the longest vectors, which gives its ``s``.
 Each unit returns at most k rows a query, so the last shuffle is small.
 
@@ -36,6 +37,8 @@ COORDINATE_COSINE, COORDINATES = 0.8, 4
 #: Ratio of the longest to the shortest vector of a bucket.
 BUCKET_RATIO = 1.1
 _WIDEST = 2.0**26
+#: What names a unit of work: dimension, bucket, block of the bucket, block of queries.
+UNIT = ["d", "bucket", "block", "asked"]
 
 
 def quantised(column: str, scale: int = 256) -> Column:
@@ -105,7 +108,8 @@ def best_of(q: np.ndarray, q_ids: np.ndarray, at_least: np.ndarray, c: np.ndarra
 
 
 def _units(work: DataFrame, k: int) -> DataFrame:
-    """Best rows of each unit of work: rows (unit, query, id, v, at_least), where the unit's rows lie together."""
+    """Best rows of each unit of work: rows (d, bucket, block, asked, query, id, v, at_least), where the rows of a unit, which the
+    first four name, lie together."""
 
     def solve(rows: list[tuple]) -> list[tuple]:
         queries, others = [r for r in rows if r[0]], [r for r in rows if not r[0]]
@@ -123,8 +127,9 @@ def _units(work: DataFrame, k: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["query_id", "vec_id", "score"])
 
         for batch in batches:
-            unit, query, number, at_least = (batch.column(c).to_pylist() for c in (0, 1, 2, 4))
-            lists = batch.column(3)
+            unit = list(zip(*(batch.column(c).to_pylist() for c in range(4))))
+            query, number, at_least = (batch.column(c).to_pylist() for c in (4, 5, 7))
+            lists = batch.column(6)
             start, flat = lists.offsets.to_numpy(), np.asarray(lists.values.to_numpy(zero_copy_only=False), "<f8")
             for j, u in enumerate(unit):
                 if u != last:
@@ -135,7 +140,7 @@ def _units(work: DataFrame, k: int) -> DataFrame:
         if found := solve(held):
             yield made(found)
 
-    return work.select("unit", "is_query", "id", "v", "at_least").mapInArrow(run, "query_id long, vec_id long, score long")
+    return work.select(*UNIT, "is_query", "id", "v", "at_least").mapInArrow(run, "query_id long, vec_id long, score long")
 
 
 def top_k(df: DataFrame, vec_id: str, embedding: str, queries: Column, k: int = 5, scale: int = 256) -> DataFrame:
@@ -147,7 +152,7 @@ def top_k(df: DataFrame, vec_id: str, embedding: str, queries: Column, k: int =
     rows = stored(rows.withColumn("d", F.size("v")), "vectors")
 
     # Lengths are doubles, so there are at most some thousands of buckets a dimension; that bounds this table.
-    sizes = rows.groupBy("d", "bucket").agg(F.count("*").alias("n"), F.count_if("asks").alias("asking"))
+    sizes = rows.groupBy("d", "bucket").agg(F.count("*").alias("n"), F.count_if("asks").alias("asking"), F.max("length").alias("most"))
     per_block = F.least(F.lit(BLOCK_ROWS), F.greatest(F.lit(LEAST_ROWS), F.ceil(F.sum("n").over(Window.partitionBy("d")) / LEAST_BLOCKS)))
     plan = stored(sizes.withColumn("blocks", F.ceil(F.col("n") / per_block)), "buckets")
     asked = F.ceil(F.sum("asking").over(Window.partitionBy("d")) / BLOCK_QUERIES)
@@ -157,23 +162,28 @@ def top_k(df: DataFrame, vec_id: str, embedding: str, queries: Column, k: int =
     others = rows.join(F.broadcast(plan.select("d", "bucket", "blocks", "query_blocks", "longest")), ["d", "bucket"])
     others = others.withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
     dims = plan.groupBy("d").agg(F.max("query_blocks").alias("query_blocks"), F.max(F.when(F.col("longest"), F.struct("bucket", "blocks"))).alias("top"))
-    asking = rows.where("asks").select("d", "id", "v").dropDuplicates(["id"]).join(F.broadcast(dims), "d").withColumn("asked", F.pmod(F.xxhash64("id", F.lit(1)), "query_blocks"))
+    asking = rows.where("asks").select("d", "id", "v", "length").dropDuplicates(["id"]).join(F.broadcast(dims), "d").withColumn("asked", F.pmod(F.xxhash64("id", F.lit(1)), "query_blocks"))
 
-    def work(units: list, candidates: DataFrame, questions: DataFrame) -> DataFrame:
-        both = candidates.select(F.xxhash64(*units).alias("unit"), F.lit(False).alias("is_query"), "id", "v", F.lit(None).cast("double").alias("at_least"))
-        both = both.union(questions.select(F.xxhash64(*units).alias("unit"), F.lit(True), "id", "v", "at_least"))
-        return _units(both.repartition("unit").sortWithinPartitions("unit"), k)
+    def work(candidates: DataFrame, questions: DataFrame) -> DataFrame:
+        both = candidates.select(*UNIT, F.lit(False).alias("is_query"), "id", "v", F.lit(None).cast("double").alias("at_least"))
+        both = both.union(questions.select(*UNIT, F.lit(True), "id", "v", "at_least"))
+        return _units(both.repartition(*UNIT).sortWithinPartitions(*UNIT), k)
 
-    unit = ["d", "bucket", "block", "asked"]
     spread = others.withColumn("asked", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
     ground = F.lit(-float("inf"))
     # Each query first meets one block of the longest bucket: its k-th score there is a floor for the others.
     first = asking.select("d", F.col("top.bucket").alias("bucket"), F.pmod(F.xxhash64("id", F.lit(2)), "top.blocks").alias("block"), "asked", "id", "v", ground.alias("at_least"))
-    seed = stored(work(unit, spread.where("longest"), first), "seed")
+    seed = stored(work(spread.where("longest"), first), "seed")
     floor = seed.groupBy("query_id").agg(F.count("*").alias("found"), F.min("score").alias("at_least")).where(F.col("found") >= k)
-    asking = asking.join(floor.select(F.col("query_id").alias("id"), "at_least"), "id", "left")
     bound = F.col("at_least").cast("double")
-    everywhere = asking.join(F.broadcast(plan.select("d", "bucket", "blocks")), "d").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    found = work(unit, spread, everywhere.select("d", "bucket", "block", "asked", "id", "v", F.coalesce(bound - F.abs(bound) * 1e-12, ground).alias("at_least")))
+    asking = asking.join(floor.select(F.col("query_id").alias("id"), "at_least"), "id", "left").withColumn("at_least", F.coalesce(bound - F.abs(bound) * 1e-12, ground))
+    # A query only goes to buckets in which some length can reach its floor, and only vectors go to a block of queries that are
+    # long enough for one of them; a block that no query wants of a bucket is not formed.
+    reach = lambda length: F.col("at_least") * (1 - 1e-9) <= F.col("length") * length
+    pairs = asking.select("d", "asked", "id", "v", "length", "at_least").join(F.broadcast(plan.select("d", "bucket", "blocks", "most")), "d").where(reach(F.col("most")))
+    shortest = F.min(F.when(F.col("at_least") > 0, F.when(F.col("length") > 0, F.col("at_least") / F.col("length")).otherwise(F.lit(0.0))).otherwise(F.lit(0.0)))
+    needed = stored(pairs.groupBy("d", "bucket", "asked").agg(shortest.alias("shortest")), "needed")
+    everywhere = pairs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    found = work(spread.join(needed, ["d", "bucket", "asked"]).where(F.col("length") >= F.col("shortest") * (1 - 1e-9)), everywhere)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
