@@ -57,7 +57,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._stored_at = path
+    return made
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables of ``stored`` that nothing reads any more."""
+    for df in tables:
+        remove(df.sparkSession, df._stored_at)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -13,7 +13,8 @@
    screened and verified in blocks of bounded size, so that no link depends on which document a run began with.
 
 Every step is a join, an aggregate or a sorted scan over tables in the shared folder; nothing of all documents goes to the
-driver. A pair of Jaccard 0.75 shares no band with a probability of 3e-7, and less above that.
+driver; tables go as soon as nothing reads them. Texts beyond a few MB are hashed in parts, so that a task's memory is a small
+multiple of its longest text. A pair of Jaccard 0.75 shares no band with a probability of 3e-7, and less above that.
 
 Null and empty texts have an empty set and are linked with nothing. Repeated rows of one id are linked like copies. A row
 without an id keeps a null component and is kept. Columns other than id and text are ignored.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import stored
+from skyledger.llm.common import dropped, stored
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS, MANTISSA, VALUE_BITS = 40, 4, 10, 40
@@ -38,6 +39,8 @@ SCREEN, EXACT_BELOW = 0.5, 512
 BLOCK_BYTES = 1_000_000
 #: Members of one key that are compared with each other at a time.
 BLOCK_MEMBERS = 512
+#: Sets of up to so many shingles go along with their registers: no other set can link with one below EXACT_BELOW.
+CARRIED = 100 * EXACT_BELOW // PERCENT
 _EMPTY = np.uint64(1 << 63)
 
 
@@ -59,7 +62,6 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts, and how many words each text has. Words end at spaces and \\t to \\r."""
-    r = _random()
     data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     gap = (data == 32) | ((data >= 9) & (data <= 13))
     before = np.concatenate([[True], gap[:-1]])
@@ -71,30 +73,91 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(~gap)
     lengths = ends - starts
     place = np.arange(len(at)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    value = r["byte"][data[at]] * r["place"][place & 4095]
-    if lengths.max() > 4096:
-        value *= r["far"][(place >> 12) & 4095] * (np.uint64(2) * (place >> 24).astype(np.uint64) + np.uint64(1))
+    value = _byte_values(data[at], place)
     total = np.add.reduceat(value, np.cumsum(lengths) - lengths)
     return mix(total + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), n_words
 
 
-def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
-    """The sorted distinct hashes of each text's shingles; a text with fewer words has one of all of them."""
-    words, n = word_hashes([t.encode("utf-8", "surrogatepass").lower() for t in texts])  # bytes.lower: A to Z only
+def _byte_values(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    r = _random()
+    value = r["byte"][data] * r["place"][place & 4095]
+    if place.max(initial=0) > 4095:
+        value *= r["far"][(place >> 12) & 4095] * (np.uint64(2) * (place >> 24).astype(np.uint64) + np.uint64(1))
+    return value
+
+
+def long_word_hashes(text: bytes) -> Iterator[np.ndarray]:
+    """The hashes of the words of one text, as ``word_hashes`` has them, BLOCK_BYTES at a time; words may be longer than that."""
+    total, length = np.zeros(1, np.uint64), 0  # of the word that goes on from the part before
+    for at in range(0, len(text), BLOCK_BYTES):
+        data = np.frombuffer(text, np.uint8, min(BLOCK_BYTES, len(text) - at), at)
+        gap = (data == 32) | ((data >= 9) & (data <= 13))
+        begins = ~gap & np.concatenate([[True], gap[:-1]])
+        starts = np.flatnonzero(begins)
+        ends = np.flatnonzero(~gap & np.concatenate([gap[1:], [True]])) + 1
+        lengths = ends - starts
+        sums = np.zeros(0, np.uint64)
+        if len(starts):
+            goes_on = length if starts[0] == 0 else 0
+            place = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            place[: lengths[0]] += goes_on
+            sums = np.add.reduceat(_byte_values(data[~gap], place), np.cumsum(lengths) - lengths)
+        if length:
+            if len(starts) and starts[0] == 0:
+                sums[:1] += total
+                lengths[0] += length
+            else:
+                sums, lengths = np.concatenate([total, sums]), np.concatenate([[length], lengths])
+        total, length = np.zeros(1, np.uint64), 0
+        if len(ends) and ends[-1] == len(data):
+            total, length, sums, lengths = sums[-1:].copy(), int(lengths[-1]), sums[:-1], lengths[:-1]
+        yield mix(sums + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    if length:
+        yield mix(total + np.array([length], np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _rolled(words: np.ndarray, size: int) -> np.ndarray:
     keys = _random()["word"]
     count = max(0, len(words) - size + 1)
-    rolled = np.full(count, size, np.uint64)
+    out = np.full(count, size, np.uint64)
     for j in range(size):
-        rolled += words[j : j + count] * keys[j]
-    rolled = mix(rolled)
+        out += words[j : j + count] * keys[j]
+    return mix(out)
+
+
+def _short(words: np.ndarray) -> np.ndarray:
+    """The one shingle of fewer words than a shingle has; none of no words."""
+    keys = _random()["word"]
+    return mix(np.array([len(words)], np.uint64) + (words * keys[: len(words)]).sum(dtype=np.uint64)) if len(words) else np.zeros(0, np.uint64)
+
+
+def long_set(text: bytes, size: int = SHINGLE) -> np.ndarray:
+    """The set of one long text, in parts that share ``size - 1`` words."""
+    parts, last = [], np.zeros(0, np.uint64)
+    for words in long_word_hashes(text):
+        words = np.concatenate([last, words])
+        parts.append(np.unique(_rolled(words, size)))
+        last = words[max(0, len(words) - size + 1) :]
+        if len(parts) > 8:
+            parts = [np.unique(np.concatenate(parts))]
+    whole = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    return whole if len(whole) else _short(last)
+
+
+def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text's shingles; a text with fewer words has one of all of them."""
+    data = [t.encode("utf-8", "surrogatepass").lower() for t in texts]  # bytes.lower: A to Z only
+    short = [t if len(t) <= 2 * BLOCK_BYTES else b"" for t in data]
+    words, n = word_hashes(short)
+    rolled = _rolled(words, size)
     out, at = [], 0
-    for k in n.tolist():
-        if k >= size:
+    for whole, part, k in zip(data, short, n.tolist()):
+        if len(whole) > len(part):
+            out.append(long_set(whole, size))
+        elif k >= size:
             out.append(np.unique(rolled[at : at + k - size + 1]))
-        elif k:
-            out.append(mix(np.array([k], np.uint64) + (words[at : at + k] * keys[:k]).sum(dtype=np.uint64)))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append(_short(words[at : at + k]))
         at += k
     return out
 
@@ -249,11 +312,14 @@ def components(edges: DataFrame) -> DataFrame:
         step = hook.join(hook.toDF("p", "q"), "p").select("a", F.col("q").alias("p"))
         step = stored(step.join(hook.toDF("p", "q"), "p").select("a", F.col("q").alias("p")), "steps")
         moved = edges.join(step.toDF("a", "x"), "a").join(step.toDF("b", "y"), "b").where("x <> y")
-        edges = stored(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        before, edges = edges, stored(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        dropped(before, hook)
         if labels is None:
-            labels = step.toDF("id", "label")
+            found, labels = step, step.toDF("id", "label")
         else:
             labels = stored(labels.join(step.toDF("label", "q"), "label", "left").select("id", F.coalesce("q", "label").alias("label")), "labels")
+            dropped(found, step)
+            found = labels
     return labels if labels is not None else edges.toDF("id", "label")
 
 
@@ -266,21 +332,22 @@ def _common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
 
 
 def across(open_rows: DataFrame) -> DataFrame:
-    """Links (a, b) of different labels within a key, of rows (key, size, id, label, registers, members).
+    """Pairs (a, b) of different labels within a key that link (sure) or may link (not sure, both beyond CARRIED shingles), of
+    rows (key, size, id, label, registers, n, members); members: the set, where it has at most CARRIED shingles.
 
     A key's rows are dealt to blocks, and each pair of blocks is a group of bounded size of its own. Of the keys that a pair
-    shares, the one of the lowest band screens it and, if it passes, verifies it on the full sets, so only links come out.
+    shares, the one of the lowest band screens it. Small sets are verified here, so that of pairs that no estimate can screen
+    only links come out; large sets, which it screens well, are not sent along.
     """
     blocks = open_rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK_MEMBERS)).withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
     dealt = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "registers", "members"
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "registers", "n", "members"
     )
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own")
 
     def group(band: int, rows: list[tuple]) -> list[tuple]:
-        own, number, label, held, members = zip(*rows)
-        own, number, label = map(np.array, (own, number, label))
-        n = np.array([len(m) for m in members])
+        own, number, label, held, n, members = zip(*rows)
+        own, number, label, n = map(np.array, (own, number, label, n))
         table = np.frombuffer(b"".join(held), "<u2").reshape(-1, REGISTERS)
         several = own[0] != own[-1]  # pairs within one block belong to that block's own group
         found = []
@@ -292,30 +359,37 @@ def across(open_rows: DataFrame) -> DataFrame:
             if len(y):
                 equal = (table[y] == table[x]).reshape(len(y), BANDS, ROWS).all(axis=2)
                 y = y[equal.argmax(axis=1) == band]
-            if len(y):
-                shared = _common(members[x], [members[k] for k in y])
-                found += [(int(min(number[x], v)), int(max(number[x], v))) for v in number[y[100 * shared >= PERCENT * (n[x] + n[y] - shared)]]]
+            small = y[(n[y] <= CARRIED) & (n[x] <= CARRIED)]
+            if len(small):
+                shared = _common(members[x], [members[k] for k in small])
+                small = small[100 * shared >= PERCENT * (n[x] + n[small] - shared)]
+            for part, sure in ((small, True), (y[(n[y] > CARRIED) | (n[x] > CARRIED)], False)):
+                found += [(int(min(number[x], v)), int(max(number[x], v)), sure) for v in number[part]]
         return found
 
+    def made(found: list[tuple]) -> pa.RecordBatch:
+        a, b, sure = zip(*found)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sure)], names=["a", "b", "sure"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         last = None
         for batch in batches:
             found: list[tuple] = []
-            lists = batch.column(7)
+            lists = batch.column(8)
             offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
-            for k, (key, i, j, *row) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(7)))):
+            for k, (key, i, j, *row) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(8)))):
                 if (key, i, j) != last:
                     if len(held) > 1:
                         found += group(last[0] & 63, held)
                     held, last = [], (key, i, j)
                 held.append((*row, values[offsets[k] : offsets[k + 1]].copy()))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+                yield made(found)
         if len(held) > 1 and (found := group(last[0] & 63, held)):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+            yield made(found)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long, sure boolean")
 
 
 def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -326,6 +400,7 @@ def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> D
     copies = stored(copies.where("copies > 1").select("set_a", "set_b", "n", "rep"), "copies")
     classed = sketch.join(copies, ["set_a", "set_b", "n"], "left").withColumn("rep", F.coalesce("rep", "id"))
     classed = stored(classed.select("id", "n", "rep", F.when(F.expr("n > 0 AND id = rep"), F.col("registers")).alias("registers")), "classes")
+    dropped(sketch, copies)
     reps = classed.where("registers IS NOT NULL").select("id", "n", "registers")
 
     def key(band):
@@ -339,6 +414,7 @@ def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> D
     heads = runs.where("head").select("key", "id")
     joint = heads.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("tasks")).where("tasks > 1").select("key", "first")
     stars = stored(runs.where("NOT head").select("key", "id", "first").union(heads.join(joint, "key").where("id <> first").select("key", "id", "first")), "stars")
+    dropped(runs)
 
     pairs = stored(screened(stars.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), reps), "pairs")
     needed = stars.select("id").union(stars.select(F.col("first").alias("id"))).distinct()
@@ -353,21 +429,26 @@ def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> D
 
     rest = labelled(labelled(pairs.join(best, ["a", "b"], "left_anti"), "a", "x"), "b", "y").where("x <> y")
     more = stored(verified(rest, sets), "links")
+    dropped(pairs, best)
     if not more.isEmpty():
         links = links.union(more)
         labels = components(links)
 
     members = labelled(stars.select("key", "id").union(stars.select("key", F.col("first").alias("id"))).distinct(), "id", "label")
     members = stored(members.select("key", "id", "label"), "members")
+    dropped(stars)
     mixed = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low <> high AND size > 2")
     mixed = stored(mixed.select("key", "size"), "mixed")
     if not mixed.isEmpty():
-        rows = members.join(mixed, "key").join(reps.select("id", "registers"), "id").join(sets, "id")
-        more = stored(across(rows.select("key", "size", "id", "label", "registers", "members")), "links")
+        small = sets.where(F.size("members") <= CARRIED)
+        rows = members.join(mixed, "key").join(reps, "id").join(small, "id", "left")
+        found = stored(across(rows.select("key", "size", "id", "label", "registers", "n", "members")), "found")
+        more = stored(found.where("sure").select("a", "b").union(verified(found.where("NOT sure").select("a", "b").distinct(), sets)), "links")
         if not more.isEmpty():
             links = links.union(more)
             labels = components(links)
 
+    dropped(members, mixed, sets)
     out = classed.select("id", "n", "rep").join(stored(labels, "labels").toDF("rep", "label"), "rep", "left")
     component = F.when(F.col("id").isNull(), None).when(F.col("n") > 0, F.coalesce("label", "rep")).otherwise(F.col("id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("rep").alias("set_id"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -71,10 +71,11 @@ def test_odd_tables(spark):
     assert found == [(-1, 2, -1, True), (5, 2, 5, True), (5, 2, 5, True), (7, 0, 7, True), (9, 2, 5, False)]
 
 
-def test_blocks_of_a_large_key(spark, monkeypatch):
+@pytest.mark.parametrize("words, texts", [(60, 90), (1100, 60)])  # the sets of the first go along, those of the second are joined
+def test_blocks_of_a_large_key(spark, monkeypatch, words, texts):
     draw = random.Random(8)
-    base = [f"w{i}" for i in range(60)]
-    texts = family(draw, base, 90, 12)
+    base = [f"w{i}" for i in range(words)]
+    texts = family(draw, base, texts, words // 5)
     monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 16)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(df).collect()} == plain_components(list(enumerate(texts)))
@@ -122,6 +123,25 @@ def test_links_of_small_sets_are_not_screened_out(spark):
     assert all(r.component_id == r.doc_id // 2 * 2 for r in found)
 
 
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    import tracemalloc
+
+    draw = np.random.default_rng(6)
+    texts = [" ".join(map(str, draw.integers(0, 500, 900))), "x" * 9000 + " " + "y" * 5000 + "  z\ta b c d " + "w" * 7000, "é \n" * 3000, " " * 5000 + "a", "a b c" + " " * 6000, "q" * 20_000]
+    whole = neardup.shingle_sets(texts)
+    for size in (1, 7, 64, 1000, 4096):
+        monkeypatch.setattr(neardup, "BLOCK_BYTES", size)
+        for i in range(len(texts)) if size > 60 else (3, 4):
+            assert np.array_equal(neardup.shingle_sets([texts[i], "b"])[0], whole[i]), (size, i)
+    monkeypatch.undo()
+    long = " ".join(map(str, draw.integers(0, 1 << 40, 2_000_000)))  # 26 MB, nearly all shingles distinct
+    tracemalloc.start()
+    (made,) = neardup.shingle_sets([long])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(made) > 1_990_000 and peak < 8 * len(long), peak / len(long)
+
+
 def test_word_hashes_tell_words_apart():
     long = ["a" * 5000 + "b" + "a" * 5000, "a" * 4096 + "b" + "a" * 5904, "a" * 10001]
     hashes, n = neardup.word_hashes([x.encode() for x in [*long, "ab ba", "b a", ""]])
