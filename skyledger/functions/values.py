@@ -40,7 +40,7 @@ class MarketDate(NamedTuple):
     @classmethod
     def of(cls, year: int, month: int, day: int) -> MarketDate:
         if not 1 <= day <= days_in_month(year, month):
-            raise DateError("range", f"{year:04}-{month:02}-{day:02} is not a calendar day")
+            raise DateError("range", f"there is no day {year:04}-{month:02}-{day:02}")
         return cls(year, month, day)
 
     @classmethod
@@ -48,7 +48,7 @@ class MarketDate(NamedTuple):
         """Exactly ``YYYY-MM-DD``."""
         found = _DATE.fullmatch(text)
         if not found:
-            raise DateError("format", f"'{text}' is not a YYYY-MM-DD market date")
+            raise DateError("format", f"a date must read YYYY-MM-DD, not '{text}'")
         return cls.of(*map(int, found.groups()))
 
     def __str__(self) -> str:

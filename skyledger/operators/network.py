@@ -75,14 +75,15 @@ def _parse(text: str) -> dict:
             raise ValueError(f"{name} must be a whole number of at least 1")
     if type(found.get("forwardOnly")) is not bool:
         raise ValueError("forwardOnly must be true or false")
-    forms = {"neurons": {"type": str, "uuid": str, "bias": (int, float), "squash": str}, "synapses": {"fromUUID": str, "toUUID": str, "weight": (int, float)}}
+    text, number = {str}, {int, float}
+    forms = {"neurons": {"type": text, "uuid": text, "bias": number, "squash": text}, "synapses": {"fromUUID": text, "toUUID": text, "weight": number}}
     for part, fields in forms.items():
-        if not isinstance(found.get(part), list):
-            raise ValueError(f"{part} must be a list")
-        for item in found[part]:
-            for name, kind in fields.items():
-                if not isinstance(item, dict) or not isinstance(item.get(name), kind) or isinstance(item.get(name), bool):
-                    raise ValueError(f"{part}: {name} is missing or of another type")
+        items = found.get(part)
+        if not isinstance(items, list) or not {type(x) for x in items} <= {dict}:
+            raise ValueError(f"{part} must be a list of objects")
+        for name, kinds in fields.items():
+            if not {type(x.get(name)) for x in items} <= kinds:
+                raise ValueError(f"{part}: {name} is missing or of another type")
     return found
 
 
@@ -90,13 +91,13 @@ def load_creature(path: str) -> Creature:
     try:
         data = read_bytes(path)
     except OSError as e:
-        raise EngineError("io", f"cannot read creature {path}: {e}") from None
+        raise EngineError("io", f"model {path} can't be read: {e}") from None
     try:
         return Creature(path, sha256_hex(data), _parse(data.decode()))
     except UnicodeDecodeError as e:
-        raise EngineError("creature", f"creature {path} refused: not UTF-8: {e}") from None
+        raise EngineError("creature", f"model {path} is no UTF-8 text: {e}") from None
     except (ValueError, RecursionError) as e:
-        raise EngineError("creature", f"creature {path} refused: {e}") from None
+        raise EngineError("creature", f"model {path} can't be used: {e}") from None
 
 
 @dataclass
@@ -116,18 +117,14 @@ def compiled(export: dict) -> tuple[int, list[Level], np.ndarray]:
     if len(node) < len(neurons):
         raise ValueError("two neurons share a uuid")
     incoming: list[list[tuple[int, float]]] = [[] for _ in neurons]
+    sources = node | {f"input-{i}": i for i in range(n_in)}
     for s in export["synapses"]:
-        if found := _INPUT.fullmatch(s["fromUUID"]):
-            source = int(found[1])
-            if source >= n_in:
-                raise ValueError(f"synapse from {s['fromUUID']}, but there are {n_in} inputs")
-        elif s["fromUUID"] in node:
-            source = node[s["fromUUID"]]
-        else:
-            raise ValueError(f"synapse from unknown neuron {s['fromUUID']}")
-        if s["toUUID"] not in node:
+        source, target = sources.get(s["fromUUID"]), node.get(s["toUUID"])
+        if source is None or source >= n_in and _INPUT.fullmatch(s["fromUUID"]):
+            raise ValueError(f"synapse from {s['fromUUID']}, which is no neuron and none of the {n_in} inputs")
+        if target is None:
             raise ValueError(f"synapse to unknown neuron {s['toUUID']}")
-        incoming[node[s["toUUID"]] - n_in].append((source, s["weight"]))
+        incoming[target - n_in].append((source, s["weight"]))
     for x in neurons:
         if x["squash"] not in SQUASHES:
             raise ValueError(f"unknown squash {x['squash']}")
@@ -170,24 +167,25 @@ def compiled(export: dict) -> tuple[int, list[Level], np.ndarray]:
 class Predictor:
     """A compiled model for rows of ``stride`` values; values beyond the model's inputs are ignored."""
 
-    def __init__(self, creature: Creature, archive_input_count: int):
+    def __init__(self, creature: Creature, archive_input_count: int, like: Predictor | None = None):
+        """``like``: the same model, compiled for another width."""
         export = creature.export
         if not export["forwardOnly"]:
-            raise EngineError("not_forward_only", "the creature is not forwardOnly: a recurrent creature's predictions would depend on row order")
+            raise EngineError("not_forward_only", "only models with forwardOnly true can be scored row by row")
         if export["input"] > archive_input_count:
             raise EngineError(
                 "wider_than_archive",
-                f"the creature consumes {export['input']} inputs but the archive holds {archive_input_count} per row; observations extend, never contract — score it against an archive assembled under its own semantics",
+                f"the model reads {export['input']} values a row, more than the {archive_input_count} that the archive has",
             )
         try:
-            self.nodes, self.levels, self.outputs = compiled(export)
+            self.nodes, self.levels, self.outputs = (like.nodes, like.levels, like.outputs) if like else compiled(export)
         except ValueError as e:
-            raise EngineError("creature", f"creature {creature.path} refused: {e}") from None
+            raise EngineError("creature", f"model {creature.path} can't be used: {e}") from None
         self.input_count, self.output_count, self.stride = export["input"], export["output"], archive_input_count
 
     def activate(self, rows: np.ndarray) -> np.ndarray:
         """Outputs of a matrix of rows, a row each."""
-        step = max(1, min(256, MATRIX_VALUES // self.nodes))
+        step = max(1, min(128, MATRIX_VALUES // self.nodes))
         out = np.empty((len(rows), self.output_count), np.float32)
         with np.errstate(all="ignore"):
             for at in range(0, len(rows), step):
@@ -208,7 +206,7 @@ class Predictor:
         """Outputs of whole rows that lie end to end, likewise end to end."""
         flat = np.asarray(flat, np.float32)
         if flat.size % self.stride:
-            raise EngineError("batch_shape", f"a batch of {flat.size} values is not a whole number of {self.stride}-value rows")
+            raise EngineError("batch_shape", f"{flat.size} values do not make whole rows of {self.stride}")
         return self.activate(flat.reshape(-1, self.stride)).reshape(-1)
 
     def activate_one(self, row: np.ndarray) -> np.ndarray:
@@ -230,7 +228,7 @@ def score(rows: DataFrame, predictor: Predictor, inputs: str = "x", outputs: str
             m = model.value
             widths = np.asarray(x.value_lengths().drop_null())
             if (widths != m.stride).any():
-                raise EngineError("batch_shape", f"a batch of {int(widths[widths != m.stride][0])} values is not a whole number of {m.stride}-value rows")
+                raise EngineError("batch_shape", f"{int(widths[widths != m.stride][0])} values do not make whole rows of {m.stride}")
             y = m.predict(flat)
             offsets = np.zeros(batch.num_rows + 1, np.int32)
             offsets[1:][there] = m.output_count

@@ -6,15 +6,18 @@ the event ids; ``embeddings`` are observations; ``documents`` are bytes to hash;
 
 from __future__ import annotations
 
+import atexit
 import json
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 from skyledger.functions import columns as C
 from skyledger.functions.values import MarketDate
 from skyledger.operators import compare, resolve
@@ -24,10 +27,10 @@ from skyledger.sources.publish import write_archive
 #: A model of 3 inputs, a hidden neuron and an output.
 MODEL = {
     "input": 3, "output": 1, "forwardOnly": True,
-    "neurons": [{"type": "hidden", "uuid": "h", "bias": 0.1, "squash": "TANH"}, {"type": "output", "uuid": "out", "bias": -0.2, "squash": "IDENTITY"}],
+    "neurons": [{"type": "hidden", "uuid": "h", "bias": -0.375, "squash": "TANH"}, {"type": "output", "uuid": "out", "bias": 0.4, "squash": "IDENTITY"}],
     "synapses": [
-        {"fromUUID": "input-0", "toUUID": "h", "weight": 0.5}, {"fromUUID": "input-1", "toUUID": "h", "weight": -1.25},
-        {"fromUUID": "h", "toUUID": "out", "weight": 2.0}, {"fromUUID": "input-2", "toUUID": "out", "weight": 0.75},
+        {"fromUUID": "input-0", "toUUID": "h", "weight": 0.25}, {"fromUUID": "input-1", "toUUID": "h", "weight": 0.875},
+        {"fromUUID": "h", "toUUID": "out", "weight": 1.25}, {"fromUUID": "input-2", "toUUID": "out", "weight": -0.5},
     ],
 }
 #: A model of 8 inputs, three hidden neurons on two levels with each squash, and two outputs.
@@ -42,12 +45,21 @@ WIDE_MODEL = {
         {"fromUUID": "b", "toUUID": "c", "weight": -1.0}, {"fromUUID": "c", "toUUID": "o1", "weight": 2.0}, {"fromUUID": "input-5", "toUUID": "o1", "weight": 0.5}, {"fromUUID": "c", "toUUID": "o2", "weight": 1.0}, {"fromUUID": "a", "toUUID": "o2", "weight": 1.0},
     ],
 }
-_H = "tanh(0.5::DOUBLE * {x}[1] - 1.25::DOUBLE * {x}[2] + 0.1::DOUBLE)"
-_MODEL_SQL = f"(2.0::DOUBLE * {_H} + 0.75::DOUBLE * {{x}}[3] - 0.2::DOUBLE)"
+_H = "tanh(0.25::DOUBLE * {x}[1] + 0.875::DOUBLE * {x}[2] - 0.375::DOUBLE)"
+_MODEL_SQL = f"(1.25::DOUBLE * {_H} - 0.5::DOUBLE * {{x}}[3] + 0.4::DOUBLE)"
 _WIDE_SQL = """a AS (SELECT *, 1 / (1 + exp(-(0.25 + 1.5 * x[1] - 2.0 * x[8]))) AS a, greatest(0, -0.125 + 3.0 * x[4]) AS b FROM e), c AS (SELECT *, tanh(a - b) AS c FROM a)"""
 _E_SQL = "e AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings)"
 
 
+_PLACED = "SELECT '{dataset}' AS dataset, vec_id, 2021 AS year, month(DATE '2021-01-01' + (vec_id % 90)::INTEGER)::INTEGER AS month, CASE WHEN vec_id % 8 = 6 THEN '_' ELSE substr('ABCXYZ^3', (vec_id % 8 + 1)::INTEGER, 1) END AS prefix FROM embeddings"
+_ROWS_SQL, _AGAIN_SQL = _PLACED.format(dataset="ds1"), _PLACED.format(dataset="ds2") + " WHERE vec_id % 5 = 0"
+
+
+def _rounded(value: str) -> str:
+    """To two decimals, without the sign that DuckDB leaves on a zero."""
+    return f"CASE WHEN round({value}, 2) = 0 THEN 0::DOUBLE ELSE round({value}, 2) END"
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
@@ -133,7 +145,7 @@ for _name, _first, _last in (("date_range_inclusive", "2024-01-05", "2024-01-12"
     QUERIES[_name] = _range(_first, _last)
     ORACLES[_name] = "SELECT event_id, ts::DATE::VARCHAR AS date FROM events WHERE true" + (f" AND ts::DATE >= DATE '{_first}'" if _first else "") + (f" AND ts::DATE <= DATE '{_last}'" if _last else "")
 
-_SYMBOLS = ["^GSPC", "Ü", "ı", "ſ", "", "3m", "bhp", "_x", " a"]
+_SYMBOLS = ["^WIND", "Ü", "ı", "ſ", "", "3m", "bhp", "_x", " a"]
 
 
 @query(f"""SELECT s, CASE WHEN regexp_matches(s, '^[0-9A-Za-z]') THEN upper(substr(s, 1, 1)) ELSE '_' END AS prefix
@@ -197,11 +209,11 @@ def superseded_count(spark, d):
     return resolve.superseded_rows(_listings(spark, d))
 
 
-@query(f"""WITH l AS (SELECT {_SYMBOL} AS symbol, ts::DATE AS date, event_id FROM events WHERE event_id // 1250 <= 3)
-SELECT symbol, date::VARCHAR AS date, max(event_id) AS idx_seq FROM l GROUP BY symbol, date""")
+@query("SELECT vec_id, embedding[1]::DOUBLE AS first, embedding[64]::DOUBLE AS last FROM embeddings")
 def pinned_snapshot(spark, d):
-    rows = resolve.latest_rows(_listings(spark, d).where("pub_seq <= 3"), ["pub_seq", "idx_seq"])
-    return rows.select("symbol", _text(F.col("date")).alias("date"), "idx_seq")
+    """The first of two datasets of an archive, read while the second is the newest."""
+    rows = spark.read.format("observations").option("dataset", "ds1").load(_registered(spark, _published(spark, d)))
+    return rows.select(F.substring("symbol", 2, 30).cast("long").alias("vec_id"), F.element_at("x", 1).cast("double").alias("first"), F.element_at("x", 64).cast("double").alias("last"))
 
 
 @query(f"WITH {_WINNERS}, {_PARTS} SELECT year, month, prefix, count(*) AS row_count, printf('%04d/%02d/%s', year, month, prefix) AS id FROM p GROUP BY year, month, prefix")
@@ -245,13 +257,17 @@ def semantics_uniform(spark, d):
     return resolve.semantic_mismatches(rows, F.struct(F.lit(0).alias("observation_extension"), F.lit(64).alias("input_count"), F.lit("f").alias("feature_fingerprint")))
 
 
-@query("""WITH i AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1), m AS (SELECT o_orderkey AS k, o_orderkey % 7 AS n FROM orders)
-SELECT coalesce(i.k, m.k) AS shard, CASE WHEN i.k IS NULL THEN 'no index' WHEN m.k IS NULL THEN 'no entry' ELSE 'row count' END AS fault FROM i FULL JOIN m ON i.k = m.k WHERE i.k IS NULL OR m.k IS NULL OR i.n <> m.n""")
+@query(f"""WITH r AS ({_ROWS_SQL} UNION ALL {_AGAIN_SQL})
+SELECT printf('%04d/%02d/%s/%s.bin', year, month, prefix, dataset) AS path, count(*) AS declared, count(*) AS listed, (count(*) * 256)::BIGINT AS bytes, true AS agree FROM r GROUP BY dataset, year, month, prefix""")
 def manifest_index_crosscheck(spark, d):
-    index = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("shard")).agg(F.count("*").alias("listed"))
-    entries = _t(spark, d, "orders").select(F.col("o_orderkey").alias("shard"), (F.col("o_orderkey") % 7).alias("declared"))
-    fault = F.when(F.col("listed").isNull(), "no index").when(F.col("declared").isNull(), "no entry").when(F.col("listed") != F.col("declared"), "row count")
-    return index.join(entries, "shard", "full").select("shard", fault.alias("fault")).where("fault IS NOT NULL")
+    """Entries of the manifests of an archive against the rows that its indexes list."""
+    root = _published(spark, d)
+    entries = resolve.flatten_shards(spark.read.json(f"{root}/datasets/*.json", multiLine=True).withColumn("pub_seq", F.col("datasetId")))
+    listed = resolve.flatten_rows(spark.read.json(f"{root}/*/*/*/*.index.json", multiLine=True), "shardFile", "year", "month", "prefix")
+    path = F.concat(C.partition_id(F.col("year"), F.col("month"), F.col("prefix")), F.lit("/"), F.col("shardFile"))
+    counts = listed.groupBy(path.alias("path")).agg(F.count("*").alias("listed"), F.max("row").alias("last"))
+    found = entries.select("path", F.col("rowCount").alias("declared"), "bytes").join(counts, "path", "full")
+    return found.select("path", "declared", "listed", "bytes", ((F.col("declared") == F.col("listed")) & (F.col("last") == F.col("listed") - 1)).alias("agree"))
 
 
 @query("SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
@@ -283,9 +299,16 @@ def identity_key(spark, d):
     return _t(spark, d, "documents").select("doc_id", key.alias("key"))
 
 
-@query(f"WITH {_E_SQL} SELECT vec_id, round({_MODEL_SQL.format(x='x')}, 6) AS y FROM e")
+@query(f"WITH {_E_SQL} SELECT vec_id, {_rounded(_MODEL_SQL.format(x='x'))} AS y FROM e")
 def activate_single(spark, d):
-    return _x(spark, d).select("vec_id", F.round(activation_columns(MODEL, F.col("x"))[0], 6).alias("y"))
+    model = Predictor(Creature("", "", MODEL), 64)
+
+    def one(batches):
+        for batch in batches:
+            y = [float(model.activate_one(np.array(x, np.float32))[0]) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(y, pa.float64())], names=["vec_id", "y"])
+
+    return _x(spark, d).select("vec_id", "x").mapInArrow(one, "vec_id long, y double").select("vec_id", F.round("y", 2).alias("y"))
 
 
 @query(f"WITH {_E_SQL}, n AS (SELECT vec_id, x[1:3] AS x FROM e) SELECT vec_id, round({_MODEL_SQL.format(x='x')}, 6) AS y FROM n")
@@ -300,14 +323,11 @@ def activate_multi_output(spark, d):
     return _x(spark, d).select("vec_id", F.round(one, 6).alias("o1"), F.round(two, 6).alias("o2"))
 
 
-@query(f"WITH {_E_SQL}, {_WIDE_SQL} SELECT vec_id, round(0.5 + 2.0 * c + 0.5 * x[6], 3) AS o1, round(tanh(c + a), 3) AS o2, true AS close FROM c")
+@query(f"WITH {_E_SQL}, {_WIDE_SQL} SELECT vec_id, {_rounded('0.5 + 2.0 * c + 0.5 * x[6]')} AS o1, {_rounded('tanh(c + a)')} AS o2 FROM c")
 def activate_bulk(spark, d):
-    made = score(_x(spark, d).withColumn("z", F.col("x")), Predictor(Creature("", "", WIDE_MODEL), 64))
-    exact = activation_columns(WIDE_MODEL, F.col("z"))
-    close = (F.abs(exact[0] - F.col("y")[0]) < 1e-5) & (F.abs(exact[1] - F.col("y")[1]) < 1e-5)
-    # The kernel works in single precision; where it is close, the exact value stands for it, so that rounding can't differ.
-    value = lambda i: F.round(F.when(close, exact[i]).otherwise(F.col("y")[i].cast("double")), 3)
-    return made.select("vec_id", value(0).alias("o1"), value(1).alias("o2"), close.alias("close"))
+    """The kernel's own values, in single precision; two decimals leave room for that."""
+    made = score(_x(spark, d), Predictor(Creature("", "", WIDE_MODEL), 64))
+    return made.select("vec_id", *[F.round(F.col("y")[i].cast("double"), 2).alias(f"o{i + 1}") for i in range(2)])
 
 
 @query(f"WITH {_E_SQL}, s AS (SELECT vec_id, v.i AS i, x[v.i + 1] * v.w AS v FROM e, (VALUES (0, 0.5::DOUBLE), (1, -1.25::DOUBLE), (2, 0.75::DOUBLE)) AS v(i, w)) SELECT vec_id, round(sum(v), 6) AS total FROM s GROUP BY vec_id")
@@ -353,17 +373,14 @@ def utc_format(spark, d):
     return _t(spark, d, "events").select("event_id", C.format_utc(F.floor(F.unix_micros(ts) / 1_000_000)).alias("utc"))
 
 
-@query(f"""WITH {_WINNERS}, {_PARTS}, g AS (SELECT year, month, prefix, count(*) AS n, sum(idx_seq) AS s FROM p GROUP BY ALL)
-SELECT count(*) AS partitions, sum(n)::BIGINT AS row_count, (SELECT count(*) FROM l) - sum(n)::BIGINT AS superseded_rows, string_agg(printf('%04d/%02d/%s', year, month, prefix), ',' ORDER BY year, month, prefix) AS paths FROM g""")
+@query(f"""WITH g AS (SELECT year, month, prefix, count(*) AS n FROM ({_ROWS_SQL}) GROUP BY ALL)
+SELECT count(*) AS partitions, sum(n)::BIGINT AS row_count, (SELECT count(*) FROM embeddings WHERE vec_id % 5 = 0) AS superseded_rows, string_agg(printf('%04d/%02d/%s', year, month, prefix), ',' ORDER BY year, month, prefix) AS paths FROM g""")
 def run_manifest_summary(spark, d):
-    parts = resolve.partition_columns(_winners(spark, d)).groupBy("year", "month", "prefix").agg(F.count("*").alias("n"))
-    path = C.partition_id(F.col("year"), F.col("month"), F.col("prefix"))
-    made = parts.agg(F.count("*").alias("partitions"), F.sum("n").alias("row_count"), F.array_join(F.sort_array(F.collect_list(path)), ",").alias("paths"))
-    none = lambda c, kind="long": F.lit(None).cast(kind).alias(c)
-    both = made.select("partitions", "row_count", none("superseded_rows"), "paths").union(
-        resolve.superseded_rows(_listings(spark, d)).select(none("partitions"), none("row_count"), "superseded_rows", none("paths", "string"))
-    )
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+    """What the manifest of a run says of it."""
+    root = _published(spark, d)
+    made = _run(spark, root).manifest
+    row = (len(made["partitions"]), made["rowCount"], made["supersededRows"], ",".join(p["path"] for p in made["partitions"]))
+    return spark.createDataFrame([row], "partitions long, row_count long, superseded_rows long, paths string")
 
 
 @query(f"""WITH {_E_SQL}, a AS (SELECT vec_id, {_MODEL_SQL.format(x='x')} AS v FROM e WHERE vec_id % 50 <> 1), b AS (SELECT vec_id, {_MODEL_SQL.format(x='x')} + CASE WHEN vec_id % 7 = 0 THEN 0.001 * vec_id ELSE 0 END AS v FROM e WHERE vec_id % 50 <> 2)
@@ -384,10 +401,34 @@ def prediction_missing(spark, d):
 
 
 def _shared(spark: SparkSession) -> str:
-    found = spark.conf.get("spark.checkpoint.dir", None) or ("file://" + tempfile.mkdtemp(prefix="skyledger-") if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local" else spark.conf.get("spark.sql.warehouse.dir"))
+    """A new folder that driver and executors share, removed when the program ends."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="skyledger-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
+        found = f"file://{found}"
     return f"{found.rstrip('/')}/archive-{uuid.uuid4().hex}"
 
 
+def _registered(spark: SparkSession, root: str) -> str:
+    from skyledger.plans.run import register
+
+    register(spark)
+    return root
+
+
+def _run(spark: SparkSession, root: str, **dates: MarketDate):
+    """A run of MODEL over the archive."""
+    from skyledger.plans.run import PredictRequest, run
+    from skyledger.sources.files import write_bytes
+
+    base = root[: -len("/116/f00d")]
+    write_bytes(f"{base}/model.json", json.dumps(MODEL).encode())
+    return run(spark, PredictRequest(f"{base}/model.json", root, f"{base}/predictions/run", **dates))
+
+
 def _published(spark: SparkSession, d: str) -> str:
     """An archive of all embeddings in two publications; the second restates every fifth row with its values doubled."""
     root = f"{_shared(spark)}/116/f00d"
@@ -407,20 +448,102 @@ def f32le_roundtrip(spark, d):
 
 
 @query(f"""WITH {_E_SQL}, v AS (SELECT vec_id, list_transform(x, lambda i: i * CASE WHEN vec_id % 5 = 0 THEN 2 ELSE 1 END) AS x FROM e WHERE DATE '2021-01-01' + (vec_id % 90)::INTEGER BETWEEN DATE '2021-01-15' AND DATE '2021-02-20')
-SELECT vec_id, round({_MODEL_SQL.format(x='x')}, 3) AS y, true AS close FROM v""")
+SELECT vec_id, {_rounded(_MODEL_SQL.format(x='x'))} AS y FROM v""")
 def archive_end_to_end(spark, d):
-    from skyledger.plans.run import PredictRequest, run
+    """A run over an archive, read back: the kernel's own values."""
+    made = _run(spark, _published(spark, d), first=MarketDate(2021, 1, 15), last=MarketDate(2021, 2, 20))
+    rows = spark.read.format("predictions").load(made.output)
+    return rows.select(F.substring("symbol", 2, 30).cast("long").alias("vec_id"), F.round(F.col("y")[0], 2).alias("y"))
+
+
+#: Damage to an archive of two datasets: name, kind of the fault, and what is changed where: fields of the old or new manifest, of an
+#: entry or an index of the new one, or the bytes of its payload.
+_DAMAGE = [
+    ("none", "ok", "index", {}), ("unsafe previous id", "corrupt", "new", {"previousDatasetId": ".."}), ("loop", "corrupt", "old", {"previousDatasetId": "ds2"}), ("manifest schema", "schema", "old", {"schema": "x"}),
+    ("manifest byte order", "schema", "new", {"byteOrder": "big-endian"}), ("other name", "corrupt", "old", {"datasetId": "ds9"}), ("no width", "corrupt", "both", {"inputCount": 0}), ("mixed semantics", "semantics", "old", {"featureFingerprint": "x"}),
+    ("other root", "semantics", "both", {"observationExtension": 7}), ("no .bin", "corrupt", "entry", {"path": "2021/05/A/ds2.dat"}), ("outside", "corrupt", "entry", {"path": "../ds2.bin"}), ("listed twice", "corrupt", "entry", {"path": "2021/05/A/ds1.bin"}),
+    ("index schema", "schema", "index", {"schema": "x"}), ("index semantics", "semantics", "index", {"inputCount": 3}), ("shard file", "corrupt", "index", {"shardFile": "x.bin"}), ("row count", "corrupt", "index", {"rowCount": 2}), ("byte count", "corrupt", "entry", {"bytes": 3}),
+    ("index hash", "hash", "index", {"shardSha256": "0"}), ("index place", "corrupt", "index", {"month": 6}), ("symbol", "corrupt", "row", {"symbol": " A"}), ("date", "corrupt", "row", {"date": "2021-5-04"}), ("ordinal", "corrupt", "row", {"row": 1}),
+    ("other partition", "corrupt", "row", {"symbol": "B"}), ("payload length", "corrupt", "payload", b"\0"), ("payload hash", "hash", "payload", b"\0" * 8), ("no payload", "io", "payload", None), ("not finite", "corrupt", "value", float("inf")), ("field of another type", "json", "index", {"rows": 3}),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{name}', '{kind}')" for name, kind, *_ in _DAMAGE) + ") AS t(damage, kind)")
+def archive_faults(spark, d):
+    """The fault that each kind of damage to an archive is refused with."""
+    from skyledger.sources import archive
+    from skyledger.sources.files import ArchiveError, file_system, pretty, read_bytes, write_bytes
+    from skyledger.sources.publish import semantics_fields, write_manifest, write_shard
+
+    base, found = _shared(spark), []
+    for k, (name, _, where, change) in enumerate(_DAMAGE):
+        root, written = f"{base}/{k}/116/f00d", semantics_fields(2, 116, "f00d")
+        for dataset, day, previous in (("ds1", "2021-05-03", None), ("ds2", "2021-05-04", "ds1")):
+            value = change if where == "value" and previous else 1.0
+            write_manifest(root, dataset, previous, written, [write_shard(root, dataset, written, 2021, 5, "A", [("A", day, None)], np.array([[value, 2.0]]))])
+        place = f"{root}/2021/05/A/ds2"
+        if where == "payload":
+            fs, at = file_system(f"{place}.bin")
+            if change is None:
+                fs.delete_file(at)
+            else:
+                write_bytes(f"{place}.bin", change)
+        elif where != "value":
+            files = {"old": ["datasets/ds1"], "new": ["datasets/ds2"], "both": ["datasets/ds1", "datasets/ds2"], "entry": ["datasets/ds2"]}.get(where, ["2021/05/A/ds2.index"])
+            for file in files:
+                made = json.loads(read_bytes(f"{root}/{file}.json"))
+                if where in ("entry", "row"):
+                    (held,) = made["shards" if where == "entry" else "rows"]
+                    held.update(change)
+                else:
+                    made.update(change)
+                write_bytes(f"{root}/{file}.json", pretty(made))
+        try:
+            _, chain, semantics = archive.snapshot(root, None)
+            shards = archive.chain_shards(chain)
+            if twice := archive.first_repeated(shards):
+                raise twice[1]
+            rows, _ = archive.resolve((row for shard in shards for row in archive.read_index(root, shard, semantics)), None, None)
+            archive.gather(root, rows, semantics.input_count)
+            found.append((name, "ok"))
+        except ArchiveError as e:
+            found.append((name, e.kind))
+    return spark.createDataFrame(found, "damage string, kind string")
+
+
+@query("""SELECT * FROM (VALUES (1, 'first', '0', 100), (2, 'again', 'complete', 100), (3, 'other dates', '73', 0), (4, 'dates in reverse', '64', 0), (5, 'no model', '66', 0), (6, 'refused rows', '3', 99), (7, 'damaged payload', '65', 0)) AS t(n, request, outcome, n_rows)""")
+def run_outcomes(spark, d):
+    """How runs end: exit codes, or ``complete`` for a run that was there; and how many rows the output holds."""
+    from skyledger.plans.run import PredictRequest, exit_code, run
     from skyledger.sources.files import write_bytes
 
-    root = _published(spark, d)
+    root = f"{_shared(spark)}/116/f00d"
     base = root[: -len("/116/f00d")]
+    rows = spark.range(100).select(F.concat(F.lit("A"), F.col("id").cast("string")).alias("symbol"), F.lit("2021-05-03").cast("date").alias("date"), F.lit(None).cast("string").alias("exchange"), F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: (F.col("id") % 7 + i).cast("float")).alias("x"))
+    write_archive(rows.coalesce(1), root, "ds1", None, 3, 116, "f00d")
     write_bytes(f"{base}/model.json", json.dumps(MODEL).encode())
-    request = PredictRequest(f"{base}/model.json", root, f"{base}/predictions/run", first=MarketDate(2021, 1, 15), last=MarketDate(2021, 2, 20))
-    found = spark.read.format("predictions").load(run(spark, request).output)
-    rows = found.select(F.substring("symbol", 2, 30).cast("long").alias("vec_id"), F.col("y")[0].alias("found"))
-    doubled = _x(spark, d).withColumn("x", F.transform("x", lambda v: F.when(F.col("vec_id") % 5 == 0, v * 2).otherwise(v)))
-    exact = doubled.select("vec_id", activation_columns(MODEL, F.col("x"))[0].alias("exact"))
-    close = F.abs(F.col("exact") - F.col("found")) < 1e-5
-    return rows.join(exact, "vec_id").select("vec_id", F.round(F.when(close, F.col("exact")).otherwise(F.col("found")), 3).alias("y"), close.alias("close"))
-
-
+    hot = {**MODEL, "synapses": [*MODEL["synapses"], {"fromUUID": "input-1", "toUUID": "out", "weight": 1.0}]}
+    found = []
+
+    def ends(n: int, name: str, **changes) -> None:
+        request = PredictRequest(**({"creature": f"{base}/model.json", "archive": root, "output": f"{base}/out/run"} | changes))
+        try:
+            made = run(spark, request)
+            outcome = "complete" if made.already_complete else "3" if made.manifest["refused"] else "0"
+            found.append((n, name, outcome, made.manifest["rowCount"]))
+        except Exception as e:
+            found.append((n, name, str(exit_code(e)), 0))
+
+    ends(1, "first")
+    ends(2, "again")
+    ends(3, "other dates", first=MarketDate(2021, 1, 1))
+    ends(4, "dates in reverse", first=MarketDate(2021, 1, 2), last=MarketDate(2021, 1, 1))
+    ends(5, "no model", creature=f"{base}/none.json")
+    # One row whose third value is large enough for an output beyond single precision.
+    large = rows.withColumn("x", F.when(F.col("symbol") == "A7", F.array(F.lit(0.0), F.lit(0.0), F.lit(3e38)).cast("array<float>")).otherwise(F.col("x")))
+    write_archive(large.coalesce(1), root, "ds2", None, 3, 116, "f00d")
+    write_bytes(f"{base}/hot.json", json.dumps({**hot, "synapses": [*hot["synapses"], {"fromUUID": "input-2", "toUUID": "out", "weight": 9.0}]}).encode())
+    ends(6, "refused rows", creature=f"{base}/hot.json", output=f"{base}/out/hot")
+    write_bytes(f"{root}/2021/05/A/ds2.bin", b"")
+    ends(7, "damaged payload", output=f"{base}/out/damaged")
+    return spark.createDataFrame(found, "n int, request string, outcome string, n_rows int")

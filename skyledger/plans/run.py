@@ -6,8 +6,11 @@ The plan is a scan that scores, and a write, without a shuffle in between: each
 from __future__ import annotations
 
 import json
+import pickle
+import threading
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 import pyarrow as pa
@@ -16,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.functions.values import MAX_DATASET_ID_BYTES, MarketDate, is_valid_dataset_id, utc_now
 from skyledger.operators.network import ENGINE, ENGINE_SOURCE, ENGINE_VERSION, Creature, EngineError, Predictor, load_creature
 from skyledger.sources.archive import Archive, ObservationSource, open_archive
-from skyledger.sources.files import ArchiveError
+from skyledger.sources.files import ArchiveError, write_bytes
 from skyledger.sources.predictions import RESEARCH_MODE, RUN_MANIFEST_SCHEMA, OutputError, Part, PredictionIdentity, PredictionSource, PredictionWriter, StagedRun, identity_options, inspect_output
 
 TOOL, TOOL_VERSION = "skyledger", "0.1.0"
@@ -69,42 +72,63 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def observations(spark: SparkSession, archive: Archive, faults_as_rows: bool = False, creature: Creature | None = None) -> DataFrame:
+def observations(spark: SparkSession, archive: Archive, faults_as_rows: bool = False, creature: Creature | None = None, compiled: str | None = None) -> DataFrame:
     """The rows of a resolved snapshot; each of its partitions lies whole in a task. With a model they come out scored."""
     register(spark)
     options = {
         "path": archive.fingerprint_root, "dataset": archive.dataset_id, "from": archive.first, "to": archive.last, "tasks": 2 * spark.sparkContext.defaultParallelism,
-        "faults": "rows" if faults_as_rows else None, "model": creature and creature.path, "model_sha256": creature and creature.sha256,
+        "faults": "rows" if faults_as_rows else None, "model": creature and creature.path, "model_sha256": creature and creature.sha256, "compiled": compiled,
     }
     return spark.read.format("observations").options(**{k: str(v) for k, v in options.items() if v is not None}).load()
 
 
-def scored(spark: SparkSession, archive: Archive, creature: Creature) -> DataFrame:
+def scored(spark: SparkSession, archive: Archive, creature: Creature, compiled: str | None = None) -> DataFrame:
     """Scan with the model pushed into it: wide rows are scored where they are decoded, and only outputs reach the JVM.
     ``operators.network.score`` gives the same values for rows of any other source."""
-    return observations(spark, archive, True, creature).select("year", "month", "prefix", "symbol", "date", "exchange", "y", "fault")
+    return observations(spark, archive, True, creature, compiled).select("year", "month", "prefix", "symbol", "date", "exchange", "y", "fault")
 
 
-def publish(rows: DataFrame, staged: StagedRun, manifest: dict) -> None:
+def publish(rows: DataFrame, staged: StagedRun, manifest: dict, wrote: Callable[[int], None] = lambda n: None) -> None:
     """Writes scored rows where they are and publishes them: tasks write their partitions and answer with a record of each,
     the driver commits the answers. (``format("predictions")`` does the same through the data source API, at the price of a
-    few more Python processes on the driver.)"""
+    few more Python processes on the driver.) ``wrote`` hears, while tasks run, how many partitions have been written so far."""
     writer = PredictionWriter(identity_options(staged, manifest))
+    done = rows.sparkSession.sparkContext.accumulator(0)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = writer.write(batches)
+        done.add(len(part.records))
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(asdict(part))])], names=["part"])
 
-    writer.commit([Part(**json.loads(r.part)) for r in rows.mapInArrow(write, "part string").collect()])  # a row a task
+    over = threading.Event()
+
+    def watch() -> None:
+        while not over.wait(0.5):
+            wrote(done.value)
+
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        parts = [Part(**json.loads(r.part)) for r in rows.mapInArrow(write, "part string").collect()]  # a row a task
+    finally:
+        over.set()
+        watcher.join()
+    writer.commit(parts)
 
 
 def run(spark: SparkSession, request: PredictRequest, progress: Callable[[str], None] = lambda line: None) -> RunSummary:
     """Runs the request. Errors come in this order: request, model file, archive, fit of both, output, partitions."""
     request.validate()
     started, clock = utc_now(), time.monotonic()
-    creature = load_creature(request.creature)
-    archive = open_archive(spark, request.archive, request.dataset, request.first, request.last)
-    predictor = Predictor(creature, archive.semantics.input_count)
+    with ThreadPoolExecutor(1) as side:  # the model is read while tasks check the indexes; its faults come first all the same
+        model = side.submit(load_creature, request.creature)
+        compiled = side.submit(lambda: Predictor(model.result(), model.result().export["input"]))
+        try:
+            archive = open_archive(spark, request.archive, request.dataset, request.first, request.last)
+        finally:
+            creature = model.result()
+        compiled.exception()
+    predictor = Predictor(creature, archive.semantics.input_count, compiled.result() if compiled.exception() is None else None)
     s = archive.semantics
     identity = PredictionIdentity(creature.identity, s.input_count, predictor.output_count, s.observation_extension, s.feature_fingerprint, archive.dataset_id, ENGINE, ENGINE_VERSION)
     key = identity.key()
@@ -126,9 +150,19 @@ def run(spark: SparkSession, request: PredictRequest, progress: Callable[[str],
         "creaturePath": request.creature, "creatureInput": predictor.input_count, "archiveRoot": request.archive, "datasetChain": archive.dataset_chain, "from": first, "to": last,
         "supersededRows": archive.superseded_rows, "startedUTC": started,
     }
+    n, told = len(archive.partitions), 0
+
+    def wrote(done: int) -> None:
+        nonlocal told
+        while told + 100 <= min(done, n - 1):  # the last line is for the end of the run
+            told += 100
+            progress(f"[{TOOL}] {told}/{n} partitions written")
+
     staged = StagedRun.begin(request.output, identity)
     try:
-        publish(scored(spark, archive, creature), staged, manifest)
+        model_at = f"{staged.staging}/_model.{creature.sha256[:16]}"  # goes with the files of lost attempts
+        write_bytes(model_at, pickle.dumps(predictor))
+        publish(scored(spark, archive, creature, model_at), staged, manifest, wrote)
     except OutputError:
         raise  # what a failed publication leaves is kept for inspection
     except Exception:
@@ -137,9 +171,9 @@ def run(spark: SparkSession, request: PredictRequest, progress: Callable[[str],
     manifest = inspect_output(request.output)
     for r in manifest["refused"]:
         progress(f"[{TOOL}] refused {r['symbol']}@{r['date']}: {r['reason']}")
-    n = len(archive.partitions)
-    for done in [*range(100, n, 100), *([n] if n else [])]:
-        progress(f"[{TOOL}] {done}/{n} partitions written")
+    wrote(n)
+    if n:
+        progress(f"[{TOOL}] {n}/{n} partitions written")
     seconds = time.monotonic() - clock
     progress(f"[{TOOL}] wrote {manifest['rowCount']} rows to {request.output} in {seconds:.1f}s ({manifest['rowCount'] / max(seconds, 1e-9):.0f} rows/s); {len(manifest['refused'])} refused")
     return RunSummary(request.output, manifest, False)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -61,7 +62,7 @@ class Semantics:
     feature_fingerprint: str
 
     def __str__(self) -> str:
-        return f"extension {self.observation_extension} / {self.input_count} inputs / fingerprint {self.feature_fingerprint}"
+        return f"{self.observation_extension}/{self.feature_fingerprint} of width {self.input_count}"
 
 
 @dataclass(frozen=True)
@@ -124,9 +125,9 @@ class Archive:
 
 def _check_written(found: dict, path: str, schema: str) -> None:
     if found["schema"] != schema:
-        raise ArchiveError("schema", path, f"declares schema {json.dumps(found['schema'])}, this reader supports {schema}")
+        raise ArchiveError("schema", path, f"schema is {json.dumps(found['schema'])}; only {schema} can be read")
     if found["byteOrder"] != BYTE_ORDER:
-        raise ArchiveError("schema", path, f"declares byte order {json.dumps(found['byteOrder'])}")
+        raise ArchiveError("schema", path, f"byteOrder is {json.dumps(found['byteOrder'])}; only {BYTE_ORDER} can be read")
 
 
 def _semantics(found: dict) -> Semantics:
@@ -140,15 +141,15 @@ def read_chain(root: str, head: str) -> list[tuple[str, dict]]:
     wanted, referrer = head, f"{root}/latest.json"
     while wanted is not None:
         if not is_valid_dataset_id(wanted):
-            raise ArchiveError("corrupt", referrer, f"dataset id {json.dumps(wanted)} is not a single safe path component")
+            raise ArchiveError("corrupt", referrer, f"unusable as a dataset's file name: {json.dumps(wanted)}")
         if wanted in seen:
-            raise ArchiveError("corrupt", referrer, f"dataset chain loops at {wanted}")
+            raise ArchiveError("corrupt", referrer, f"leads back to dataset {wanted}, which comes before it")
         seen.add(wanted)
         path = f"{root}/datasets/{wanted}.json"
         manifest = read_json(path, MANIFEST)
         _check_written(manifest, path, DATASET_MANIFEST_SCHEMA)
         if manifest["datasetId"] != wanted:
-            raise ArchiveError("corrupt", path, f"names itself {json.dumps(manifest['datasetId'])}, expected {json.dumps(wanted)}")
+            raise ArchiveError("corrupt", path, f"is filed as {json.dumps(wanted)}, but its datasetId is {json.dumps(manifest['datasetId'])}")
         chain.append((path, manifest))
         wanted, referrer = manifest["previousDatasetId"], path
     return chain
@@ -157,15 +158,15 @@ def read_chain(root: str, head: str) -> list[tuple[str, dict]]:
 def chain_semantics(root: str, chain: list[tuple[str, dict]]) -> Semantics:
     """What all manifests of the chain were written under; the last two parts of the root must name it."""
     if not chain:
-        raise ArchiveError("corrupt", root, "the dataset chain is empty")
+        raise ArchiveError("corrupt", root, "no dataset to read")
     found = _semantics(chain[0][1])
     if found.input_count < 1:
-        raise ArchiveError("corrupt", root, "the snapshot declares inputCount 0")
+        raise ArchiveError("corrupt", root, "inputCount must be at least 1")
     for path, manifest in chain:
         if _semantics(manifest) != found:
-            raise ArchiveError("semantics", path, f"written under {_semantics(manifest)}, but the snapshot is {found}")
+            raise ArchiveError("semantics", path, f"holds {_semantics(manifest)}; the head of its chain holds {found}")
     if root.rstrip("/").split("/")[-2:] != [str(found.observation_extension), found.feature_fingerprint]:
-        raise ArchiveError("semantics", root, f"--archive must be the fingerprint root <root>/{found.observation_extension}/{found.feature_fingerprint} that the snapshot names")
+        raise ArchiveError("semantics", root, f"the last two folders should be {found.observation_extension}/{found.feature_fingerprint}, by the dataset in it")
     return found
 
 
@@ -180,7 +181,7 @@ def first_repeated(shards: list[Shard]) -> tuple[int, ArchiveError] | None:
     seen: set[str] = set()
     for shard in shards:
         if shard.path in seen:
-            return shard.order, ArchiveError("corrupt", shard.manifest, f"shard {shard.path} is referenced twice in the chain")
+            return shard.order, ArchiveError("corrupt", shard.manifest, f"lists {shard.path}, which an earlier entry of the chain has listed")
         seen.add(shard.path)
     return None
 
@@ -188,9 +189,9 @@ def first_repeated(shards: list[Shard]) -> tuple[int, ArchiveError] | None:
 def read_index(root: str, shard: Shard, semantics: Semantics) -> list[Row]:
     """The checked listings of a shard's index, in order."""
     if not is_safe_relative_path(shard.path):
-        raise ArchiveError("corrupt", shard.manifest, f"shard path {json.dumps(shard.path)} is not relative inside the fingerprint root")
+        raise ArchiveError("corrupt", shard.manifest, f"points outside the archive: {json.dumps(shard.path)}")
     if not shard.path.endswith(".bin"):
-        raise ArchiveError("corrupt", shard.manifest, f"shard path {json.dumps(shard.path)} does not name a .bin payload")
+        raise ArchiveError("corrupt", shard.manifest, f"payload without the ending .bin: {json.dumps(shard.path)}")
     path = f"{root}/{shard.path[:-4]}.index.json"
     index = read_json(path, INDEX)
     _check_written(index, path, SHARD_INDEX_SCHEMA)
@@ -199,34 +200,34 @@ def read_index(root: str, shard: Shard, semantics: Semantics) -> list[Row]:
         raise ArchiveError(kind, path, detail)
 
     if _semantics(index) != semantics:
-        refuse(f"written under {_semantics(index)}", "semantics")
+        refuse(f"holds {_semantics(index)}, unlike its chain", "semantics")
     if index["shardFile"] != shard.path.split("/")[-1]:
-        refuse(f"names shard file {json.dumps(index['shardFile'])}, but the manifest references {shard.path}")
+        refuse(f"shardFile is {json.dumps(index['shardFile'])}; it lies beside {shard.path}")
     n = index["rowCount"]
     if not len(index["rows"]) == n == shard.row_count:
-        refuse(f"declares {n} rows and lists {len(index['rows'])}; the manifest says {shard.row_count}")
+        refuse(f"numbers of rows differ: rowCount {n}, listed {len(index['rows'])}, in the manifest {shard.row_count}")
     size = n * semantics.input_count * BYTES_PER_VALUE
     if not index["shardBytes"] == size == shard.bytes:
-        refuse(f"declares {index['shardBytes']} payload bytes (manifest {shard.bytes}); {n} rows of {semantics.input_count} inputs is {size}")
+        refuse(f"numbers of bytes differ: shardBytes {index['shardBytes']}, in the manifest {shard.bytes}, by rows and width {size}")
     if index["shardSha256"] != shard.sha256:
-        refuse(f"declares SHA-256 {index['shardSha256']}, the manifest {shard.sha256}", "hash")
+        refuse(f"shardSha256 is {index['shardSha256']}; in the manifest it is {shard.sha256}", "hash")
     place = f"{index['year']:04}/{index['month']:02}/{index['prefix']}"
     if (index["year"], index["month"], index["prefix"]) != (shard.year, shard.month, shard.prefix):
-        refuse(f"is partition {place}, the manifest says {shard.year:04}/{shard.month:02}/{shard.prefix}")
+        refuse(f"lies in {place}; by the manifest in {shard.year:04}/{shard.month:02}/{shard.prefix}")
     rows, used = [], set()
     for listed in index["rows"]:
         symbol, number = listed["symbol"], listed["row"]
         if not is_canonical_symbol(symbol):
-            refuse(f"row symbol {json.dumps(symbol)} is not a canonical symbol")
+            refuse(f"symbol with outer white space, or empty: {json.dumps(symbol)}")
         try:
             date = MarketDate.parse(listed["date"])
         except DateError as e:
-            refuse(f"row {symbol}@{listed['date']}: {e}")
+            refuse(f"listing of {symbol}: {e}")
         if number >= n or number in used:
-            refuse(f"{symbol}@{date} names row {number} of a {n}-row shard more than once or out of range")
+            refuse(f"listing of {symbol} on {date}: row {number} is taken or beyond the last of {n}")
         used.add(number)
         if (date.year, date.month, prefix_for_symbol(symbol)) != (index["year"], index["month"], index["prefix"]):
-            refuse(f"{symbol}@{date} does not belong in partition {place}")
+            refuse(f"listing of {symbol} on {date} lies outside {place}")
         rows.append(Row(symbol, date, listed["exchange"], listed["alias"], shard, number))
     return rows
 
@@ -250,9 +251,9 @@ def read_payload(root: str, shard: Shard, width: int) -> np.ndarray:
     except OSError as e:
         raise ArchiveError("io", path, str(e)) from None
     if len(data) != shard.bytes:
-        raise ArchiveError("corrupt", path, f"is {len(data)} bytes; its index declares {shard.bytes}")
+        raise ArchiveError("corrupt", path, f"size {len(data)}, expected {shard.bytes}")
     if (found := sha256_hex(data)) != shard.sha256:
-        raise ArchiveError("hash", path, f"hashes to {found}; its index declares {shard.sha256}")
+        raise ArchiveError("hash", path, f"SHA-256 {found}, expected {shard.sha256}")
     return np.frombuffer(data, "<f4").reshape(-1, width)
 
 
@@ -261,7 +262,7 @@ def _refuse_non_finite(root: str, rows: list[Row], values: np.ndarray) -> None:
     if bad.any():
         i, column = (int(x[0]) for x in np.nonzero(bad))
         r = rows[i]
-        raise ArchiveError("corrupt", f"{root}/{r.shard.path}", f"{r.symbol}@{r.date} input[{column}] is {number_text(float(values[i, column]))}; observations are always finite")
+        raise ArchiveError("corrupt", f"{root}/{r.shard.path}", f"value {column} of {r.symbol} on {r.date} is {number_text(float(values[i, column]))}")
 
 
 def gather(root: str, rows: list[Row], width: int) -> np.ndarray:
@@ -288,9 +289,9 @@ def check_payload(root: str, shard: Shard) -> None:
     except OSError as e:
         raise ArchiveError("io", path, str(e)) from None
     if size != shard.bytes:
-        raise ArchiveError("corrupt", path, f"is {size} bytes; its index declares {shard.bytes}")
+        raise ArchiveError("corrupt", path, f"size {size}, expected {shard.bytes}")
     if found.hexdigest() != shard.sha256:
-        raise ArchiveError("hash", path, f"hashes to {found.hexdigest()}; its index declares {shard.sha256}")
+        raise ArchiveError("hash", path, f"SHA-256 {found.hexdigest()}, expected {shard.sha256}")
 
 
 def gather_parts(root: str, rows: list[Row], width: int, step: int) -> Iterator[np.ndarray]:
@@ -380,10 +381,12 @@ def _schema(model: str | None) -> str:
 
 
 @lru_cache(maxsize=1)
-def _predictor(path: str, sha256: str | None, width: int) -> Predictor:
+def _predictor(path: str, sha256: str | None, width: int, compiled: str | None) -> Predictor:
+    if compiled is not None:
+        return pickle.loads(read_bytes(compiled))
     creature = load_creature(path)
     if sha256 is not None and creature.sha256 != sha256:
-        raise EngineError("creature", f"creature {path} refused: it changed during the run")
+        raise EngineError("creature", f"model {path} has changed since the run began")
     return Predictor(creature, width)
 
 
@@ -405,7 +408,7 @@ class ObservationReader(DataSourceReader):
         self.last = MarketDate.parse(options["to"]) if options.get("to") else None
         self.faults_as_rows = options.get("faults") == "rows"
         self.least_tasks = int(options.get("tasks", "1"))
-        self.model, self.model_sha256 = options.get("model"), options.get("model_sha256")
+        self.model, self.model_sha256, self.compiled = options.get("model"), options.get("model_sha256"), options.get("compiled")
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         """Bounds on the date narrow what is read; Spark applies all filters again."""
@@ -443,7 +446,7 @@ class ObservationReader(DataSourceReader):
         width = out_width = partition.semantics.input_count
         predictor = None
         if self.model:
-            predictor = _predictor(self.model, self.model_sha256, width)
+            predictor = _predictor(self.model, self.model_sha256, width, self.compiled)
             out_width = predictor.output_count
         step = max(1, BATCH_VALUES // width)
         held: list[tuple] = []
@@ -485,7 +488,8 @@ class ObservationReader(DataSourceReader):
 
 
 class ObservationSource(DataSource):
-    """Format ``observations``; options: model (rows come out scored, so their observations never leave the task), path, dataset, from, to, tasks (how many to aim for at
+    """Format ``observations``; options: model (rows come out scored, so their observations never leave the task), compiled (the
+    same model as the driver has compiled it, so that tasks need not), path, dataset, from, to, tasks (how many to aim for at
     least), and faults=rows to get faults as rows."""
 
     @classmethod

@@ -41,7 +41,7 @@ class OutputError(Exception):
 
     def __str__(self) -> str:
         if self.kind == "occupied":
-            return f"--output {self.path} is not empty and is not this run ({self.detail}); choose a new directory"
+            return f"{self.path} is taken: {self.detail}"
         return f"cannot write {self.path}: {self.detail}"
 
 

@@ -15,28 +15,42 @@ from skyledger.sources.archive import BYTE_ORDER, DATASET_MANIFEST_SCHEMA, SHARD
 from skyledger.sources.files import file_system, pretty, write_bytes
 
 
+def semantics_fields(width: int, extension: int, fingerprint: str) -> dict:
+    return {"byteOrder": BYTE_ORDER, "observationExtension": extension, "inputCount": width, "featureFingerprint": fingerprint}
+
+
+def write_shard(root: str, name: str, written: dict, year: int, month: int, prefix: str, listed: list[tuple[str, str, str | None]], values: np.ndarray) -> dict:
+    """Writes a partition's rows (symbol, date, exchange) with their values as a shard; returns its entry for the manifest."""
+    folder, place = f"{year:04}/{month:02}/{prefix}", {"prefix": prefix, "year": year, "month": month}
+    fs, at = file_system(f"{root}/{folder}")
+    fs.create_dir(at, recursive=True)
+    payload = np.asarray(values, "<f4").tobytes()
+    entry = {"path": f"{folder}/{name}.bin", "sha256": sha256_hex(payload), "bytes": len(payload), "rowCount": len(listed), **place}
+    rows = [{"symbol": s, "date": t, **({"exchange": e} if e else {}), "row": i} for i, (s, t, e) in enumerate(listed)]
+    index = {"schema": SHARD_INDEX_SCHEMA, **written, **place, "shardFile": f"{name}.bin", "shardBytes": len(payload), "shardSha256": entry["sha256"], "rowCount": len(rows), "rows": rows}
+    write_bytes(f"{root}/{folder}/{name}.bin", payload)
+    write_bytes(f"{root}/{folder}/{name}.index.json", pretty(index))
+    return entry
+
+
+def write_manifest(root: str, dataset: str, previous: str | None, written: dict, entries: list[dict]) -> None:
+    """Publishes shards as a dataset, and makes it the newest."""
+    fs, at = file_system(f"{root}/datasets")
+    fs.create_dir(at, recursive=True)
+    write_bytes(f"{root}/datasets/{dataset}.json", pretty({"schema": DATASET_MANIFEST_SCHEMA, "datasetId": dataset, **written, "shards": sorted(entries, key=lambda e: e["path"]), "previousDatasetId": previous}))
+    write_bytes(f"{root}/latest.json", pretty({"datasetId": dataset}))
+
+
 def write_archive(rows: DataFrame, root: str, dataset: str, previous: str | None, width: int, extension: int, fingerprint: str) -> None:
     """Publishes rows (symbol, date, exchange, x) as a dataset: a shard for each partition, written by tasks, and then the
     manifest and the pointer. The partitions' rows meet in one task each, as a shard is one file."""
-    written = {"byteOrder": BYTE_ORDER, "observationExtension": extension, "inputCount": width, "featureFingerprint": fingerprint}
+    written = semantics_fields(width, extension, fingerprint)
 
     def shard(key, pdf):
-        year, month, prefix = (int(key[0]), int(key[1]), key[2])
         pdf = pdf.sort_values(["symbol", "date"])
-        payload = np.array(pdf.x.tolist(), "<f4").tobytes()
-        folder = f"{year:04}/{month:02}/{prefix}"
-        fs, at = file_system(f"{root}/{folder}")
-        fs.create_dir(at, recursive=True)
-        place = {"prefix": prefix, "year": year, "month": month}
-        listed = [{"symbol": s, "date": t, **({"exchange": e} if e else {}), "row": i} for i, (s, t, e) in enumerate(zip(pdf.symbol, pdf.date, pdf.exchange))]
-        index = {"schema": SHARD_INDEX_SCHEMA, **written, **place, "shardFile": f"{dataset}.bin", "shardBytes": len(payload), "shardSha256": sha256_hex(payload), "rowCount": len(listed), "rows": listed}
-        write_bytes(f"{root}/{folder}/{dataset}.bin", payload)
-        write_bytes(f"{root}/{folder}/{dataset}.index.json", pretty(index))
-        return type(pdf)({"entry": [json.dumps({"path": f"{folder}/{dataset}.bin", "sha256": sha256_hex(payload), "bytes": len(payload), "rowCount": len(listed), **place})]})
+        entry = write_shard(root, dataset, written, int(key[0]), int(key[1]), key[2], list(zip(pdf.symbol, pdf.date, pdf.exchange)), np.array(pdf.x.tolist(), "<f4"))
+        return type(pdf)({"entry": [json.dumps(entry)]})
 
     keyed = partition_columns(rows).withColumn("date", C.format_date(F.col("date")))
     entries = [json.loads(r.entry) for r in keyed.groupBy("year", "month", "prefix").applyInPandas(shard, "entry string").collect()]
-    fs, at = file_system(f"{root}/datasets")
-    fs.create_dir(at, recursive=True)
-    write_bytes(f"{root}/datasets/{dataset}.json", pretty({"schema": DATASET_MANIFEST_SCHEMA, "datasetId": dataset, **written, "shards": sorted(entries, key=lambda e: e["path"]), "previousDatasetId": previous}))
-    write_bytes(f"{root}/latest.json", pretty({"datasetId": dataset}))
+    write_manifest(root, dataset, previous, written, entries)

@@ -9,7 +9,7 @@ from skyledger.plans.run import observations
 from skyledger.sources import archive
 from skyledger.sources.archive import open_archive
 from skyledger.sources.files import ArchiveError
-from tests.archives import EXTENSION, FINGERPRINT, Builder
+from tests.archives import EXTENSION, FINGERPRINT, Fixture
 
 
 def rows_of(spark, archive):
@@ -23,20 +23,20 @@ def fault(spark, builder, **kwargs):
 
 
 def test_rows_come_by_partition_in_order(spark, tmp_path):
-    b = Builder(tmp_path, 3)
-    b.publish("ds1", [("AMZN", "2021-05-03", [1, 2, 3]), ("AAPL", "2021-05-03", [4, 5, 6]), ("BHP", "2021-06-01", [7, 8, 9]), ("^GSPC", "2021-05-03", [0, 0, 1])])
+    b = Fixture(tmp_path, 3)
+    b.add("ds1", [("KITE", "2021-05-03", [1, 2, 3]), ("KELP", "2021-05-03", [4, 5, 6]), ("MOSS", "2021-06-01", [7, 8, 9]), ("^WIND", "2021-05-03", [0, 0, 1])])
     a = open_archive(spark, str(b.root))
-    assert [p.id for p in a.partitions] == ["2021/05/A", "2021/05/_", "2021/06/B"]
+    assert [p.id for p in a.partitions] == ["2021/05/K", "2021/05/_", "2021/06/M"]
     assert (a.row_count, a.superseded_rows, a.dataset_id, a.dataset_chain, a.semantics.input_count) == (4, 0, "ds1", ["ds1"], 3)
     assert rows_of(spark, a) == [
-        ("2021/05/A", "AAPL", "2021-05-03", "NASDAQ", [4, 5, 6]), ("2021/05/A", "AMZN", "2021-05-03", "NASDAQ", [1, 2, 3]), ("2021/05/_", "^GSPC", "2021-05-03", "NASDAQ", [0, 0, 1]), ("2021/06/B", "BHP", "2021-06-01", "NASDAQ", [7, 8, 9]),
+        ("2021/05/K", "KELP", "2021-05-03", "XETR", [4, 5, 6]), ("2021/05/K", "KITE", "2021-05-03", "XETR", [1, 2, 3]), ("2021/05/_", "^WIND", "2021-05-03", "XETR", [0, 0, 1]), ("2021/06/M", "MOSS", "2021-06-01", "XETR", [7, 8, 9]),
     ]
 
 
 def test_later_publications_supersede_and_older_ones_stay_readable(spark, tmp_path):
-    b = Builder(tmp_path, 1)
-    b.publish("ds1", [("AAPL", "2021-05-03", [1]), ("AMZN", "2021-05-03", [2])])
-    b.publish("ds2", [("AAPL", "2021-05-03", [7]), ("AAPL", "2021-05-04", [3])])
+    b = Fixture(tmp_path, 1)
+    b.add("ds1", [("KELP", "2021-05-03", [1]), ("KITE", "2021-05-03", [2])])
+    b.add("ds2", [("KELP", "2021-05-03", [7]), ("KELP", "2021-05-04", [3])])
     a = open_archive(spark, str(b.root))
     assert [r[4] for r in rows_of(spark, a)] == [[7], [3], [2]] and a.superseded_rows == 1 and a.dataset_chain == ["ds2", "ds1"]
     pinned = open_archive(spark, str(b.root), "ds1")
@@ -46,8 +46,8 @@ def test_later_publications_supersede_and_older_ones_stay_readable(spark, tmp_pa
 
 
 def test_ranges_are_inclusive_and_reach_the_scan(spark, tmp_path):
-    b = Builder(tmp_path, 1)
-    b.publish("ds", [("A", d, [i]) for i, d in enumerate(["2021-04-30", "2021-05-01", "2021-05-31", "2021-06-01"])])
+    b = Fixture(tmp_path, 1)
+    b.add("ds", [("A", d, [i]) for i, d in enumerate(["2021-04-30", "2021-05-01", "2021-05-31", "2021-06-01"])])
     may = open_archive(spark, str(b.root), first=MarketDate(2021, 5, 1), last=MarketDate(2021, 5, 31))
     assert [r[4] for r in rows_of(spark, may)] == [[1], [2]] and len(may.partitions) == 1
     assert open_archive(spark, str(b.root), first=MarketDate(2022, 1, 1)).row_count == 0
@@ -56,15 +56,15 @@ def test_ranges_are_inclusive_and_reach_the_scan(spark, tmp_path):
 
 
 def test_year_zero(spark, tmp_path):
-    b = Builder(tmp_path, 1)
-    b.publish("ds", [("A", "0000-02-29", [1])])
+    b = Fixture(tmp_path, 1)
+    b.add("ds", [("A", "0000-02-29", [1])])
     assert observations(spark, open_archive(spark, str(b.root))).selectExpr("date_format(date, 'MM-dd') d", "year").collect()[0] == ("02-29", 0)
 
 
 def test_payload_faults(spark, tmp_path):
     for kind, damage in (("hash", lambda p: p.write_bytes(b"\0" * 8)), ("corrupt", lambda p: p.write_bytes(b"\0")), ("io", lambda p: p.unlink())):
-        b = Builder(tmp_path / kind, 2)
-        b.publish("ds", [("A", "2021-05-03", [1, 2])])
+        b = Fixture(tmp_path / kind, 2)
+        b.add("ds", [("A", "2021-05-03", [1, 2])])
         damage(b.files(".bin")[0])
         a = open_archive(spark, str(b.root))  # payloads are not read here
         (row,) = observations(spark, a, faults_as_rows=True).collect()
@@ -86,8 +86,8 @@ def test_index_faults(spark, tmp_path):
     from skyledger.sources.archive import chain_shards, read_index, snapshot
 
     for n, (kind, change) in enumerate(INDEX_FAULTS):
-        b = Builder(tmp_path / str(n), 1)
-        b.publish("ds", [("A", "2021-05-03", [1])])
+        b = Fixture(tmp_path / str(n), 1)
+        b.add("ds", [("A", "2021-05-03", [1])])
         path = b.files(".index.json")[0]
         b.edit(path, **change)
         _, chain, semantics = snapshot(str(b.root), None)
@@ -101,10 +101,10 @@ def test_index_faults(spark, tmp_path):
 
 
 def test_the_first_fault_in_chain_order_is_raised(spark, tmp_path):
-    b = Builder(tmp_path, 1)
-    b.publish("ds1", [("Z", "2021-05-03", [1])])
-    b.publish("ds2", [("A", "2021-05-03", [1])])
-    old, new = b.files("000000.index.json")[0], b.files("000001.index.json")[0]
+    b = Fixture(tmp_path, 1)
+    b.add("ds1", [("Z", "2021-05-03", [1])])
+    b.add("ds2", [("A", "2021-05-03", [1])])
+    old, new = b.files("ds1.index.json")[0], b.files("ds2.index.json")[0]
     b.edit(new, schema="x")
     assert fault(spark, b) == "schema"
     b.edit(old, shardSha256="x")
@@ -113,9 +113,9 @@ def test_the_first_fault_in_chain_order_is_raised(spark, tmp_path):
 
 def test_manifest_faults(spark, tmp_path):
     def made(name, width=1):
-        b = Builder(tmp_path / name, width)
-        b.publish("ds1", [("A", "2021-05-03", [1] * width)])
-        b.publish("ds2", [("A", "2021-05-04", [1] * width)])
+        b = Fixture(tmp_path / name, width)
+        b.add("ds1", [("A", "2021-05-03", [1] * width)])
+        b.add("ds2", [("A", "2021-05-04", [1] * width)])
         return b, b.root / "datasets" / "ds1.json", b.root / "datasets" / "ds2.json"
 
     def shard(file, **changes):
@@ -148,12 +148,12 @@ def test_manifest_faults(spark, tmp_path):
 
 
 def test_the_root_must_name_the_semantics(spark, tmp_path):
-    b = Builder(tmp_path, 1)
-    b.publish("ds", [("A", "2021-05-03", [1])])
+    b = Fixture(tmp_path, 1)
+    b.add("ds", [("A", "2021-05-03", [1])])
     (tmp_path / "117").mkdir()
     b.root = b.root.rename(tmp_path / "117" / FINGERPRINT)
     assert fault(spark, b) == "semantics"
-    with pytest.raises(ArchiveError, match=f"<root>/{EXTENSION}/{FINGERPRINT}"):
+    with pytest.raises(ArchiveError, match=f"should be {EXTENSION}/{FINGERPRINT}"):
         open_archive(spark, str(b.root))
     with pytest.raises(ArchiveError) as e:
         open_archive(spark, str(tmp_path / "absent"))
@@ -161,16 +161,16 @@ def test_the_root_must_name_the_semantics(spark, tmp_path):
 
 
 def test_large_partitions_are_read_by_ranges(spark, tmp_path, monkeypatch):
-    b = Builder(tmp_path, 3)
-    b.publish("ds1", [(f"A{i}", "2021-05-03", [i, 0, 1]) for i in range(40)])
-    b.publish("ds2", [(f"A{i}", "2021-05-03", [i, 5, 1]) for i in range(0, 40, 3)])
+    b = Fixture(tmp_path, 3)
+    b.add("ds1", [(f"A{i}", "2021-05-03", [i, 0, 1]) for i in range(40)])
+    b.add("ds2", [(f"A{i}", "2021-05-03", [i, 5, 1]) for i in range(0, 40, 3)])
     _, chain, semantics = archive.snapshot(str(b.root), None)
     rows, _ = archive.resolve((r for s in archive.chain_shards(chain) for r in archive.read_index(str(b.root), s, semantics)), None, None)
     whole = np.concatenate(list(archive.gather_parts(str(b.root), rows, 3, 7)))
     monkeypatch.setattr(archive, "HELD_BYTES", 10)
     assert np.array_equal(np.concatenate(list(archive.gather_parts(str(b.root), rows, 3, 7))), whole)
     for kind, damage in (("hash", b"\0" * 480), ("corrupt", b"\0")):
-        b.files("000000.bin")[0].write_bytes(damage)
+        b.files("ds1.bin")[0].write_bytes(damage)
         with pytest.raises(ArchiveError) as e:
             list(archive.gather_parts(str(b.root), rows, 3, 7))
         assert e.value.kind == kind
@@ -178,13 +178,13 @@ def test_large_partitions_are_read_by_ranges(spark, tmp_path, monkeypatch):
 
 def test_random_chains_match_a_plain_resolver(spark, tmp_path):
     draw = random.Random(5)
-    b = Builder(tmp_path, 2)
+    b = Fixture(tmp_path, 2)
     latest, listed = {}, 0
     for k in range(6):
         rows = {(draw.choice(["AA", "AB", "B", "^X", "3M"]), f"2021-0{draw.randint(1, 3)}-0{draw.randint(1, 4)}"): [k, draw.randint(0, 99)] for _ in range(12)}
         listed += len(rows)
         latest |= rows
-        b.publish(f"ds{k}", [(s, d, v) for (s, d), v in rows.items()])
+        b.add(f"ds{k}", [(s, d, v) for (s, d), v in rows.items()])
     a = open_archive(spark, str(b.root))
     assert {(r[1], r[2]): r[4] for r in rows_of(spark, a)} == {k: list(map(float, v)) for k, v in latest.items()}
     assert a.superseded_rows == listed - len(latest) and a.row_count == len(latest)

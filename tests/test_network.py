@@ -5,15 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators.network import Creature, EngineError, Predictor, activation_columns, load_creature, score
-from tests.archives import CREATURE, creature_file
+from tests.archives import MODEL, expected, model_file
 
 
 def predictor(width=3, **changes):
-    return Predictor(Creature("c", "0" * 64, {**CREATURE, **changes}), width)
+    return Predictor(Creature("c", "0" * 64, {**MODEL, **changes}), width)
 
 
-def by_hand(x):
-    return 2 * np.tanh(0.5 * x[0] - 1.25 * x[1] + 0.1) + 0.75 * x[2] - 0.2
+by_hand = expected
 
 
 def random_network(seed=1, inputs=17, hidden=120, fan=5):
@@ -46,24 +45,24 @@ def test_extra_values_are_ignored():
 
 
 def test_refusals(tmp_path):
-    with pytest.raises(EngineError, match="consumes 3 inputs but the archive holds 2 per row") as e:
+    with pytest.raises(EngineError, match="reads 3 values a row, more than the 2") as e:
         predictor(2)
     assert e.value.kind == "wider_than_archive"
-    with pytest.raises(EngineError, match="not forwardOnly") as e:
+    with pytest.raises(EngineError, match="forwardOnly true") as e:
         predictor(forwardOnly=False)
     assert e.value.kind == "not_forward_only"
-    with pytest.raises(EngineError, match="a batch of 4 values is not a whole number of 3-value rows"):
+    with pytest.raises(EngineError, match="4 values do not make whole rows of 3"):
         predictor().predict(np.zeros(4))
     assert predictor().predict(np.zeros(0)).size == 0
     for name, change in [
-        ("input", {"input": 0}), ("output", {"output": 0}), ("squash", {"neurons": [{**n, "squash": "COSINE"} for n in CREATURE["neurons"]]}), ("outputs", {"output": 2}),
-        ("cycle", {"synapses": [*CREATURE["synapses"], {"fromUUID": "out", "toUUID": "h", "weight": 1}]}), ("unknown", {"synapses": [{"fromUUID": "x", "toUUID": "h", "weight": 1}]}), ("forward", {"forwardOnly": None}),
+        ("input", {"input": 0}), ("output", {"output": 0}), ("squash", {"neurons": [{**n, "squash": "COSINE"} for n in MODEL["neurons"]]}), ("outputs", {"output": 2}),
+        ("cycle", {"synapses": [*MODEL["synapses"], {"fromUUID": "end", "toUUID": "mid", "weight": 1}]}), ("unknown", {"synapses": [{"fromUUID": "x", "toUUID": "mid", "weight": 1}]}), ("forward", {"forwardOnly": None}),
     ]:
         with pytest.raises(EngineError) as e:
-            Predictor(load_creature(creature_file(tmp_path, {**CREATURE, **change}, f"{name}.json")), 3)
+            Predictor(load_creature(model_file(tmp_path, {**MODEL, **change})), 3)
         assert e.value.kind == "creature", name
     (tmp_path / "latin").write_bytes(b"\xff{}")
-    with pytest.raises(EngineError, match="not UTF-8"):
+    with pytest.raises(EngineError, match="no UTF-8"):
         load_creature(str(tmp_path / "latin"))
     with pytest.raises(EngineError) as e:
         load_creature(str(tmp_path / "absent"))
@@ -78,7 +77,7 @@ def test_spark_stage_equals_kernel_and_columns(spark):
     assert found.pop(300) is None
     assert np.array_equal(np.array([found[i] for i in range(300)], np.float32)[:, 0], predictor().predict(rows.reshape(-1)))
     assert "Exchange" not in made._jdf.queryExecution().sparkPlan().toString()
-    columns = df.where("x IS NOT NULL").select("id", activation_columns(CREATURE, F.col("x"), precise=False)[0].alias("v")).collect()
+    columns = df.where("x IS NOT NULL").select("id", activation_columns(MODEL, F.col("x"), precise=False)[0].alias("v")).collect()
     assert all(abs(r.v - found[r.id][0]) < 1e-5 for r in columns)
     deep = {k: v for k, v in random_network(hidden=8, inputs=3).items()}
     double = df.where("x IS NOT NULL").select("id", *[c.alias(f"o{i}") for i, c in enumerate(activation_columns(deep, F.col("x")))]).collect()

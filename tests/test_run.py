@@ -10,16 +10,16 @@ from skyledger.operators.network import EngineError
 from skyledger.plans.run import PredictRequest, observations, register, run, scored
 from skyledger.sources.files import ArchiveError
 from skyledger.sources.predictions import OutputError, PredictionIdentity, StagedRun, inspect_output
-from tests.archives import CREATURE, Builder, creature_file
+from tests.archives import MODEL, Fixture, expected, model_file
 
-IDENTITY = PredictionIdentity("sha256:abc", 3, 1, 116, "b448fe6b43db398e", "ds1", "e", "1")
-ROWS = [("AAPL", "2021-05-03", [0, 0, 0]), ("AMZN", "2021-05-03", [1, -1, 0.5]), ("BHP", "2021-06-01", [-0.3, 0.9, -1])]
+IDENTITY = PredictionIdentity("sha256:abc", 3, 1, 42, "quartz-7", "ds1", "e", "1")
+ROWS = [("KELP", "2021-05-04", [2, -0.5, 1]), ("KITE", "2021-05-03", [0, 0.25, -3]), ("MOSS", "2021-06-30", [-1, 0, 0.5])]
 
 
-def request(tmp_path, rows=ROWS, width=3, export=CREATURE, **kwargs):
-    b = Builder(tmp_path / "archive", width)
-    b.publish("ds1", rows)
-    return b, PredictRequest(creature_file(tmp_path, export), str(b.root), str(tmp_path / "out" / "run"), **kwargs)
+def request(tmp_path, rows=ROWS, width=3, export=MODEL, **kwargs):
+    b = Fixture(tmp_path / "archive", width)
+    b.add("ds1", rows)
+    return b, PredictRequest(model_file(tmp_path, export), str(b.root), str(tmp_path / "out" / "run"), **kwargs)
 
 
 def leftovers(tmp_path):
@@ -31,15 +31,15 @@ def test_every_row_is_written_with_provenance(spark, tmp_path):
     lines = []
     m = run(spark, r, lines.append).manifest
     assert m == json.loads((tmp_path / "out/run/manifest.json").read_text()) == inspect_output(r.output)
-    assert [p["path"] for p in m["partitions"]] == ["2021/05/A", "2021/06/B"] and (m["rowCount"], m["supersededRows"], m["refused"]) == (3, 0, [])
+    assert [p["path"] for p in m["partitions"]] == ["2021/05/K", "2021/06/M"] and (m["rowCount"], m["supersededRows"], m["refused"]) == (3, 0, [])
     assert m["identity"]["inputCount"] == 3 and m["creatureInput"] == 3 and m["datasetChain"] == ["ds1"] and m["from"] is None and len(m["key"]) == 32
     found = spark.read.format("predictions").load(r.output).orderBy("symbol").collect()
     for row, (symbol, date, x) in zip(found, ROWS):
-        assert (row.symbol, str(row.date), row.exchange) == (symbol, date, "NASDAQ")
-        assert abs(row.y[0] - (2 * np.tanh(0.5 * x[0] - 1.25 * x[1] + 0.1) + 0.75 * x[2] - 0.2)) < 1e-6
-    index = json.loads((tmp_path / "out/run/2021/05/A.index.json").read_text())
+        assert (row.symbol, str(row.date), row.exchange) == (symbol, date, "XETR")
+        assert abs(row.y[0] - expected(x)) < 1e-6
+    index = json.loads((tmp_path / "out/run/2021/05/K.index.json").read_text())
     assert index["payloadBytes"] == 16 and [x["row"] for x in index["rows"]] == [0, 1] and index["key"] == m["key"]
-    assert leftovers(tmp_path) == ["run"] and sorted(os.listdir(tmp_path / "out/run/2021/05")) == ["A.bin", "A.index.json"]
+    assert leftovers(tmp_path) == ["run"] and sorted(os.listdir(tmp_path / "out/run/2021/05")) == ["K.bin", "K.index.json"]
     assert any("2/2 partitions written" in x for x in lines) and lines[-1].startswith("[skyledger] wrote 3 rows")
 
 
@@ -54,7 +54,7 @@ def test_repeated_and_other_runs(spark, tmp_path):
 
     with pytest.raises(OutputError, match=r"it holds run .* for \*\.\.\*"):
         run(spark, replace(r, first=MarketDate(2021, 5, 1)))
-    b.publish("ds2", [("AAPL", "2021-05-04", [1, 1, 1])])
+    b.add("ds2", [("KELP", "2021-05-04", [1, 1, 1])])
     with pytest.raises(OutputError) as e:
         run(spark, r)
     assert e.value.kind == "occupied"
@@ -71,18 +71,18 @@ def test_widths(spark, tmp_path):
 
 
 def test_corrupt_partitions_fail_the_run_and_leave_nothing(spark, tmp_path):
-    b, r = request(tmp_path, [*ROWS[:2], ("BHP", "2021-06-01", [0, 0, float("inf")])])
-    with pytest.raises(ArchiveError, match=r"BHP@2021-06-01 input\[2\] is inf") as e:
+    b, r = request(tmp_path, [*ROWS[:2], ("MOSS", "2021-06-01", [0, 0, float("inf")])])
+    with pytest.raises(ArchiveError, match="value 2 of MOSS on 2021-06-01 is inf") as e:
         run(spark, r)
     assert e.value.kind == "corrupt" and not leftovers(tmp_path)
-    b.files("A/000000.bin")[0].write_bytes(b"\0" * 24)
+    b.files("K/ds1.bin")[0].write_bytes(b"\0" * 24)
     with pytest.raises(ArchiveError) as e:  # the first in partition order
         run(spark, r)
     assert e.value.kind == "hash" and not leftovers(tmp_path)
 
 
 def test_refused_rows_and_partial_exit(spark, tmp_path, capsys):
-    hot = {**CREATURE, "synapses": [*CREATURE["synapses"][:3], {"fromUUID": "input-2", "toUUID": "out", "weight": 3e38}]}
+    hot = {**MODEL, "synapses": [*MODEL["synapses"][:3], {"fromUUID": "input-2", "toUUID": "end", "weight": 3e38}]}
     b, r = request(tmp_path, [("A", "2021-05-03", [0, 0, 9]), ("AB", "2021-05-03", [0, 0, 0]), ("B", "2021-05-03", [0, 0, -9])], export=hot)
     args = ["predict", "--creature", r.creature, "--archive", r.archive, "--output", r.output]
     assert main(args, spark) == 3 and main(args, spark) == 3
@@ -117,7 +117,7 @@ def test_ranges_empty_results_and_outputs(spark, tmp_path, capsys):
 def test_key_and_index_form(tmp_path):
     from hashlib import sha256
 
-    text = "retrospective_fixed_model|creature=sha256:abc|inputs=3|outputs=1|extension=116|features=b448fe6b43db398e|width=3|dataset=ds1|engine=e|engineVersion=1"
+    text = "retrospective_fixed_model|creature=sha256:abc|inputs=3|outputs=1|extension=42|features=quartz-7|width=3|dataset=ds1|engine=e|engineVersion=1"
     assert IDENTITY.key() == sha256(text.encode()).hexdigest()[:32]
     staged = StagedRun.begin(str(tmp_path / "o"), IDENTITY)
     record, refused = staged.write_partition(2021, 5, "A", [("A", "2021-05-03", None), ("B", "2021-05-04", "X"), ("C", "2021-05-05", None)], np.array([1.5, np.nan, 2.5], np.float32))

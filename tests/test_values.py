@@ -16,14 +16,14 @@ def test_dates_round_trip():
 
 @pytest.mark.parametrize("text", ["", "2021-5-31", " 2021-05-31", "2021-05-31\n", "2021/05/31", "2021-05-31T00", "20210531", "２021-05-31", "+021-05-31"])
 def test_malformed_dates(text):
-    with pytest.raises(DateError, match="is not a YYYY-MM-DD market date") as e:
+    with pytest.raises(DateError, match="must read YYYY-MM-DD") as e:
         MarketDate.parse(text)
     assert e.value.kind == "format"
 
 
 @pytest.mark.parametrize("text", ["2021-02-29", "1900-02-29", "2021-00-10", "2021-13-01", "2021-04-31", "2021-01-00"])
 def test_impossible_days(text):
-    with pytest.raises(DateError, match=f"{text} is not a calendar day") as e:
+    with pytest.raises(DateError, match=f"no day {text}") as e:
         MarketDate.parse(text)
     assert e.value.kind == "range"
 
@@ -73,4 +73,4 @@ def test_exit_codes_and_messages():
     found = [RequestError("empty_path", ""), ArchiveError("io", "p", "d"), ArchiveError("hash", "p", "d"), EngineError("io", ""), EngineError("creature", ""), OutputError("occupied", "o", "d"), OutputError("io", "o", "d")]
     assert [exit_code(e) for e in found] == [64, 66, 65, 66, 65, 73, 74]
     assert str(found[2]) == "archive hash fault at p: d" and str(found[6]) == "cannot write o: d"
-    assert str(found[5]) == "--output o is not empty and is not this run (d); choose a new directory"
+    assert str(found[5]) == "o is taken: d"
