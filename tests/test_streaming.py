@@ -2,13 +2,13 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.network import Creature, Predictor, score
 from skyledger.streaming.scoring import latest_rows_stream, score_stream
-from tests.archives import CREATURE
+from tests.archives import MODEL
 
 
 def test_a_stream_scores_like_a_batch(spark, tmp_path):
     rows = spark.range(40).select("id", F.array(*[(F.col("id") * k / 10).cast("float") for k in (1, 2, 3)]).alias("x"))
     rows.repartition(3).write.parquet(str(tmp_path / "in"))
-    predictor = Predictor(Creature("c", "", CREATURE), 3)
+    predictor = Predictor(Creature("c", "", MODEL), 3)
     stream = spark.readStream.schema("id long, x array<float>").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     written = score_stream(stream, predictor).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state"))
     query = written.trigger(availableNow=True).start(str(tmp_path / "out"))
