@@ -36,7 +36,9 @@ SYMBOL = re.compile(r"[#*$%&|<>]")
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
-BLOCK_ROWS = 512
+BLOCK_ROWS = 128
+#: Words remembered within a task; a worker that goes on to other stages keeps none.
+TASK_WORDS = 150_000
 #: Outer bands of each script: least and most characters a token under either vocabulary, largest share of byte tokens. A letter
 #: beyond the vocabulary costs a token for each of its bytes in UTF-8, so even the rarest script has 1/4 of a character a token.
 SCRIPTS: dict[str, tuple[float, float, float]] = {
@@ -85,7 +87,7 @@ def _memory(path: str, multi: str) -> WordMemory:
             out += as_bytes(pieces)
         return out
 
-    return WordMemory(encode)
+    return WordMemory(encode, TASK_WORDS)
 
 
 def token_ids(texts: Iterable[list[str]], path: str, multi: str) -> list[tuple[np.ndarray, int]]:
@@ -171,9 +173,14 @@ def measured(df: DataFrame, text: str, vocabulary: str, multi: str) -> DataFrame
     at = field_at(out, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, BLOCK_ROWS):
-            made = measure(batch.column(at).to_pylist(), vocabulary, multi)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(made[k], _ARROW[v]) for k, v in COLUMNS.items())], names=[*batch.schema.names, *COLUMNS])
+        try:
+            for batch in slices(batches, BLOCK_ROWS):
+                made = measure(batch.column(at).to_pylist(), vocabulary, multi)
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(made[k], _ARROW[v]) for k, v in COLUMNS.items())], names=[*batch.schema.names, *COLUMNS])
+        finally:
+            _memory(vocabulary, multi).forget()
+            _memory.cache_clear()
+            _multi.cache_clear()
 
     return out.mapInArrow(run, schema)
 

@@ -30,13 +30,17 @@ class WordMemory:
 
     _last: ClassVar[WordMemory | None] = None
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.number, self.coded = encode, _Numbers(), []
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = CACHE_WORDS):
+        self.encode, self.most = encode, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.number, self.coded = _Numbers(), []
 
     def __call__(self, texts: Iterable[list[str]]) -> list[bytes]:
         if WordMemory._last is not self:
             if WordMemory._last is not None:
-                WordMemory._last.number, WordMemory._last.coded = _Numbers(), []
+                WordMemory._last.forget()
             WordMemory._last = self
         get, held = self.number.__getitem__, []
         for words in texts:
@@ -45,8 +49,8 @@ class WordMemory:
                 self._catch_up()
         self._catch_up()
         found = [b"".join(map(self.coded.__getitem__, numbers)) for numbers in held]
-        if len(self.number) > CACHE_WORDS:
-            self.number, self.coded = _Numbers(), []
+        if len(self.number) > self.most:
+            self.forget()
         return found
 
     def _catch_up(self) -> None:
