@@ -25,14 +25,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which driver and executors share.
 
     Where it is unset and Spark runs in one local process, a temporary folder takes its place (removed at exit); on a
-    cluster without the setting the SQL warehouse is used, never a machine-local folder.
+    cluster without the setting the SQL warehouse is used if it lies in a shared store; a machine-local folder is refused.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     if spark.sparkContext.master.split("[")[0] == "local":
         return _temporary()
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_skyledger"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if "://" not in warehouse or warehouse.startswith("file:"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return warehouse.rstrip("/") + "/_skyledger"
 
 
 _made: list[tuple[SparkSession, str]] = []
