@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from skyledger.llm.common import slices
+from skyledger.llm.common import field_at, slices
 from skyledger.llm.words import WordMemory, as_bytes
 
 #: Letters and digits that Unicode 16 added to Unicode 15.1, as first and last code points.
@@ -108,15 +108,33 @@ class MergeReplay:
         return np.where(self.pairs[at] == pairs, self.pair_rank[at], -1)
 
     def alone(self, word: bytes) -> list[int]:
-        """One word by repeated lowest-rank, leftmost merges."""
-        part = self.first[np.frombuffer(word, np.uint8)]
-        while len(part) > 1:
-            ranks = self.rank_of(part[:-1] << self.shift | part[1:])
-            if not (ranks >= 0).any():
-                break
-            at = int(np.where(ranks >= 0, ranks, len(self.bytes_of)).argmin())
-            part = np.concatenate([part[:at], ranks[at : at + 1], part[at + 2 :]])
-        return part.tolist()
+        """One word by repeated lowest-rank, leftmost merges: a heap of pairs, and for each place its neighbours."""
+        token = self.first[np.frombuffer(word, np.uint8)].tolist()
+        after, before = [*range(1, len(token)), -1], list(range(-1, len(token) - 1))
+        want = [-1] * len(token)  # of each place, the rank of the pair that starts there
+        heap: list[tuple[int, int]] = []
+
+        def note(at: int) -> None:
+            a, b = token[at], token[after[at]] if after[at] >= 0 else -1
+            want[at] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1) if a >= 0 and b >= 0 else -1
+            if want[at] >= 0:
+                heappush(heap, (want[at], at))
+
+        for at in range(len(token)):
+            note(at)
+        while heap:
+            rank, at = heappop(heap)
+            if want[at] != rank:
+                continue
+            gone = after[at]
+            token[at], after[at], want[gone] = rank, after[gone], -1
+            if after[at] >= 0:
+                before[after[at]] = at
+            after[gone] = -2  # stands in a token now
+            note(at)
+            if before[at] >= 0:
+                note(before[at])
+        return [t for t, a in zip(token, after) if a != -2]
 
     def corpus(self, words: list[bytes]) -> list[list[int]]:
         """Ids of every word, by one replay of the merges over all of them in rank order."""
@@ -226,9 +244,11 @@ def encode(df: DataFrame, text: str, path: str, pattern: str, ids: str = "ids",
     out = df.drop(ids, *([decoded] if decoded else []))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema] + [f"`{ids}` binary"] + [f"`{decoded}` binary"] * bool(decoded))
 
+    at = field_at(out, text)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, BLOCK_ROWS):
-            made = encode_texts([t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()], path, pattern)
+            made = encode_texts([t or "" for t in batch.column(at).to_pylist()], path, pattern)
             columns = [*batch.columns, pa.array(made, pa.binary())]
             if decoded:
                 columns.append(pa.array([load(path).decode(np.frombuffer(x, "<u4").tolist()) for x in made], pa.binary()))
@@ -242,9 +262,11 @@ def decode(df: DataFrame, ids: str, path: str, decoded: str = "decoded") -> Data
     out = df.drop(decoded)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema] + [f"`{decoded}` binary"])
 
+    at = field_at(out, ids)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, BLOCK_ROWS):
-            made = [None if x is None else load(path).decode(np.frombuffer(x, "<u4").tolist()) for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
+            made = [None if x is None else load(path).decode(np.frombuffer(x, "<u4").tolist()) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=[*batch.schema.names, decoded])
 
     return out.mapInArrow(run, schema)

@@ -3,6 +3,7 @@
 import base64
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -54,6 +55,23 @@ def test_merges_that_become_possible_late():
         assert coder.corpus([b"q" + word])[0] == coder.alone(b"q" + word)
 
 
+def test_one_long_word_alone_is_quick(reference):
+    """A word as long as this took minutes when every merge copied the word."""
+    coder, draw = bpe.load(RANKS), random.Random(8)
+    word = "".join(draw.choice("etaoinshrdlu") for _ in range(200_000))
+    start = time.monotonic()
+    assert coder.alone(word.encode()) == reference.encode_ordinary(word)
+    assert time.monotonic() - start < 30
+    assert bpe.MergeReplay({b"a": 0, b"aa": 1}).alone(b"aaab") == [1, 0, -1]  # a byte that the vocabulary lacks
+
+
+def test_columns_by_the_rules_of_the_session(spark, reference):
+    df = spark.createDataFrame([(7, "some words")], "last long, Text string")
+    coded = bpe.encode(df, "TEXT", RANKS, PATTERN, ids="Ids")
+    assert np.frombuffer(coded.collect()[0].Ids, "<u4").tolist() == reference.encode_ordinary("some words")
+    assert bytes(bpe.decode(coded, "IDS", RANKS).collect()[0].decoded) == b"some words"
+
+
 def test_encode_keeps_rows_and_columns(spark, reference):
     rows = [(i, t, "old", 1.5) for i, t in enumerate([*ODD, ODD[3]])]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string, decoded double")
