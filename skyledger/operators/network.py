@@ -216,13 +216,14 @@ class Predictor:
 def score(rows: DataFrame, predictor: Predictor, inputs: str = "x", outputs: str = "y") -> DataFrame:
     """Replaces the observations by the model's outputs (array of float), in Arrow batches and without a shuffle. A row
     without observations has no outputs; one of another width is a ``batch_shape`` fault."""
-    kept = [f for f in rows.schema if f.name not in (inputs, outputs)]
+    source = rows.select("*", rows[inputs].alias("_observations")).drop(inputs, outputs)  # batches know columns by place: it is the last
+    kept = source.schema.fields[:-1]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], f"`{outputs}` array<float>"])
     model = rows.sparkSession.sparkContext.broadcast(predictor)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(batch.schema.get_field_index(inputs))
+            x = batch.column(len(kept))
             there = np.flatnonzero(np.asarray(x.is_valid()))
             flat = x.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
             m = model.value
@@ -233,9 +234,9 @@ def score(rows: DataFrame, predictor: Predictor, inputs: str = "x", outputs: str
             offsets = np.zeros(batch.num_rows + 1, np.int32)
             offsets[1:][there] = m.output_count
             made = pa.ListArray.from_arrays(pa.array(np.cumsum(offsets, dtype=np.int32)), pa.array(y), mask=pa.array(np.asarray(x.is_null())))
-            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(f.name)) for f in kept], made], names=[*[f.name for f in kept], outputs])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], made], names=[*[f.name for f in kept], outputs])
 
-    return rows.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema)
 
 
 def activation_columns(export: dict, inputs: Column, precise: bool = True) -> list[Column]:

@@ -84,3 +84,11 @@ def test_spark_stage_equals_kernel_and_columns(spark):
     kernel = Predictor(Creature("c", "", deep), 3).activate(rows)
     assert all(np.allclose([r.o0, r.o1, r.o2], kernel[r.id], atol=1e-4) for r in double)
     json.dumps(deep)
+
+
+def test_scoring_finds_columns_by_the_rules_of_the_session(spark):
+    rows = [("s", [0.5, -1.0, 0.25], 1), ("t", None, 2)]
+    df = spark.createDataFrame(rows, "Y string, Obs array<float>, last int")
+    found = {r.last: r for r in score(df, predictor(), "OBS", "y").collect()}
+    assert score(df, predictor(), "OBS", "y").columns == ["last", "y"]
+    assert abs(found[1].y[0] - by_hand(rows[0][1])) < 1e-6 and found[2].y is None
