@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, chat, cotrain, langid, license, neardup, packing, quality, topk, warc
+from skyledger.llm import align, bpe, chat, cotrain, langid, license, merkle, neardup, packing, quality, simhash, topk, warc
 from skyledger.llm.common import fresh_path, table
 
 
@@ -77,6 +77,22 @@ def op9_merge_replay_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_deletion_variant_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op12_batch_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return align.align(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+def op13_merkle_preimages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = merkle.verify(docs, ["doc_id", "source", "lang", "n_chars", "text"], "source", changed)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_hyperdimensional_langid": op2_hyperdimensional_langid,
@@ -88,11 +104,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tokeniser_fertility": op8_tokeniser_fertility,
     "op9_merge_replay_bpe": op9_merge_replay_bpe,
     "op10_license_dice": op10_license_dice,
+    "op11_deletion_variant_simhash": op11_deletion_variant_simhash,
+    "op12_batch_token_alignment": op12_batch_token_alignment,
+    "op13_merkle_preimages": op13_merkle_preimages,
 }
 
 _templates = ", ".join("({}, '{}', {})".format(repr(name), text.replace("'", "''"), short) for pairs, short in ((license.TEMPLATES, "true"), (license.TEXTS, "false")) for name, text in pairs)
 
+_lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_leaf = lambda text: "sha256(" + " || ".join(f"coalesce(strlen({x}::VARCHAR)::VARCHAR || ':' || {x}::VARCHAR, '-')" for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+# The last step's state of a proof that climbs from `start` (r, g, pos, h, sib) over the runs of one stage.
+_climb = lambda name, start, stage: f"""{name}(r, g, level, pos, h, sib) AS (
+    SELECT r, g, 0, pos, h, sib FROM {start}
+    UNION ALL
+    SELECT f.r, f.g, f.level + 1, f.pos // 16, sha256(array_to_string(hs[:f.pos % 16] || [h] || hs[f.pos % 16 + 2:], '')), sib || array_to_string(hs[:f.pos % 16] || hs[f.pos % 16 + 2:], '')
+    FROM {name} f JOIN runs u ON u.stage = {stage} AND u.g = f.g AND u.level = f.level AND u.up = f.pos // 16
+)""".replace("  # noqa: E731", "")
+
 ORACLES: dict[str, str] = {
+    "op13_merkle_preimages": f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS g, {_leaf('text')} AS leaf,
+        CASE WHEN xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT), lambda c, b:
+            list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 5 = 0 THEN {_leaf(_lower.format('text'))} END AS presented FROM documents
+), l AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d
+), t(level, g, pos, n, hash) AS (
+    SELECT 0, g, pos, n, leaf FROM l
+    UNION ALL SELECT level + 1, g, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY level, g, pos // 16, n
+), s AS (
+    SELECT g, hash AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1
+), u(level, pos, n, hash) AS (
+    SELECT 0, pos, n, subroot FROM s
+    UNION ALL SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY level, pos // 16, n
+), runs AS (
+    SELECT 0 AS stage, g, level, pos // 16 AS up, list(hash ORDER BY pos) AS hs FROM t WHERE n > 1 GROUP BY ALL
+    UNION ALL SELECT 1, '', level, pos // 16, list(hash ORDER BY pos) FROM u WHERE n > 1 GROUP BY ALL
+), b AS (
+    SELECT r, g, pos, coalesce(presented, leaf) AS h, '' AS sib FROM l
+), {_climb('one', 'b', 0)}, m AS (
+    SELECT r, '' AS g, (SELECT s.pos FROM s WHERE s.g = any_value(one.g)) AS pos, arg_max(h, level) AS h, arg_max(sib, level) AS sib FROM one GROUP BY r
+), {_climb('two', 'm', 1)}, e AS (
+    SELECT r, arg_max(h, level) AS folded_root, sha256(arg_max(sib, level)) AS proof_sha256 FROM two GROUP BY r
+)
+SELECT doc_id, leaf, subroot, (SELECT hash FROM u WHERE n = 1) AS root, proof_sha256, folded_root, folded_root = (SELECT hash FROM u WHERE n = 1) AS verified
+FROM l JOIN s USING (g) JOIN e USING (r)
+""",
     "op4_norm_bucket_topk": """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings

@@ -25,23 +25,25 @@ class WordMemory:
     """Encodes lists of words; each distinct word goes to ``encode`` once, as long as it is remembered.
 
     A text is held as the numbers of its words, so that its many strings need not live together. Only the memory that was
-    used last keeps its words: a worker that goes on to another tokeniser does not hold both.
+    used last, and those that it is used ``beside``, keep their words: a worker that goes on to another tokeniser does not hold both.
     """
 
-    _last: ClassVar[WordMemory | None] = None
+    _last: ClassVar[list[WordMemory]] = []
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = CACHE_WORDS):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = CACHE_WORDS, beside: WordMemory | None = None):
         self.encode, self.most = encode, most
+        self.team = beside.team if beside else []
+        self.team.append(self)
         self.forget()
 
     def forget(self) -> None:
         self.number, self.coded = _Numbers(), []
 
     def __call__(self, texts: Iterable[list[str]]) -> list[bytes]:
-        if WordMemory._last is not self:
-            if WordMemory._last is not None:
-                WordMemory._last.forget()
-            WordMemory._last = self
+        if WordMemory._last is not self.team:
+            for other in WordMemory._last:
+                other.forget()
+            WordMemory._last = self.team
         get, held = self.number.__getitem__, []
         for words in texts:
             held.append(array("I", map(get, words)))
