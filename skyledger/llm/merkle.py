@@ -19,6 +19,7 @@ no root. Other columns of the table are ignored, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -97,11 +98,12 @@ def _climbed(nodes: DataFrame, parents: DataFrame) -> DataFrame:
     return joined.withColumn("path", F.concat(F.array(step), F.col("_path"))).withColumn("subroot", F.col("_subroot")).drop("up", "_preimage", "_path", "_subroot")
 
 
-def with_paths(held: Tree, tops: DataFrame) -> DataFrame:
-    """The leaves with ``path``, the preimages up to the root with the slot below in each, and ``subroot``; tops: g, path, subroot."""
+def with_paths(held: Tree, at_top: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The leaves with ``path``, the preimages up to the root with the slot below in each, and ``subroot``. ``at_top`` adds both to
+    the last node of each group."""
     above = None
     for nodes in [*reversed(held.levels), held.leaves]:
-        own = nodes.where("n = 1").join(tops, "g")
+        own = at_top(nodes.where("n = 1"))
         above = own if above is None else own.unionByName(_climbed(nodes, above))
     return above
 
@@ -132,9 +134,9 @@ class Manifest:
 
     def proofs(self) -> DataFrame:
         """The leaves, with whatever came along, and ``path``, ``subroot`` and ``root``."""
-        whole = self.groups.leaves.sparkSession.range(1).select(F.lit("").alias("g"), F.array().cast(_PATH).alias("path"), F.lit("").alias("subroot"))
-        sources = with_paths(self.top, whole).select(F.col("group").alias("g"), "path", F.col("hash").alias("subroot"))
-        return with_paths(self.groups, sources).withColumn("root", F.lit(self.root))
+        sources = with_paths(self.top, lambda last: last.withColumn("path", F.array().cast(_PATH)).withColumn("subroot", F.lit("")))
+        sources = sources.select(F.col("group").alias("g"), "path", F.col("hash").alias("subroot"))
+        return with_paths(self.groups, lambda last: last.join(sources, "g")).withColumn("root", F.lit(self.root))
 
 
 def manifest(rows: DataFrame, group: Column, order: str, leaf: str) -> Manifest:
