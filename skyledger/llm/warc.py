@@ -181,8 +181,14 @@ class Files(InputPartition):
 
 
 def _header(text: bytes) -> dict[str, str]:
-    lines = re.sub(r"\r?\n[ \t]+", " ", text.decode("utf-8", "replace")).splitlines()
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:]) if k}
+    """The fields of a header. Lines end at line feeds alone, whatever else a value holds; a line that begins with a blank goes on with the one
+    before. The first value of a field counts; blanks around it do not belong to it."""
+    out: dict[str, str] = {}
+    for line in re.split(rb"\r?\n", re.sub(rb"\r?\n[ \t]+", b" ", text))[1:]:
+        name, _, value = line.partition(b":")
+        if name.strip():
+            out.setdefault(name.strip().decode("utf-8", "replace").lower(), value.strip(b" \t").decode("utf-8", "replace"))
+    return out
 
 
 class Unpacked:

@@ -46,6 +46,22 @@ def test_round_trip(spark):
     remove(spark, path)
 
 
+def test_urls_with_the_line_ends_of_other_rules(spark):
+    """Only line feeds end a header line: other characters that end lines elsewhere belong to the value."""
+    ends = "\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+    urls = [f"http://a/{c}{more}" for c in ends for more in ("end", "WARC-Type: revisit", "WARC-Record-ID: <urn:page:99>", "WARC-Refers-To: <urn:page:7>", " x: y")]
+    urls += ["http://a/\r\nWARC-Type: revisit", "http://a/\nWARC-Record-ID: <urn:page:99>", "a: b: c", ":"]
+    path = archive(spark, [(i, u, f"<p>{i}</p>") for i, u in enumerate(urls)])
+    found = {r.record_id: r for r in spark.read.format("warc").option("verify", "true").load(path).collect()}
+    assert len(found) == len(urls)
+    for i, url in enumerate(urls):
+        r = found[f"<urn:page:{i}>"]
+        assert (r.record_type, r.refers_to, bytes(r.payload)) == ("response", None, f"<p>{i}</p>".encode())
+        assert r.target_uri == url.replace("\r", " ").replace("\n", " ")
+    read = spark.read.format("warc").load(path)
+    assert read.where(F.col("target_uri") == urls[3]).count() == 1 and read.where("record_type = 'revisit'").count() == 0
+
+
 def test_least_bytes_and_empty_tables(spark):
     path = archive(spark, PAGES, least_bytes=12)
     assert {r.record_type for r in spark.read.format("warc").load(path).collect()} == {"response"}
