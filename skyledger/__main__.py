@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"error: {e}", file=sys.stderr)
         return exit_code(e)
     if refused := summary.manifest["refused"]:
-        print(f"error: {len(refused)} row(s) produced a non-finite output and were not written; see {summary.output}/manifest.json", file=sys.stderr)
+        print(f"error: {len(refused)} row(s) without a finite output were left out; {summary.output}/manifest.json names them", file=sys.stderr)
         return PARTIAL
     return OK
 

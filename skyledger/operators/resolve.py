@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skyledger.functions import columns as C
+from skyledger.sources.scratch import stored
 
 KEY = ("symbol", "date")
 
@@ -53,23 +54,24 @@ def partition_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("year", "month", "prefix").agg(F.count("*").alias("row_count")).orderBy("year", "month", "prefix")
 
 
-def snapshot_chain(manifests: DataFrame, head: str, limit: int = 100) -> DataFrame:
-    """dataset_id and depth from the head back, of (dataset_id, previous_dataset_id); for analysis of chains of
-    up to ``limit`` steps; a longer one is an error. A loop ends where it comes back."""
-    step = manifests.where(F.col("dataset_id") == head).select("dataset_id", "previous_dataset_id", F.lit(0).alias("depth"), F.array("dataset_id").alias("path"))
-    found = step
-    for left in range(limit, -1, -1):
-        step = (
-            step.alias("s").join(manifests.alias("m"), F.col("s.previous_dataset_id") == F.col("m.dataset_id"))
-            .where(~F.array_contains("s.path", F.col("m.dataset_id")))
-            .select("m.dataset_id", "m.previous_dataset_id", (F.col("s.depth") + 1).alias("depth"), F.array_append("s.path", F.col("m.dataset_id")).alias("path"))
-        )
-        if step.isEmpty():
-            break
-        if not left:
-            raise ValueError(f"the chain from {head} has more than {limit} steps")
-        found = found.unionByName(step)
-    return found.select("dataset_id", "depth")
+def snapshot_chain(manifests: DataFrame, head: str) -> DataFrame:
+    """dataset_id and depth from the head back, of (dataset_id, previous_dataset_id); chains of any length. A loop ends where it comes back.
+
+    The chain is followed by doubling: each round knows for every dataset the one 2^k steps before it, and adds to what is reached as many datasets as
+    it holds, so the rounds grow with the logarithm of the length.
+    """
+    jumps = stored(manifests.where("previous_dataset_id IS NOT NULL").select(F.col("dataset_id").alias("at"), F.col("previous_dataset_id").alias("to")), "jumps")
+    reached = manifests.where(F.col("dataset_id") == head).select("dataset_id", F.lit(0).cast("long").alias("depth"))
+    found, step = reached.count(), 1
+    while True:
+        further = reached.join(jumps, reached["dataset_id"] == jumps["at"]).select(F.col("to").alias("dataset_id"), (F.col("depth") + step).alias("depth"))
+        known = further.join(manifests.select("dataset_id"), "dataset_id", "left_semi")
+        reached = stored(reached.union(known).groupBy("dataset_id").agg(F.min("depth").alias("depth")), "chain")
+        before, found = found, reached.count()
+        if found == before:
+            return reached.select("dataset_id", F.col("depth").cast("int").alias("depth"))
+        far = jumps.select(F.col("at").alias("to"), F.col("to").alias("beyond"))
+        jumps, step = stored(jumps.join(far, "to").select("at", F.col("beyond").alias("to")), "jumps"), 2 * step
 
 
 def semantic_mismatches(manifests: DataFrame, head: Column) -> DataFrame:
@@ -77,6 +79,14 @@ def semantic_mismatches(manifests: DataFrame, head: Column) -> DataFrame:
     return manifests.agg(F.count_if(F.struct("observation_extension", "input_count", "feature_fingerprint") != head).alias("mismatches"))
 
 
+def crosscheck(entries: DataFrame, listed: DataFrame) -> DataFrame:
+    """Entries of manifests (path, rowCount, bytes) against what indexes list (path, row): one row for each path of either side."""
+    counts = listed.groupBy("path").agg(F.count("*").alias("listed"), F.max("row").alias("last"))
+    found = entries.select("path", F.col("rowCount").alias("declared"), "bytes").join(counts, "path", "full")
+    agree = F.coalesce((F.col("declared") == F.col("listed")) & (F.col("last") == F.col("listed") - 1), F.lit(False))
+    return found.select("path", "declared", "listed", "bytes", agree.alias("agree"))
+
+
 def duplicates(rows: DataFrame, *columns: str) -> DataFrame:
     """Values that occur more than once, and how often."""
     return rows.groupBy(*columns).agg(F.count("*").alias("n")).where("n > 1")

@@ -6,11 +6,7 @@ the event ids; ``embeddings`` are observations; ``documents`` are bytes to hash;
 
 from __future__ import annotations
 
-import atexit
 import json
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -20,17 +16,23 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import columns as C
 from skyledger.functions.values import MarketDate
-from skyledger.operators import compare, resolve
+from skyledger.operators import compare, resolve, temporal
 from skyledger.operators.network import Creature, Predictor, activation_columns, score
 from skyledger.sources.publish import write_archive
+from skyledger.sources.scratch import scratch_path
 
-#: A model of 3 inputs, a hidden neuron and an output.
+#: A model of 5 inputs: two ReLU neurons, of which one feeds the other, and a LOGISTIC one, summed by the output.
 MODEL = {
-    "input": 3, "output": 1, "forwardOnly": True,
-    "neurons": [{"type": "hidden", "uuid": "h", "bias": -0.375, "squash": "TANH"}, {"type": "output", "uuid": "out", "bias": 0.4, "squash": "IDENTITY"}],
+    "input": 5, "output": 1, "forwardOnly": True,
+    "neurons": [
+        {"type": "hidden", "uuid": "rise", "bias": 0.0625, "squash": "ReLU"}, {"type": "hidden", "uuid": "gate", "bias": -0.5, "squash": "LOGISTIC"},
+        {"type": "hidden", "uuid": "rest", "bias": 0.25, "squash": "ReLU"}, {"type": "output", "uuid": "sum", "bias": -1.0, "squash": "IDENTITY"},
+    ],
     "synapses": [
-        {"fromUUID": "input-0", "toUUID": "h", "weight": 0.25}, {"fromUUID": "input-1", "toUUID": "h", "weight": 0.875},
-        {"fromUUID": "h", "toUUID": "out", "weight": 1.25}, {"fromUUID": "input-2", "toUUID": "out", "weight": -0.5},
+        {"fromUUID": f, "toUUID": t, "weight": w} for f, t, w in (
+            ("input-0", "rise", 1.5), ("input-4", "rise", -0.75), ("input-1", "gate", 2.0), ("rise", "gate", 0.5), ("rise", "rest", -1.25), ("input-2", "rest", 0.625), ("input-3", "rest", 1.0),
+            ("gate", "sum", 3.0), ("rest", "sum", 0.875), ("input-3", "sum", -0.25),
+        )
     ],
 }
 #: A model of 8 inputs, three hidden neurons on two levels with each squash, and two outputs.
@@ -45,8 +47,8 @@ WIDE_MODEL = {
         {"fromUUID": "b", "toUUID": "c", "weight": -1.0}, {"fromUUID": "c", "toUUID": "o1", "weight": 2.0}, {"fromUUID": "input-5", "toUUID": "o1", "weight": 0.5}, {"fromUUID": "c", "toUUID": "o2", "weight": 1.0}, {"fromUUID": "a", "toUUID": "o2", "weight": 1.0},
     ],
 }
-_H = "tanh(0.25::DOUBLE * {x}[1] + 0.875::DOUBLE * {x}[2] - 0.375::DOUBLE)"
-_MODEL_SQL = f"(1.25::DOUBLE * {_H} - 0.5::DOUBLE * {{x}}[3] + 0.4::DOUBLE)"
+_RISE = "greatest(0, 1.5::DOUBLE * {x}[1] - 0.75::DOUBLE * {x}[5] + 0.0625::DOUBLE)"
+_MODEL_SQL = f"(3 / (1 + exp(0.5::DOUBLE - 2 * {{x}}[2]::DOUBLE - 0.5::DOUBLE * {_RISE})) + 0.875::DOUBLE * greatest(0, 0.25::DOUBLE - 1.25::DOUBLE * {_RISE} + 0.625::DOUBLE * {{x}}[3] + {{x}}[4]) - 0.25::DOUBLE * {{x}}[4] - 1)"
 _WIDE_SQL = """a AS (SELECT *, 1 / (1 + exp(-(0.25 + 1.5 * x[1] - 2.0 * x[8]))) AS a, greatest(0, -0.125 + 3.0 * x[4]) AS b FROM e), c AS (SELECT *, tanh(a - b) AS c FROM a)"""
 _E_SQL = "e AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings)"
 
@@ -60,6 +62,10 @@ def _rounded(value: str) -> str:
     return f"CASE WHEN round({value}, 2) = 0 THEN 0::DOUBLE ELSE round({value}, 2) END"
 
 
+def _close(made: str, exact: str) -> Column:
+    return (F.abs(F.col(made) - F.col(exact)) <= 1e-5).alias("close")
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
@@ -102,6 +108,12 @@ def _x(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").alias("x"))
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """Adds the symbol and date under which vectors are published."""
+    letter = F.substring(F.lit("ABCXYZ^3"), (F.col("vec_id") % 8 + 1).cast("int"), F.lit(1))
+    return rows.withColumns({"symbol": F.concat(letter, F.col("vec_id").cast("string")), "date": F.date_add(F.lit("2021-01-01").cast("date"), (F.col("vec_id") % 90).cast("int"))})
+
+
 def _spoilt(spark: SparkSession, d: str) -> DataFrame:
     """embeddings whose first value is not finite in every tenth row."""
     bad = F.when(F.col("vec_id") % 30 == 0, float("nan")).when(F.col("vec_id") % 30 == 10, float("inf")).when(F.col("vec_id") % 30 == 20, -float("inf"))
@@ -156,21 +168,27 @@ def symbol_prefix(spark, d):
     return rows.select("s", C.prefix_for_symbol(F.col("s")).alias("prefix"))
 
 
-_DATES = ["2021-05-31", "2021-5-31", " 2021-05-31", "2021-05-31\n", "2021-02-29", "2020-02-29", "1900-02-29", "2000-02-29", "2021-13-01", "2021-00-01", "2021-04-31", "2021/05/31", "2021-05-31T00", ""]
+#: Dates of events as texts, most of them spoilt in one of nine ways by their key; the same SQL for both engines.
+_DAY = "CAST(CAST(ts AS DATE) AS STRING)"
+_SPOILT_DATE = f"""CASE event_id % 10 WHEN 1 THEN replace({_DAY}, '-0', '-') WHEN 2 THEN ' ' || {_DAY} WHEN 3 THEN {_DAY} || chr(10) WHEN 4 THEN substr({_DAY}, 1, 5) || '02-' || substr({_DAY}, 9, 2)
+WHEN 5 THEN '1900-02-' || substr({_DAY}, 9, 2) WHEN 6 THEN '2000-02-' || substr({_DAY}, 9, 2) WHEN 7 THEN substr({_DAY}, 1, 5) || '13-' || substr({_DAY}, 9, 2) WHEN 8 THEN {_DAY} || 'T00' WHEN 9 THEN replace({_DAY}, '-', '/') ELSE {_DAY} END"""
 
 
-@query(f"""SELECT n, CASE WHEN regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN try_cast(v AS DATE)::VARCHAR END AS date,
-CASE WHEN NOT regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN 'format' WHEN try_cast(v AS DATE) IS NULL THEN 'range' END AS fault FROM {_sql_values(_DATES)}""")
+@query(f"""WITH t AS (SELECT event_id, {_SPOILT_DATE} AS v FROM events)
+SELECT event_id, CASE WHEN regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN try_cast(v AS DATE)::VARCHAR END AS date,
+CASE WHEN NOT regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN 'format' WHEN try_cast(v AS DATE) IS NULL THEN 'range' END AS fault FROM t""")
 def strict_date_parse(spark, d):
-    return _values(spark, _DATES).select("n", C.parse_date(F.col("v")).cast("string").alias("date"), C.date_fault(F.col("v")).alias("fault"))
+    rows = _t(spark, d, "events").select("event_id", F.expr(_SPOILT_DATE).alias("v"))
+    return rows.select("event_id", C.parse_date(F.col("v")).cast("string").alias("date"), C.date_fault(F.col("v")).alias("fault"))
 
 
-_IDS = ["a", "-x", ".", "..", "..a", "a/b", "a b", "é", "a\n", "", "x" * 128, "x" * 129]
+_ID = "CAST(page_id AS STRING)"
+_IDS = f"CASE page_id % 9 WHEN 1 THEN '.' WHEN 2 THEN '..' WHEN 3 THEN '..' || {_ID} WHEN 4 THEN url WHEN 5 THEN 'a b' || {_ID} WHEN 6 THEN repeat('x', CAST(120 + page_id % 20 AS INT)) WHEN 7 THEN 'é' || {_ID} WHEN 8 THEN {_ID} || chr(10) ELSE '-page_' || {_ID} END"
 
 
-@query(f"SELECT n, regexp_full_match(v, '[A-Za-z0-9._-]{{1,128}}') AND v NOT IN ('.', '..') AS valid FROM {_sql_values(_IDS)}")
+@query(f"WITH t AS (SELECT page_id, {_IDS} AS v FROM pages) SELECT page_id, regexp_full_match(v, '[A-Za-z0-9._-]{{1,128}}') AND v NOT IN ('.', '..') AS valid FROM t")
 def dataset_id_valid(spark, d):
-    return _values(spark, _IDS).select("n", C.is_valid_dataset_id(F.col("v")).alias("valid"))
+    return _t(spark, d, "pages").select("page_id", C.is_valid_dataset_id(F.expr(_IDS)).alias("valid"))
 
 
 _PATHS = ["a.bin", "2021/05/A/0.bin", "a/..b/c", "", "/a", "a//b", "a/", "../a", "a/./b", "a\\b", ".."]
@@ -184,12 +202,13 @@ def safe_path(spark, d):
     return rows.select("v", C.is_safe_relative_path(F.col("v")).alias("safe"))
 
 
-_NAMES = ["A", " A", "A ", "A B", "", "A\n", "A\t", " A", "　A", "A​"]
+_SPACES = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
+_NAMES = "CASE c_custkey % 9 WHEN 1 THEN ' ' || c_name WHEN 2 THEN c_name || ' ' WHEN 3 THEN c_name || chr(10) WHEN 4 THEN '\u00a0' || c_name WHEN 5 THEN c_name || '\u3000' WHEN 6 THEN '' WHEN 7 THEN c_name || '\u200b' WHEN 8 THEN c_name || '\u2028' ELSE c_name END"
 
 
-@query(f"SELECT n, v <> '' AND NOT regexp_matches(v, '^[\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]') AND NOT regexp_matches(v, '[\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]\\z') AS canonical FROM {_sql_values(_NAMES)}")
+@query(f"WITH t AS (SELECT c_custkey, {_NAMES} AS v FROM customer) SELECT c_custkey, v <> '' AND NOT regexp_matches(v, '^[{_SPACES}]') AND NOT regexp_matches(v, '[{_SPACES}]\\z') AS canonical FROM t")
 def canonical_symbol(spark, d):
-    return _values(spark, _NAMES).select("n", C.is_canonical_symbol(F.col("v")).alias("canonical"))
+    return _t(spark, d, "customer").select("c_custkey", C.is_canonical_symbol(F.expr(_NAMES)).alias("canonical"))
 
 
 @query("SELECT o_orderkey, day(last_day(o_orderdate))::INTEGER AS days, strftime(o_orderdate, '%Y-%m-%d') AS date, year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, day(o_orderdate)::INTEGER AS day FROM orders")
@@ -209,11 +228,25 @@ def superseded_count(spark, d):
     return resolve.superseded_rows(_listings(spark, d))
 
 
-@query("SELECT vec_id, embedding[1]::DOUBLE AS first, embedding[64]::DOUBLE AS last FROM embeddings")
+#: Every component of every vector.
+_EVERY = "SELECT vec_id, generate_subscripts(embedding, 1)::INTEGER AS i, unnest(embedding)::DOUBLE {times} AS v FROM embeddings"
+_TWICE = "* CASE WHEN vec_id % 5 = 0 THEN 2 ELSE 1 END"
+
+
+def _components(rows: DataFrame) -> DataFrame:
+    """vec_id, place from 1 and value of every component of rows (vec_id, x)."""
+    return rows.select("vec_id", F.posexplode("x").alias("i", "v")).select("vec_id", (F.col("i") + 1).alias("i"), F.col("v").cast("double").alias("v"))
+
+
+def _vec_id() -> Column:
+    return F.substring("symbol", 2, 30).cast("long").alias("vec_id")
+
+
+@query(_EVERY.format(times=""))
 def pinned_snapshot(spark, d):
     """The first of two datasets of an archive, read while the second is the newest."""
     rows = spark.read.format("observations").option("dataset", "ds1").load(_registered(spark, _published(spark, d)))
-    return rows.select(F.substring("symbol", 2, 30).cast("long").alias("vec_id"), F.element_at("x", 1).cast("double").alias("first"), F.element_at("x", 64).cast("double").alias("last"))
+    return _components(rows.select(_vec_id(), "x"))
 
 
 @query(f"WITH {_WINNERS}, {_PARTS} SELECT year, month, prefix, count(*) AS row_count, printf('%04d/%02d/%s', year, month, prefix) AS id FROM p GROUP BY year, month, prefix")
@@ -235,20 +268,30 @@ def row_ordinals(spark, d):
     return resolve.with_ordinals(resolve.partition_columns(_winners(spark, d))).select("symbol", _text(F.col("date")).alias("date"), "row")
 
 
-_CHAIN = [("ds5", "ds4"), ("ds4", "ds3"), ("ds3", "ds2"), ("ds2", "ds1"), ("ds1", None), ("x1", "x3"), ("x2", "x1"), ("x3", "x2")]
-_CHAIN_SQL = "(VALUES " + ", ".join(f"('{a}', {repr(b) if b else 'NULL'})" for a, b in _CHAIN) + ") AS m(dataset_id, previous_dataset_id)"
+_STEPS = "SELECT 'd' || {key} AS dataset_id, CASE WHEN {key} > 1 THEN 'd' || ({key} - 1) {last} END AS previous_dataset_id FROM {table}"
 
 
-@query(f"""WITH RECURSIVE m AS (SELECT * FROM {_CHAIN_SQL}), c AS (SELECT dataset_id, previous_dataset_id, 0 AS depth FROM m WHERE dataset_id = 'ds5'
+def _chain(spark: SparkSession, d: str, table: str, key: str, loop: bool) -> DataFrame:
+    """A chain over a table's keys, which begin at 1: each dataset follows the one before it; ``loop``: the first follows the tenth."""
+    name = lambda c: F.concat(F.lit("d"), c.cast("string"))
+    before = F.when(F.col(key) > 1, name(F.col(key) - 1))
+    manifests = _t(spark, d, table).select(name(F.col(key)).alias("dataset_id"), (before.otherwise("d10") if loop else before).alias("previous_dataset_id"))
+    (most,) = _t(spark, d, table).agg(F.max(key)).first()
+    return resolve.snapshot_chain(manifests, f"d{most}")
+
+
+@query(f"""WITH RECURSIVE m AS ({_STEPS.format(key='p_partkey', table='part', last='')}), c AS (SELECT dataset_id, previous_dataset_id, 0 AS depth FROM m WHERE dataset_id = (SELECT 'd' || max(p_partkey) FROM part)
 UNION ALL SELECT m.dataset_id, m.previous_dataset_id, depth + 1 FROM c JOIN m ON c.previous_dataset_id = m.dataset_id) SELECT dataset_id, depth FROM c""")
 def snapshot_chain(spark, d):
-    return resolve.snapshot_chain(spark.createDataFrame(_CHAIN, "dataset_id string, previous_dataset_id string"), "ds5")
+    """A chain as long as the table of parts."""
+    return _chain(spark, d, "part", "p_partkey", False)
 
 
-@query(f"""WITH RECURSIVE m AS (SELECT * FROM {_CHAIN_SQL}), c AS (SELECT dataset_id, previous_dataset_id, 0 AS depth, [dataset_id] AS path FROM m WHERE dataset_id = 'x1'
+@query(f"""WITH RECURSIVE m AS ({_STEPS.format(key='s_suppkey', table='supplier', last="ELSE 'd10'")}), c AS (SELECT dataset_id, previous_dataset_id, 0 AS depth, [dataset_id] AS path FROM m WHERE dataset_id = (SELECT 'd' || max(s_suppkey) FROM supplier)
 UNION ALL SELECT m.dataset_id, m.previous_dataset_id, depth + 1, list_append(path, m.dataset_id) FROM c JOIN m ON c.previous_dataset_id = m.dataset_id WHERE NOT list_contains(path, m.dataset_id)) SELECT dataset_id, depth FROM c""")
 def chain_loop(spark, d):
-    return resolve.snapshot_chain(spark.createDataFrame(_CHAIN, "dataset_id string, previous_dataset_id string"), "x1")
+    """A chain that comes back to its tenth dataset."""
+    return _chain(spark, d, "supplier", "s_suppkey", True)
 
 
 @query("SELECT count(*) FILTER (n_regionkey <> 0)::BIGINT AS mismatches FROM nation")
@@ -258,16 +301,16 @@ def semantics_uniform(spark, d):
 
 
 @query(f"""WITH r AS ({_ROWS_SQL} UNION ALL {_AGAIN_SQL})
-SELECT printf('%04d/%02d/%s/%s.bin', year, month, prefix, dataset) AS path, count(*) AS declared, count(*) AS listed, (count(*) * 256)::BIGINT AS bytes, true AS agree FROM r GROUP BY dataset, year, month, prefix""")
+SELECT printf('%04d/%02d/%s', year, month, prefix) AS place, dataset, count(*) AS declared, count(*) AS listed, (count(*) * 256)::BIGINT AS bytes, true AS agree FROM r GROUP BY dataset, year, month, prefix""")
 def manifest_index_crosscheck(spark, d):
     """Entries of the manifests of an archive against the rows that its indexes list."""
     root = _published(spark, d)
     entries = resolve.flatten_shards(spark.read.json(f"{root}/datasets/*.json", multiLine=True).withColumn("pub_seq", F.col("datasetId")))
     listed = resolve.flatten_rows(spark.read.json(f"{root}/*/*/*/*.index.json", multiLine=True), "shardFile", "year", "month", "prefix")
     path = F.concat(C.partition_id(F.col("year"), F.col("month"), F.col("prefix")), F.lit("/"), F.col("shardFile"))
-    counts = listed.groupBy(path.alias("path")).agg(F.count("*").alias("listed"), F.max("row").alias("last"))
-    found = entries.select("path", F.col("rowCount").alias("declared"), "bytes").join(counts, "path", "full")
-    return found.select("path", "declared", "listed", "bytes", ((F.col("declared") == F.col("listed")) & (F.col("last") == F.col("listed") - 1)).alias("agree"))
+    found = resolve.crosscheck(entries, listed.select(path.alias("path"), "row"))
+    dataset = F.regexp_extract("path", "([^/-]+)-[^/]*$", 1)  # a dataset may have several shards a partition
+    return found.groupBy(F.regexp_extract("path", "^(.*)/", 1).alias("place"), dataset.alias("dataset")).agg(*[F.sum(c).alias(c) for c in ("declared", "listed", "bytes")], F.min("agree").alias("agree"))
 
 
 @query("SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
@@ -299,8 +342,9 @@ def identity_key(spark, d):
     return _t(spark, d, "documents").select("doc_id", key.alias("key"))
 
 
-@query(f"WITH {_E_SQL} SELECT vec_id, {_rounded(_MODEL_SQL.format(x='x'))} AS y FROM e")
+@query(f"WITH {_E_SQL} SELECT vec_id, {_rounded(_MODEL_SQL.format(x='x'))} AS y, true AS close FROM e")
 def activate_single(spark, d):
+    """One row at a time; ``close``: within 1e-5 of the formula in double precision."""
     model = Predictor(Creature("", "", MODEL), 64)
 
     def one(batches):
@@ -308,12 +352,14 @@ def activate_single(spark, d):
             y = [float(model.activate_one(np.array(x, np.float32))[0]) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(y, pa.float64())], names=["vec_id", "y"])
 
-    return _x(spark, d).select("vec_id", "x").mapInArrow(one, "vec_id long, y double").select("vec_id", F.round("y", 2).alias("y"))
+    made = _x(spark, d).select("vec_id", "x").mapInArrow(one, "vec_id long, y double")
+    exact = _x(spark, d).select("vec_id", activation_columns(MODEL, F.col("x"))[0].alias("exact"))
+    return made.join(exact, "vec_id").select("vec_id", F.round("y", 2).alias("y"), _close("y", "exact"))
 
 
-@query(f"WITH {_E_SQL}, n AS (SELECT vec_id, x[1:3] AS x FROM e) SELECT vec_id, round({_MODEL_SQL.format(x='x')}, 6) AS y FROM n")
+@query(f"WITH {_E_SQL}, n AS (SELECT vec_id, x[1:5] AS x FROM e) SELECT vec_id, round({_MODEL_SQL.format(x='x')}, 6) AS y FROM n")
 def activate_narrow(spark, d):
-    wide, narrow = activation_columns(MODEL, F.col("x"))[0], activation_columns(MODEL, C.first_inputs(F.col("x"), 3))[0]
+    wide, narrow = activation_columns(MODEL, F.col("x"))[0], activation_columns(MODEL, C.first_inputs(F.col("x"), 5))[0]
     return _x(spark, d).select("vec_id", F.round(F.when(wide == narrow, narrow), 6).alias("y"))
 
 
@@ -323,11 +369,13 @@ def activate_multi_output(spark, d):
     return _x(spark, d).select("vec_id", F.round(one, 6).alias("o1"), F.round(two, 6).alias("o2"))
 
 
-@query(f"WITH {_E_SQL}, {_WIDE_SQL} SELECT vec_id, {_rounded('0.5 + 2.0 * c + 0.5 * x[6]')} AS o1, {_rounded('tanh(c + a)')} AS o2 FROM c")
+@query(f"WITH {_E_SQL}, {_WIDE_SQL} SELECT vec_id, {_rounded('0.5 + 2.0 * c + 0.5 * x[6]')} AS o1, {_rounded('tanh(c + a)')} AS o2, true AS close FROM c")
 def activate_bulk(spark, d):
-    """The kernel's own values, in single precision; two decimals leave room for that."""
-    made = score(_x(spark, d), Predictor(Creature("", "", WIDE_MODEL), 64))
-    return made.select("vec_id", *[F.round(F.col("y")[i].cast("double"), 2).alias(f"o{i + 1}") for i in range(2)])
+    """The kernel's own values, in single precision; ``close``: all within 1e-5 of the formula in double precision."""
+    exact = activation_columns(WIDE_MODEL, F.col("x"))
+    made = score(_x(spark, d).select("vec_id", "x", F.array(*exact).alias("exact")), Predictor(Creature("", "", WIDE_MODEL), 64))
+    near = F.forall(F.zip_with("y", "exact", lambda y, e: F.abs(y - e) <= 1e-5), lambda v: v)
+    return made.select("vec_id", *[F.round(F.col("y")[i].cast("double"), 2).alias(f"o{i + 1}") for i in range(2)], near.alias("close"))
 
 
 @query(f"WITH {_E_SQL}, s AS (SELECT vec_id, v.i AS i, x[v.i + 1] * v.w AS v FROM e, (VALUES (0, 0.5::DOUBLE), (1, -1.25::DOUBLE), (2, 0.75::DOUBLE)) AS v(i, w)) SELECT vec_id, round(sum(v), 6) AS total FROM s GROUP BY vec_id")
@@ -353,18 +401,18 @@ def refused_rows(spark, d):
     return resolve.split_refused(_scored_spoilt(spark, d))[1].select("vec_id", "reason")
 
 
-@query(f"WITH {_SPOILT} SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS row, round(x[1] * 2 + x[2], 6) AS y FROM s WHERE isfinite(x[1])")
+@query(f"""WITH {_SPOILT}, p AS ({_ROWS_SQL}) SELECT year, month, prefix, vec_id, row_number() OVER (PARTITION BY year, month, prefix ORDER BY prefix || vec_id) - 1 AS row, round(x[1] * 2 + x[2], 6) AS y
+FROM s JOIN p USING (vec_id) WHERE isfinite(x[1])""")
 def written_rows(spark, d):
-    from pyspark.sql.window import Window
-
-    kept = resolve.split_refused(_scored_spoilt(spark, d))[0]
-    return kept.select("label", "vec_id", (F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1).cast("long").alias("row"), F.round(F.col("y")[0], 6).alias("y"))
+    """Rows with finite outputs, numbered in their partitions as they are written."""
+    placed = _placed(_scored_spoilt(spark, d).select("vec_id", "y"))
+    kept = resolve.with_ordinals(resolve.partition_columns(resolve.split_refused(placed)[0]))
+    return kept.select("year", "month", "prefix", "vec_id", "row", F.round(F.col("y")[0], 6).alias("y"))
 
 
-@query("SELECT vec_id, embedding[1]::DOUBLE AS first, embedding[64]::DOUBLE AS last FROM embeddings")
+@query(_EVERY.format(times=""))
 def widen_f32(spark, d):
-    wide = _x(spark, d).select("vec_id", C.widen(F.col("x")).alias("x"))
-    return wide.select("vec_id", F.element_at("x", 1).alias("first"), F.element_at("x", 64).alias("last"))
+    return _components(_x(spark, d).select("vec_id", C.widen(F.col("x")).alias("x")))
 
 
 @query("SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS utc FROM events")
@@ -400,18 +448,6 @@ def prediction_missing(spark, d):
     return compare.missing_rows(rows, rows.where("vec_id % 50 <> 2"), ("vec_id",))
 
 
-def _shared(spark: SparkSession) -> str:
-    """A new folder that driver and executors share, removed when the program ends."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="skyledger-")
-        atexit.register(shutil.rmtree, found, ignore_errors=True)
-        found = f"file://{found}"
-    return f"{found.rstrip('/')}/archive-{uuid.uuid4().hex}"
-
-
 def _registered(spark: SparkSession, root: str) -> str:
     from skyledger.plans.run import register
 
@@ -431,98 +467,156 @@ def _run(spark: SparkSession, root: str, **dates: MarketDate):
 
 def _published(spark: SparkSession, d: str) -> str:
     """An archive of all embeddings in two publications; the second restates every fifth row with its values doubled."""
-    root = f"{_shared(spark)}/116/f00d"
-    rows = _x(spark, d).select(F.concat(F.substring(F.lit("ABCXYZ^3"), (F.col("vec_id") % 8 + 1).cast("int"), F.lit(1)), F.col("vec_id").cast("string")).alias("symbol"), F.date_add(F.lit("2021-01-01").cast("date"), (F.col("vec_id") % 90).cast("int")).alias("date"), F.lit("X").alias("exchange"), "x", "vec_id")
-    write_archive(rows, root, "ds1", None, 64, 116, "f00d")
-    write_archive(rows.where("vec_id % 5 = 0").withColumn("x", F.transform("x", lambda v: v * 2)), root, "ds2", "ds1", 64, 116, "f00d")
+    root = f"{scratch_path(spark, 'archive')}/116/f00d"
+    rows = _placed(_x(spark, d).select("vec_id", "x")).withColumn("exchange", F.lit("X"))
+    write_archive(rows, root, "ds1", 64, 116, "f00d")
+    write_archive(rows.where("vec_id % 5 = 0").withColumn("x", F.transform("x", lambda v: v * 2)), root, "ds2", 64, 116, "f00d")
     return root
 
 
-@query("""SELECT vec_id, embedding[1]::DOUBLE * CASE WHEN vec_id % 5 = 0 THEN 2 ELSE 1 END AS first, embedding[64]::DOUBLE * CASE WHEN vec_id % 5 = 0 THEN 2 ELSE 1 END AS last FROM embeddings""")
+@query(_EVERY.format(times=_TWICE))
 def f32le_roundtrip(spark, d):
     from skyledger.plans.run import observations
     from skyledger.sources.archive import open_archive
 
     rows = observations(spark, open_archive(spark, _published(spark, d)))
-    return rows.select(F.substring("symbol", 2, 30).cast("long").alias("vec_id"), F.element_at("x", 1).cast("double").alias("first"), F.element_at("x", 64).cast("double").alias("last"))
+    return _components(rows.select(_vec_id(), "x"))
 
 
 @query(f"""WITH {_E_SQL}, v AS (SELECT vec_id, list_transform(x, lambda i: i * CASE WHEN vec_id % 5 = 0 THEN 2 ELSE 1 END) AS x FROM e WHERE DATE '2021-01-01' + (vec_id % 90)::INTEGER BETWEEN DATE '2021-01-15' AND DATE '2021-02-20')
-SELECT vec_id, {_rounded(_MODEL_SQL.format(x='x'))} AS y FROM v""")
+SELECT vec_id, {_rounded(_MODEL_SQL.format(x='x'))} AS y, true AS close FROM v""")
 def archive_end_to_end(spark, d):
-    """A run over an archive, read back: the kernel's own values."""
+    """A run over an archive, read back: the kernel's own values; ``close``: within 1e-5 of the formula in double precision."""
     made = _run(spark, _published(spark, d), first=MarketDate(2021, 1, 15), last=MarketDate(2021, 2, 20))
-    rows = spark.read.format("predictions").load(made.output)
-    return rows.select(F.substring("symbol", 2, 30).cast("long").alias("vec_id"), F.round(F.col("y")[0], 2).alias("y"))
+    rows = spark.read.format("predictions").load(made.output).select(_vec_id(), F.col("y")[0].alias("made"))
+    current = F.transform("x", lambda v: v * F.when(F.col("vec_id") % 5 == 0, 2).otherwise(1))
+    exact = _x(spark, d).select("vec_id", activation_columns(MODEL, current)[0].alias("exact"))
+    return rows.join(exact, "vec_id").select("vec_id", F.round("made", 2).alias("y"), _close("made", "exact"))
 
 
-#: Damage to an archive of two datasets: name, kind of the fault, and what is changed where: fields of the old or new manifest, of an
-#: entry or an index of the new one, or the bytes of its payload.
+#: Damage to the index or payload of a partition, and the kind of the fault: what is changed where. Each is done to another partition.
 _DAMAGE = [
-    ("none", "ok", "index", {}), ("unsafe previous id", "corrupt", "new", {"previousDatasetId": ".."}), ("loop", "corrupt", "old", {"previousDatasetId": "ds2"}), ("manifest schema", "schema", "old", {"schema": "x"}),
-    ("manifest byte order", "schema", "new", {"byteOrder": "big-endian"}), ("other name", "corrupt", "old", {"datasetId": "ds9"}), ("no width", "corrupt", "both", {"inputCount": 0}), ("mixed semantics", "semantics", "old", {"featureFingerprint": "x"}),
-    ("other root", "semantics", "both", {"observationExtension": 7}), ("no .bin", "corrupt", "entry", {"path": "2021/05/A/ds2.dat"}), ("outside", "corrupt", "entry", {"path": "../ds2.bin"}), ("listed twice", "corrupt", "entry", {"path": "2021/05/A/ds1.bin"}),
-    ("index schema", "schema", "index", {"schema": "x"}), ("index semantics", "semantics", "index", {"inputCount": 3}), ("shard file", "corrupt", "index", {"shardFile": "x.bin"}), ("row count", "corrupt", "index", {"rowCount": 2}), ("byte count", "corrupt", "entry", {"bytes": 3}),
-    ("index hash", "hash", "index", {"shardSha256": "0"}), ("index place", "corrupt", "index", {"month": 6}), ("symbol", "corrupt", "row", {"symbol": " A"}), ("date", "corrupt", "row", {"date": "2021-5-04"}), ("ordinal", "corrupt", "row", {"row": 1}),
-    ("other partition", "corrupt", "row", {"symbol": "B"}), ("payload length", "corrupt", "payload", b"\0"), ("payload hash", "hash", "payload", b"\0" * 8), ("no payload", "io", "payload", None), ("not finite", "corrupt", "value", float("inf")), ("field of another type", "json", "index", {"rows": 3}),
+    ("schema", "index", {"schema": "x"}), ("semantics", "index", {"inputCount": 3}), ("corrupt", "index", {"shardFile": "x.bin"}), ("corrupt", "index", {"rowCount": 2}), ("corrupt", "index", {"shardBytes": 3}), ("hash", "index", {"shardSha256": "0"}),
+    ("corrupt", "index", {"month": 12}), ("corrupt", "row", {"symbol": " A"}), ("corrupt", "row", {"date": "2021-5-04"}), ("corrupt", "row", {"row": 99999999}), ("corrupt", "row", {"symbol": "é"}), ("json", "index", {"rows": 3}),
+    ("corrupt", "payload", b"\0"), ("hash", "payload", "zeros"), ("io", "payload", None), ("corrupt", "payload", "nan"),
+]
+_KINDS = ", ".join(f"({k + 1}, '{kind}')" for k, (kind, *_) in enumerate(_DAMAGE))
+
+
+def _edit(path: str, change: Callable[[dict], object]) -> None:
+    from skyledger.sources.files import pretty, read_bytes, write_bytes
+
+    made = json.loads(read_bytes(path))
+    change(made)
+    write_bytes(path, pretty(made))
+
+
+def _damage(root: str, entry: dict, where: str, change) -> None:
+    """Spoils the index or payload of a shard; payloads that are to differ in values alone get their hash everywhere."""
+    from skyledger.functions.values import sha256_hex
+    from skyledger.sources.files import file_system, read_bytes, write_bytes
+
+    path = f"{root}/{entry['path']}"
+    index = f"{path[:-4]}.index.json"
+    if where == "index":
+        _edit(index, lambda made: made.update(change))
+    elif where == "row":
+        _edit(index, lambda made: made["rows"][0].update(change))
+    elif change is None:
+        fs, at = file_system(path)
+        fs.delete_file(at)
+    elif change == "zeros":
+        write_bytes(path, b"\0" * entry["bytes"])
+    elif change == "nan":
+        data = b"\0\0\xc0\x7f" + read_bytes(path)[4:]
+        write_bytes(path, data)
+        entry["sha256"] = sha256_hex(data)
+        _edit(index, lambda made: made.update(shardSha256=entry["sha256"]))
+    else:
+        write_bytes(path, change)
+
+
+@query(f"""WITH r AS ({_ROWS_SQL}), g AS (SELECT year, month, prefix, count(*) AS n, row_number() OVER (ORDER BY year, month, prefix) AS k FROM r GROUP BY year, month, prefix)
+SELECT year, month, prefix, CASE WHEN kind IS NULL THEN n END AS n_rows, kind FROM g LEFT JOIN (VALUES {_KINDS}) AS t(k, kind) USING (k)""")
+def archive_faults(spark, d):
+    """An archive of all embeddings with damage of another kind in each of its first partitions, as its reader tells of them: the fault of each
+    damaged partition, and the rows of the others."""
+    root = f"{scratch_path(spark, 'archive')}/116/f00d"
+    rows = _placed(_x(spark, d).select("vec_id", "x"))
+    write_archive(rows.coalesce(1), root, "ds1", 64, 116, "f00d")
+    _registered(spark, root)
+
+    def spoil(manifest: dict) -> None:
+        shards: dict[tuple, dict] = {}
+        for e in manifest["shards"]:
+            shards.setdefault((e["year"], e["month"], e["prefix"].encode()), e)
+        for (_, where, change), key in zip(_DAMAGE, sorted(shards)):
+            _damage(root, shards[key], where, change)
+
+    _edit(f"{root}/datasets/ds1.json", spoil)
+    found = spark.read.format("observations").option("faults", "rows").load(root)
+    kind = F.get_json_object("fault", "$[0]")
+    return found.groupBy("year", "month", "prefix").agg(F.nullif(F.count("symbol"), F.lit(0)).alias("n_rows"), F.max(kind).alias("kind"))
+
+
+#: Damage to the chain's documents: name, kind of the fault, the datasets whose manifests change, and how; an entry's change is one of its first shard.
+_CHAIN_DAMAGE = [
+    ("none", "ok", [], {}), ("unsafe previous id", "corrupt", ["ds2"], {"previousDatasetId": ".."}), ("loop", "corrupt", ["ds1"], {"previousDatasetId": "ds2"}), ("manifest schema", "schema", ["ds1"], {"schema": "x"}),
+    ("byte order", "schema", ["ds2"], {"byteOrder": "big-endian"}), ("other name", "corrupt", ["ds1"], {"datasetId": "ds9"}), ("no width", "corrupt", ["ds1", "ds2"], {"inputCount": 0}), ("mixed semantics", "semantics", ["ds1"], {"featureFingerprint": "x"}),
+    ("other root", "semantics", ["ds1", "ds2"], {"observationExtension": 7}), ("missing dataset", "io", ["ds2"], {"previousDatasetId": "ds0"}), ("no field", "json", ["ds2"], {"inputCount": None}), ("entry without .bin", "corrupt", ["ds2"], {"path": "2021/01/A/ds2.dat"}),
+    ("entry outside", "corrupt", ["ds2"], {"path": "../ds2.bin"}), ("entry with other rows", "corrupt", ["ds2"], {"rowCount": 1 << 40}), ("entry with other bytes", "corrupt", ["ds2"], {"bytes": 3}), ("entry twice", "corrupt", ["ds2"], {"path": "first"}),
 ]
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{name}', '{kind}')" for name, kind, *_ in _DAMAGE) + ") AS t(damage, kind)")
-def archive_faults(spark, d):
-    """The fault that each kind of damage to an archive is refused with."""
-    from skyledger.sources import archive
-    from skyledger.sources.files import ArchiveError, file_system, pretty, read_bytes, write_bytes
-    from skyledger.sources.publish import semantics_fields, write_manifest, write_shard
-
-    base, found = _shared(spark), []
-    for k, (name, _, where, change) in enumerate(_DAMAGE):
-        root, written = f"{base}/{k}/116/f00d", semantics_fields(2, 116, "f00d")
-        for dataset, day, previous in (("ds1", "2021-05-03", None), ("ds2", "2021-05-04", "ds1")):
-            value = change if where == "value" and previous else 1.0
-            write_manifest(root, dataset, previous, written, [write_shard(root, dataset, written, 2021, 5, "A", [("A", day, None)], np.array([[value, 2.0]]))])
-        place = f"{root}/2021/05/A/ds2"
-        if where == "payload":
-            fs, at = file_system(f"{place}.bin")
-            if change is None:
-                fs.delete_file(at)
-            else:
-                write_bytes(f"{place}.bin", change)
-        elif where != "value":
-            files = {"old": ["datasets/ds1"], "new": ["datasets/ds2"], "both": ["datasets/ds1", "datasets/ds2"], "entry": ["datasets/ds2"]}.get(where, ["2021/05/A/ds2.index"])
-            for file in files:
-                made = json.loads(read_bytes(f"{root}/{file}.json"))
-                if where in ("entry", "row"):
-                    (held,) = made["shards" if where == "entry" else "rows"]
-                    held.update(change)
-                else:
-                    made.update(change)
-                write_bytes(f"{root}/{file}.json", pretty(made))
+@query("SELECT damage, kind, (SELECT count(*) + count(*) FILTER (vec_id % 5 = 0) FROM embeddings) AS listed FROM (VALUES " + ", ".join(f"('{name}', '{kind}')" for name, kind, *_ in _CHAIN_DAMAGE) + ") AS t(damage, kind)")
+def chain_faults(spark, d):
+    """What the reader says of the archive of all embeddings when documents of its chain are spoilt, one way at a time."""
+    from skyledger.sources.archive import open_archive
+    from skyledger.sources.files import ArchiveError, read_bytes, write_bytes
+
+    root = _published(spark, d)
+    whole = {name: read_bytes(f"{root}/datasets/{name}.json") for name in ("ds1", "ds2")}
+    first = json.loads(whole["ds1"])["shards"][0]["path"]
+    listed = sum(e["rowCount"] for text in whole.values() for e in json.loads(text)["shards"])
+
+    def spoil(change: dict) -> Callable[[dict], object]:
+        return lambda made: [made["shards"][0].update({k: first if v == "first" else v}) if k in ("path", "rowCount", "bytes") else made.update({k: v}) for k, v in change.items()]
+
+    def kind_of(names: list[str], change: dict) -> str:
         try:
-            _, chain, semantics = archive.snapshot(root, None)
-            shards = archive.chain_shards(chain)
-            if twice := archive.first_repeated(shards):
-                raise twice[1]
-            rows, _ = archive.resolve((row for shard in shards for row in archive.read_index(root, shard, semantics)), None, None)
-            archive.gather(root, rows, semantics.input_count)
-            found.append((name, "ok"))
+            for name in names:
+                _edit(f"{root}/datasets/{name}.json", spoil(change))
+            open_archive(spark, root)
+            return "ok"
         except ArchiveError as e:
-            found.append((name, e.kind))
-    return spark.createDataFrame(found, "damage string, kind string")
+            return e.kind
+        finally:
+            for name in names:
+                write_bytes(f"{root}/datasets/{name}.json", whole[name])
 
+    return spark.createDataFrame([(name, kind_of(names, change), listed) for name, _, names, change in _CHAIN_DAMAGE], "damage string, kind string, listed long")
 
-@query("""SELECT * FROM (VALUES (1, 'first', '0', 100), (2, 'again', 'complete', 100), (3, 'other dates', '73', 0), (4, 'dates in reverse', '64', 0), (5, 'no model', '66', 0), (6, 'refused rows', '3', 99), (7, 'damaged payload', '65', 0)) AS t(n, request, outcome, n_rows)""")
+
+#: An output of 1e20 * 2e19 times the first value, which single precision can't hold for most rows.
+_HOT_MODEL = {
+    "input": 1, "output": 1, "forwardOnly": True,
+    "neurons": [{"type": "hidden", "uuid": "far", "bias": 0.0, "squash": "IDENTITY"}, {"type": "output", "uuid": "farther", "bias": 0.0, "squash": "IDENTITY"}],
+    "synapses": [{"fromUUID": "input-0", "toUUID": "far", "weight": 1e20}, {"fromUUID": "far", "toUUID": "farther", "weight": 2e19}],
+}
+
+
+@query(f"""WITH c AS (SELECT count(*) AS every, count(*) FILTER (abs(embedding[1]::DOUBLE {_TWICE}) * 2e39 < 3.4028235677973366e38) AS finite FROM embeddings)
+SELECT n, request, outcome, CASE k WHEN 1 THEN every WHEN 2 THEN finite ELSE 0 END::BIGINT AS n_rows FROM c,
+(VALUES (1, 'first', '0', 1), (2, 'again', 'complete', 1), (3, 'other dates', '73', 0), (4, 'dates in reverse', '64', 0), (5, 'no model', '66', 0), (6, 'refused rows', '3', 2), (7, 'again with refused rows', 'complete', 2), (8, 'damaged payload', '65', 0)) AS t(n, request, outcome, k)""")
 def run_outcomes(spark, d):
-    """How runs end: exit codes, or ``complete`` for a run that was there; and how many rows the output holds."""
+    """How runs over the archive of all embeddings end: exit codes, or ``complete`` for a run that was there; and how many rows the output holds."""
     from skyledger.plans.run import PredictRequest, exit_code, run
     from skyledger.sources.files import write_bytes
 
-    root = f"{_shared(spark)}/116/f00d"
+    root = _published(spark, d)
     base = root[: -len("/116/f00d")]
-    rows = spark.range(100).select(F.concat(F.lit("A"), F.col("id").cast("string")).alias("symbol"), F.lit("2021-05-03").cast("date").alias("date"), F.lit(None).cast("string").alias("exchange"), F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: (F.col("id") % 7 + i).cast("float")).alias("x"))
-    write_archive(rows.coalesce(1), root, "ds1", None, 3, 116, "f00d")
     write_bytes(f"{base}/model.json", json.dumps(MODEL).encode())
-    hot = {**MODEL, "synapses": [*MODEL["synapses"], {"fromUUID": "input-1", "toUUID": "out", "weight": 1.0}]}
+    write_bytes(f"{base}/hot.json", json.dumps(_HOT_MODEL).encode())
     found = []
 
     def ends(n: int, name: str, **changes) -> None:
@@ -539,11 +633,51 @@ def run_outcomes(spark, d):
     ends(3, "other dates", first=MarketDate(2021, 1, 1))
     ends(4, "dates in reverse", first=MarketDate(2021, 1, 2), last=MarketDate(2021, 1, 1))
     ends(5, "no model", creature=f"{base}/none.json")
-    # One row whose third value is large enough for an output beyond single precision.
-    large = rows.withColumn("x", F.when(F.col("symbol") == "A7", F.array(F.lit(0.0), F.lit(0.0), F.lit(3e38)).cast("array<float>")).otherwise(F.col("x")))
-    write_archive(large.coalesce(1), root, "ds2", None, 3, 116, "f00d")
-    write_bytes(f"{base}/hot.json", json.dumps({**hot, "synapses": [*hot["synapses"], {"fromUUID": "input-2", "toUUID": "out", "weight": 9.0}]}).encode())
-    ends(6, "refused rows", creature=f"{base}/hot.json", output=f"{base}/out/hot")
-    write_bytes(f"{root}/2021/05/A/ds2.bin", b"")
-    ends(7, "damaged payload", output=f"{base}/out/damaged")
-    return spark.createDataFrame(found, "n int, request string, outcome string, n_rows int")
+    hot = {"creature": f"{base}/hot.json", "output": f"{base}/out/hot"}
+    ends(6, "refused rows", **hot)
+    ends(7, "again with refused rows", **hot)
+    from skyledger.sources.files import read_bytes
+
+    write_bytes(f"{root}/{json.loads(read_bytes(f'{root}/datasets/ds2.json'))['shards'][0]['path']}", b"")
+    ends(8, "damaged payload", output=f"{base}/out/damaged")
+    return spark.createDataFrame(found, "n int, request string, outcome string, n_rows long")
+
+
+@query(f"""WITH e AS ({_ROWS_SQL}) SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN 'ds2' ELSE 'ds1' END AS dataset, (vec_id % 5 = 0)::INTEGER + 1 AS publications, embedding[64]::DOUBLE {_TWICE} AS last FROM e JOIN embeddings USING (vec_id)""")
+def change_feed(spark, d):
+    """The publications of an archive as a feed: how often each vector was published, and what the last of them says."""
+    rows = spark.read.format("observation_changes").load(_registered(spark, _published(spark, d)))
+    last = F.max_by(F.struct("dataset", F.element_at("x", 64).cast("double").alias("last")), "publication").alias("r")
+    return rows.groupBy(_vec_id()).agg(F.count("*").cast("int").alias("publications"), last).select("vec_id", "r.dataset", "publications", "r.last")
+
+
+@query(f"""WITH e AS ({_ROWS_SQL}) SELECT vec_id, month, embedding[1]::DOUBLE {_TWICE} AS first FROM e JOIN embeddings USING (vec_id) WHERE (prefix = 'Z' OR vec_id = 7) AND month <= 2""")
+def symbol_pruning(spark, d):
+    """Rows by symbol: only the folders of its letter are opened, a month each."""
+    root = _registered(spark, _published(spark, d))
+    rows = lambda: spark.read.format("observations").option("pushdown", "true").load(root)  # noqa: E731  a load each
+    z, one = rows().where("symbol LIKE 'Z%' AND month <= 2"), rows().where("symbol = '37' AND date < DATE'2021-03-01'")
+    return z.unionByName(one).select(_vec_id(), "month", F.element_at("x", 1).cast("double").alias("first"))
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_custkey % 150 AS u, TIMESTAMP '2024-01-01' + to_seconds((o_orderkey * 7919) % 2592000) AS t FROM orders),
+e AS (SELECT user_id, ts, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id, ts)
+SELECT o_orderkey, e.event_id AS right_event_id, round(e.value, 6) AS right_value FROM o ASOF LEFT JOIN e ON o.u = e.user_id AND o.t >= e.ts""")
+def asof_last_event(spark, d):
+    """The last event of a user at or before the moment of each order."""
+    moment = F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("o_orderkey") * 7919, F.lit(2592000))).cast("timestamp_ntz")
+    orders = _t(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 150).alias("u"), moment.alias("t"))
+    found = temporal.asof_join(orders, _t(spark, d, "events").select("event_id", "user_id", "ts", "value"), ("u", "user_id"), ("t", "ts"), ("event_id",))
+    return found.select("o_orderkey", "right_event_id", F.round("right_value", 6).alias("right_value"))
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_custkey % 150 AS user_id, (o_orderkey * 7919) % 2592000 AS s FROM orders), e AS (SELECT event_id, user_id, epoch(ts)::BIGINT - 1704067200 AS s FROM events)
+SELECT o_orderkey, count(*) AS n_events, max(event_id) AS last_event FROM o JOIN e ON o.user_id = e.user_id AND e.s BETWEEN o.s AND o.s + 21600 + o_orderkey % 7 * 3600 GROUP BY o_orderkey""")
+def interval_events(spark, d):
+    """Events of a user within some hours of each order's moment, as a join of intervals by bins."""
+    begin = F.pmod(F.col("o_orderkey") * 7919, F.lit(2592000))
+    orders = _t(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 150).alias("user_id"), begin.alias("low"), (begin + 21600 + F.col("o_orderkey") % 7 * 3600).alias("high"))
+    at = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000) - 1704067200
+    events = _t(spark, d, "events").select("event_id", "user_id", at.alias("at"))
+    pairs = temporal.interval_join(orders, events, ["user_id"], (F.col("low"), F.col("high")), (F.col("at"), F.col("at")), 28800)
+    return pairs.groupBy("o_orderkey").agg(F.count("*").alias("n_events"), F.max("event_id").alias("last_event"))

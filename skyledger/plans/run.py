@@ -9,17 +9,20 @@ import json
 import pickle
 import threading
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.functions.values import MAX_DATASET_ID_BYTES, MarketDate, is_valid_dataset_id, utc_now
 from skyledger.operators.network import ENGINE, ENGINE_SOURCE, ENGINE_VERSION, Creature, EngineError, Predictor, load_creature
-from skyledger.sources.archive import Archive, ObservationSource, open_archive
-from skyledger.sources.files import ArchiveError, write_bytes
+from skyledger.sources.archive import Archive, ObservationSource, kept_work, open_archive, planned
+from skyledger.sources.changes import ChangeSource
+from skyledger.sources.files import ArchiveError, file_system, write_bytes
 from skyledger.sources.predictions import RESEARCH_MODE, RUN_MANIFEST_SCHEMA, OutputError, Part, PredictionIdentity, PredictionSource, PredictionWriter, StagedRun, identity_options, inspect_output
 
 TOOL, TOOL_VERSION = "skyledger", "0.1.0"
@@ -51,7 +54,7 @@ class PredictRequest:
         """The request's own consistency, in the order of its fields; no file is touched."""
         for flag in ("creature", "archive", "output"):
             if not getattr(self, flag):
-                raise RequestError("empty_path", f"--{flag} must name a path")
+                raise RequestError("empty_path", f"--{flag} is empty")
         if self.first is not None and self.last is not None and self.first > self.last:
             raise RequestError("date_order", f"--from {self.first} is after --to {self.last}")
         if self.dataset is not None and not is_valid_dataset_id(self.dataset):
@@ -66,26 +69,44 @@ class RunSummary:
 
 
 def register(spark: SparkSession) -> None:
-    """Makes the formats known to the session and lets date bounds reach the scan."""
+    """Makes the formats known to the session and lets filters reach the scan."""
     spark.dataSource.register(ObservationSource)
     spark.dataSource.register(PredictionSource)
+    spark.dataSource.register(ChangeSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def observations(spark: SparkSession, archive: Archive, faults_as_rows: bool = False, creature: Creature | None = None, compiled: str | None = None) -> DataFrame:
-    """The rows of a resolved snapshot; each of its partitions lies whole in a task. With a model they come out scored."""
+def _scans(spark: SparkSession, archive: Archive, faults_as_rows: bool, creature: Creature | None, compiled: str | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Scans of the partitions that lie whole in a task, and of those that several tasks read."""
     register(spark)
-    options = {
-        "path": archive.fingerprint_root, "dataset": archive.dataset_id, "from": archive.first, "to": archive.last, "tasks": 2 * spark.sparkContext.defaultParallelism,
-        "faults": "rows" if faults_as_rows else None, "model": creature and creature.path, "model_sha256": creature and creature.sha256, "compiled": compiled,
-    }
-    return spark.read.format("observations").options(**{k: str(v) for k, v in options.items() if v is not None}).load()
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    options = {"faults": "rows" if faults_as_rows else None, "model": creature and creature.path, "model_sha256": creature and creature.sha256, "compiled": compiled}
+    if archive.keep is None:
+        options |= {"path": archive.fingerprint_root, "dataset": archive.dataset_id, "from": archive.first, "to": archive.last, "tasks": tasks}
+    options = {k: str(v) for k, v in options.items() if v is not None}
+    if archive.keep is None:
+        return spark.read.format("observations").options(**options).load(), None
+    whole, split = kept_work(archive, tasks)
+    return planned(spark, archive, whole, options) if whole or not split else None, planned(spark, archive, split, options) if split else None
+
+
+def observations(spark: SparkSession, archive: Archive, faults_as_rows: bool = False, creature: Creature | None = None, compiled: str | None = None) -> DataFrame:
+    """The rows of a resolved snapshot. With a model they come out scored. Where the archive was opened with a folder for its listings, no
+    index is read again, and large partitions are read by several tasks; otherwise each partition lies whole in a task."""
+    whole, split = _scans(spark, archive, faults_as_rows, creature, compiled)
+    return whole.unionByName(split) if whole is not None and split is not None else split if whole is None else whole
 
 
 def scored(spark: SparkSession, archive: Archive, creature: Creature, compiled: str | None = None) -> DataFrame:
     """Scan with the model pushed into it: wide rows are scored where they are decoded, and only outputs reach the JVM.
-    ``operators.network.score`` gives the same values for rows of any other source."""
-    return observations(spark, archive, True, creature, compiled).select("year", "month", "prefix", "symbol", "date", "exchange", "y", "fault")
+    ``operators.network.score`` gives the same values for rows of any other source. Every partition comes out whole in a task and in order: only of
+    those that several tasks score are the outputs brought together, as they make one file."""
+    names = ["year", "month", "prefix", "symbol", "date", "exchange", "y", "fault"]
+    whole, split = _scans(spark, archive, True, creature, compiled)
+    if split is None:
+        return whole.select(*names)
+    split = split.repartition("year", "month", "prefix").sortWithinPartitions("year", "month", "prefix", "row").select(*names)
+    return split if whole is None else whole.select(*names).unionByName(split)
 
 
 def publish(rows: DataFrame, staged: StagedRun, manifest: dict, wrote: Callable[[int], None] = lambda n: None) -> None:
@@ -120,11 +141,26 @@ def run(spark: SparkSession, request: PredictRequest, progress: Callable[[str],
     """Runs the request. Errors come in this order: request, model file, archive, fit of both, output, partitions."""
     request.validate()
     started, clock = utc_now(), time.monotonic()
+    try:
+        there = inspect_output(request.output) is not None
+    except OutputError:
+        there = True  # a run that is there, or in the way, is told of in its turn
+    keep = None if there else f"{request.output.rstrip('/')}.listings-{uuid.uuid4().hex}"  # beside the output, gone with the run
+    try:
+        return _run(spark, request, progress, started, clock, keep)
+    finally:
+        if keep:
+            fs, at = file_system(keep)
+            if fs.get_file_info(at).type == pafs.FileType.Directory:
+                fs.delete_dir(at)
+
+
+def _run(spark: SparkSession, request: PredictRequest, progress: Callable[[str], None], started: str, clock: float, keep: str | None) -> RunSummary:
     with ThreadPoolExecutor(1) as side:  # the model is read while tasks check the indexes; its faults come first all the same
         model = side.submit(load_creature, request.creature)
         compiled = side.submit(lambda: Predictor(model.result(), model.result().export["input"]))
         try:
-            archive = open_archive(spark, request.archive, request.dataset, request.first, request.last)
+            archive = open_archive(spark, request.archive, request.dataset, request.first, request.last, keep)
         finally:
             creature = model.result()
         compiled.exception()
@@ -137,7 +173,7 @@ def run(spark: SparkSession, request: PredictRequest, progress: Callable[[str],
     existing = inspect_output(request.output)
     if existing is not None:
         if (existing["key"], existing["from"], existing["to"]) == (key, first, last):
-            progress(f"[{TOOL}] {request.output} already holds run {key}; nothing to do")
+            progress(f"[{TOOL}] run {key} is complete in {request.output}; left as it is")
             return RunSummary(request.output, existing, True)
         raise OutputError("occupied", request.output, f"it holds run {existing['key']} for {existing['from'] or '*'}..{existing['to'] or '*'}")
 

@@ -86,13 +86,34 @@ def _names(fields: tuple[Field, ...]) -> frozenset[str]:
     return frozenset(f.name for f in fields).union(*[_names(f.of) for f in fields]) if fields else frozenset()
 
 
-def read_json(path: str, fields: tuple[Field, ...]) -> dict:
-    """A JSON document; an ``io`` fault if it can't be read as text, a ``json`` fault if it lacks the declared form."""
+def _columns(found: dict, fields: tuple[Field, ...], name: str) -> dict | None:
+    """The fields of an object, the list ``name`` as a list for each of its fields; None unless all are plainly of their kinds."""
+    own = next(f for f in fields if f.name == name)
+    rows = found.get(name)
+    if type(rows) is not list or not {type(r) for r in rows} <= {dict}:
+        return None
+    made = {}
+    for f in own.of:
+        made[f.name] = values = [r.get(f.name) for r in rows]
+        if not {type(v) for v in values} <= ({f.kind, type(None)} if f.optional else {f.kind}) or f.kind is int and values and not 0 <= min(values) <= max(values) < 1 << 63:
+            return None
+    return {**checked({**found, name: []}, fields), name: made}
+
+
+def read_json(path: str, fields: tuple[Field, ...], columns: str | None = None) -> dict:
+    """A JSON document; an ``io`` fault if it can't be read as text, a ``json`` fault if it lacks the declared form. The list that
+    ``columns`` names, of many objects, comes out as a list for each of their fields."""
     try:
         text = read_bytes(path).decode()
     except (OSError, UnicodeDecodeError) as e:
         raise ArchiveError("io", path, str(e)) from None
     try:
-        return checked(json.loads(text, object_pairs_hook=_once(_names(fields))), fields)
+        found = json.loads(text, object_pairs_hook=_once(_names(fields)))
+        if columns is None:
+            return checked(found, fields)
+        if isinstance(found, dict) and (made := _columns(found, fields, columns)) is not None:
+            return made
+        found = checked(found, fields)
+        return {**found, columns: {f.name: [r[f.name] for r in found[columns]] for f in next(f for f in fields if f.name == columns).of}}
     except (ValueError, RecursionError) as e:
         raise ArchiveError("json", path, str(e)) from None

@@ -1,14 +1,18 @@
+import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators.network import Creature, Predictor, score
+from skyledger.plans.run import register
+from skyledger.sources.changes import ChangeStream
+from skyledger.sources.files import ArchiveError
 from skyledger.streaming.scoring import latest_rows_stream, score_stream
-from tests.archives import MODEL
+from tests.archives import MODEL, Fixture, drawn, plain
 
 
 def test_a_stream_scores_like_a_batch(spark, tmp_path):
-    rows = spark.range(40).select("id", F.array(*[(F.col("id") * k / 10).cast("float") for k in (1, 2, 3)]).alias("x"))
+    rows = spark.range(40).select("id", F.array(*[(F.col("id") * k / 10).cast("float") for k in (1, 2, 3, 4)]).alias("x"))
     rows.repartition(3).write.parquet(str(tmp_path / "in"))
-    predictor = Predictor(Creature("c", "", MODEL), 3)
+    predictor = Predictor(Creature("c", "", MODEL), 4)
     stream = spark.readStream.schema("id long, x array<float>").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     written = score_stream(stream, predictor).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state"))
     query = written.trigger(availableNow=True).start(str(tmp_path / "out"))
@@ -24,3 +28,41 @@ def test_a_later_listing_replaces_an_earlier_one(spark, tmp_path):
     query = latest.writeStream.format("memory").queryName("latest").outputMode("complete").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert sorted((r.symbol, r.v) for r in spark.table("latest").collect()) == [("A", 30), ("B", 1)]
+
+
+def test_the_feed_of_an_archive_goes_on_where_it_stopped(spark, tmp_path):
+    """Each publication comes out once, whatever the restarts; the last of each key is the snapshot."""
+    register(spark)
+    b, publications = Fixture(tmp_path / "archive", 2), drawn(6, 5, 20, 2)
+
+    def goes_on(**options):
+        feed = spark.readStream.format("observation_changes").options(**options).load(str(b.root))
+        written = feed.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state"))
+        written.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination(120)
+        rows = spark.read.parquet(str(tmp_path / "out")).collect()
+        return sorted((r.publication, r.dataset, r.symbol, str(r.date), list(r.x)) for r in rows)
+
+    want = []
+    for k, rows in enumerate(publications):
+        b.add(f"d{k}", rows)
+        want += sorted((k, f"d{k}", s, d, v) for s, d, v in rows)
+        if k in (0, 2, 3):
+            assert goes_on() == want
+            assert goes_on() == want  # nothing new
+    assert goes_on(most=1) == want
+    batch = spark.read.format("observation_changes").load(str(b.root))
+    assert sorted((r.publication, r.dataset, r.symbol, str(r.date), list(r.x)) for r in batch.collect()) == want
+    latest = batch.groupBy("symbol", "date").agg(F.max_by("x", "publication").alias("x")).collect()
+    assert {(r.symbol, str(r.date)): list(r.x) for r in latest} == {(r[4], r[5]): r[6] for r in plain(publications)[0]}
+
+
+def test_a_chain_that_was_rewritten_is_no_silent_gap(tmp_path):
+    b = Fixture(tmp_path, 1)
+    b.add("d0", [("A", "2019-01-01", [1])])
+    b.add("d1", [("A", "2019-01-02", [2])])
+    stream = ChangeStream({"path": str(b.root)})
+    start, end = stream.latestOffset(), {"dataset": "d1", "publication": 1}
+    assert start == end and stream.partitions(start, end) == []
+    with pytest.raises(ArchiveError, match="not d9 any more"):
+        stream.partitions({"dataset": "d9", "publication": 0}, end)
+    assert ChangeStream({"path": str(tmp_path / "none")}).latestOffset() == {"dataset": None, "publication": -1}

@@ -58,9 +58,9 @@ def test_requests():
     day = MarketDate(2021, 5, 3)
     PredictRequest("c", "a", "o", "ds", day, day).validate()
     for kind, message, request in [
-        ("empty_path", "--creature must name a path", PredictRequest("", "", "", "?")),
-        ("empty_path", "--archive must name a path", PredictRequest("c", "", "")),
-        ("empty_path", "--output must name a path", PredictRequest("c", "a", "")),
+        ("empty_path", "--creature is empty", PredictRequest("", "", "", "?")),
+        ("empty_path", "--archive is empty", PredictRequest("c", "", "")),
+        ("empty_path", "--output is empty", PredictRequest("c", "a", "")),
         ("date_order", "--from 2021-05-03 is after --to 2021-05-02", PredictRequest("c", "a", "o", "?", day, MarketDate(2021, 5, 2))),
         ("dataset_id", "--dataset '../x' is not a dataset id", PredictRequest("c", "a", "o", "../x")),
     ]:
