@@ -11,6 +11,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +25,21 @@ from skyledger.sources.files import read_bytes
 #: Part of every run's key: predictions of another kernel never share it.
 ENGINE, ENGINE_VERSION, ENGINE_SOURCE = "skyledger/levels-f32", "1", "python"
 ONE = np.float32(1)
-SQUASHES: dict[str, Callable[[np.ndarray], np.ndarray]] = {
-    "IDENTITY": lambda v: v,
-    "TANH": np.tanh,
-    "ReLU": lambda v: np.maximum(v, np.float32(0)),
-    "LOGISTIC": lambda v: ONE / (ONE + np.exp(-v)),
+
+
+def _logistic(v: np.ndarray) -> None:
+    np.negative(v, out=v)
+    np.exp(v, out=v)
+    np.add(v, ONE, out=v)
+    np.divide(ONE, v, out=v)
+
+
+#: Each works in place.
+SQUASHES: dict[str, Callable[[np.ndarray], object]] = {
+    "IDENTITY": lambda v: None,
+    "TANH": lambda v: np.tanh(v, out=v),
+    "ReLU": lambda v: np.maximum(v, np.float32(0), out=v),
+    "LOGISTIC": _logistic,
 }
 COLUMN_SQUASHES: dict[str, Callable[[Column], Column]] = {
     "IDENTITY": lambda v: v,
@@ -37,8 +48,8 @@ COLUMN_SQUASHES: dict[str, Callable[[Column], Column]] = {
     "LOGISTIC": lambda v: 1 / (1 + F.exp(-v)),
 }
 _INPUT = re.compile(r"input-(0|[1-9][0-9]*)")
-#: Values of the activation matrix that a task holds at a time.
-MATRIX_VALUES = 8_000_000
+#: Values of the activation matrix that a task holds at a time, and rows of it.
+MATRIX_VALUES, STEP_ROWS = 8_000_000, 256
 
 
 class EngineError(Exception):
@@ -102,16 +113,19 @@ def load_creature(path: str) -> Creature:
 
 @dataclass
 class Level:
-    """Neurons that only need earlier ones. The k-th inputs of those that have so many: places, sources, weights."""
+    """Neurons that only need earlier ones: nodes ``low`` to ``high``. The k-th inputs of the first so many that have them: sources, weights.
+    Runs of neurons with one squash: its name, from, to."""
 
-    neurons: np.ndarray
+    low: int
+    high: int
     bias: np.ndarray
-    inputs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-    squashes: list[tuple[str, np.ndarray]]
+    inputs: list[tuple[np.ndarray, np.ndarray]]
+    squashes: list[tuple[str, int, int]]
 
 
 def compiled(export: dict) -> tuple[int, list[Level], np.ndarray]:
-    """The number of nodes, the levels, and the nodes of the outputs; ValueError for a graph that is none."""
+    """The number of nodes, the levels, and the nodes of the outputs; ValueError for a graph that is none. Nodes are the inputs and then the
+    neurons level by level, those with most inputs first, so that a level's values lie together and are made where they stay."""
     n_in, neurons = export["input"], export["neurons"]
     node = {x["uuid"]: n_in + i for i, x in enumerate(neurons)}
     if len(node) < len(neurons):
@@ -152,16 +166,22 @@ def compiled(export: dict) -> tuple[int, list[Level], np.ndarray]:
                 ready.append(j)
     if done < len(neurons):
         raise ValueError("the network has a cycle")
-    levels = []
-    for at in range(1, max(depth, default=0) + 1):
-        own = sorted((i for i in range(len(neurons)) if depth[n_in + i] == at), key=lambda i: (-len(incoming[i]), neurons[i]["squash"], i))
+    at_level: dict[int, list[int]] = {}
+    for i in range(len(neurons)):
+        at_level.setdefault(depth[n_in + i], []).append(i)
+    order = [sorted(at_level[at], key=lambda i: (-len(incoming[i]), neurons[i]["squash"], i)) for at in sorted(at_level)]
+    moved = np.arange(n_in + len(neurons))
+    moved[[n_in + i for own in order for i in own]] = np.arange(n_in, n_in + len(neurons))
+    levels, low = [], n_in
+    for own in order:
         inputs = []
         for k in range(len(incoming[own[0]])):
             m = sum(len(incoming[i]) > k for i in own)  # the widest neurons come first
-            inputs.append((np.arange(m), np.array([incoming[i][k][0] for i in own[:m]]), np.array([incoming[i][k][1] for i in own[:m]], np.float64).astype(np.float32)[:, None]))
-        kinds = {name: np.array([p for p, i in enumerate(own) if neurons[i]["squash"] == name]) for name in SQUASHES}
-        levels.append(Level(np.array([n_in + i for i in own]), np.array([neurons[i]["bias"] for i in own], np.float64).astype(np.float32)[:, None], inputs, [(k, v) for k, v in kinds.items() if len(v)]))
-    return n_in + len(neurons), levels, np.array(outputs)
+            inputs.append((moved[[incoming[i][k][0] for i in own[:m]]], np.array([incoming[i][k][1] for i in own[:m]], np.float64).astype(np.float32)[:, None]))
+        runs = [(name, [p for p, _ in held]) for name, held in groupby(enumerate(own), key=lambda x: neurons[x[1]]["squash"])]
+        levels.append(Level(low, low + len(own), np.array([neurons[i]["bias"] for i in own], np.float64).astype(np.float32)[:, None], inputs, [(name, p[0], p[-1] + 1) for name, p in runs]))
+        low += len(own)
+    return n_in + len(neurons), levels, moved[outputs]
 
 
 class Predictor:
@@ -185,7 +205,7 @@ class Predictor:
 
     def activate(self, rows: np.ndarray) -> np.ndarray:
         """Outputs of a matrix of rows, a row each."""
-        step = max(1, min(128, MATRIX_VALUES // self.nodes))
+        step = max(1, min(STEP_ROWS, MATRIX_VALUES // self.nodes))
         out = np.empty((len(rows), self.output_count), np.float32)
         with np.errstate(all="ignore"):
             for at in range(0, len(rows), step):
@@ -193,12 +213,14 @@ class Predictor:
                 value = np.empty((self.nodes, len(part)), np.float32)
                 value[: self.input_count] = part[:, : self.input_count].T
                 for level in self.levels:
-                    total = np.repeat(level.bias, len(part), axis=1)
-                    for place, source, weight in level.inputs:
-                        total[: len(place)] += value[source] * weight
-                    for name, own in level.squashes:
-                        total[own] = SQUASHES[name](total[own])
-                    value[level.neurons] = total
+                    total = value[level.low : level.high]
+                    total[:] = level.bias
+                    for source, weight in level.inputs:
+                        term = value[source]
+                        term *= weight
+                        total[: len(term)] += term
+                    for name, low, high in level.squashes:
+                        SQUASHES[name](total[low:high])
                 out[at : at + step] = value[self.outputs].T
         return out
 
