@@ -76,45 +76,58 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def _scans(spark: SparkSession, archive: Archive, faults_as_rows: bool, creature: Creature | None, compiled: str | None) -> tuple[DataFrame | None, DataFrame | None]:
-    """Scans of the partitions that lie whole in a task, and of those that several tasks read."""
-    register(spark)
-    tasks = 2 * spark.sparkContext.defaultParallelism
+def _options(faults_as_rows: bool, creature: Creature | None, compiled: str | None) -> dict[str, str]:
     options = {"faults": "rows" if faults_as_rows else None, "model": creature and creature.path, "model_sha256": creature and creature.sha256, "compiled": compiled}
-    if archive.keep is None:
-        options |= {"path": archive.fingerprint_root, "dataset": archive.dataset_id, "from": archive.first, "to": archive.last, "tasks": tasks}
-    options = {k: str(v) for k, v in options.items() if v is not None}
-    if archive.keep is None:
-        return spark.read.format("observations").options(**options).load(), None
-    whole, split = kept_work(archive, tasks)
-    return planned(spark, archive, whole, options) if whole or not split else None, planned(spark, archive, split, options) if split else None
+    return {k: str(v) for k, v in options.items() if v is not None}
+
+
+def _scan(spark: SparkSession, archive: Archive, options: dict[str, str]) -> DataFrame:
+    """A scan of a snapshot without kept listings: each of its partitions lies whole in a task."""
+    own = {"path": archive.fingerprint_root, "dataset": archive.dataset_id, "from": archive.first, "to": archive.last, "tasks": 2 * spark.sparkContext.defaultParallelism}
+    return spark.read.format("observations").options(**options, **{k: str(v) for k, v in own.items() if v is not None}).load()
+
+
+def _union(parts: list[DataFrame | None]) -> DataFrame:
+    there = [p for p in parts if p is not None]
+    return there[0] if len(there) == 1 else there[0].unionByName(there[1])
 
 
 def observations(spark: SparkSession, archive: Archive, faults_as_rows: bool = False, creature: Creature | None = None, compiled: str | None = None) -> DataFrame:
     """The rows of a resolved snapshot. With a model they come out scored. Where the archive was opened with a folder for its listings, no
     index is read again, and large partitions are read by several tasks; otherwise each partition lies whole in a task."""
-    whole, split = _scans(spark, archive, faults_as_rows, creature, compiled)
-    return whole.unionByName(split) if whole is not None and split is not None else split if whole is None else whole
+    register(spark)
+    options = _options(faults_as_rows, creature, compiled)
+    if archive.keep is None:
+        return _scan(spark, archive, options)
+    whole, split = kept_work(archive, 2 * spark.sparkContext.defaultParallelism)
+    return _union([planned(spark, archive, w, options) if w or k and not whole else None for k, w in enumerate((whole, split))])
 
 
-def scored(spark: SparkSession, archive: Archive, creature: Creature, compiled: str | None = None) -> DataFrame:
+def scored(spark: SparkSession, archive: Archive, creature: Creature, compiled: str | None = None, then: Callable | None = None, schema: str | None = None) -> DataFrame:
     """Scan with the model pushed into it: wide rows are scored where they are decoded, and only outputs reach the JVM.
     ``operators.network.score`` gives the same values for rows of any other source. Every partition comes out whole in a task and in order: only of
-    those that several tasks score are the outputs brought together, as they make one file."""
+    those that several tasks score are the outputs brought together, as they make one file. ``then`` (batches to batches of ``schema``) goes on
+    with the outputs in the same task."""
+    register(spark)
+    options = _options(True, creature, compiled)
+    taken = lambda df: df.mapInArrow(then, schema) if then else df
     names = ["year", "month", "prefix", "symbol", "date", "exchange", "y", "fault"]
-    whole, split = _scans(spark, archive, True, creature, compiled)
-    if split is None:
-        return whole.select(*names)
-    split = split.repartition("year", "month", "prefix").sortWithinPartitions("year", "month", "prefix", "row").select(*names)
-    return split if whole is None else whole.select(*names).unionByName(split)
+    if archive.keep is None:
+        return taken(_scan(spark, archive, options).select(*names))
+    whole, split = kept_work(archive, 2 * spark.sparkContext.defaultParallelism)
+    scan = planned(spark, archive, whole, options, then, schema) if whole or not split else None
+    if split:
+        split = planned(spark, archive, split, options).repartition("year", "month", "prefix").sortWithinPartitions("year", "month", "prefix", "row")
+    return _union([scan if then or scan is None else scan.select(*names), taken(split.select(*names)) if split else None])
 
 
-def publish(rows: DataFrame, staged: StagedRun, manifest: dict, wrote: Callable[[int], None] = lambda n: None) -> None:
+def publish(rows: Callable[[Callable, str], DataFrame], staged: StagedRun, manifest: dict, wrote: Callable[[int], None] = lambda n: None) -> None:
     """Writes scored rows where they are and publishes them: tasks write their partitions and answer with a record of each,
-    the driver commits the answers. (``format("predictions")`` does the same through the data source API, at the price of a
-    few more Python processes on the driver.) ``wrote`` hears, while tasks run, how many partitions have been written so far."""
+    the driver commits the answers. ``rows`` is given what a task does with its batches, and the schema of what comes of it.
+    (``format("predictions")`` does the same through the data source API, at the price of a few more Python processes on the driver.)
+    ``wrote`` hears, while tasks run, how many partitions have been written so far."""
     writer = PredictionWriter(identity_options(staged, manifest))
-    done = rows.sparkSession.sparkContext.accumulator(0)
+    done = SparkSession.active().sparkContext.accumulator(0)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = writer.write(batches)
@@ -130,7 +143,7 @@ def publish(rows: DataFrame, staged: StagedRun, manifest: dict, wrote: Callable[
     watcher = threading.Thread(target=watch, daemon=True)
     watcher.start()
     try:
-        parts = [Part(**json.loads(r.part)) for r in rows.mapInArrow(write, "part string").collect()]  # a row a task
+        parts = [Part(**json.loads(r.part)) for r in rows(write, "part string").collect()]  # a row a task
     finally:
         over.set()
         watcher.join()
@@ -198,7 +211,7 @@ def _run(spark: SparkSession, request: PredictRequest, progress: Callable[[str],
     try:
         model_at = f"{staged.staging}/_model.{creature.sha256[:16]}"  # goes with the files of lost attempts
         write_bytes(model_at, pickle.dumps(predictor))
-        publish(scored(spark, archive, creature, model_at), staged, manifest, wrote)
+        publish(lambda then, schema: scored(spark, archive, creature, model_at, then, schema), staged, manifest, wrote)
     except OutputError:
         raise  # what a failed publication leaves is kept for inspection
     except Exception:

@@ -19,7 +19,7 @@ import os
 import pickle
 import uuid
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import nullcontext
 from dataclasses import dataclass, field
 from datetime import date as Date
@@ -415,7 +415,6 @@ class ObservationReader(DataSourceReader):
         self.last = MarketDate.parse(options["to"]) if options.get("to") else None
         self.faults_as_rows = options.get("faults") == "rows"
         self.least_tasks = int(options.get("tasks", "1"))
-        self.plan = options.get("plan")
         self.model, self.model_sha256, self.compiled = options.get("model"), options.get("model_sha256"), options.get("compiled")
         #: What pushed filters leave, by column: allowed values, least and greatest value; and what symbols must begin with.
         self.only: dict[str, set] = {}
@@ -451,9 +450,6 @@ class ObservationReader(DataSourceReader):
         return rows.filter(mask[0]) if mask else rows
 
     def partitions(self) -> list[Work]:
-        if self.plan:
-            planned = [Work([p for p in w.pieces if self._wanted(p.key)], w.semantics, w.first, w.last) for w in pickle.loads(read_bytes(self.plan))]
-            return [w for w in planned if w.pieces] or [Work([], Semantics(0, 1, ""), None, None)]
         _, chain, semantics = snapshot(self.root, self.dataset)
         shards = chain_shards(chain)
         if twice := first_repeated(shards):
@@ -549,7 +545,7 @@ class FilteredReader(ObservationReader):
 class ObservationSource(DataSource):
     """Format ``observations``. Reading: path; dataset, from, to; pushdown=true, by which filters on date, symbol, prefix, year and month narrow what is
     opened (``FilteredReader``: one scan a load); model (rows come out scored, so their observations never leave the task), compiled (the
-    same model as the driver has compiled it, so that tasks need not), plan (work that the driver has planned), tasks (how many to aim for at
+    same model as the driver has compiled it, so that tasks need not), tasks (how many to aim for at
     least), and faults=rows to get faults as rows. Writing: see ``publish``."""
 
     @classmethod
@@ -569,8 +565,24 @@ class ObservationSource(DataSource):
         return ObservationWriter(dict(self.options), [f.name for f in schema.fields], overwrite)
 
 
-def planned(spark: SparkSession, archive: Archive, work: list[Work], options: dict) -> DataFrame:
-    """A scan of kept listings, as ``kept_work`` has cut it."""
-    path = f"{archive.keep}/plan-{uuid.uuid4().hex}"
-    write_bytes(path, pickle.dumps(work))
-    return spark.read.format("observations").options(**options, path=archive.fingerprint_root, plan=path).load()
+def planned(spark: SparkSession, archive: Archive, work: list[Work], options: dict, then: Callable | None = None, schema: str | None = None) -> DataFrame:
+    """A scan of kept listings, as ``kept_work`` has cut it: a task for each piece of work, which it finds in a file beside the listings. ``then`` takes
+    the task's batches on to others, of ``schema``, within the task."""
+    path, parts = f"{archive.keep}/plan-{uuid.uuid4().hex}", [pickle.dumps(w) for w in work]
+    write_bytes(path, b"".join(parts))
+    ends = np.cumsum([len(p) for p in parts])
+    reader = ObservationReader({**options, "path": archive.fingerprint_root})
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                fs, at = file_system(path)
+                with fs.open_input_file(at) as source:
+                    low = int(ends[i - 1]) if i else 0
+                    own = pickle.loads(source.read_at(int(ends[i]) - low, low))
+                yield from reader.read(own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return then(read(batches)) if then else read(batches)
+
+    return spark.range(0, len(work), 1, max(1, len(work))).mapInArrow(run, schema or _schema(options.get("model")))
