@@ -16,8 +16,9 @@ Every step is a join, an aggregate or a sorted scan over tables in the shared fo
 driver; tables go as soon as nothing reads them. Texts beyond a few MB are hashed in parts, so that a task's memory is a small
 multiple of its longest text. A pair of Jaccard 0.75 shares no band with a probability of 3e-7, and less above that.
 
-Null and empty texts have an empty set and are linked with nothing. Repeated rows of one id are linked like copies. A row
-without an id keeps a null component and is kept. Columns other than id and text are ignored.
+Null and empty texts have an empty set and are linked with nothing. Rows of one id are one document, linked through each of its texts;
+``n_shingles`` and ``set_id`` are those of the row's own text. Rows that repeat an id and a text are compared once, and come back as many times as
+they came. A row without an id keeps a null component and is kept. Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -203,44 +204,46 @@ def may_link(estimates: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndar
     return (100 * least >= PERCENT * most) & ((least < EXACT_BELOW) | (estimates >= SCREEN))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """Ids and texts in blocks of bounded bytes."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str], list[int]]]:
+    """Ids, texts and times in blocks of bounded bytes."""
     ids: list = []
     texts: list[str] = []
+    times: list[int] = []
     size = 0
     for batch in batches:
-        for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for number, text, n in zip(*(batch.column(c).to_pylist() for c in range(3))):
             if texts and size + len(text or "") > BLOCK_BYTES:
-                yield ids, texts
-                ids, texts, size = [], [], 0
+                yield ids, texts, times
+                ids, texts, times, size = [], [], [], 0
             ids.append(number)
             texts.append(text or "")
+            times.append(n)
             size += len(text or "")
     if texts:
-        yield ids, texts
+        yield ids, texts, times
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """id, n_shingles, two sums that stand for the set, and the registers, of (id, text)."""
+    """id, n_shingles, two sums that stand for the set, the registers, and times, of (id, text, times)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _blocks(batches):
+        for ids, texts, times in _blocks(batches):
             sets = shingle_sets(texts)
             sums = [[int(mix(s + np.uint64(salt)).sum(dtype=np.uint64).view(np.int64)) for s in sets] for salt in (1, 0xD1342543DE82EF95)]
             made = registers(sets)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x, pa.int64()) for x in sums), pa.array([x.tobytes() for x in made], pa.binary())],
-                names=["id", "n", "set_a", "set_b", "registers"],
+                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x, pa.int64()) for x in sums), pa.array([x.tobytes() for x in made], pa.binary()), pa.array(times, pa.int64())],
+                names=["id", "n", "set_a", "set_b", "registers", "times"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, set_a long, set_b long, registers binary")
+    return docs.mapInArrow(run, "id long, n long, set_a long, set_b long, registers binary, times long")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """id and the whole set of shingle hashes, of (id, text)."""
+    """id and the whole set of shingle hashes, of (id, text, times)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _blocks(batches):
+        for ids, texts, _ in _blocks(batches):
             sets = shingle_sets(texts)
             values = pa.array(np.concatenate(sets).view(np.int64)) if sets else pa.array([], pa.int64())
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
@@ -392,16 +395,30 @@ def across(open_rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long, sure boolean")
 
 
+def once(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, text, times) with each text of an id once, and how often it came; and the ids that several rows bear. Only rows of such ids are shuffled."""
+    again = stored(docs.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id"), "repeated")
+    if again.isEmpty():
+        return docs.withColumn("times", F.lit(1).cast("long")), again
+    rows = stored(docs.join(again, "id", "left_semi").groupBy("id", "text").agg(F.count("*").alias("times")), "texts")
+    return docs.join(again, "id", "left_anti").select("id", "text", F.lit(1).cast("long").alias("times")).union(rows), again
+
+
 def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Of each row: doc_id, n_shingles, set_id (the smallest id with an equal set), component_id, kept."""
-    docs = df.select(F.col(doc).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    docs, again = once(df.select(F.col(doc).cast("long").alias("id"), F.col(text).cast("string").alias("text")))
     sketch = stored(sketches(docs), "sketches")
     copies = sketch.where("n > 0 AND id IS NOT NULL").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     copies = stored(copies.where("copies > 1").select("set_a", "set_b", "n", "rep"), "copies")
     classed = sketch.join(copies, ["set_a", "set_b", "n"], "left").withColumn("rep", F.coalesce("rep", "id"))
-    classed = stored(classed.select("id", "n", "rep", F.when(F.expr("n > 0 AND id = rep"), F.col("registers")).alias("registers")), "classes")
+    classed = stored(classed.select("id", "n", "rep", "times", F.when(F.expr("n > 0 AND id = rep"), F.col("registers")).alias("registers")), "classes")
     dropped(sketch, copies)
     reps = classed.where("registers IS NOT NULL").select("id", "n", "registers")
+    repeated = not again.isEmpty()
+    own = None  # links of an id with the first ids of its texts' sets
+    if repeated:
+        reps = stored(reps.distinct(), "reps")  # texts of an id may have one set
+        own = stored(classed.where("n > 0 AND id IS NOT NULL AND id <> rep").join(again, "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "own")
 
     def key(band):
         """A hash of the band's registers whose low six bits are the band."""
@@ -418,9 +435,11 @@ def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> D
 
     pairs = stored(screened(stars.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), reps), "pairs")
     needed = stars.select("id").union(stars.select(F.col("first").alias("id"))).distinct()
-    sets = stored(full_sets(docs.join(needed, "id", "left_semi").select("id", "text")), "sets")
+    sets = full_sets(docs.join(needed, "id", "left_semi").select("id", "text", "times"))
+    sets = stored(sets.distinct() if repeated else sets, "sets")
     best = stored(pairs.groupBy("a").agg(F.max_by("b", F.struct("estimate", -F.col("b"))).alias("b")), "best")
     links = stored(verified(best, sets), "links")
+    links = links if own is None else links.union(own)
     labels = components(links)
 
     def labelled(rows: DataFrame, column: str, name: str) -> DataFrame:
@@ -449,6 +468,8 @@ def near_duplicates(df: DataFrame, doc: str = "doc_id", text: str = "text") -> D
             labels = components(links)
 
     dropped(members, mixed, sets)
-    out = classed.select("id", "n", "rep").join(stored(labels, "labels").toDF("rep", "label"), "rep", "left")
+    out = classed.select("id", "n", "rep", "times").join(stored(labels, "labels").toDF("rep", "label"), "rep", "left")
+    if repeated:
+        out = out.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
     component = F.when(F.col("id").isNull(), None).when(F.col("n") > 0, F.coalesce("label", "rep")).otherwise(F.col("id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("rep").alias("set_id"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -71,6 +72,19 @@ def test_odd_tables(spark):
     assert found == [(-1, 2, -1, True), (5, 2, 5, True), (5, 2, 5, True), (7, 0, 7, True), (9, 2, 5, False)]
 
 
+def test_rows_that_repeat_an_id_are_compared_once(spark, monkeypatch):
+    """Two ids of 3,000 rows each, and a document of several texts that brings two groups together."""
+    a, b = "one two three four five six seven eight nine", "one two three four five six seven eight nine ten"
+    rows = [(1, a), (2, b)] * 3000 + [(3, "x y z u v w"), (4, "x y z u v w"), (5, "p q r s t"), (4, "p q r s t"), (4, "P q r s t"), (6, ""), (6, "only here")]
+    met = []
+    screen = neardup.screened
+    monkeypatch.setattr(neardup, "screened", lambda pairs, sketch: met.append((pairs.count(), sketch.count())) or screen(pairs, sketch))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = Counter((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(df).collect())
+    assert found == Counter({(1, 5, 1): 3000, (2, 6, 1): 3000, (3, 2, 3): 1, (4, 2, 3): 1, (4, 1, 3): 2, (5, 1, 3): 1, (6, 0, 6): 1, (6, 1, 6): 1})
+    assert met[0][0] <= 2 and met[0][1] <= 6
+
+
 @pytest.mark.parametrize("words, texts", [(60, 90), (1100, 60)])  # the sets of the first go along, those of the second are joined
 def test_blocks_of_a_large_key(spark, monkeypatch, words, texts):
     draw = random.Random(8)
