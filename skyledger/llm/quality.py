@@ -177,10 +177,8 @@ def measured(df: DataFrame, text: str, vocabulary: str, multi: str) -> DataFrame
             for batch in slices(batches, BLOCK_ROWS):
                 made = measure(batch.column(at).to_pylist(), vocabulary, multi)
                 yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(made[k], _ARROW[v]) for k, v in COLUMNS.items())], names=[*batch.schema.names, *COLUMNS])
-        finally:
+        finally:  # the words go with the task, the vocabularies stay with the worker
             _memory(vocabulary, multi).forget()
-            _memory.cache_clear()
-            _multi.cache_clear()
 
     return out.mapInArrow(run, schema)
 
