@@ -65,5 +65,5 @@ def test_stages_keep_the_columns(spark):
 def test_every_operator_has_one_query():
     import __spark_entry__
 
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
