@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import columns as C
 from skyledger.functions.values import MarketDate
-from skyledger.operators import compare, resolve, temporal
+from skyledger.operators import compare, resolve, sketches, temporal
 from skyledger.operators.network import Creature, Predictor, activation_columns, score
 from skyledger.sources.publish import write_archive
 from skyledger.sources.scratch import scratch_path
+from skyledger.streaming.restated import restated_rows_stream
 
 #: A model of 5 inputs: two ReLU neurons, of which one feeds the other, and a LOGISTIC one, summed by the output.
 MODEL = {
@@ -681,3 +682,61 @@ def interval_events(spark, d):
     events = _t(spark, d, "events").select("event_id", "user_id", at.alias("at"))
     pairs = temporal.interval_join(orders, events, ["user_id"], (F.col("low"), F.col("high")), (F.col("at"), F.col("at")), 28800)
     return pairs.groupBy("o_orderkey").agg(F.count("*").alias("n_events"), F.max("event_id").alias("last_event"))
+
+
+@query(f"""WITH {_E_SQL}, v AS (SELECT vec_id, list_transform(x, lambda i: i {_TWICE}) AS x FROM e WHERE DATE '2021-01-01' + (vec_id % 90)::INTEGER BETWEEN DATE '2021-01-15' AND DATE '2021-02-20'),
+p AS (SELECT vec_id, month, row_number() OVER (PARTITION BY year, month, prefix ORDER BY prefix || vec_id) - 1 AS row FROM ({_ROWS_SQL}) JOIN v USING (vec_id))
+SELECT vec_id, month, row, {_rounded(_MODEL_SQL.format(x='x'))} AS y, true AS close FROM v JOIN p USING (vec_id)""")
+def archive_scored_in_sql(spark, d):
+    """The range of archive_end_to_end, scored by a statement: the kernel's own values, and each row's place in its partition."""
+    from skyledger.sources.files import write_bytes
+
+    root = _registered(spark, _published(spark, d))
+    model = f"{root[: -len('/116/f00d')]}/model.json"
+    write_bytes(model, json.dumps(MODEL).encode())
+    rows = spark.read.format("observations").load(root)
+    made = spark.sql(
+        """SELECT * FROM score_archive(TABLE(SELECT * FROM {rows} WHERE date BETWEEN DATE '2021-01-15' AND DATE '2021-02-20')
+        PARTITION BY (year, month, prefix) ORDER BY (symbol, date), {model})""",
+        rows=rows, model=model,
+    )
+    current = F.transform("x", lambda v: v * F.when(F.col("vec_id") % 5 == 0, 2).otherwise(1))
+    exact = _x(spark, d).select("vec_id", activation_columns(MODEL, current)[0].alias("exact"))
+    scored = made.where("refused IS NULL").select(_vec_id(), "month", "row", F.col("y")[0].alias("made"))
+    return scored.join(exact, "vec_id").select("vec_id", "month", "row", F.round("made", 2).alias("y"), _close("made", "exact"))
+
+
+_QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+@query(f"""WITH {_E_SQL}, p AS (SELECT month, {_MODEL_SQL.format(x='v.x')} AS y FROM (SELECT vec_id, list_transform(x, lambda i: i {_TWICE}) AS x FROM e) AS v JOIN ({_ROWS_SQL}) USING (vec_id))
+SELECT month, count(*) AS n_rows, {_rounded('min(y)')} AS least, {_rounded('max(y)')} AS most, {_rounded('avg(y)')} AS mean, true AS quantiles_within, true AS symbols_within FROM p GROUP BY ROLLUP (month)""")
+def prediction_sketches(spark, d):
+    """What the sketches kept beside a run say of each month and of all: exact counts and extremes, and whether quantiles and numbers of symbols lie
+    within the stated errors of the outputs' own."""
+    output = _run(spark, _published(spark, d)).output
+    kept = sketches.keep_sketches(spark, output)
+    said = sketches.merged(kept, "month", quantiles=_QUANTILES).unionByName(sketches.merged(kept, quantiles=_QUANTILES).withColumn("month", F.lit(None).cast("int")))
+    rows = spark.read.format("predictions").load(output).select("symbol", F.explode(F.array("month", F.lit(None).cast("int"))).alias("m"), F.col("y")[0].alias("y"))
+    met = rows.join(F.broadcast(said.select(F.col("month").alias("m2"), "quantiles")), F.col("m").eqNullSafe(F.col("m2")))  # a row a month
+    ranks = [F.array(F.avg((F.col("y") < F.col("quantiles")[i]).cast("int")), F.avg((F.col("y") <= F.col("quantiles")[i]).cast("int"))) for i in range(len(_QUANTILES))]
+    true = met.groupBy("m").agg(F.array(*ranks).alias("ranks"), F.count_distinct("symbol").alias("symbols"))
+    both = said.join(true, F.col("month").eqNullSafe(F.col("m")))
+    q, slack = F.array(*[F.lit(v) for v in _QUANTILES]), 2 * sketches.RANK_ERROR  # a sketch may miss its error once in 100 times
+    near = F.forall(F.zip_with("ranks", q, lambda r, v: (r[0] <= v + slack) & (r[1] >= v - slack)), lambda v: v)
+    symbols = F.abs(F.col("n_symbols") - F.col("symbols")) <= 1 + 2 * sketches.DISTINCT_ERROR * F.col("symbols")
+    return both.select("month", "n_rows", *[F.round(c, 2).alias(c) for c in ("least", "most", "mean")], near.alias("quantiles_within"), symbols.alias("symbols_within"))
+
+
+@query(f"WITH {_WINNERS} SELECT symbol, date::VARCHAR AS date, pub_seq, idx_seq, exchange, 1::BIGINT AS net FROM w JOIN (SELECT pub_seq, idx_seq FROM l) USING (idx_seq)")
+def restated_changes(spark, d):
+    """The listings as a stream whose second half restates keys of the first: what is left when every ``-`` has taken its ``+`` away."""
+    base = scratch_path(spark, "restated")
+    listings = _listings(spark, d)
+    listings.withColumn("half", F.col("idx_seq") % 2).repartition("half").write.partitionBy("half").parquet(f"{base}/in")
+    stream = spark.readStream.schema(listings.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+    written = restated_rows_stream(stream, ["pub_seq", "idx_seq"]).writeStream.format("parquet").option("checkpointLocation", f"{base}/state")
+    written.trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+    changes = spark.read.parquet(f"{base}/out").withColumn("date", _text(F.col("date")))
+    net = F.sum(F.when(F.col("change") == "+", 1).otherwise(-1)).alias("net")
+    return changes.groupBy("symbol", "date", "pub_seq", "idx_seq", "exchange").agg(net).where("net <> 0")

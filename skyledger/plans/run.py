@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.functions.tables import register_tables
 from skyledger.functions.values import MAX_DATASET_ID_BYTES, MarketDate, is_valid_dataset_id, utc_now
 from skyledger.operators.network import ENGINE, ENGINE_SOURCE, ENGINE_VERSION, Creature, EngineError, Predictor, load_creature
 from skyledger.sources.archive import Archive, ObservationSource, kept_work, open_archive, planned
@@ -69,10 +70,11 @@ class RunSummary:
 
 
 def register(spark: SparkSession) -> None:
-    """Makes the formats known to the session and lets filters reach the scan."""
+    """Makes the formats and table functions known to the session and lets filters reach the scan."""
     spark.dataSource.register(ObservationSource)
     spark.dataSource.register(PredictionSource)
     spark.dataSource.register(ChangeSource)
+    register_tables(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 

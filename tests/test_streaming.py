@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +8,7 @@ from skyledger.operators.network import Creature, Predictor, score
 from skyledger.plans.run import register
 from skyledger.sources.changes import ChangeStream
 from skyledger.sources.files import ArchiveError
+from skyledger.streaming.restated import restated_rows_stream
 from skyledger.streaming.scoring import latest_rows_stream, score_stream
 from tests.archives import MODEL, Fixture, drawn, plain
 
@@ -66,3 +70,59 @@ def test_a_chain_that_was_rewritten_is_no_silent_gap(tmp_path):
     with pytest.raises(ArchiveError, match="not d9 any more"):
         stream.partitions({"dataset": "d9", "publication": 0}, end)
     assert ChangeStream({"path": str(tmp_path / "none")}).latestOffset() == {"dataset": None, "publication": -1}
+
+
+LISTED = "symbol string, date string, seq int, v int"
+
+
+def test_a_restatement_takes_its_predecessor_back(spark, tmp_path):
+    """Random listings over restarts: what is left of the changes is the last listing of each key, and state is a row a key."""
+    draw, everything = random.Random(4), []
+    (tmp_path / "in").mkdir()
+    stream = restated_rows_stream(spark.readStream.schema(LISTED).parquet(str(tmp_path / "in")), ["seq"])
+    for k in range(4):
+        # numbers are drawn without regard to time, so older listings come late; a key has many in one batch
+        batch = [(draw.choice("ABCDE"), draw.choice(["d1", "d2"]), draw.randrange(1000), draw.randrange(99)) for _ in range(40)] + [(None, "d1", k, k), ("N", "d1", None, 1)]
+        everything += batch
+        spark.createDataFrame(batch, LISTED).repartition(2).write.mode("append").parquet(str(tmp_path / "in"))
+        query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        query.awaitTermination(120)
+        assert query.exception() is None
+        left = {}
+        for symbol, date, change, seq, v in spark.read.parquet(str(tmp_path / "out")).collect():
+            left[symbol, date, seq, v] = left.get((symbol, date, seq, v), 0) + (1 if change == "+" else -1)
+        most = {}
+        for symbol, date, seq, v in everything:
+            if seq is not None and seq > most.get((symbol, date), -1):
+                most[symbol, date] = seq
+        kept = {key: n for key, n in left.items() if n}
+        assert set(kept.values()) == {1} and {(s, d): seq for s, d, seq, _ in kept} == most
+        assert {(s, d, seq, v) for s, d, seq, v in kept} <= set(everything)
+        assert sum(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress[-1:]) == len(most)
+
+
+def test_a_key_is_forgotten_after_its_time_to_live(spark, tmp_path):
+    listed = spark.createDataFrame([("A", "d", 5, 1)], LISTED)
+    listed.write.parquet(str(tmp_path / "in"))
+    stream = restated_rows_stream(spark.readStream.schema(LISTED).parquet(str(tmp_path / "in")), ["seq"], ttl_ms=1000)
+    query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(processingTime="200 milliseconds").start(str(tmp_path / "out"))
+    try:
+        read = lambda: sorted((r.change, r.seq) for r in spark.read.schema("symbol string, date string, change string, seq int, v int").parquet(str(tmp_path / "out")).collect())
+        end = time.monotonic() + 90
+        while not (tmp_path / "out").exists() or not read():
+            assert time.monotonic() < end and query.exception() is None
+            time.sleep(0.2)
+        time.sleep(2)
+        listed.withColumn("seq", F.lit(3)).write.mode("append").parquet(str(tmp_path / "in"))  # older, but what came before is forgotten
+        while len(read()) < 2:
+            assert time.monotonic() < end and query.exception() is None
+            time.sleep(0.2)
+        assert read() == [("+", 3), ("+", 5)]
+    finally:
+        query.stop()
+
+
+def test_listings_with_a_column_named_change_are_refused(spark, tmp_path):
+    stream = spark.readStream.schema(LISTED + ", change string").parquet(str(tmp_path))
+    with pytest.raises(ValueError, match="'change' of their own"):
+        restated_rows_stream(stream, ["seq"])
