@@ -7,7 +7,8 @@ in the feasible ranges of the query's largest coordinates (a high one). What is
 
 The floor also prunes before anything is shuffled: no query goes to a bucket whose longest vector is too short for it, and no
 vector to a block of queries for which it is too short. A bucket is dealt to blocks of bounded size, as are the queries; each pair of blocks is a task's unit of work, so a length
-that all vectors share is no hot spot. First every query meets one block of the longest vectors, which gives its ``s``.
+that all vectors share is no hot spot. First every query meets one block of the longest vectors, which gives its ``s``; these are
+the vectors of as many of the longest buckets as hold a thousand, so a few that are far longer than the rest take no floor away.
 Each unit returns at most k rows a query, so the last shuffle is small.
 
 Vectors that are null or hold null or non-finite components take no part, and empty ones neither. Only vectors of equal
@@ -36,6 +37,8 @@ LEAST_BLOCKS, LEAST_ROWS = 64, 256
 COORDINATE_COSINE, COORDINATES = 0.8, 4
 #: Ratio of the longest to the shortest vector of a bucket.
 BUCKET_RATIO = 1.1
+#: Vectors of the longest buckets, at least, from which the blocks are formed that queries meet first.
+SEED_ROWS = 1024
 _WIDEST = 2.0**26
 #: What names a unit of work: dimension, bucket, block of the bucket, block of queries.
 UNIT = ["d", "bucket", "block", "asked"]
@@ -151,39 +154,42 @@ def top_k(df: DataFrame, vec_id: str, embedding: str, queries: Column, k: int =
     rows = rows.withColumn("bucket", F.when(F.col("length") > 0, F.floor(F.log(F.col("length")) / F.log(F.lit(BUCKET_RATIO)))).otherwise(-100_000).cast("int"))
     rows = stored(rows.withColumn("d", F.size("v")), "vectors")
 
-    # Lengths are doubles, so there are at most some thousands of buckets a dimension; that bounds this table.
+    # Components are whole numbers, so lengths other than 0 lie between 1 and 1e308: at most some thousands of buckets a dimension,
+    # each a row of the tables below. Spark broadcasts them where their stored size allows it.
     sizes = rows.groupBy("d", "bucket").agg(F.count("*").alias("n"), F.count_if("asks").alias("asking"), F.max("length").alias("most"))
     per_block = F.least(F.lit(BLOCK_ROWS), F.greatest(F.lit(LEAST_ROWS), F.ceil(F.sum("n").over(Window.partitionBy("d")) / LEAST_BLOCKS)))
-    plan = stored(sizes.withColumn("blocks", F.ceil(F.col("n") / per_block)), "buckets")
+    longer = F.coalesce(F.sum("n").over(Window.partitionBy("d").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     asked = F.ceil(F.sum("asking").over(Window.partitionBy("d")) / BLOCK_QUERIES)
-    longest = F.row_number().over(Window.partitionBy("d").orderBy(F.desc("bucket"))) == 1
-    plan = plan.withColumn("query_blocks", asked).withColumn("longest", longest)
-
-    others = rows.join(F.broadcast(plan.select("d", "bucket", "blocks", "query_blocks", "longest")), ["d", "bucket"])
-    others = others.withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
-    dims = plan.groupBy("d").agg(F.max("query_blocks").alias("query_blocks"), F.max(F.when(F.col("longest"), F.struct("bucket", "blocks"))).alias("top"))
-    asking = rows.where("asks").select("d", "id", "v", "length").dropDuplicates(["id"]).join(F.broadcast(dims), "d").withColumn("asked", F.pmod(F.xxhash64("id", F.lit(1)), "query_blocks"))
+    plan = sizes.select("*", per_block.alias("per_block"), (longer < SEED_ROWS).alias("seeds"), asked.alias("query_blocks"))
+    plan = stored(plan.withColumn("blocks", F.ceil(F.col("n") / F.col("per_block"))), "buckets")
+    dims = plan.groupBy("d").agg(F.max("query_blocks").alias("query_blocks"), F.ceil(F.sum(F.when(F.col("seeds"), F.col("n"))) / F.max("per_block")).alias("seed_blocks"))
+    asking = rows.where("asks").select("d", "id", "v", "length").dropDuplicates(["id"]).join(dims, "d").withColumn("asked", F.pmod(F.xxhash64("id", F.lit(1)), "query_blocks"))
 
     def work(candidates: DataFrame, questions: DataFrame) -> DataFrame:
         both = candidates.select(*UNIT, F.lit(False).alias("is_query"), "id", "v", F.lit(None).cast("double").alias("at_least"))
         both = both.union(questions.select(*UNIT, F.lit(True), "id", "v", "at_least"))
         return _units(both.repartition(*UNIT).sortWithinPartitions(*UNIT), k)
 
-    spread = others.withColumn("asked", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
     ground = F.lit(-float("inf"))
-    # Each query first meets one block of the longest bucket: its k-th score there is a floor for the others.
-    first = asking.select("d", F.col("top.bucket").alias("bucket"), F.pmod(F.xxhash64("id", F.lit(2)), "top.blocks").alias("block"), "asked", "id", "v", ground.alias("at_least"))
-    seed = stored(work(spread.where("longest"), first), "seed")
+    # A block of queries first meets one block of the longest vectors: a query's k-th score there is its floor for the others.
+    first = asking.select("d", F.lit(0).alias("bucket"), F.pmod("asked", "seed_blocks").alias("block"), "asked", "id", "v", ground.alias("at_least"))
+    long = rows.join(plan.where("seeds").select("d", "bucket"), ["d", "bucket"]).drop("bucket").join(dims, "d").withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), "seed_blocks"))
+    long = long.where("block < query_blocks").withColumn("asked", F.explode(F.sequence("block", F.col("query_blocks") - 1, "seed_blocks")))
+    seed = stored(work(long.withColumn("bucket", F.lit(0)), first), "seed")
     floor = seed.groupBy("query_id").agg(F.count("*").alias("found"), F.min("score").alias("at_least")).where(F.col("found") >= k)
     bound = F.col("at_least").cast("double")
     asking = asking.join(floor.select(F.col("query_id").alias("id"), "at_least"), "id", "left").withColumn("at_least", F.coalesce(bound - F.abs(bound) * 1e-12, ground))
     # A query only goes to buckets in which some length can reach its floor, and only vectors go to a block of queries that are
     # long enough for one of them; a block that no query wants of a bucket is not formed.
     reach = lambda length: F.col("at_least") * (1 - 1e-9) <= F.col("length") * length
-    pairs = asking.select("d", "asked", "id", "v", "length", "at_least").join(F.broadcast(plan.select("d", "bucket", "blocks", "most")), "d").where(reach(F.col("most")))
+    pairs = asking.select("d", "asked", "id", "v", "length", "at_least").join(plan.select("d", "bucket", "blocks", "most"), "d").where(reach(F.col("most")))
     shortest = F.min(F.when(F.col("at_least") > 0, F.when(F.col("length") > 0, F.col("at_least") / F.col("length")).otherwise(F.lit(0.0))).otherwise(F.lit(0.0)))
-    needed = stored(pairs.groupBy("d", "bucket", "asked").agg(shortest.alias("shortest")), "needed")
-    everywhere = pairs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    found = work(spread.join(needed, ["d", "bucket", "asked"]).where(F.col("length") >= F.col("shortest") * (1 - 1e-9)), everywhere)
+    each_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    needed = pairs.groupBy("d", "bucket", "blocks", "asked").agg(shortest.alias("shortest"))
+    units = stored(needed.select("d", "bucket", "asked", "shortest", each_block.alias("block")), "units")  # a row for each unit of work
+    others = rows.join(plan.select("d", "bucket", "blocks"), ["d", "bucket"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+    # Vectors meet the blocks of queries by their own block, so no key is larger than a block, and are repeated where they are wanted only.
+    wanted = others.join(units, ["d", "bucket", "block"]).where(F.col("length") >= F.col("shortest") * (1 - 1e-9))
+    found = work(wanted, pairs.withColumn("block", each_block))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
