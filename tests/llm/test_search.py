@@ -184,6 +184,24 @@ def test_top_k_matches_brute_force(spark, spread):
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect()) == plain_top(rows)
 
 
+@pytest.mark.parametrize("outliers", [0, 1, 3])
+def test_a_few_long_vectors_take_no_pruning_away(spark, monkeypatch, outliers):
+    """Of 3,000 vectors of spread lengths under half meet queries, though some are far longer than the rest; one dimension has no query."""
+    draw = np.random.default_rng(11)
+    vectors = draw.normal(size=(3000, 16))
+    vectors *= np.exp(draw.uniform(0, 3, size=(3000, 1))) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[7 : 7 + outliers] *= 50 * np.exp(3) / np.linalg.norm(vectors[7 : 7 + outliers], axis=1, keepdims=True)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)] + [(3001, [1.0, 2.0, 3.0])]
+    met, units = [], topk._units
+    monkeypatch.setattr(topk, "_units", lambda work, k: met.append((work.where("NOT is_query").count(), work.where("is_query").count(), work.select(*topk.UNIT).distinct().count())) or units(work, k))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(df, "vec_id", "embedding", F.expr("vec_id % 50 = 0"))
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect()) == plain_top(rows)
+    buckets = df.where("size(embedding) = 16").select(topk.quantised("embedding").alias("v")).select(F.floor(F.log(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))) / np.log(topk.BUCKET_RATIO))).distinct().count()
+    (first, _, _), (others, asked, _) = met
+    assert topk.LEAST_ROWS * 0.6 <= first <= topk.SEED_ROWS + 200 and others < 1500 and asked < 60 * buckets / 2
+
+
 def test_top_k_odd_tables(spark):
     schema = "vec_id long, embedding array<double>"
     ask = F.expr("vec_id % 50 = 0")
