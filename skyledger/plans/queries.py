@@ -678,7 +678,7 @@ def interval_events(spark, d):
     """Events of a user within some hours of each order's moment, as a join of intervals by bins."""
     begin = F.pmod(F.col("o_orderkey") * 7919, F.lit(2592000))
     orders = _t(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 150).alias("user_id"), begin.alias("low"), (begin + 21600 + F.col("o_orderkey") % 7 * 3600).alias("high"))
-    at = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000) - 1704067200
+    at = F.rint(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("long") - 1704067200  # the nearest second, halves to even
     events = _t(spark, d, "events").select("event_id", "user_id", at.alias("at"))
     pairs = temporal.interval_join(orders, events, ["user_id"], (F.col("low"), F.col("high")), (F.col("at"), F.col("at")), 28800)
     return pairs.groupBy("o_orderkey").agg(F.count("*").alias("n_events"), F.max("event_id").alias("last_event"))
