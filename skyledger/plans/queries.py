@@ -20,7 +20,7 @@ from skyledger.operators import compare, resolve, sketches, temporal
 from skyledger.operators.network import Creature, Predictor, activation_columns, score
 from skyledger.sources.publish import write_archive
 from skyledger.sources.scratch import scratch_path
-from skyledger.streaming.restated import restated_rows_stream
+from skyledger.streaming.restated import restated_rows_merged
 
 #: A model of 5 inputs: two ReLU neurons, of which one feeds the other, and a LOGISTIC one, summed by the output.
 MODEL = {
@@ -733,10 +733,10 @@ def restated_changes(spark, d):
     """The listings as a stream whose second half restates keys of the first: what is left when every ``-`` has taken its ``+`` away."""
     base = scratch_path(spark, "restated")
     listings = _listings(spark, d)
-    listings.withColumn("half", F.col("idx_seq") % 2).repartition("half").write.partitionBy("half").parquet(f"{base}/in")
-    stream = spark.readStream.schema(listings.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
-    written = restated_rows_stream(stream, ["pub_seq", "idx_seq"]).writeStream.format("parquet").option("checkpointLocation", f"{base}/state")
-    written.trigger(availableNow=True).start(f"{base}/out").awaitTermination()
-    changes = spark.read.parquet(f"{base}/out").withColumn("date", _text(F.col("date")))
+    for half in range(2):  # the stream goes on where it stopped
+        listings.where(F.col("idx_seq") % 2 == half).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(listings.schema).parquet(f"{base}/in")
+        restated_rows_merged(stream, ["pub_seq", "idx_seq"], base).trigger(availableNow=True).start().awaitTermination()
+    changes = spark.read.parquet(f"{base}/changes").withColumn("date", _text(F.col("date")))
     net = F.sum(F.when(F.col("change") == "+", 1).otherwise(-1)).alias("net")
     return changes.groupBy("symbol", "date", "pub_seq", "idx_seq", "exchange").agg(net).where("net <> 0")

@@ -5,10 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators.network import Creature, Predictor, score
+from skyledger.plans import queries
 from skyledger.plans.run import register
 from skyledger.sources.changes import ChangeStream
 from skyledger.sources.files import ArchiveError
-from skyledger.streaming.restated import restated_rows_stream
+from skyledger.streaming import restated
+from skyledger.streaming.restated import restated_rows_merged, restated_rows_stream
 from skyledger.streaming.scoring import latest_rows_stream, score_stream
 from tests.archives import MODEL, Fixture, drawn, plain
 
@@ -126,3 +128,44 @@ def test_listings_with_a_column_named_change_are_refused(spark, tmp_path):
     stream = spark.readStream.schema(LISTED + ", change string").parquet(str(tmp_path))
     with pytest.raises(ValueError, match="'change' of their own"):
         restated_rows_stream(stream, ["seq"])
+
+
+def test_merged_batches_give_the_same_changes(spark, tmp_path):
+    """Random listings over restarts, and batches that run again: what is left of the changes is the last listing of each key, none comes twice."""
+    draw, most, told = random.Random(5), {}, []
+    (tmp_path / "in").mkdir()
+    stream = restated_rows_merged(spark.readStream.schema(LISTED).parquet(str(tmp_path / "in")), ["seq"], str(tmp_path))
+    goes_on = lambda: stream.trigger(availableNow=True).start().awaitTermination(120)
+    for k in range(4):
+        batch = [(draw.choice("ABCDE"), draw.choice(["d1", "d2"]), draw.randrange(1000), draw.randrange(99)) for _ in range(40)]
+        batch += [(None, "d1", k, k), ("N", "d1", None, 1), ("same", "d1", 7, k)]
+        spark.createDataFrame(batch, LISTED).repartition(2).write.mode("append").parquet(str(tmp_path / "in"))
+        before = dict(most)
+        for symbol, date, seq, v in batch:
+            if seq is not None and seq > most.get((symbol, date), (-1,))[0]:
+                most[symbol, date] = (seq, v)
+        for key in most:
+            if most[key] != before.get(key):
+                told += [(key, change, *listed[key][:1], k) for change, listed in (("-", before), ("+", most)) if key in listed]
+        assert goes_on()
+        if k % 2:  # as if the program had ended before the batch was committed
+            for name in (f"{k}", f".{k}.crc"):
+                (tmp_path / "state/commits" / name).unlink(missing_ok=True)
+            assert goes_on()
+        rows = spark.read.parquet(str(tmp_path / "changes")).collect()
+        assert sorted(((r.symbol, r.date), r.change, r.seq, r.batch) for r in rows if r.symbol) == sorted(t for t in told if t[0][0])
+        assert sorted((r.change, r.seq, r.batch) for r in rows if not r.symbol) == sorted(t[1:] for t in told if not t[0][0])
+        assert {r.v for r in rows if r.symbol == "same"} == {0}
+
+
+def test_the_query_of_restatements_calls_no_python_a_key(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(restated, "Restated", None)
+    assert queries.restated_changes(spark, "/root/testdata/sf0.001").count() > 0
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    assert queries.restated_changes(spark, str(tmp_path)).count() == 0
+
+
+def test_merged_listings_with_columns_of_the_changes_are_refused(spark, tmp_path):
+    for name in ("change", "batch"):
+        with pytest.raises(ValueError, match=f"'{name}' of their own"):
+            restated_rows_merged(spark.readStream.schema(LISTED + f", {name} string").parquet(str(tmp_path)), ["seq"], str(tmp_path))
