@@ -6,14 +6,23 @@ from the oldest publication on. Catalyst combines them before the shuffle, and a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from skyledger.functions import columns as C
 from skyledger.sources.scratch import stored
 
 KEY = ("symbol", "date")
+#: Datasets that a task follows at a time.
+CHUNK_ROWS = 200_000
 
 
 def flatten_shards(manifests: DataFrame) -> DataFrame:
@@ -54,24 +63,88 @@ def partition_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("year", "month", "prefix").agg(F.count("*").alias("row_count")).orderBy("year", "month", "prefix")
 
 
-def snapshot_chain(manifests: DataFrame, head: str) -> DataFrame:
+def snapshot_chain(manifests: DataFrame, head: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """dataset_id and depth from the head back, of (dataset_id, previous_dataset_id); chains of any length. A loop ends where it comes back.
 
-    The chain is followed by doubling: each round knows for every dataset the one 2^k steps before it, and adds to what is reached as many datasets as
-    it holds, so the rounds grow with the logarithm of the length.
+    Datasets are dealt by ranges of their ids, and a task follows each to where its chain leaves the task's chunk. The datasets at which a chain enters a
+    chunk, few where ids follow the chain and at most all, are reached from the head by doubling; from there each chunk numbers its own. A dataset of
+    several predecessors is followed to each of them, and the depths are the least.
     """
-    jumps = stored(manifests.where("previous_dataset_id IS NOT NULL").select(F.col("dataset_id").alias("at"), F.col("previous_dataset_id").alias("to")), "jumps")
-    reached = manifests.where(F.col("dataset_id") == head).select("dataset_id", F.lit(0).cast("long").alias("depth"))
-    found, step = reached.count(), 1
+    before = F.col("previous_dataset_id")
+    links = manifests.where("dataset_id IS NOT NULL").groupBy(F.col("dataset_id").alias("at"))
+    steps = links.agg(F.min(before).alias("to"), F.coalesce(F.min(before) != F.max(before), F.lit(False)).alias("fork"))
+    made = StructType([*steps.schema, StructField("chunk", LongType()), StructField("leaves", steps.schema["to"].dataType), StructField("steps", LongType())])
+    chunks = stored(steps.repartitionByRange("at").sortWithinPartitions("at").mapInArrow(lambda batches: _followed(batches, chunk_rows), made), "chunks")
+    far = chunks.where("leaves IS NOT NULL").select("at", F.col("leaves").alias("to"), "steps")
+    start = chunks.where(F.col("at") == head).select("at", F.lit(0).cast("long").alias("depth"))
+    entries, forks = far.select(F.col("to").alias("at")).union(start.select("at")), chunks.where("fork").select("at")
+    several = not forks.isEmpty()
+    if several:
+        forked = manifests.where(before.isNotNull()).select(F.col("dataset_id").alias("at"), before.alias("to"), F.lit(1).cast("long").alias("steps")).join(forks, "at", "left_semi")
+        entries, far = entries.union(forked.select("to")), far.unionByName(forked)
+    jumps = stored(far.join(stored(entries.distinct(), "entries"), "at", "left_semi"), "jumps")
+    reached = _reached(jumps, start, several)
+    numbered = chunks.select("at", "to", "fork", "chunk").join(reached, "at", "left").groupBy("chunk")
+    return numbered.applyInArrow(_numbered, StructType([StructField("dataset_id", steps.schema["at"].dataType), StructField("depth", IntegerType())]))
+
+
+def _reached(jumps: DataFrame, start: DataFrame, several: bool) -> DataFrame:
+    """What jumps (at, to, steps) reach from ``start`` (at, depth), with the least depth. Each round knows the jumps of 2^k steps of ``jumps`` and takes
+    them from all that is reached, so the rounds grow with the logarithm of the longest way. ``several``: some have more than one jump, so ways meet again."""
+    reached, found = start, None
     while True:
-        further = reached.join(jumps, reached["dataset_id"] == jumps["at"]).select(F.col("to").alias("dataset_id"), (F.col("depth") + step).alias("depth"))
-        known = further.join(manifests.select("dataset_id"), "dataset_id", "left_semi")
-        reached = stored(reached.union(known).groupBy("dataset_id").agg(F.min("depth").alias("depth")), "chain")
-        before, found = found, reached.count()
+        further = reached.join(jumps, "at").select(F.col("to").alias("at"), (F.col("depth") + F.col("steps")).alias("depth"))
+        reached = stored(reached.union(further).groupBy("at").agg(F.min("depth").alias("depth")), "chain")
+        before, found = found, reached.agg(F.count("*"), F.sum(F.col("depth").cast("decimal(38,0)"))).first()
         if found == before:
-            return reached.select("dataset_id", F.col("depth").cast("int").alias("depth"))
-        far = jumps.select(F.col("at").alias("to"), F.col("to").alias("beyond"))
-        jumps, step = stored(jumps.join(far, "to").select("at", F.col("beyond").alias("to")), "jumps"), 2 * step
+            return reached
+        far = jumps.select(F.col("at").alias("to"), F.col("to").alias("beyond"), F.col("steps").alias("more"))
+        jumps = jumps.join(far, "to").select("at", F.col("beyond").alias("to"), (F.col("steps") + F.col("more")).alias("steps"))
+        jumps = stored(jumps.groupBy("at", "to").agg(F.min("steps").alias("steps")) if several else jumps, "jumps")
+
+
+def _next(rows: pa.Table) -> np.ndarray:
+    """Where each row's predecessor lies among the rows; -1 where it is none of them, and before and behind a fork."""
+    fork = rows["fork"].to_numpy()
+    place = pc.fill_null(pc.index_in(rows["to"], value_set=rows["at"].combine_chunks()), -1).to_numpy()
+    return np.where(fork | (place < 0) | fork[place], -1, place)
+
+
+def _followed(batches: Iterator[pa.RecordBatch], chunk_rows: int) -> Iterator[pa.RecordBatch]:
+    """The rows in chunks, each with the dataset outside its chunk (or the fork) that its chain leads to, if any, and the steps to there."""
+    held, chunk = [], TaskContext.get().partitionId() << 32
+
+    def follow() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        beyond = _next(rows)
+        n, ends = len(beyond), beyond < 0
+        last, steps = np.where(ends, np.arange(n), beyond), np.where(ends, 0, 1)
+        for _ in range(n.bit_length()):
+            steps, last = steps + steps[last], last[last]
+        leaves = pa.array(np.where(ends[last] & ~rows["fork"].to_numpy()[last], last, -1))  # others go round within the chunk
+        leaves = rows["to"].combine_chunks().take(pc.if_else(pc.less(leaves, 0), pa.scalar(None, pa.int64()), leaves))
+        columns = [*[c.combine_chunks() for c in rows.columns], pa.array(np.full(n, chunk)), leaves, pa.array(steps + 1)]
+        return pa.RecordBatch.from_arrays(columns, names=[*rows.column_names, "chunk", "leaves", "steps"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= chunk_rows:
+            yield follow()
+            held, chunk = [], chunk + 1
+    if any(b.num_rows for b in held):
+        yield follow()
+
+
+def _numbered(rows: pa.Table) -> pa.Table:
+    """The rows of a chunk that the chain holds, with their depths, of which those where it enters are given."""
+    given, beyond = rows["depth"].to_pylist(), _next(rows).tolist()
+    depths: list[int | None] = [None] * len(given)
+    for depth, i in sorted((d, i) for i, d in enumerate(given) if d is not None):
+        while i >= 0 and (depths[i] is None or depths[i] > depth):
+            depths[i] = depth
+            i, depth = beyond[i], depth + 1
+    made = pa.table({"dataset_id": rows["at"], "depth": pa.array(depths, pa.int32())})
+    return made.filter(pc.is_valid(made["depth"]))
 
 
 def semantic_mismatches(manifests: DataFrame, head: Column) -> DataFrame:

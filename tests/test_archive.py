@@ -1,13 +1,15 @@
 """Archives: what a reader gives of any chain, by whichever way it resolves it, and what it refuses."""
 
 import json
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql.datasource import EqualTo, In, LessThanOrEqual, StringStartsWith
 
 from skyledger.functions.values import MarketDate
-from skyledger.operators.resolve import snapshot_chain
+from skyledger.operators import resolve
+from skyledger.operators.resolve import snapshot_chain, stored
 from skyledger.plans.run import observations, register
 from skyledger.sources import archive, indexes
 from skyledger.sources.archive import FilteredReader, open_archive
@@ -320,3 +322,41 @@ def test_chains_of_any_length(spark):
     of = lambda head: {r.dataset_id: r.depth for r in snapshot_chain(df, head).collect()}
     assert of("n000") == {n: i for i, n in enumerate(names)} and of("other") == {"other": 0} | {n: i + 1 for i, n in enumerate(names[100:])}
     assert of("y") == {"y": 0, "z": 1, "x": 2} and of("gap") == {"gap": 0} and of("absent") == {}
+
+
+@pytest.mark.parametrize("rows, several", [(1, 0), (5, 4), (10_000, 4)])
+def test_chains_over_chunks_of_any_size(spark, rows, several):
+    """Random links with loops, branches, gaps, ends, repeated rows and some datasets of several predecessors, against a plain walk."""
+    draw = random.Random(rows)
+    names = [f"d{i}" for i in draw.sample(range(10**6), 40)]
+    links = [*zip(names, names[1:]), (names[-1], names[10]), (names[3], names[4]), ("gap", "missing"), ("end", None), (None, names[2])]
+    links += [(f"side{i}", draw.choice([*names, "end"])) for i in range(10)] + [(draw.choice(names), draw.choice(names)) for _ in range(several)]
+    df = spark.createDataFrame(links, "dataset_id string, previous_dataset_id string").repartition(3)
+    held = {a for a, _ in links}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        for head in (names[0], "side1"):
+            want, now, depth = {}, {head}, 0
+            while now:
+                want |= dict.fromkeys(now, depth)
+                now, depth = ({b for a, b in links if a in now} & held) - {None} - want.keys(), depth + 1
+            found = snapshot_chain(df, head, rows).collect()
+            assert {r.dataset_id: r.depth for r in found} == want and len(found) == len(want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_chain_in_order_of_its_ids_is_followed_within_tasks(spark, monkeypatch):
+    """What is stored for the rounds grows with the chunks, not with the chain."""
+    kept = {}
+
+    def counted(df, name):
+        made = stored(df, name)
+        kept.setdefault(name, []).append(made.count())
+        return made
+
+    monkeypatch.setattr(resolve, "stored", counted)
+    df = spark.range(5000).selectExpr("'d' || id AS dataset_id", "CASE WHEN id > 0 THEN 'd' || (id - 1) END AS previous_dataset_id")
+    found = snapshot_chain(df, "d4999").collect()
+    assert sorted((r.dataset_id, r.depth) for r in found) == sorted((f"d{4999 - k}", k) for k in range(5000))
+    assert kept["chunks"] == [5000] and max(kept["jumps"] + kept["chain"]) < 200
